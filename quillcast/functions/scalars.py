@@ -29,8 +29,8 @@ def round_half_even(value: Column, places: int = 2) -> Column:
     high_scaled = high * scale
     low_scaled = (value - high) * scale
     whole = F.floor(high_scaled + low_scaled)
-    rest = (high_scaled - whole) + low_scaled
-    up = (rest > 0.5) | ((rest == 0.5) & (whole % 2 != 0))
+    past_tie = (high_scaled - whole - 0.5) + low_scaled
+    up = (past_tie > 0) | ((past_tie == 0) & (whole % 2 != 0))
     return (whole + F.when(up, 1).otherwise(0)) / scale
 
 

@@ -54,22 +54,19 @@ def reposts_per_post_with_payload(facts: DataFrame, window: str = "15 minutes")
     """As above with author name and text as the first repost showed them.
 
     For streams, where the posts cannot be read again; on tables
-    :func:`quillcast.operators.ranking.top_posts` fetches the payload for the
-    winners only.
+    :func:`quillcast.operators.ranking.top_posts` fetches them for the winners only.
     """
-    return (
-        windowed(reposts(facts), window, "rt_id")
-        .agg(
-            F.count("*").alias("cnt"),
-            F.min_by(
-                F.struct(F.col("rt_screen_name").alias("screen_name"), F.col("rt_text").alias("text")),
-                F.struct("ts", "id"),
-            ).alias("payload"),
-        )
-        .select("win", "rt_id", "payload.screen_name", "payload.text", "cnt")
+    return first_shown(windowed(reposts(facts), window, "rt_id"), F.count("*").alias("cnt")).select(
+        "win", "rt_id", "payload.screen_name", "payload.text", "cnt"
     )
 
 
+def first_shown(grouped: GroupedData, *more: Column) -> DataFrame:
+    """``payload``: name and text of the original in the group's earliest repost."""
+    shown = F.struct(F.col("rt_screen_name").alias("screen_name"), F.col("rt_text").alias("text"))
+    return grouped.agg(F.min_by(shown, F.struct("ts", "id")).alias("payload"), *more)
+
+
 def posts_per_language(
     facts: DataFrame, window: str = "15 minutes", keep_no_lang: bool = False
 ) -> DataFrame:

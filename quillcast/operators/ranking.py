@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillcast.operators.counts import reposts, reposts_per_post
+from quillcast.operators.counts import (
+    first_shown,
+    reposts,
+    reposts_per_post,
+    reposts_per_post_with_payload,
+)
+from quillcast.session import written
+
+# About 40 bytes each: window, post and count.
+BROADCAST_ROWS = 2_000_000
 
 
 def top_x(counts: DataFrame, x: int = 5) -> DataFrame:
@@ -24,30 +33,28 @@ def with_author(ranked: DataFrame) -> DataFrame:
 
 
 def top_posts(
-    facts: DataFrame, window: str = "1 minute", x: int = 5, require_author: bool = True
+    facts: DataFrame,
+    window: str = "1 minute",
+    x: int = 5,
+    require_author: bool = True,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Top-X posts per window with author and text: ``win, rt_id, screen_name, text, cnt``.
 
-    Counting moves only window and id. Name and text, which are wide, are read for
-    the winners alone by joining them back; the winners are broadcast or
-    sort-merged as their size tells Spark.
+    Counting and ranking move window and id only. The winners are written out and
+    counted; up to ``broadcast_rows`` of them are broadcast to fetch their name and
+    text, which are wide, from the posts. More winners than that make the posts
+    carry name and text through a single aggregation instead. Either way each task
+    sends one row per window and post, however often that post occurs.
     """
-    winners = top_x(reposts_per_post(facts, window), x).select("win", "rt_id", "cnt")
-    shown = (
-        reposts(facts)
-        .select(
-            F.window("ts", window).alias("win"),
-            "rt_id",
-            F.struct("ts", "id").alias("order"),
-            F.struct(
-                F.col("rt_screen_name").alias("screen_name"), F.col("rt_text").alias("text")
-            ).alias("payload"),
-        )
-        .join(winners, ["win", "rt_id"])
-    )
-    ranked = (
-        shown.groupBy("win", "rt_id", "cnt")
-        .agg(F.min_by("payload", "order").alias("payload"))
-        .select("win", "rt_id", "payload.screen_name", "payload.text", "cnt")
+    winners = written(
+        top_x(reposts_per_post(facts, window), x).select("win", "rt_id", "cnt"), "winners"
     )
+    if winners.count() <= broadcast_rows:
+        shown = reposts(facts).withColumn("win", F.window("ts", window))
+        ranked = first_shown(
+            shown.join(F.broadcast(winners), ["win", "rt_id"]).groupBy("win", "rt_id", "cnt")
+        ).select("win", "rt_id", "payload.screen_name", "payload.text", "cnt")
+    else:
+        ranked = top_x(reposts_per_post_with_payload(facts, window), x).drop("rank")
     return with_author(ranked) if require_author else ranked

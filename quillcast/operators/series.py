@@ -49,20 +49,29 @@ def predict(
         raise ValueError("step lies between 0 and 1")
     keys = [series_key] if series_key else []
     keep = 1.0 - step
-    block = F.window("window_start", scale_window(window, block_length(step)))
-    x = F.unix_millis("window_start").cast("double")
+    block = F.window("window_start", scale_window(window, block_length(step)))["start"]
 
     in_block = Window.partitionBy(*keys, "block").orderBy("window_start")
     earlier = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    grown = F.sum(F.col("cnt") * F.pow(F.lit(keep), -F.col("i"))).over(earlier)
     rows = (
-        series.withColumn("block", block["start"])
-        .withColumn("x", x)
+        series.withColumns(
+            {
+                # Never NULL: the join below would otherwise filter one side's scan for
+                # it, and the two sides would no longer share their common stages.
+                "block": F.coalesce(F.unix_millis(block), F.lit(0)),
+                "x": F.unix_millis("window_start").cast("double"),
+            }
+        )
         .withColumn("i", F.row_number().over(in_block) - 1)
-        .withColumn("grown", F.col("cnt") * F.pow(F.lit(keep), -F.col("i")))
-        .withColumn("xy", _sum(F.col("x") * F.col("cnt"), earlier))
-        .withColumn("xx", _sum(F.col("x") * F.col("x"), earlier))
-        .withColumn("v", step * F.pow(F.lit(keep), F.col("i") - 1) * _sum(F.col("grown"), earlier))
-        .withColumn("recent", F.collect_list("cnt").over(in_block.rowsBetween(-history, -1)))
+        .withColumns(
+            {
+                "xy": _or_zero(F.sum(F.col("x") * F.col("cnt")).over(earlier)),
+                "xx": _or_zero(F.sum(F.col("x") * F.col("x")).over(earlier)),
+                "v": step * F.pow(F.lit(keep), F.col("i") - 1) * _or_zero(grown),
+                "recent": F.collect_list("cnt").over(in_block.rowsBetween(-history, -1)),
+            }
+        )
     )
 
     blocks = rows.groupBy(*keys, "block").agg(
@@ -86,8 +95,8 @@ def predict(
         *keys,
         "block",
         F.coalesce(F.sum("b.n").over(before), F.lit(0)).alias("n0"),
-        _sum(F.col("b.xy"), before).alias("xy0"),
-        _sum(F.col("b.xx"), before).alias("xx0"),
+        _or_zero(F.sum("b.xy").over(before)).alias("xy0"),
+        _or_zero(F.sum("b.xx").over(before)).alias("xx0"),
         F.aggregate(
             F.collect_list(F.struct("b.n", "b.v")).over(fading),
             F.lit(0.0),
@@ -133,8 +142,8 @@ def only(predictions: DataFrame, prediction_type: str) -> DataFrame:
     return predictions.filter(F.col("prediction_type") == prediction_type).drop("prediction_type")
 
 
-def _sum(value: Column, frame) -> Column:
-    return F.coalesce(F.sum(value).over(frame), F.lit(0.0))
+def _or_zero(value: Column) -> Column:
+    return F.coalesce(value, F.lit(0.0))
 
 
 def _last(items: Column, count: int) -> Column:

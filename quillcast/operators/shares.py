@@ -15,8 +15,11 @@ def percentage_of_window(counts: DataFrame, places: int = 2) -> DataFrame:
     Input rows are counts, one per window and language, so a window's group is as
     small as the list of languages however many posts it stands for.
     """
-    total = F.sum("cnt").over(Window.partitionBy("win"))
-    return counts.withColumn("pct", round_half_even(F.col("cnt") / total * 100, places))
+    return (
+        counts.withColumn("total", F.sum("cnt").over(Window.partitionBy("win")))
+        .withColumn("pct", round_half_even(F.col("cnt") / F.col("total") * 100, places))
+        .drop("total")
+    )
 
 
 def share_of_posts(

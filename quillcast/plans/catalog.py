@@ -364,13 +364,16 @@ def _series_sql(window: str, where: str = "") -> str:
 def _prediction_sql(kind: str) -> str:
     return (
         f"SELECT '{kind}' AS prediction_type, window_start, cnt, round(p, 6) AS prediction, "
-        f"round(cnt - p, 6) AS deviation FROM (SELECT *, ({_PREDICTIONS_SQL[kind]})::DOUBLE AS p FROM s)"
+        "CASE WHEN round(cnt - p, 6) = 0 THEN 0.0 ELSE round(cnt - p, 6) END AS deviation "
+        f"FROM (SELECT *, ({_PREDICTIONS_SQL[kind]})::DOUBLE AS p FROM s)"
     )
 
 
 def _rounded(predictions: DataFrame) -> DataFrame:
+    # Sums in another order differ in the last digits; and -0.0 is to read 0.0.
+    deviation = F.round("deviation", 6)
     return predictions.withColumn("prediction", F.round("prediction", 6)).withColumn(
-        "deviation", F.round("deviation", 6)
+        "deviation", F.when(deviation == 0, 0.0).otherwise(deviation)
     )
 
 
@@ -393,10 +396,17 @@ _prediction_query("predict_tracking", series.TRACKING)
 # Comparisons ------------------------------------------------------------------
 
 
+def _from_split(events: DataFrame) -> DataFrame:
+    return events.filter(F.col("ts") >= F.lit(SPLIT).cast("timestamp_ntz"))
+
+
+def _before_split(events: DataFrame) -> DataFrame:
+    return events.filter(F.col("ts") < F.lit(SPLIT).cast("timestamp_ntz"))
+
+
 def _halves(spark, sf_dir):
-    frame = facts(spark, sf_dir)
-    split = F.lit(SPLIT).cast("timestamp")
-    return frame.filter(F.col("ts") >= split), frame.filter(F.col("ts") < split)
+    events = read_events(spark, sf_dir)
+    return event_facts(_from_split(events)), event_facts(_before_split(events))
 
 
 def _compare_sql(
@@ -736,11 +746,16 @@ def run_stream(spark: SparkSession, name: str, stream: DataFrame, finish=None) -
     return spark.read.parquet(f"{path}/out").drop("batch_id")
 
 
-def _closed(sql: str, size: str, seen: str = "true") -> str:
-    """The rows of windows a stream has closed: their end is 5 s behind the last post it saw."""
+def _closed(sql: str, size: str, *seen: str) -> str:
+    """The rows of windows a stream has closed: their end is 5 s behind the last post it saw.
+
+    Filters run ahead of the watermark, so a stream sees the posts that pass its
+    filter; of two joined streams the slower one counts.
+    """
+    latest = ", ".join(f"max(ts) FILTER (WHERE {condition})" for condition in seen or ("true",))
     return _sql(
         f" SELECT * FROM ({sql}) WHERE window_start + INTERVAL '{size}' <= "
-        f"(SELECT max(ts) - INTERVAL '5 seconds' FROM posts WHERE {seen})"
+        f"(SELECT least({latest}) - INTERVAL '5 seconds' FROM posts)"
     )
 
 
@@ -795,7 +810,10 @@ def stream_share_author_lang(spark, sf_dir):
     return run_stream(spark, "stream-share-author", stream, finish)
 
 
-@query("stream_share_window_join", _closed(ORACLES["retweet_share_author_lang"], HOUR))
+@query(
+    "stream_share_window_join",
+    _closed(ORACLES["retweet_share_author_lang"], HOUR, _HAS_USER, _HAS_AUTHOR),
+)
 def stream_share_window_join(spark, sf_dir):
     stream, finish = metrics.share_by_window_join(_stream(spark, sf_dir), HOUR)
     return run_stream(spark, "stream-share-join", stream, finish)
@@ -827,9 +845,15 @@ def stream_predictions(spark, sf_dir):
 
 
 def _live_and_batch(spark, sf_dir):
-    split = F.lit(SPLIT).cast("timestamp")
-    live = _stream(spark, sf_dir).filter(F.col("ts") >= split)
-    return live, facts(spark, sf_dir).filter(F.col("ts") < split)
+    live = metrics.with_event_time(event_facts(_from_split(stream_events(spark, sf_dir))))
+    return live, event_facts(_before_split(read_events(spark, sf_dir)))
+
+
+def _batch_result(spark, result: DataFrame, kind: str) -> DataFrame:
+    """The earlier batch run's result file, computed once and read per micro-batch."""
+    path = scratch_dir(spark, f"earlier-{kind}")
+    files.write_results(result, kind, path)
+    return dumps.read_results(spark, kind, path)
 
 
 @query(
@@ -838,7 +862,7 @@ def _live_and_batch(spark, sf_dir):
 )
 def stream_compare_total(spark, sf_dir):
     live, batch = _live_and_batch(spark, sf_dir)
-    earlier = labelled(counts.reposts_per_window(batch))
+    earlier = _batch_result(spark, labelled(counts.reposts_per_window(batch)), "total")
     stream, label = metrics.reposts_per_window(live)
     return run_stream(
         spark, "stream-compare-total", stream,
@@ -852,7 +876,7 @@ def stream_compare_total(spark, sf_dir):
 )
 def stream_compare_pct(spark, sf_dir):
     live, batch = _live_and_batch(spark, sf_dir)
-    earlier = _percentages(batch)
+    earlier = _batch_result(spark, _percentages(batch), "percentage")
     stream, finish = metrics.percentage_per_language(live)
     return run_stream(
         spark, "stream-compare-pct", stream,
@@ -866,7 +890,7 @@ def stream_compare_pct(spark, sf_dir):
 )
 def stream_compare_share(spark, sf_dir):
     live, batch = _live_and_batch(spark, sf_dir)
-    earlier = labelled(shares.share_of_posts(batch))
+    earlier = _batch_result(spark, labelled(shares.share_of_posts(batch)), "share")
     stream, label = metrics.share_per_language(live)
     return run_stream(
         spark, "stream-compare-share", stream,

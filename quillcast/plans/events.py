@@ -56,7 +56,8 @@ def _second(ts: Column) -> Column:
 
 def _reposted() -> Column:
     return F.when(
-        F.col("event_type").isin("click", "purchase"), F.from_json("props", "k bigint")["k"]
+        F.col("event_type").isin("click", "purchase"),
+        F.get_json_object("props", "$.k").try_cast("bigint"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "quillcast", cores: str = "8", memory: str = "16g") -> SparkSession:
@@ -38,3 +38,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(frame: DataFrame, label: str) -> DataFrame:
+    """Compute a frame once into the scratch folder and go on from the files.
+
+    Cuts the lineage so that lost executors cost no recomputation of it, and gives
+    the planner the true size.
+    """
+    path = scratch_dir(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

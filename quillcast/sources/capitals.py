@@ -61,11 +61,10 @@ vi,18.35,-64.933333
 
 def profile_capitals(spark: SparkSession) -> DataFrame:
     """The built-in coordinates as ``code, lat, lon``."""
-    rows = [line.split(",") for line in PROFILE_CAPITALS.split()]
-    return spark.createDataFrame(
-        [(code, float(lat), float(lon)) for code, lat, lon in rows],
-        "code string, lat double, lon double",
+    rows = ", ".join(
+        "('{}', {}D, {}D)".format(*line.split(",")) for line in PROFILE_CAPITALS.split()
     )
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS capitals(code, lat, lon)")
 
 
 def read_capitals(spark: SparkSession, path: str) -> DataFrame:

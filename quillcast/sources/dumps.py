@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Column order of the headerless dumps and result files, and the
 # values that stand for "not a repost" and "no user".
@@ -28,13 +29,19 @@ RESULTS = {
 def read_dump(spark: SparkSession, kind: str, path: str) -> DataFrame:
     """A raw dump; short, long and ill-typed lines (a truncated tail) are dropped.
 
-    Column pruning stays off inside the CSV parser: with it a broken line would be
-    dropped or kept depending on which columns the query reads.
+    The parser converts only the columns a query reads, so a broken number in
+    another column would go unnoticed. Asking for every number settles which lines
+    count, whatever is read later; it also drops lines with an empty number.
     """
+    schema = StructType.fromDDL(DUMPS[kind])
+    texts = [f.name for f in schema if f.dataType.typeName() == "string"]
+    numbers = [f.name for f in schema if f.name not in texts]
     return (
-        spark.read.schema(DUMPS[kind])
+        spark.read.schema(schema)
         .options(mode="DROPMALFORMED", quote="", columnPruning="false")
         .csv(path)
+        .dropna(subset=numbers)
+        .withColumns({name: F.coalesce(name, F.lit("")) for name in texts})
     )
 
 
