@@ -13,8 +13,8 @@ from quillcast.operators.counts import (
 )
 from quillcast.session import written
 
-# About 40 bytes each: window, post and count.
-BROADCAST_ROWS = 2_000_000
+# Window, post and count take about 100 bytes each in a broadcast table.
+BROADCAST_ROWS = 1_000_000
 
 
 def top_x(counts: DataFrame, x: int = 5) -> DataFrame:

@@ -737,10 +737,10 @@ def run_stream(spark: SparkSession, name: str, stream: DataFrame, finish=None) -
     path = scratch_dir(spark, name)
     started = runner.start(
         stream,
-        f"{path}/out",
         f"{path}/checkpoint",
+        {f"{path}/out": runner.parquet},
         finish,
-        state_partitions=spark.sparkContext.defaultParallelism,
+        spark.sparkContext.defaultParallelism,
     )
     runner.finish_query(started)
     return spark.read.parquet(f"{path}/out").drop("batch_id")
@@ -836,7 +836,7 @@ def stream_predictions(spark, sf_dir):
         label(counted),
         f"{path}/series",
         f"{path}/checkpoint",
-        state_partitions=spark.sparkContext.defaultParallelism,
+        spark.sparkContext.defaultParallelism,
     )
     runner.finish_query(written)
     predictions = predictors.predict_stream(predictors.stream_series(spark, f"{path}/series"))
@@ -903,9 +903,6 @@ def stream_json_dump(spark, sf_dir):
     """JSON lines in, two raw dumps out of one parse; the language dump is read back."""
     path = scratch_dir(spark, "stream-dump")
     stream = post_source.stream_facts(spark, json_posts_dir(spark, sf_dir))
-    writers = {
-        f"{path}/{kind}": lambda batch, out, kind=kind: files.write_dump(batch, kind, out)
-        for kind in ("lang", "top")
-    }
-    runner.finish_query(runner.start_fan_out(stream, f"{path}/checkpoint", writers))
+    outputs = {f"{path}/{kind}": files.dump_writer(kind) for kind in ("lang", "top")}
+    runner.finish_query(runner.start(stream, f"{path}/checkpoint", outputs))
     return dumps.read_dump(spark, "lang", f"{path}/lang/batch_id=*")

@@ -70,7 +70,9 @@ def event_facts(events: DataFrame) -> DataFrame:
             F.col("event_id").alias("id"),
             _second(F.col("ts")).alias("ts"),
             _language(F.col("user_id")).alias("lang"),
-            _reposted().alias("rt_id"),
+            # inline() is a fence: predicates on rt_id and what derives from it would
+            # otherwise each parse props anew.
+            F.inline(F.array(F.struct(_reposted().alias("rt_id")))),
         )
         .select(
             "id",

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quillcast.functions.scalars import quoted_text
-from quillcast.sources.dumps import NO_LANG, NO_NAME, NO_REPOST, RESULTS
+from quillcast.operators import series
+from quillcast.sources.dumps import NO_LANG, NO_NAME, NO_REPOST, RESULTS, flatten_documents
 
 
 def dump_rows(facts: DataFrame, kind: str) -> DataFrame:
@@ -30,9 +33,17 @@ def dump_rows(facts: DataFrame, kind: str) -> DataFrame:
 
 def write_dump(facts: DataFrame, kind: str, path: str, mode: str = "overwrite") -> None:
     """Write a raw dump: headerless lines, fields as they are, no further quoting."""
-    rows = dump_rows(facts, kind)
-    lines = rows.select(F.concat_ws(",", *[F.col(c).cast("string") for c in rows.columns]))
-    lines.write.mode(mode).text(path)
+    _lines(dump_rows(facts, kind)).write.mode(mode).text(path)
+
+
+def _lines(rows: DataFrame) -> DataFrame:
+    fields = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("null")) for c in rows.columns]
+    return rows.select(F.concat_ws(",", *fields))
+
+
+def write_flattened(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write documents as lines: nested objects spread one level, no header, no quoting."""
+    _lines(flatten_documents(docs)).write.mode(mode).text(path)
 
 
 def result_rows(result: DataFrame, kind: str) -> DataFrame:
@@ -132,3 +143,25 @@ def write_index_dump(docs: DataFrame, path: str, per_file: str) -> None:
         .mode("overwrite")
         .text(path)
     )
+
+
+Write = Callable[[DataFrame, str], None]
+
+
+def dump_writer(kind: str) -> Write:
+    return lambda facts, path: write_dump(facts, kind, path)
+
+
+def result_writer(kind: str) -> Write:
+    return lambda result, path: write_results(result, kind, path)
+
+
+def prediction_writer(prediction_type: str) -> Write:
+    return lambda result, path: write_results(
+        series.only(result, prediction_type), "prediction", path
+    )
+
+
+def document_writer(kind: str) -> Write:
+    """For a folder of its own per micro-batch, so that a repeated batch replaces itself."""
+    return lambda result, path: write_documents(result, kind, path, replace=True)

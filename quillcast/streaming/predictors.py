@@ -11,6 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quillcast.operators.series import AVERAGE, REGRESSION, TRACKING
 
+TYPES = (AVERAGE, REGRESSION, TRACKING)
 SERIES = "window_start timestamp, cnt bigint"
 _OUTPUT = (
     "series_key string, prediction_type string, window_start timestamp, cnt bigint, "
@@ -45,7 +46,7 @@ def predict_stream(
         for start, x, cnt in zip(batch["window_start"], batch["x"], batch["cnt"], strict=True):
             average = sum(recent) / len(recent) if recent else 0.0
             regression = x * xy / xx if n >= 2 and xx > 0 else 0.0
-            for name, value in ((AVERAGE, average), (REGRESSION, regression), (TRACKING, v)):
+            for name, value in zip(TYPES, (average, regression, v), strict=True):
                 out.append((group[0], name, start, cnt, value, cnt - value))
             recent = [*recent, int(cnt)][-history:]
             n, xy, xx, v = n + 1, xy + x * cnt, xx + x * x, v + step * (cnt - v)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,22 +12,21 @@ Finish = Callable[[DataFrame], DataFrame]
 Write = Callable[[DataFrame, str], None]
 
 
-def _parquet(frame: DataFrame, path: str) -> None:
+def parquet(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").parquet(path)
 
 
 def start(
     stream: DataFrame,
-    path: str,
     checkpoint: str,
+    outputs: Mapping[str, Write],
     finish: Finish | None = None,
-    write: Write = _parquet,
     state_partitions: int | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """Write every micro-batch to ``path/batch_id=<n>``.
+    """Hand every micro-batch to the writers, each under ``<path>/batch_id=<n>``.
 
-    A batch that is run again after a failure overwrites its own folder and nothing
+    A batch that is run again after a failure overwrites its own folders and nothing
     else. ``finish`` is the part of a metric that needs whole windows (ranking,
     percentages): append mode hands over all rows of a closed window in the same
     micro-batch, so the batch operator applies as it is. ``state_partitions`` is
@@ -35,13 +34,38 @@ def start(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write(finish(batch) if finish else batch, f"{path}/batch_id={batch_id}")
+        frame = finish(batch) if finish else batch
+        if len(outputs) > 1:
+            frame = frame.persist()
+        try:
+            for path, write in outputs.items():
+                write(frame, f"{path}/batch_id={batch_id}")
+        finally:
+            frame.unpersist()
+
+    return _launch(
+        stream.writeStream.foreachBatch(store), stream, checkpoint, state_partitions, trigger
+    )
+
+
+def start_file_sink(
+    stream: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None, **trigger
+) -> StreamingQuery:
+    """Write through Spark's own file sink, whose log lets another stream read the folder."""
+    writer = stream.writeStream.format("parquet").option("path", path)
+    return _launch(writer, stream, checkpoint, state_partitions, trigger)
+
 
+def start_console(stream: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
+    """Show every micro-batch on the console."""
+    return _launch(stream.writeStream.format("console"), stream, checkpoint, None, trigger)
+
+
+def _launch(writer, stream, checkpoint, state_partitions, trigger) -> StreamingQuery:
     writer = (
-        stream.writeStream.outputMode("append")
+        writer.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .foreachBatch(store)
     )
     with _shuffle_partitions(stream.sparkSession, state_partitions):
         return writer.start()
@@ -60,53 +84,6 @@ def _shuffle_partitions(spark: SparkSession, count: int | None):
         spark.conf.set(name, before)
 
 
-def start_fan_out(
-    stream: DataFrame, checkpoint: str, writers: dict[str, Write], **trigger
-) -> StreamingQuery:
-    """Hand each micro-batch to several writers, parsed once: ``{path: write}``."""
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for path, write in writers.items():
-                write(batch, f"{path}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
-
-    return (
-        stream.writeStream.option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .foreachBatch(store)
-        .start()
-    )
-
-
-def start_file_sink(
-    stream: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None, **trigger
-) -> StreamingQuery:
-    """Write through Spark's own file sink, whose log lets another stream read the folder."""
-    writer = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-    )
-    with _shuffle_partitions(stream.sparkSession, state_partitions):
-        return writer.start()
-
-
-def start_console(stream: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
-    """Show every micro-batch on the console."""
-    return (
-        stream.writeStream.format("console")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
-
-
 def finish_query(query: StreamingQuery, timeout: float = 1800) -> None:
     """Wait for an ``availableNow`` query; raise if it fails or does not end in time."""
     if not query.awaitTermination(timeout):

@@ -58,7 +58,7 @@ class Inbox:
         facts = metrics.with_event_time(posts.stream_facts(self.spark, self.path, 1))
         stream, finish = self.metric(facts)
         query = runner.start(
-            stream, f"{self.work}/out", f"{self.work}/checkpoint", finish, state_partitions=4
+            stream, f"{self.work}/checkpoint", {f"{self.work}/out": runner.parquet}, finish, 4
         )
         runner.finish_query(query, 300)
         return self.result()
@@ -179,12 +179,9 @@ def test_fan_out_of_dumps_and_replay(spark):
     inbox = Inbox(spark)
     for part in range(3):
         inbox.receive(day_of_lines()[part::3] + ['{"delete": null}'])
-    writers = {
-        f"{inbox.work}/{kind}": lambda batch, out, kind=kind: files.write_dump(batch, kind, out)
-        for kind in ("total", "lang", "top")
-    }
+    outputs = {f"{inbox.work}/{kind}": files.dump_writer(kind) for kind in ("total", "lang", "top")}
     stream = posts.stream_facts(spark, inbox.path, 1)
-    runner.finish_query(runner.start_fan_out(stream, f"{inbox.work}/checkpoint", writers), 300)
+    runner.finish_query(runner.start(stream, f"{inbox.work}/checkpoint", outputs), 300)
     replay = {
         kind: dumps.dump_facts(dumps.read_dump(spark, kind, f"{inbox.work}/{kind}/batch_id=*"), kind)
         for kind in ("total", "lang", "top")
@@ -207,8 +204,9 @@ def test_predictions_keep_state_across_batches(spark):
         frame = pd.DataFrame(list(reversed(part)), columns=["window_start", "cnt"])
         spark.createDataFrame(frame, predictors.SERIES).coalesce(1).write.mode("append").parquet(path)
         stream = predictors.predict_stream(predictors.stream_series(spark, path))
+        outputs = {f"{work}/out": runner.parquet}
         runner.finish_query(
-            runner.start(stream, f"{work}/out", f"{work}/checkpoint", state_partitions=2), 300
+            runner.start(stream, f"{work}/checkpoint", outputs, state_partitions=2), 300
         )
 
     run(all_rows[:4], "a")
