@@ -477,23 +477,17 @@ def compare_share_by_time_of_day(spark, sf_dir):
 @query(
     "lang_code_normalise",
     _sql(
-        f" SELECT id, {_code_sql('lang')} AS code, "
-        f"{_code_sql('upper(lang)')} AS code_upper, "
-        "lower(event_type) AS code_other FROM posts"
+        f" SELECT id, {_code_sql('lang')} AS code, {_code_sql('upper(lang)')} AS code_upper, "
+        f"{_code_sql('rt_lang')} AS code_author FROM posts"
     ),
 )
 def lang_code_normalise(spark, sf_dir):
-    events = read_events(spark, sf_dir).select(F.col("event_id").alias("id"), "event_type")
     lang = F.col("lang")
-    return (
-        facts(spark, sf_dir)
-        .join(events, "id")
-        .select(
-            "id",
-            country_code(F.concat(F.lit(" "), lang, F.lit(" "))).alias("code"),
-            country_code(F.upper(lang)).alias("code_upper"),
-            country_code(F.concat("event_type", F.lit("-"))).alias("code_other"),
-        )
+    return facts(spark, sf_dir).select(
+        "id",
+        country_code(F.concat(F.lit(" "), lang, F.lit(" "))).alias("code"),
+        country_code(F.upper(lang)).alias("code_upper"),
+        country_code(F.concat("rt_lang", F.lit("-"))).alias("code_author"),
     )
 
 

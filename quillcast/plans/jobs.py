@@ -22,6 +22,9 @@ from quillcast.sources import dumps, posts
 from quillcast.sources.capitals import profile_capitals
 from quillcast.streaming import metrics, predictors, runner
 
+# Files per micro-batch of results; dumps keep the parallelism of their input.
+RESULT_FILES = 8
+
 # Batch ------------------------------------------------------------------------
 
 
@@ -102,7 +105,13 @@ def _start_metric(
         f"{out}/documents{name}": files.document_writer(kind),
     }
     return runner.start(
-        stream, f"{out}/checkpoints/results{name}", outputs, finish, state_partitions, **trigger
+        stream,
+        f"{out}/checkpoints/results{name}",
+        outputs,
+        finish,
+        state_partitions,
+        RESULT_FILES,
+        **trigger,
     )
 
 
@@ -218,6 +227,7 @@ def stream_predictions(
         f"{out}/checkpoints/predictions",
         outputs,
         state_partitions=state_partitions,
+        files_per_batch=RESULT_FILES,
         **trigger,
     )
 
@@ -237,6 +247,7 @@ def _start_comparison(
         {f"{out}/comparison": runner.parquet},
         lambda closed: compared(finish(closed), earlier),
         state_partitions,
+        RESULT_FILES,
         **trigger,
     )
 

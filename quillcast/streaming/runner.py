@@ -22,6 +22,7 @@ def start(
     outputs: Mapping[str, Write],
     finish: Finish | None = None,
     state_partitions: int | None = None,
+    files_per_batch: int | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Hand every micro-batch to the writers, each under ``<path>/batch_id=<n>``.
@@ -31,10 +32,14 @@ def start(
     percentages): append mode hands over all rows of a closed window in the same
     micro-batch, so the batch operator applies as it is. ``state_partitions`` is
     fixed for the life of the checkpoint; choose it for the cluster, not the input.
+    Results are far fewer than posts: ``files_per_batch`` gathers them into that many
+    files instead of one per state partition.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         frame = finish(batch) if finish else batch
+        if files_per_batch is not None:
+            frame = frame.repartition(files_per_batch)
         if len(outputs) > 1:
             frame = frame.persist()
         try:
