@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
+# Fixed value: language of posts without user, where those are kept.
 NO_LANG = "no-lang"
 
 

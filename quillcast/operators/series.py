@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quillcast.functions.time import scale_window
 
+# Names of the predictors in results.
 AVERAGE = "AVG"
 REGRESSION = "SIMPLEREGRESSION"
 TRACKING = "REINFORCEMENT"
@@ -49,11 +50,15 @@ def predict(
         raise ValueError("step lies between 0 and 1")
     keys = [series_key] if series_key else []
     keep = 1.0 - step
-    block = F.window("window_start", scale_window(window, block_length(step)))["start"]
+    length = block_length(step)
+    block = F.window("window_start", scale_window(window, length))["start"]
 
     in_block = Window.partitionBy(*keys, "block").orderBy("window_start")
     earlier = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    grown = F.sum(F.col("cnt") * F.pow(F.lit(keep), -F.col("i"))).over(earlier)
+    weight = F.when(F.col("i") < length, F.pow(F.lit(keep), -F.col("i"))).otherwise(
+        F.raise_error(F.lit(f"the series has more than one row per {window} and key"))
+    )
+    grown = F.sum(F.col("cnt") * weight).over(earlier)
     rows = (
         series.withColumns(
             {

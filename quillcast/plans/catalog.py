@@ -363,17 +363,17 @@ def _series_sql(window: str, where: str = "") -> str:
 
 def _prediction_sql(kind: str) -> str:
     return (
-        f"SELECT '{kind}' AS prediction_type, window_start, cnt, round(p, 6) AS prediction, "
-        "CASE WHEN round(cnt - p, 6) = 0 THEN 0.0 ELSE round(cnt - p, 6) END AS deviation "
-        f"FROM (SELECT *, ({_PREDICTIONS_SQL[kind]})::DOUBLE AS p FROM s)"
+        f"SELECT '{kind}' AS prediction_type, window_start, cnt, p AS prediction, "
+        f"cnt - p AS deviation FROM (SELECT *, ({_PREDICTIONS_SQL[kind]})::FLOAT::DOUBLE AS p FROM s)"
     )
 
 
 def _rounded(predictions: DataFrame) -> DataFrame:
-    # Sums in another order differ in the last digits; and -0.0 is to read 0.0.
-    deviation = F.round("deviation", 6)
-    return predictions.withColumn("prediction", F.round("prediction", 6)).withColumn(
-        "deviation", F.when(deviation == 0, 0.0).otherwise(deviation)
+    # Sums in another order differ in the last digits. Single precision drops those, and
+    # unlike decimal places it has no ties that such decimal numbers could sit on.
+    prediction = F.col("prediction").cast("float").cast("double")
+    return predictions.withColumn("prediction", prediction).withColumn(
+        "deviation", F.col("cnt") - F.col("prediction")
     )
 
 

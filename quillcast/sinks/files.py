@@ -10,7 +10,8 @@ from pyspark.sql.types import StructType
 
 from quillcast.functions.scalars import quoted_text
 from quillcast.operators import series
-from quillcast.sources.dumps import NO_LANG, NO_NAME, NO_REPOST, RESULTS, flatten_documents
+from quillcast.operators.counts import NO_LANG
+from quillcast.sources.dumps import NO_NAME, NO_REPOST, RESULTS, flatten_documents
 
 
 def dump_rows(facts: DataFrame, kind: str) -> DataFrame:

@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quillcast.operators.counts import NO_LANG
+
 # Column order of the headerless dumps and result files, and the
-# values that stand for "not a repost" and "no user".
+# values that stand for "not a repost" and, next to NO_LANG, for "no user".
 DUMPS = {
     "total": "id bigint, created_ms bigint, rt_id bigint",
     "lang": "id bigint, lang string, created_ms bigint, rt_id bigint",
     "top": "id bigint, created_ms bigint, rt_id bigint, rt_created_ms bigint, rt_screen_name string",
 }
 NO_REPOST = {"total": -1, "lang": -1, "top": 0}
-NO_LANG = "no-lang"
 NO_NAME = "-"
 RESULTS = {
     "total": "window_start bigint, cnt bigint",

@@ -256,3 +256,10 @@ def test_one_predictor_without_its_type(spark):
 def test_step_is_checked(spark):
     with pytest.raises(ValueError):
         series.predict(series_of(spark, [1]), step=1.0)
+
+
+def test_a_wrong_window_length_is_noticed(spark):
+    rows = [(NOON + timedelta(seconds=i), 1) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "window_start timestamp, cnt bigint")
+    with pytest.raises(Exception, match="more than one row per 1 hour"):
+        series.predict(frame, "1 hour").collect()
