@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,22 +40,43 @@ def predict_stream(
         group: tuple[str], chunks: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         n, recent, xy, xx, v = state.get if state.exists else (0, [], 0.0, 0.0, 0.0)
-        recent = list(recent)
-        # Append mode releases windows in order batch by batch, not within a batch.
+        # The windows closed since the last batch: released in order batch by batch, but
+        # in any order within a batch.
         batch = pd.concat(list(chunks)).sort_values("window_start")
-        out = []
-        for start, x, cnt in zip(batch["window_start"], batch["x"], batch["cnt"], strict=True):
-            average = sum(recent) / len(recent) if recent else 0.0
-            regression = x * xy / xx if n >= 2 and xx > 0 else 0.0
-            for name, value in zip(TYPES, (average, regression, v), strict=True):
-                out.append((group[0], name, start, cnt, value, cnt - value))
-            recent = [*recent, int(cnt)][-history:]
-            n, xy, xx, v = n + 1, xy + x * cnt, xx + x * x, v + step * (cnt - v)
-        state.update((int(n), recent, float(xy), float(xx), float(v)))
-        yield pd.DataFrame(
-            out,
-            columns=["series_key", "prediction_type", "window_start", "cnt", "prediction", "deviation"],
+        x, cnt = batch["x"].to_numpy(), batch["cnt"].to_numpy()
+
+        known = np.concatenate([np.array(recent, dtype=np.int64), cnt])
+        sums = _before(known, 0)
+        at = len(recent) + np.arange(len(cnt))
+        since = np.maximum(at - history, 0)
+        average = (sums[at] - sums[since]) / np.maximum(at - since, 1)
+
+        xys, xxs = _before(x * cnt, xy), _before(x * x, xx)
+        seen = (n + np.arange(len(cnt)) >= 2) & (xxs[:-1] > 0)
+        regression = np.where(seen, x * xys[:-1] / np.where(seen, xxs[:-1], 1.0), 0.0)
+
+        tracked = pd.Series([v, *cnt]).ewm(alpha=step, adjust=False).mean().to_numpy()
+
+        state.update(
+            (
+                int(n + len(cnt)),
+                [int(c) for c in known[-history:]],
+                float(xys[-1]),
+                float(xxs[-1]),
+                float(tracked[-1]),
+            )
         )
+        for name, prediction in zip(TYPES, (average, regression, tracked[:-1]), strict=True):
+            yield pd.DataFrame(
+                {
+                    "series_key": group[0],
+                    "prediction_type": name,
+                    "window_start": batch["window_start"].to_numpy(),
+                    "cnt": cnt,
+                    "prediction": prediction,
+                    "deviation": cnt - prediction,
+                }
+            )
 
     keyed = series.select(
         key.alias("series_key"),
@@ -65,3 +87,8 @@ def predict_stream(
     return keyed.groupBy("series_key").applyInPandasWithState(
         advance, _OUTPUT, _STATE, "append", GroupStateTimeout.NoTimeout
     )
+
+
+def _before(values: np.ndarray, carried: float) -> np.ndarray:
+    """Running sums ahead of each value, and the one behind the last, from ``carried`` on."""
+    return carried + np.concatenate([[0], np.cumsum(values)])
