@@ -9,7 +9,11 @@ from quillcast.functions.time import minute_of_day
 
 
 def compare(
-    live: DataFrame, batch: DataFrame, values: dict[str, object], keys: tuple[str, ...] = (), minutes: int = 15
+    live: DataFrame,
+    batch: DataFrame,
+    values: dict[str, object],
+    keys: tuple[str, ...] = (),
+    minutes: int = 15,
 ) -> DataFrame:
     """Add ``batch_<column>`` for each column in ``values``; its value fills unmatched rows.
 

@@ -145,7 +145,7 @@ counted AS (
   FROM posts WHERE {where} GROUP BY 1, 2),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY cnt DESC, rt_id) AS rn FROM counted)
-SELECT window_start, rt_id, screen_name, text, cnt FROM ranked WHERE rn <= 5 {having}"""
+SELECT window_start, rt_id, screen_name, {text}cnt FROM ranked WHERE rn <= 5 {having}"""
 
 
 @query(
@@ -154,6 +154,7 @@ SELECT window_start, rt_id, screen_name, text, cnt FROM ranked WHERE rn <= 5 {ha
         _TOP_SQL.format(
             win=_win(DAY),
             name="rt_screen_name",
+            text="text, ",
             where="rt_id IS NOT NULL",
             having="AND screen_name IS NOT NULL",
         )
@@ -169,9 +170,10 @@ def top_x_retweets(spark, sf_dir):
         _TOP_SQL.format(
             win=_win("1 minute"),
             name="'''' || coalesce(rt_screen_name, '-') || ''''",
+            text="",
             where="rt_id <> 0",
             having="",
-        ).replace("screen_name, text, cnt FROM ranked", "screen_name, cnt FROM ranked")
+        )
     ),
 )
 def top_x_replay(spark, sf_dir):
@@ -348,12 +350,14 @@ s AS (SELECT *, row_number() OVER (ORDER BY window_start) AS rn,
              epoch_ms(window_start)::DOUBLE AS x FROM (
   SELECT {_win('{window}')}, count(*) AS cnt FROM posts WHERE rt_id IS NOT NULL GROUP BY 1) {{where}})"""
 _PREDICTIONS_SQL = {
-    "AVG": """coalesce(avg(cnt) OVER (ORDER BY window_start ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), 0.0)""",
+    "AVG": """coalesce(avg(cnt) OVER (ORDER BY window_start
+  ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), 0.0)""",
     "SIMPLEREGRESSION": """CASE WHEN rn > 2 THEN
   x * sum(x * cnt) OVER (ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
   / sum(x * x) OVER (ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) ELSE 0.0 END""",
-    "REINFORCEMENT": """list_reduce(list_prepend(0.0::DOUBLE, coalesce(list(cnt::DOUBLE) OVER (ORDER BY window_start
-  ROWS BETWEEN 600 PRECEDING AND 1 PRECEDING), [])), lambda v, c: v + 0.1 * (c - v))""",
+    "REINFORCEMENT": """list_reduce(list_prepend(0.0::DOUBLE,
+  coalesce(list(cnt::DOUBLE) OVER (ORDER BY window_start ROWS BETWEEN 600 PRECEDING AND 1 PRECEDING), [])),
+  lambda v, c: v + 0.1 * (c - v))""",
 }
 
 

@@ -118,3 +118,33 @@ def test_flatten(spark):
         json.dump([{"_source": {"b": "x,y", "loc": {"lat": 1.5, "lon": None}, "a": 3}}], dump)
     jobs.flatten_index_dump(spark, path, out, "b string, loc struct<lat double, lon double>, a bigint")
     assert [r.value for r in spark.read.text(out).collect()] == ["x,y,1.5,null,3"]
+
+
+def test_jobs_from_the_command_line(spark, inbox):
+    import run as command
+
+    out = folder()
+    command.main(["stream_totals", f"inbox={inbox}", f"out={out}", "window=1 hour", "state_partitions=2", "max_files=1"])
+    command.main(["batch_totals", f"dump={out}/dump/batch_id=*", f"results={out}/batch", "window=1 hour"])
+    batch = dumps.read_results(spark, "total", f"{out}/batch")
+    assert rows(streamed(spark, "total", out)) == rows(batch, last_window(batch))
+    with open(f"{out}/capitals.csv", "w") as capitals:
+        capitals.write("Germany,Berlin,52.5,13.4,DE,Europe\n")
+    command.main(["stream_countries", f"inbox={inbox}", f"out={out}/c", "state_partitions=2", f"capitals={out}/capitals.csv"])
+    located = {(r.lang, r.lat) for r in streamed(spark, "geo", f"{out}/c", "-geo").collect()}
+    assert ("de", 52.5) in located and ("ja", 0.0) in located
+    assert len(command.JOBS) == 14
+    with pytest.raises(SystemExit):
+        command.main(["no_such_job"])
+
+
+def test_a_failing_stream_fails_the_command(spark):
+    import run as command
+
+    broken = folder()
+    with open(f"{broken}/a.json", "w") as out:
+        out.write("\n".join(day_of_lines()))
+    with pytest.raises(Exception):
+        command.main(
+            ["compare_totals", f"inbox={broken}", f"batch_results={broken}/nothing", f"out={broken}/out"]
+        )
