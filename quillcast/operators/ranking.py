@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from quillcast.operators.counts import (
     first_shown,
     reposts,
-    reposts_per_post,
     reposts_per_post_with_payload,
+    windowed,
 )
 from quillcast.session import written
 
@@ -41,20 +41,23 @@ def top_posts(
 ) -> DataFrame:
     """Top-X posts per window with author and text: ``win, rt_id, screen_name, text, cnt``.
 
-    Counting and ranking move window and id only. The winners are written out and
-    counted; up to ``broadcast_rows`` of them are broadcast to fetch their name and
-    text, which are wide, from the posts. More winners than that make the posts
-    carry name and text through a single aggregation instead. Either way each task
-    sends one row per window and post, however often that post occurs.
+    Counting and ranking move window, id and the time of the first repost only. The
+    winners are written out and counted; up to ``broadcast_rows`` of them are broadcast
+    to fetch their name and text, which are wide, from that first repost alone. More
+    winners than that make the posts carry name and text through a single aggregation
+    instead. Either way each task sends one row per window and post, however often
+    that post occurs.
     """
-    winners = written(
-        top_x(reposts_per_post(facts, window), x).select("win", "rt_id", "cnt"), "winners"
+    counted = windowed(reposts(facts), window, "rt_id").agg(
+        F.count("*").alias("cnt"), F.min("ts").alias("ts")
     )
+    winners = written(top_x(counted, x).drop("rank"), "winners")
     if winners.count() <= broadcast_rows:
-        shown = reposts(facts).withColumn("win", F.window("ts", window))
-        ranked = first_shown(
-            shown.join(F.broadcast(winners), ["win", "rt_id"]).groupBy("win", "rt_id", "cnt")
-        ).select("win", "rt_id", "payload.screen_name", "payload.text", "cnt")
+        # The time of the first repost implies the window.
+        first = reposts(facts).join(F.broadcast(winners), ["rt_id", "ts"])
+        ranked = first_shown(first.groupBy("win", "rt_id", "cnt")).select(
+            "win", "rt_id", "payload.screen_name", "payload.text", "cnt"
+        )
     else:
         ranked = top_x(reposts_per_post_with_payload(facts, window), x).drop("rank")
     return with_author(ranked) if require_author else ranked
