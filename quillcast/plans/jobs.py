@@ -97,16 +97,16 @@ def _start_dump(facts: DataFrame, kind: str, out: str, trigger: dict) -> Streami
 
 
 def _start_metric(
-    metric, kind: str, out: str, state_partitions: int | None, trigger: dict, name: str = ""
+    metric, kind: str, out: str, state_partitions: int | None, trigger: dict
 ) -> StreamingQuery:
     stream, finish = metric
     outputs = {
-        f"{out}/results{name}": files.result_writer(kind),
-        f"{out}/documents{name}": files.document_writer(kind),
+        f"{out}/results": files.result_writer(kind),
+        f"{out}/documents": files.document_writer(kind),
     }
     return runner.start(
         stream,
-        f"{out}/checkpoints/results{name}",
+        f"{out}/checkpoints/results",
         outputs,
         finish,
         state_partitions,
@@ -161,15 +161,27 @@ def stream_countries(
     state_partitions: int | None = None,
     **trigger,
 ) -> list[StreamingQuery]:
-    """Both country metrics; results and documents end in ``-geo`` and ``-percentage``."""
+    """Both country metrics from one count; their folders end in ``-geo`` and ``-percentage``."""
     facts = _facts(spark, inbox, max_files)
     dimension = profile_capitals(spark) if capitals is None else capitals
-    located = metrics.reposts_per_country(facts, dimension, window, lang_of)
-    percentages = metrics.percentage_per_language(facts, window, lang_of)
+    counted, locate = metrics.reposts_per_country(facts, dimension, window, lang_of)
+    _, relate = metrics.percentage_per_language(facts, window, lang_of)
+    outputs = {}
+    for kind, finish in (("geo", locate), ("percentage", relate)):
+        for target, writer in (
+            ("results", files.result_writer(kind)),
+            ("documents", files.document_writer(kind)),
+        ):
+            outputs[f"{out}/{target}-{kind}"] = runner.after(finish, writer, RESULT_FILES)
     return [
         _start_dump(facts, "lang", out, trigger),
-        _start_metric(located, "geo", out, state_partitions, trigger, "-geo"),
-        _start_metric(percentages, "percentage", out, state_partitions, trigger, "-percentage"),
+        runner.start(
+            counted,
+            f"{out}/checkpoints/results",
+            outputs,
+            state_partitions=state_partitions,
+            **trigger,
+        ),
     ]
 
 

@@ -16,6 +16,11 @@ def parquet(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").parquet(path)
 
 
+def after(finish: Finish, write: Write, files: int) -> Write:
+    """A writer for one of several results that come from the same micro-batch."""
+    return lambda batch, path: write(finish(batch).repartition(files), path)
+
+
 def start(
     stream: DataFrame,
     checkpoint: str,
