@@ -164,10 +164,11 @@ def stream_countries(
     """Both country metrics from one count; their folders end in ``-geo`` and ``-percentage``."""
     facts = _facts(spark, inbox, max_files)
     dimension = profile_capitals(spark) if capitals is None else capitals
-    counted, locate = metrics.reposts_per_country(facts, dimension, window, lang_of)
-    _, relate = metrics.percentage_per_language(facts, window, lang_of)
     outputs = {}
-    for kind, finish in (("geo", locate), ("percentage", relate)):
+    for kind, finish in (
+        ("geo", metrics.located(dimension)),
+        ("percentage", metrics.percentages()),
+    ):
         for target, writer in (
             ("results", files.result_writer(kind)),
             ("documents", files.document_writer(kind)),
@@ -176,7 +177,7 @@ def stream_countries(
     return [
         _start_dump(facts, "lang", out, trigger),
         runner.start(
-            counted,
+            counts.reposts_per_language(facts, window, lang_of),
             f"{out}/checkpoints/results",
             outputs,
             state_partitions=state_partitions,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quillcast.operators import counts, geo, ranking, shares
 from quillcast.operators.counts import labelled
+from quillcast.streaming.runner import Finish
 
 DELAY = "5 seconds"
 
@@ -41,6 +42,14 @@ def top_posts(facts: DataFrame, window: str = "1 minute", x: int = 5):
     return counts.reposts_per_post_with_payload(facts, window), finish
 
 
+def located(capitals: DataFrame) -> Finish:
+    return lambda closed: labelled(geo.with_capital(closed, capitals))
+
+
+def percentages(places: int = 2) -> Finish:
+    return lambda closed: labelled(shares.percentage_of_window(closed, places))
+
+
 def reposts_per_country(
     facts: DataFrame,
     capitals: DataFrame,
@@ -48,19 +57,13 @@ def reposts_per_country(
     lang_of: str = "author",
     keep_no_lang: bool = False,
 ):
-    def finish(closed: DataFrame) -> DataFrame:
-        return labelled(geo.with_capital(closed, capitals))
-
-    return counts.reposts_per_language(facts, window, lang_of, keep_no_lang), finish
+    return counts.reposts_per_language(facts, window, lang_of, keep_no_lang), located(capitals)
 
 
 def percentage_per_language(
     facts: DataFrame, window: str = "15 minutes", lang_of: str = "author", places: int = 2
 ):
-    def finish(closed: DataFrame) -> DataFrame:
-        return labelled(shares.percentage_of_window(closed, places))
-
-    return counts.reposts_per_language(facts, window, lang_of), finish
+    return counts.reposts_per_language(facts, window, lang_of), percentages(places)
 
 
 def share_per_language(facts: DataFrame, window: str = "15 minutes", lang_of: str = "retweeter"):
