@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillcast.llm import simhash
+from quillcast.llm import decontamination, quality_rules, simhash
 from quillcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +23,49 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents by 64-bit fingerprints at 4 or fewer bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of ten words found in whole documents."""
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+ORACLES["op9_benchmark_decontamination"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), b AS (
+    SELECT item_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE item_id IS NOT NULL
+), win AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS l, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), occ AS (
+    SELECT rid, i, l, array_to_string(w[i:i + l - 1], ' ') AS s
+    FROM (SELECT rid, w, l, unnest(range(1, len(w) - l + 2)) AS i
+          FROM d, (SELECT DISTINCT l FROM win) WHERE len(w) >= l)
+), hit AS (SELECT rid, i, l, item_id FROM occ JOIN win USING (l, s)),
+pos AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + l)) AS p FROM hit) GROUP BY rid),
+its AS (
+    SELECT rid, count(*) AS n_items, sha256(string_agg(it, ',' ORDER BY it)) AS h
+    FROM (SELECT DISTINCT rid, item_id::VARCHAR AS it FROM hit) GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid)
+"""
+
+
+@query
+def op4_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes of quality rules on all documents and the posterior verdict."""
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"))
+    return judged.select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"
+    )
