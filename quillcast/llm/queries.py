@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillcast.llm import decontamination, quality_rules, simhash
+from quillcast.llm import decontamination, packing, quality_rules, simhash
 from quillcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,12 @@ def op4_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"
     )
+
+
+@query
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2,048 tokens."""
+    import public_tokenizers
+
+    found = packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return found.withColumnRenamed("id", "doc_id")
