@@ -35,7 +35,8 @@ def windows_of(items: DataFrame, item_col: str, text_col: str, size: int) -> Dat
 
 
 def _shingle(words: Column, at: Column, size: Column) -> Column:
-    return F.concat_ws(" ", F.slice(words, at, size))
+    """A shingle's hash. Words are compared in the end, so collisions cost time only."""
+    return F.xxhash64(F.slice(words, at, size))
 
 
 def _occurrences(docs: DataFrame, sizes: list[int]) -> DataFrame:
@@ -54,7 +55,8 @@ def occurrences(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, i
     """Where windows occur: (doc, digest, start, length, window), and which items have a window.
 
     Both are written to the shared folder. The small sides of the joins are read back from
-    there, so Spark knows their true size and broadcasts or shuffles accordingly.
+    there, so Spark knows their true size: it broadcasts small ones and otherwise shuffles,
+    filtering the documents' side by a Bloom filter at run time where that pays.
     """
     pairs = written(
         windows_of(items, item_col, item_text_col, window).select(
@@ -90,13 +92,19 @@ def occurrences(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, i
     prefixes = written(
         ranked.where("rarest.n > 0").select("window", "window_words", "rarest.shingle", "rarest.offset"), "prefixes"
     )
+    # The documents meet hashes only, which stay small; the words around a match go on.
+    first = F.greatest(F.lit(1), F.col("at") - (window - 1))
+    candidates = (
+        _occurrences(texts, sizes)
+        .join(written(prefixes.select("shingle").distinct(), "prefix-shingles"), "shingle", "left_semi")
+        .select("doc", "digest", "shingle", "at", first.alias("first"), F.slice("words", first, F.col("at") + window - first).alias("around"))
+    )
     start = F.col("at") - F.col("offset")
     length = F.size("window_words")
     hits = (
-        _occurrences(texts, sizes)
-        .join(prefixes, "shingle")
-        .where((start >= 1) & (start + length - 1 <= F.size("words")))
-        .where(F.slice("words", F.greatest(F.lit(1), start), length) == F.col("window_words"))
+        candidates.join(prefixes, "shingle")
+        .where((start >= F.col("first")) & (start + length <= F.col("first") + F.size("around")))
+        .where(F.slice("around", F.greatest(F.lit(1), start - F.col("first") + 1), length) == F.col("window_words"))
         .select("doc", "digest", start.alias("start"), length.alias("length"), "window")
     )
     return written(hits, "hits"), pairs
