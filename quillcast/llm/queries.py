@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillcast.llm import decontamination, packing, quality_rules, simhash
+from quillcast.llm import decontamination, line_dedup, packing, quality_rules, simhash
 from quillcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op8_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every line of all documents; one line of each class is kept."""
+    found = line_dedup.classes(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("doc", "doc_id")
