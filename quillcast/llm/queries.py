@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillcast.llm import decontamination, line_dedup, packing, quality_rules, simhash
+from quillcast.llm import decontamination, line_dedup, packing, quality_classifier, quality_rules, secrets, simhash
 from quillcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,27 @@ def op8_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every line of all documents; one line of each class is kept."""
     found = line_dedup.classes(table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("doc", "doc_id")
+
+
+@query
+def op6_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learnt from preference pairs."""
+    found = quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents with their places."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def said(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "guess")
+    return found.select(
+        F.col("id").alias("doc_id"), *(count(kind) for kind in secrets.KINDS), F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans")
+    )
