@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillcast.llm import decontamination, line_dedup, packing, quality_classifier, quality_rules, secrets, simhash
+from quillcast.llm import decontamination, line_dedup, packing, quality_classifier, quality_rules, secrets, simhash, warc
 from quillcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,9 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), *(count(kind) for kind in secrets.KINDS), F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans")
     )
+
+
+@query
+def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back through the capture index."""
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))

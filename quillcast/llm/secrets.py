@@ -52,6 +52,8 @@ NEXT = {(a, b) for row in ROWS for line in (row, row[::-1]) for a, b in zip(line
 def _brute(character: str) -> float:
     if character.isdigit():
         return DIGIT_COST
+    if character in "_-.":
+        return LOWER_COST
     return LOWER_COST if character.islower() else OTHER_COST
 
 
