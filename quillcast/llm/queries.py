@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillcast.llm import decontamination, line_dedup, packing, quality_classifier, quality_rules, secrets, simhash, warc
+from quillcast.llm import decontamination, line_dedup, packing, quality_classifier, quality_rules, secrets, simhash, tool_calls, warc
 from quillcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records and read back through the capture index."""
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversation turns as calls and results, linked, ordered, checked and written as JSON."""
+    calls, results = tool_calls.conversation_calls(table(spark, sf_dir, "conversations"))
+    return tool_calls.link(calls, results, tool_calls.CHAT_SCHEMAS)
