@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,3 +25,8 @@ def narrowed(frame: DataFrame, **columns: str) -> DataFrame:
 def split_words(text: Column, separators: str) -> Column:
     """Words between runs of separators, without empty ones; null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), separators), "")
+
+
+def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    """Arrow's file system for a folder (local, HDFS, S3, GCS) and the folder's path in it."""
+    return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillcast.llm import decontamination, line_dedup, packing, quality_classifier, quality_rules, secrets, simhash, tool_calls, warc
+from quillcast.llm import (
+    decontamination,
+    line_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    simhash,
+    token_files,
+    tool_calls,
+    warc,
+)
 from quillcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +133,11 @@ def op3_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversation turns as calls and results, linked, ordered, checked and written as JSON."""
     calls, results = tool_calls.conversation_calls(table(spark, sf_dir, "conversations"))
     return tool_calls.link(calls, results, tool_calls.CHAT_SCHEMAS)
+
+
+@query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents tokenised, written as range-coded files and read back."""
+    import public_tokenizers
+
+    return token_files.round_trip(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

@@ -27,7 +27,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import narrowed
+from quillcast.llm.common import file_system, narrowed
 from quillcast.session import scratch_dir, written
 
 #: Captures per block.
@@ -97,10 +97,6 @@ def _page(urn: str) -> int | None:
     return int(value) if value else None
 
 
-def _file_system(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-
-
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [()] * len(schema)
     return pa.RecordBatch.from_arrays([pa.array(values, field.type) for values, field in zip(columns, schema, strict=True)], schema=schema)
@@ -127,7 +123,7 @@ def write_archives(pages: DataFrame, base: str, id_col: str = "page_id", url_col
     joined = rows.join(written(repeated, "repeated"), "digest", "left").select("page", "url", "html", F.coalesce("latest", "page").alias("latest"))
 
     def archived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, folder = _file_system(base)
+        system, folder = file_system(base)
         system.create_dir(f"{folder}/archive", recursive=True)
         name, at, out = f"archive/{uuid.uuid4().hex}.warc.gz", 0, None
         try:
@@ -159,7 +155,7 @@ def write_index(captures: DataFrame, base: str, block: int = BLOCK) -> DataFrame
     """
 
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, folder = _file_system(base)
+        system, folder = file_system(base)
         system.create_dir(f"{folder}/index", recursive=True)
         name = f"index/{uuid.uuid4().hex}"
         directory, pending, first, rows, at, out = [], [], None, 0, 0, None
@@ -229,7 +225,7 @@ def lookup(wanted: DataFrame, shards: DataFrame, base: str) -> DataFrame:
     tops = sorted(((_key(row["url_key"], row["page"]), row["file"], row["directory"]) for row in shards.collect()), key=lambda top: top[0])
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, folder = _file_system(base)
+        system, folder = file_system(base)
         firsts = [top[0] for top in tops]
         files: dict[str, object] = {}
         shard, current = None, None
