@@ -1,18 +1,71 @@
-"""From raw documents to packed training pieces, stage by stage."""
+"""From raw documents to packed training pieces, stage by stage.
+
+A stage takes (spark, docs, sf_dir), works on all documents that its predecessor kept and
+returns a DataFrame; all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillcast.llm import decontamination, line_dedup, packing, quality_classifier, simhash
+from quillcast.llm.common import table
+from quillcast.session import written
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the pairwise classifier does not reject."""
+    model = quality_classifier.train(docs, table(spark, sf_dir, "labels"))
+    return docs.where(quality_classifier.scored(docs, model) >= quality_classifier.CUT)
+
+
+def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without lines that repeat one of an earlier place, fuzzily."""
+    return _measured(line_dedup.deduplicated(docs))
+
+
+def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return simhash.one_of_each(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any benchmark window."""
+    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    hit = written(found.where("contaminated").select(F.col("id").alias("hit_id")).distinct(), "contaminated")
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces in training sequences of 2,048 tokens."""
+    import public_tokenizers
+
+    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    """With ``n_chars`` of the text as it is now."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", quality),
+    ("line dedup", line_deduplication),
+    ("simhash near-dedup", near_deduplication),
+    ("benchmark decontamination", decontaminated),
+    ("best-fit packing", packed),
+]
 
+#: Scores, near-duplicates and tokens are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over the documents, each stage's result written before the next reads it."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

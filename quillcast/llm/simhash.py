@@ -10,10 +10,12 @@ spells the rest out. Eight first bits make 37 rows of 2,081.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +25,8 @@ from quillcast.llm.components import components, forest
 from quillcast.session import written
 
 BITS = 64
+#: Orders in which a variant's members are ranked to choose whom the others are linked to.
+TURNS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], dtype=np.uint64)
 #: Variants that one group may hold before it is dealt out by more bits.
 GROUP_VARIANTS = 4_000_000
 #: Bits by which a group that holds more is split further.
@@ -88,7 +92,7 @@ def _deal(rows: DataFrame, depth: int, more: int, half: int) -> DataFrame:
     )
 
 
-def _collisions(radius: int):
+def _collisions(radius: int, stars: int):
     def linked(group: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"lo": np.array([], dtype=np.int64), "hi": np.array([], dtype=np.int64)})
         if len(group) < 2:
@@ -117,34 +121,42 @@ def _collisions(radius: int):
                 at.append(place[row, column])
                 who.append(owners[begin + row])
         at, who = np.concatenate(at), np.concatenate(who)
-        # Members of a variant are within the radius of each other, so linking all to the first loses nothing.
-        order = np.lexsort((who, at))
+        # Members of a variant are within the radius of each other: linking all to one of them loses nothing.
+        turn = (who.astype(np.uint64) + np.uint64(1)) * TURNS[at % max(1, stars)] if stars else who
+        order = np.lexsort((turn, at))
         at, who = at[order], who[order]
         head = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         first = np.repeat(who[head], np.diff(np.concatenate((head, [len(at)]))))
-        pairs = np.unique(first.astype(np.int64) * len(fps) + who)
+        pairs = np.unique(np.minimum(first, who).astype(np.int64) * len(fps) + np.maximum(first, who))
         a, b = fps[pairs // len(fps)], fps[pairs % len(fps)]
         near = (a != b) & (np.bitwise_count(a ^ b) <= radius)
-        kept = list(forest(zip(a[near].view(np.int64).tolist(), b[near].view(np.int64).tolist(), strict=True)))
+        found = zip(a[near].view(np.int64).tolist(), b[near].view(np.int64).tolist(), strict=True)
+        kept = list(found if stars else forest(found))
         return pd.DataFrame(kept, columns=["lo", "hi"]) if kept else none
 
     return linked
 
 
-def links(fps: DataFrame, radius: int = 4) -> DataFrame:
+def links(fps: DataFrame, radius: int = 4, bits: int = BITS, stars: int = 0) -> DataFrame:
     """(lo, hi): verified links that connect all fingerprints ``radius`` or fewer bits apart.
 
-    ``fps(fp)`` are distinct longs. Not every pair is listed, but every pair within the
-    radius is connected. Groups of variants are split until each is small, however many
-    fingerprints crowd around one value.
+    ``fps(fp)`` are distinct longs; only their last ``bits`` may differ, so the bits before
+    can number several independent fingerprints. Not every pair is listed, but every pair
+    within the radius is connected. With ``stars`` 0 a group gives a spanning forest of its
+    links; otherwise the members of a variant are linked to one of them, chosen in so many
+    ways by turns, and all these links are listed. Groups of variants are split until each is
+    small, however many fingerprints crowd around one value.
     """
     if radius % 2:
         raise ValueError("radius must be even: half of it is the reach of the variants")
     half = radius // 2
-    total = fps.count() * _variant_count(BITS, half)
-    depth = max(4, (2 * total // GROUP_VARIANTS).bit_length())
-    rows = fps.select(F.lit(0).alias("depth"), F.lit(0).cast("long").alias("prefix"), "fp", F.lit(half).alias("left"))
-    rows = _deal(rows, 0, depth, half)
+    fixed = BITS - bits
+    own = F.shiftrightunsigned("fp", bits) if fixed else F.lit(0).cast("long")
+    rows = fps.select(F.lit(fixed).alias("depth"), own.alias("prefix"), "fp", F.lit(half).alias("left"))
+    largest = rows.groupBy("prefix").count().agg(F.max("count")).first()[0] or 0
+    more = max(3, (2 * largest * _variant_count(bits, half) // GROUP_VARIANTS).bit_length())
+    rows = _deal(rows, fixed, more, half)
+    depth = fixed + more
     settled = []
     while True:
         free = BITS - depth
@@ -160,7 +172,7 @@ def links(fps: DataFrame, radius: int = 4) -> DataFrame:
         more = min(SPLIT_BITS, free)
         rows = written(_deal(rows.join(heavy, "prefix", "left_semi"), depth, more, half), "dealt")
         depth += more
-    found = [part.groupBy("depth", "prefix").applyInPandas(_collisions(radius), "lo long, hi long") for part in settled]
+    found = [part.groupBy("depth", "prefix").applyInPandas(_collisions(radius, stars), "lo long, hi long") for part in settled]
     edges = found[0]
     for part in found[1:]:
         edges = edges.union(part)
@@ -187,3 +199,119 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(named, "fp").select(
         "id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+#: Fingerprints per text, and bits of each, for finding texts by similarity. At a Jaccard
+#: similarity of 0.8 about a quarter of the pairs are 4 or fewer of 40 bits apart; one of 12
+#: independent fingerprints then links 97 %, and 99.8 % at 0.85.
+TABLES, TABLE_BITS = 12, 40
+_MIXERS = np.random.default_rng(5).integers(0, 2**63, TABLES * TABLE_BITS // 60, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def word_shingles(text: str | None, size: int) -> set[bytes]:
+    """Word shingles of the lower-cased text; fewer words are one shingle, none give none."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return set()
+    return {b" ".join(words[at : at + size]) for at in range(max(1, len(words) - size + 1))}
+
+
+def _tables(text: str | None, size: int, seed: int) -> list[int]:
+    """The text's fingerprints over its set of shingles, each numbered in the bits before."""
+    digest = xxhash.xxh64_intdigest
+    hashes = np.array([digest(shingle, seed) for shingle in word_shingles(text, size)], dtype=np.uint64)
+    if not len(hashes):
+        return []
+    ones = np.zeros(64 * len(_MIXERS), dtype=np.int64)
+    for at in range(0, len(hashes), 16384):
+        mixed = hashes[at : at + 16384, None] * _MIXERS
+        mixed ^= mixed >> np.uint64(31)
+        mixed *= np.uint64(0x94D049BB133111EB)
+        ones += np.unpackbits(mixed.astype(">u8").view(np.uint8).reshape(len(mixed), -1), axis=1).sum(axis=0, dtype=np.int64)
+    # The first 60 bits of each mix: the last ones of a product are the weakest.
+    major = (2 * ones > len(hashes)).reshape(len(_MIXERS), 64)[:, :60].reshape(TABLES, TABLE_BITS)
+    values = major @ (np.int64(1) << np.arange(TABLE_BITS - 1, -1, -1))
+    return [(table << TABLE_BITS) | int(value) for table, value in enumerate(values)]
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs (lo, hi) of digests whose shingle sets are similar enough."""
+
+    def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near, last, left = [], None, set()
+            for a, b in zip(batch.column("lo_text").to_pylist(), batch.column("hi_text").to_pylist(), strict=True):
+                if a != last:
+                    last, left = a, word_shingles(a, size)
+                right = word_shingles(b, size)
+                common = len(left & right)
+                near.append(common >= similarity * (len(left) + len(right) - common))
+            yield pa.RecordBatch.from_arrays([batch.column("lo"), batch.column("hi")], names=["lo", "hi"]).filter(pa.array(near, pa.bool_()))
+
+    lo = texts.select(F.col("digest").alias("lo"), F.col("text").alias("lo_text"))
+    hi = texts.select(F.col("digest").alias("hi"), F.col("text").alias("hi_text"))
+    return pairs.join(hi, "hi").join(lo, "lo").select("lo", "hi", "lo_text", "hi_text").mapInArrow(checked, "lo binary, hi binary")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 4, seed: int = 42) -> DataFrame:
+    """``docs`` with all columns, one row of each group of near-duplicates.
+
+    Texts are linked if their sets of ``shingle``-word shingles have a Jaccard similarity
+    of ``similarity`` or more; candidates come from colliding variants of several
+    fingerprints. Of a group, the row with the least id stays (any one of rows that repeat
+    it). Null, empty and blank texts are one group; null ids lose to others. Empty tables
+    stay empty.
+    """
+
+    @F.pandas_udf("array<long>")
+    def tables(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: _tables(text, shingle, seed))
+
+    text = F.coalesce(docs[text_col], F.lit(""))
+    digest = F.when(text.rlike(r"[^\x20\x09-\x0D]"), F.unhex(F.md5(text))).otherwise(F.unhex(F.md5(F.lit(""))))
+    rows = docs.select(docs[id_col].alias("id"), text.alias("text"), digest.alias("digest"))
+    marked = written(rows.select("digest", tables("text").alias("fps")), "marked")
+    # Equal texts have equal fingerprints: partial aggregation leaves one row of each per task.
+    nodes = written(marked.select("digest", F.explode("fps").alias("fp")).distinct(), "nodes")
+    distinct = written(nodes.groupBy("fp").agg(F.min("digest").alias("first")), "fingerprints")
+    near = written(links(distinct.select("fp"), radius, TABLE_BITS, len(TURNS)).distinct(), "near")
+    first = distinct.select(F.col("fp").alias("other"), F.col("first").alias("other_first"))
+    across = (
+        near.join(distinct, near["lo"] == distinct["fp"])
+        .select(F.col("first").alias("a"), "hi")
+        .join(first, F.col("hi") == first["other"])
+        .select("a", F.col("other_first").alias("b"))
+    )
+    within = nodes.join(distinct, "fp").select(F.col("first").alias("a"), F.col("digest").alias("b"))
+    pairs = written(
+        across.union(within).where("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct(), "candidates"
+    )
+    wanted = written(pairs.select(F.explode(F.array("lo", "hi")).alias("digest")).distinct(), "wanted")
+    texts = written(rows.select("digest", "text").join(wanted, "digest", "left_semi").dropDuplicates(["digest"]), "texts")
+    # A spanning forest first; then only what would still join two groups needs a look.
+    found = written(_similar(pairs.mapInPandas(_spanning, "lo binary, hi binary"), texts, shingle, similarity), "similar")
+    roots = written(components(found), "roots")
+    lo_root = roots.select(F.col("node").alias("lo"), F.col("root").alias("lo_root"))
+    hi_root = roots.select(F.col("node").alias("hi"), F.col("root").alias("hi_root"))
+    apart = pairs.join(lo_root, "lo", "left").join(hi_root, "hi", "left").where(F.coalesce("lo_root", "lo") != F.coalesce("hi_root", "hi"))
+    late = written(_similar(apart.select("lo", "hi").join(found, ["lo", "hi"], "left_anti"), texts, shingle, similarity), "late")
+    if not late.isEmpty():
+        roots = written(components(found.union(late)), "roots")
+
+    grouped = rows.select("id", "digest").groupBy("digest", "id").agg(F.count("*").alias("copies"))
+    grouped = written(grouped.join(roots, grouped["digest"] == roots["node"], "left").select("id", "digest", "copies", F.coalesce("root", "digest").alias("root")), "grouped")
+    rank = F.struct(F.col("id").isNull().alias("nameless"), "id", "digest", "copies")
+    kept = written(grouped.groupBy("root").agg(F.min(rank).alias("kept")).select("root", "kept.id", F.col("kept.digest").alias("kept_digest"), "kept.copies"), "kept")
+    marks = docs.withColumn("__digest", digest)
+    chosen = marks.join(
+        kept.select(F.col("id").alias("__id"), F.col("kept_digest").alias("__kept"), F.col("copies").alias("__copies")),
+        marks["__digest"].eqNullSafe(F.col("__kept")) & marks[id_col].eqNullSafe(F.col("__id")),
+    )
+    once = chosen.where("__copies = 1")
+    again = chosen.where("__copies > 1").dropDuplicates(["__digest"])
+    return once.union(again).select(*(F.col(f"`{name}`") for name in docs.columns))
+
+
+def _spanning(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        yield pd.DataFrame(list(forest(zip(frame["lo"], frame["hi"], strict=True))), columns=["lo", "hi"])
