@@ -7,8 +7,10 @@ from oracle import connect, difference
 
 import __spark_entry__ as entry
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+from quillcast.plans import catalog
+
+QUERIES = catalog.QUERIES
+ORACLES = catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +20,8 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= entry.queries().keys()
+    assert entry.oracle_sql().keys() <= entry.queries().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
