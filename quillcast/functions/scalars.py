@@ -51,6 +51,27 @@ def country_code(lang: Column) -> Column:
     )
 
 
+def one_line(text: Column) -> Column:
+    """A text without line breaks, blanks at the ends or other form that a CSV reader changes.
+
+    Backslashes are doubled, line feeds and returns written as ``\\n`` and ``\\r``, the empty
+    text as ``\\e``; NULL stays NULL.
+    """
+    escaped = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    escaped = F.replace(F.replace(escaped, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+    return F.when(text == "", "\\e").otherwise(escaped)
+
+
+def from_one_line(text: Column) -> Column:
+    """The inverse of :func:`one_line`."""
+    def breaks(part: Column) -> Column:
+        part = F.replace(F.replace(part, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+        return F.replace(part, F.lit("\\e"), F.lit(""))
+
+    # Between doubled backslashes, every backslash begins an escape.
+    return F.array_join(F.transform(F.split(text, "\\\\\\\\"), breaks), "\\")
+
+
 def quoted_text(text: Column) -> Column:
     """CSV-escape a text, backslash its double quotes and wrap it in single quotes."""
     needs_quotes = text.rlike('[,"\\n\\r]')

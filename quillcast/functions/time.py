@@ -23,13 +23,22 @@ def minute_bucket(ts: Column, minutes: int) -> Column:
     """Floor to ``minutes`` within the hour; the last bucket of an hour may be shorter."""
     if not 1 <= minutes <= 60:
         raise ValueError("a bucket lies within one hour")
-    into_hour = F.minute(ts) - F.minute(ts) % minutes
-    return F.date_trunc("hour", ts) + F.make_dt_interval(mins=into_hour)
+    second = _epoch_seconds(ts)
+    into_hour = F.pmod(second, F.lit(3600))
+    return F.timestamp_seconds(second - into_hour % (minutes * 60))
 
 
 def minute_of_day(ts: Column, minutes: int = 15) -> Column:
-    """Time of day as minutes after midnight (24-hour clock), floored to ``minutes``."""
-    return F.hour(ts) * 60 + F.minute(ts) - F.minute(ts) % minutes
+    """Time of day as minutes after midnight UTC, floored to ``minutes`` within the hour.
+
+    Taken from the epoch, so neither the session's zone nor its clock changes matter.
+    """
+    minute = F.pmod(F.floor(_epoch_seconds(ts) / 60), F.lit(1440))
+    return (minute - minute % 60 % minutes).cast("int")
+
+
+def _epoch_seconds(ts: Column) -> Column:
+    return F.unix_seconds(ts)
 
 
 def scale_window(window: str, factor: int) -> str:

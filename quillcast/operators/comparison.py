@@ -8,24 +8,26 @@ from pyspark.sql import functions as F
 from quillcast.functions.time import minute_of_day
 
 
+def slots_of(
+    batch: DataFrame, columns: list[str], keys: tuple[str, ...] = (), minutes: int = 15
+) -> DataFrame:
+    """The latest row per time of day and key: at most a day's buckets per key, whatever
+    period the earlier results cover. Compute it once for many comparisons."""
+    return (
+        batch.groupBy(minute_of_day(F.col("window_start"), minutes).alias("slot"), *keys)
+        .agg(F.max_by(F.struct(*columns), "window_start").alias("b"))
+        .select("slot", *keys, *[F.col(f"b.{c}").alias(f"batch_{c}") for c in columns])
+    )
+
+
 def compare(
     live: DataFrame,
-    batch: DataFrame,
+    slots: DataFrame,
     values: dict[str, object],
     keys: tuple[str, ...] = (),
     minutes: int = 15,
 ) -> DataFrame:
-    """Add ``batch_<column>`` for each column in ``values``; its value fills unmatched rows.
-
-    The batch side is reduced to the latest row per time of day and key first, so
-    it holds at most a day's buckets per key, whatever period it covers.
-    """
-    columns = list(values)
-    slots = (
-        batch.groupBy(minute_of_day(F.col("window_start"), minutes).alias("slot"), *keys)
-        .agg(F.max_by(F.struct(*columns), "window_start").alias("b"))
-        .select("slot", *keys, *[F.col(f"b.{c}").alias(f"batch_{c}") for c in columns])
-    )
+    """Add ``batch_<column>`` for each column in ``values``; its value fills unmatched rows."""
     return (
         live.withColumn("slot", minute_of_day(F.col("window_start"), minutes))
         .join(slots, ["slot", *keys], "left")
@@ -36,13 +38,31 @@ def compare(
     )
 
 
+# Compared columns with the value of unmatched rows, and keys besides the time of day.
+KINDS: dict[str, tuple[dict[str, object], tuple[str, ...]]] = {
+    "total": ({"cnt": 0}, ()),
+    "percentage": ({"pct": 0.0, "cnt": 0}, ("lang",)),
+    "share": ({"rt_total": 0, "tw_total": 0, "share": 0.0}, ("lang",)),
+}
+
+
+def earlier_slots(batch: DataFrame, kind: str) -> DataFrame:
+    values, keys = KINDS[kind]
+    return slots_of(batch, list(values), keys)
+
+
+def with_slots(live: DataFrame, slots: DataFrame, kind: str) -> DataFrame:
+    values, keys = KINDS[kind]
+    return compare(live, slots, values, keys)
+
+
 def compare_totals(live: DataFrame, batch: DataFrame) -> DataFrame:
-    return compare(live, batch, {"cnt": 0})
+    return with_slots(live, earlier_slots(batch, "total"), "total")
 
 
 def compare_percentages(live: DataFrame, batch: DataFrame) -> DataFrame:
-    return compare(live, batch, {"pct": 0.0, "cnt": 0}, ("lang",))
+    return with_slots(live, earlier_slots(batch, "percentage"), "percentage")
 
 
 def compare_shares(live: DataFrame, batch: DataFrame) -> DataFrame:
-    return compare(live, batch, {"rt_total": 0, "tw_total": 0, "share": 0.0}, ("lang",))
+    return with_slots(live, earlier_slots(batch, "share"), "share")

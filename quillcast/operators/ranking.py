@@ -5,17 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillcast.operators.counts import (
-    first_shown,
-    reposts,
-    reposts_per_post_with_payload,
-    windowed,
-)
+from quillcast.operators.counts import first_shown, reposts, windowed
 from quillcast.session import written
 
-# Window, post and count take about 100 bytes each in a broadcast table.
-BROADCAST_ROWS = 1_000_000
-
 
 def top_x(counts: DataFrame, x: int = 5) -> DataFrame:
     """The ``x`` largest counts per window; ties go to the smaller post id.
@@ -33,31 +25,23 @@ def with_author(ranked: DataFrame) -> DataFrame:
 
 
 def top_posts(
-    facts: DataFrame,
-    window: str = "1 minute",
-    x: int = 5,
-    require_author: bool = True,
-    broadcast_rows: int = BROADCAST_ROWS,
+    facts: DataFrame, window: str = "1 minute", x: int = 5, require_author: bool = True
 ) -> DataFrame:
     """Top-X posts per window with author and text: ``win, rt_id, screen_name, text, cnt``.
 
-    Counting and ranking move window, id and the time of the first repost only. The
-    winners are written out and counted; up to ``broadcast_rows`` of them are broadcast
-    to fetch their name and text, which are wide, from that first repost alone. More
-    winners than that make the posts carry name and text through a single aggregation
-    instead. Either way each task sends one row per window and post, however often
-    that post occurs.
+    Counting and ranking move window, id and the time of the first repost only, one row
+    per task, window and post. The winners are written out and joined back to fetch name
+    and text, which are wide, from that first repost alone; Spark knows their size and
+    broadcasts or sort-merges accordingly. Raw JSON is better written as facts first, as
+    the posts are read twice.
     """
     counted = windowed(reposts(facts), window, "rt_id").agg(
         F.count("*").alias("cnt"), F.min("ts").alias("ts")
     )
     winners = written(top_x(counted, x).drop("rank"), "winners")
-    if winners.count() <= broadcast_rows:
-        # The time of the first repost implies the window.
-        first = reposts(facts).join(F.broadcast(winners), ["rt_id", "ts"])
-        ranked = first_shown(first.groupBy("win", "rt_id", "cnt")).select(
-            "win", "rt_id", "payload.screen_name", "payload.text", "cnt"
-        )
-    else:
-        ranked = top_x(reposts_per_post_with_payload(facts, window), x).drop("rank")
+    # The time of the first repost implies the window.
+    first = reposts(facts).join(winners, ["rt_id", "ts"])
+    ranked = first_shown(first.groupBy("win", "rt_id", "cnt")).select(
+        "win", "rt_id", "payload.screen_name", "payload.text", "cnt"
+    )
     return with_author(ranked) if require_author else ranked

@@ -12,11 +12,11 @@ from quillcast.functions.time import minute_bucket
 from quillcast.operators import comparison, counts, geo, ranking, series, shares
 from quillcast.operators.counts import labelled
 from quillcast.plans.events import POSTS_SQL, event_facts, event_json, read_events, stream_events
-from quillcast.session import scratch_dir
+from quillcast.session import scratch_dir, written
 from quillcast.sinks import files
 from quillcast.sources import dumps
 from quillcast.sources import posts as post_source
-from quillcast.sources.capitals import PROFILE_CAPITALS, profile_capitals
+from quillcast.sources.capitals import read_capitals
 from quillcast.streaming import metrics, predictors, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,9 +192,24 @@ def top_x_replay(spark, sf_dir):
 
 # Geo, percentages, shares -----------------------------------------------------
 
-_CAPITALS_SQL = "capitals(code, lat, lon) AS (VALUES " + ", ".join(
-    "('{}', {}::DOUBLE, {}::DOUBLE)".format(*line.split(",")) for line in PROFILE_CAPITALS.split()
-) + ")"
+# Country codes given to the first nations of the table; others get a made-up one.
+_NATION_CODES = ("us", "jp", "es", "pt", "gb", "de")
+_CAPITALS_SQL = """capitals(code, lat, lon) AS (
+  SELECT coalesce(['us', 'jp', 'es', 'pt', 'gb', 'de'][n_nationkey + 1], 'n' || n_nationkey),
+         (n_nationkey * 3.25 - 40)::DOUBLE, (90 - n_nationkey * 7.5)::DOUBLE FROM nation)"""
+
+
+def capitals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A capitals file for the nations table, written and read like a real one."""
+    path = scratch_dir(spark, "capitals")
+    key = F.col("n_nationkey")
+    codes = F.array(*[F.lit(code) for code in _NATION_CODES])
+    code = F.coalesce(F.get(codes, key.cast("int")), F.concat(F.lit("n"), key))
+    line = F.concat_ws(
+        ",", "n_name", F.lit("Capital, C."), key * 3.25 - 40, 90 - key * 7.5, F.upper(code), F.lit("Somewhere")
+    )
+    spark.read.parquet(f"{sf_dir}/nation.parquet").select(line).write.text(path)
+    return read_capitals(spark, path)
 
 
 def _code_sql(lang: str) -> str:
@@ -220,7 +235,7 @@ FROM counted LEFT JOIN capitals ON code = {_code_sql('lang')}"""
 @query("retweets_per_country_geo", _geo_sql("rt_lang"))
 def retweets_per_country_geo(spark, sf_dir):
     counted = counts.reposts_per_language(facts(spark, sf_dir), HOUR)
-    return labelled(geo.with_capital(counted, profile_capitals(spark)))
+    return labelled(geo.with_capital(counted, capitals(spark, sf_dir)))
 
 
 def _replayed(spark, sf_dir):
@@ -235,7 +250,7 @@ def retweets_per_country_replay(spark, sf_dir):
     counted = counts.reposts_per_language(
         _replayed(spark, sf_dir), HOUR, "retweeter", keep_no_lang=True
     )
-    return labelled(geo.with_capital(counted, profile_capitals(spark)))
+    return labelled(geo.with_capital(counted, capitals(spark, sf_dir)))
 
 
 @query(
@@ -252,7 +267,7 @@ def unknown_languages(spark, sf_dir):
     counted = counts.reposts_per_language(
         facts(spark, sf_dir), HOUR, "retweeter", keep_no_lang=True
     )
-    return geo.unknown_languages(counted, profile_capitals(spark))
+    return geo.unknown_languages(counted, capitals(spark, sf_dir))
 
 
 def _pct_sql(lang: str = "rt_lang", window: str = HOUR, where: str = "") -> str:
@@ -712,15 +727,31 @@ _document_query(
 )
 
 
-@query("flatten_index_dump", f"SELECT {_DOCUMENT_SQL['geo']} FROM ({_geo_sql('rt_lang')})")
+@query(
+    "flatten_index_dump",
+    f"SELECT langcode || ',' || (location_lat * 4)::BIGINT || ',' || (location_lon * 4)::BIGINT || ',' || watermark || ',' "
+    "|| cnt || CASE cnt % 3 WHEN 0 THEN '' WHEN 1 THEN ',' || langcode ELSE ',' || langcode || ',null' END AS line "
+    f"FROM (SELECT {_DOCUMENT_SQL['geo']} FROM ({_geo_sql('rt_lang')}))",
+)
 def flatten_index_dump(spark, sf_dir):
-    path = scratch_dir(spark, "index-dump")
+    """Index dumps with a nested object and a list of none to two fields, as plain lines.
+
+    Coordinates are numbers in quarters of a degree here: doubles print differently in SQL.
+    """
+    path, out = scratch_dir(spark, "index-dump"), scratch_dir(spark, "flattened")
     result = retweets_per_country_geo(spark, sf_dir)
-    docs = files.documents(result, "geo").withColumn(
-        "day", F.to_date(F.timestamp_millis("watermark"))
+    tags = F.slice(F.array("langcode", F.lit(None).cast("string")), 1, (F.col("cnt") % 3).cast("int"))
+    docs = files.documents(result, "geo").select(
+        "langcode", F.col("location").alias("where"), "watermark", "cnt", tags.alias("tags")
+    )
+    docs = docs.withColumns(
+        {"where": F.struct(*[(F.col(f"where.{c}") * 4).cast("bigint").alias(c) for c in ("lat", "lon")]),
+         "day": F.to_date(F.timestamp_millis("watermark"))}
     )
     files.write_index_dump(docs, path, "day")
-    return dumps.flatten_documents(dumps.read_index_dump(spark, path, files.DOCUMENTS["geo"]))
+    schema = "langcode string, where struct<lat bigint, lon bigint>, watermark bigint, cnt bigint, tags array<string>"
+    files.write_flattened(dumps.read_index_dump(spark, path, schema), out)
+    return spark.read.text(out).withColumnRenamed("value", "line")
 
 
 # Streams ----------------------------------------------------------------------
@@ -785,7 +816,7 @@ def stream_top_x(spark, sf_dir):
 @query("stream_country_geo", _closed(ORACLES["retweets_per_country_geo"], HOUR, _HAS_AUTHOR))
 def stream_country_geo(spark, sf_dir):
     stream, finish = metrics.reposts_per_country(
-        _stream(spark, sf_dir), profile_capitals(spark), HOUR
+        _stream(spark, sf_dir), capitals(spark, sf_dir), HOUR
     )
     return run_stream(spark, "stream-geo", stream, finish)
 
@@ -848,10 +879,10 @@ def _live_and_batch(spark, sf_dir):
 
 
 def _batch_result(spark, result: DataFrame, kind: str) -> DataFrame:
-    """The earlier batch run's result file, computed once and read per micro-batch."""
+    """The time-of-day slots of the earlier batch run's result file, computed once."""
     path = scratch_dir(spark, f"earlier-{kind}")
     files.write_results(result, kind, path)
-    return dumps.read_results(spark, kind, path)
+    return written(comparison.earlier_slots(dumps.read_results(spark, kind, path), kind), "slots")
 
 
 @query(
@@ -864,7 +895,7 @@ def stream_compare_total(spark, sf_dir):
     stream, label = metrics.reposts_per_window(live)
     return run_stream(
         spark, "stream-compare-total", stream,
-        lambda closed: comparison.compare_totals(label(closed), earlier),
+        lambda closed: comparison.with_slots(label(closed), earlier, "total"),
     )
 
 
@@ -878,7 +909,7 @@ def stream_compare_pct(spark, sf_dir):
     stream, finish = metrics.percentage_per_language(live)
     return run_stream(
         spark, "stream-compare-pct", stream,
-        lambda closed: comparison.compare_percentages(finish(closed), earlier),
+        lambda closed: comparison.with_slots(finish(closed), earlier, "percentage"),
     )
 
 
@@ -892,7 +923,7 @@ def stream_compare_share(spark, sf_dir):
     stream, label = metrics.share_per_language(live)
     return run_stream(
         spark, "stream-compare-share", stream,
-        lambda closed: comparison.compare_shares(label(closed), earlier),
+        lambda closed: comparison.with_slots(label(closed), earlier, "share"),
     )
 
 

@@ -4,26 +4,29 @@ Batch jobs replay a raw dump. Stream jobs take a folder that receives JSON lines
 return their started queries; the default trigger works off what is there and ends,
 ``processingTime='1 minute'`` keeps them running.
 
-A stream job writes under ``out``: ``dump`` (all posts), ``results`` and ``documents``.
+A stream job parses its input once, into ``facts`` under ``out``, and goes on from there:
+``dump`` (all posts), ``results`` and ``documents``; the parsing query reports malformed lines
+(``runner.malformed_lines``). ``outputs`` chooses among dump, results, documents and console.
+With the default trigger the parsing has ended before the rest starts.
+
+Common settings: ``time`` (event or arrival) and ``delay`` of the windows, ``max_files`` per
+micro-batch, ``state_partitions``, ``files_per_batch`` of results, and ``replace``, which
+removes earlier results and documents first; without it documents are added.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from quillcast.operators import comparison, counts, geo, ranking, shares
 from quillcast.operators.counts import labelled
-from quillcast.session import written
+from quillcast.session import make_folder, remove_folder, written
 from quillcast.sinks import files
 from quillcast.sources import dumps, posts
-from quillcast.sources.capitals import profile_capitals
 from quillcast.streaming import metrics, predictors, runner
 
-# Files per micro-batch of results; dumps keep the parallelism of their input.
-RESULT_FILES = 8
+ALL_OUTPUTS = "dump,results,documents"
 
 # Batch ------------------------------------------------------------------------
 
@@ -32,19 +35,39 @@ def _replay(spark: SparkSession, kind: str, dump: str) -> DataFrame:
     return dumps.dump_facts(dumps.read_dump(spark, kind, dump), kind)
 
 
-def batch_totals(spark: SparkSession, dump: str, results: str, window: str = "15 minutes") -> None:
+def _write_batch(result: DataFrame, kind: str, results: str, documents: str | None, replace: bool) -> None:
+    """Result files replace earlier ones; documents are added unless ``replace`` is set."""
+    if documents is not None:
+        result = written(result, "result")
+        files.write_documents(result, kind, documents, replace)
+    files.write_results(result, kind, results)
+
+
+def batch_totals(
+    spark: SparkSession,
+    dump: str,
+    results: str,
+    window: str = "15 minutes",
+    documents: str | None = None,
+    replace: bool = False,
+) -> None:
     counted = counts.reposts_per_window(_replay(spark, "total", dump), window)
-    files.write_results(labelled(counted), "total", results)
+    _write_batch(labelled(counted), "total", results, documents, replace)
 
 
 def batch_top_posts(
-    spark: SparkSession, dump: str, results: str, window: str = "1 minute", x: int = 5
+    spark: SparkSession,
+    dump: str,
+    results: str,
+    window: str = "1 minute",
+    x: int = 5,
+    documents: str | None = None,
+    replace: bool = False,
 ) -> None:
     """The dump holds no texts, so the result has none either."""
-    counted = counts.reposts_per_post_with_payload(
-        _replay(spark, "top", dump).selectExpr("*", "CAST(NULL AS STRING) AS rt_text"), window
-    )
-    files.write_results(labelled(ranking.top_x(counted, x).drop("rank")), "top", results)
+    facts = _replay(spark, "top", dump).selectExpr("*", "CAST(NULL AS STRING) AS rt_text")
+    ranked = ranking.top_posts(facts, window, x, require_author=False)
+    _write_batch(labelled(ranked), "top", results, documents, replace)
 
 
 def batch_countries(
@@ -52,22 +75,28 @@ def batch_countries(
     dump: str,
     geo_results: str,
     percentage_results: str,
-    capitals: DataFrame | None = None,
+    capitals: DataFrame,
     window: str = "15 minutes",
-    keep_no_lang: bool = True,
+    keep_no_lang: bool = False,
+    places: int = 2,
+    documents: str | None = None,
+    replace: bool = False,
 ) -> None:
-    """Both country metrics from one count; the dump knows the poster's language only."""
+    """Both country metrics from one count; the dump knows the poster's language only.
+
+    Documents go to folders that end in ``-geo`` and ``-percentage``.
+    """
     counted = written(
         counts.reposts_per_language(
             _replay(spark, "lang", dump), window, "retweeter", keep_no_lang
         ),
         "per-language",
     )
-    located = geo.with_capital(counted, profile_capitals(spark) if capitals is None else capitals)
-    files.write_results(labelled(located), "geo", geo_results)
-    files.write_results(
-        labelled(shares.percentage_of_window(counted)), "percentage", percentage_results
-    )
+    for kind, finish, results in (
+        ("geo", metrics.located(capitals), geo_results),
+        ("percentage", metrics.percentages(places), percentage_results),
+    ):
+        _write_batch(finish(counted), kind, results, documents and f"{documents}-{kind}", replace)
 
 
 def batch_shares(
@@ -75,44 +104,86 @@ def batch_shares(
     dump: str,
     results: str,
     window: str = "15 minutes",
-    keep_no_lang: bool = True,
+    keep_no_lang: bool = False,
+    documents: str | None = None,
+    replace: bool = False,
 ) -> None:
     shared = shares.share_of_posts(
         _replay(spark, "lang", dump), window, "retweeter", keep_no_lang
     )
-    files.write_results(labelled(shared), "share", results)
+    _write_batch(labelled(shared), "share", results, documents, replace)
 
 
 # Streams ----------------------------------------------------------------------
 
 
-def _facts(spark: SparkSession, inbox: str, max_files: int | None) -> DataFrame:
-    return metrics.with_event_time(posts.stream_facts(spark, inbox, max_files))
+def _parse(
+    spark: SparkSession, inbox: str, out: str, max_files: int | None, trigger: dict
+) -> tuple[StreamingQuery, DataFrame]:
+    """Start the only parse of the input; the stream of its facts comes back from files."""
+    facts = posts.stream_facts(spark, inbox, max_files)
+    make_folder(spark, f"{out}/facts")
+    query = runner.start_file_sink(facts, f"{out}/facts", f"{out}/checkpoints/facts", **trigger)
+    if not trigger or "availableNow" in trigger or "once" in trigger:
+        runner.finish_query(query)
+    return query, spark.readStream.schema(facts.schema).parquet(f"{out}/facts")
 
 
-def _start_dump(facts: DataFrame, kind: str, out: str, trigger: dict) -> StreamingQuery:
-    return runner.start(
-        facts, f"{out}/checkpoints/dump", {f"{out}/dump": files.dump_writer(kind)}, **trigger
-    )
+def _targets(kind: str, out: str, chosen: list[str], suffix: str = "") -> dict[str, runner.Write]:
+    writers = {
+        "results": files.result_writer(kind),
+        "documents": files.document_writer(kind),
+        "console": files.show,
+    }
+    return {f"{out}/{name}{suffix}": write for name, write in writers.items() if name in chosen}
 
 
-def _start_metric(
-    metric, kind: str, out: str, state_partitions: int | None, trigger: dict
-) -> StreamingQuery:
-    stream, finish = metric
-    outputs = {
-        f"{out}/results": files.result_writer(kind),
-        f"{out}/documents": files.document_writer(kind),
-    }
-    return runner.start(
-        stream,
-        f"{out}/checkpoints/results",
-        outputs,
-        finish,
-        state_partitions,
-        RESULT_FILES,
-        **trigger,
-    )
+def _start_job(
+    spark: SparkSession,
+    inbox: str,
+    out: str,
+    dump: str,
+    counted,
+    finishes: dict[str, runner.Finish],
+    time: str,
+    delay: str,
+    outputs: str,
+    max_files: int | None,
+    state_partitions: int | None,
+    files_per_batch: int,
+    replace: bool,
+    trigger: dict,
+) -> list[StreamingQuery]:
+    """``counted`` turns facts into the stateful stream, ``finishes`` its closed windows into results by kind."""
+    chosen = [name.strip() for name in outputs.split(",")]
+    if unknown := set(chosen) - {*ALL_OUTPUTS.split(","), "console"}:
+        raise ValueError(f"unknown outputs: {', '.join(sorted(unknown))}")
+    targets: dict[str, runner.Write] = {}
+    common, gathered = None, None
+    if len(finishes) == 1:
+        # One result is finished once for all its outputs, several each from the counts.
+        ((kind, common),) = finishes.items()
+        targets, gathered = _targets(kind, out, chosen), files_per_batch
+    else:
+        for kind, finish in finishes.items():
+            for path, write in _targets(kind, out, chosen, f"-{kind}").items():
+                targets[path] = runner.after(finish, write, files_per_batch)
+    if replace:
+        for path in (*targets, f"{out}/checkpoints/results"):
+            remove_folder(spark, path)
+    parsing, facts = _parse(spark, inbox, out, max_files, trigger)
+    started = [parsing]
+    if "dump" in chosen:
+        outputs_ = {f"{out}/dump": files.dump_writer(dump)}
+        started.append(runner.start(facts, f"{out}/checkpoints/dump", outputs_, **trigger))
+    if targets:
+        stream = counted(metrics.with_time(facts, time, delay))
+        started.append(
+            runner.start(
+                stream, f"{out}/checkpoints/results", targets, common, state_partitions, gathered, **trigger
+            )
+        )
+    return started
 
 
 def stream_totals(
@@ -120,16 +191,19 @@ def stream_totals(
     inbox: str,
     out: str,
     window: str = "15 minutes",
+    time: str = "event",
+    delay: str = metrics.DELAY,
+    outputs: str = ALL_OUTPUTS,
     max_files: int | None = None,
     state_partitions: int | None = None,
+    files_per_batch: int = 8,
+    replace: bool = False,
     **trigger,
 ) -> list[StreamingQuery]:
-    facts = _facts(spark, inbox, max_files)
-    metric = metrics.reposts_per_window(facts, window)
-    return [
-        _start_dump(facts, "total", out, trigger),
-        _start_metric(metric, "total", out, state_partitions, trigger),
-    ]
+    return _start_job(
+        spark, inbox, out, "total", lambda facts: counts.reposts_per_window(facts, window), {"total": labelled},
+        time, delay, outputs, max_files, state_partitions, files_per_batch, replace, trigger,
+    )
 
 
 def stream_top_posts(
@@ -138,52 +212,50 @@ def stream_top_posts(
     out: str,
     window: str = "1 minute",
     x: int = 5,
+    time: str = "event",
+    delay: str = metrics.DELAY,
+    outputs: str = ALL_OUTPUTS,
     max_files: int | None = None,
     state_partitions: int | None = None,
+    files_per_batch: int = 8,
+    replace: bool = False,
     **trigger,
 ) -> list[StreamingQuery]:
-    facts = _facts(spark, inbox, max_files)
-    metric = metrics.top_posts(facts, window, x)
-    return [
-        _start_dump(facts, "top", out, trigger),
-        _start_metric(metric, "top", out, state_partitions, trigger),
-    ]
+    def counted(facts: DataFrame) -> DataFrame:
+        return metrics.top_posts(facts, window, x)[0]
+
+    finishes = {"top": lambda closed: metrics.ranked(closed, x)}
+    return _start_job(
+        spark, inbox, out, "top", counted, finishes,
+        time, delay, outputs, max_files, state_partitions, files_per_batch, replace, trigger,
+    )
 
 
 def stream_countries(
     spark: SparkSession,
     inbox: str,
     out: str,
-    capitals: DataFrame | None = None,
+    capitals: DataFrame,
     window: str = "15 minutes",
     lang_of: str = "author",
+    keep_no_lang: bool = False,
+    places: int = 2,
+    time: str = "event",
+    delay: str = metrics.DELAY,
+    outputs: str = ALL_OUTPUTS,
     max_files: int | None = None,
     state_partitions: int | None = None,
+    files_per_batch: int = 8,
+    replace: bool = False,
     **trigger,
 ) -> list[StreamingQuery]:
     """Both country metrics from one count; their folders end in ``-geo`` and ``-percentage``."""
-    facts = _facts(spark, inbox, max_files)
-    dimension = profile_capitals(spark) if capitals is None else capitals
-    outputs = {}
-    for kind, finish in (
-        ("geo", metrics.located(dimension)),
-        ("percentage", metrics.percentages()),
-    ):
-        for target, writer in (
-            ("results", files.result_writer(kind)),
-            ("documents", files.document_writer(kind)),
-        ):
-            outputs[f"{out}/{target}-{kind}"] = runner.after(finish, writer, RESULT_FILES)
-    return [
-        _start_dump(facts, "lang", out, trigger),
-        runner.start(
-            counts.reposts_per_language(facts, window, lang_of),
-            f"{out}/checkpoints/results",
-            outputs,
-            state_partitions=state_partitions,
-            **trigger,
-        ),
-    ]
+    finishes = {"geo": metrics.located(capitals), "percentage": metrics.percentages(places)}
+    return _start_job(
+        spark, inbox, out, "lang",
+        lambda facts: counts.reposts_per_language(facts, window, lang_of, keep_no_lang), finishes,
+        time, delay, outputs, max_files, state_partitions, files_per_batch, replace, trigger,
+    )
 
 
 def stream_shares(
@@ -192,16 +264,27 @@ def stream_shares(
     out: str,
     window: str = "15 seconds",
     lang_of: str = "retweeter",
+    keep_no_lang: bool = False,
+    time: str = "event",
+    delay: str = metrics.DELAY,
+    outputs: str = ALL_OUTPUTS,
     max_files: int | None = None,
     state_partitions: int | None = None,
+    files_per_batch: int = 8,
+    replace: bool = False,
     **trigger,
 ) -> list[StreamingQuery]:
-    facts = _facts(spark, inbox, max_files)
-    metric = metrics.share_per_language(facts, window, lang_of)
-    return [
-        _start_dump(facts, "lang", out, trigger),
-        _start_metric(metric, "share", out, state_partitions, trigger),
-    ]
+    return _start_job(
+        spark, inbox, out, "lang",
+        lambda facts: shares.share_of_posts(facts, window, lang_of, keep_no_lang), {"share": labelled},
+        time, delay, outputs, max_files, state_partitions, files_per_batch, replace, trigger,
+    )
+
+
+def _facts(
+    spark: SparkSession, inbox: str, max_files: int | None, time: str, delay: str
+) -> DataFrame:
+    return metrics.with_time(posts.stream_facts(spark, inbox, max_files), time, delay)
 
 
 def stream_series(
@@ -209,14 +292,18 @@ def stream_series(
     inbox: str,
     out: str,
     window: str = "1 minute",
+    time: str = "event",
+    delay: str = metrics.DELAY,
+    series_key: str | None = None,
     max_files: int | None = None,
     state_partitions: int | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """First half of the prediction job: closed windows into ``series``."""
-    counted, label = metrics.reposts_per_window(_facts(spark, inbox, max_files), window)
+    """First half of the prediction job: closed windows into ``series``, per language if ``series_key`` is ``lang``."""
+    facts = _facts(spark, inbox, max_files, time, delay)
+    counted = counts.reposts_per_language(facts, window) if series_key == "lang" else counts.reposts_per_window(facts, window)
     return runner.start_file_sink(
-        label(counted), f"{out}/series", f"{out}/checkpoints/series", state_partitions, **trigger
+        labelled(counted), f"{out}/series", f"{out}/checkpoints/series", state_partitions, **trigger
     )
 
 
@@ -225,12 +312,14 @@ def stream_predictions(
     out: str,
     history: int = 5,
     step: float = 0.1,
+    series_key: str | None = None,
     state_partitions: int | None = None,
+    files_per_batch: int = 8,
     **trigger,
 ) -> StreamingQuery:
     """Second half: predictions for the windows in ``series``, one result folder per predictor."""
     predictions = predictors.predict_stream(
-        predictors.stream_series(spark, f"{out}/series"), history, step
+        predictors.stream_series(spark, f"{out}/series", series_key), history, step, series_key
     )
     outputs = {f"{out}/documents": files.document_writer("prediction")}
     for name in predictors.TYPES:
@@ -240,27 +329,30 @@ def stream_predictions(
         f"{out}/checkpoints/predictions",
         outputs,
         state_partitions=state_partitions,
-        files_per_batch=RESULT_FILES,
+        files_per_batch=files_per_batch,
         **trigger,
     )
 
 
 def _start_comparison(
     metric,
-    compared: Callable[[DataFrame, DataFrame], DataFrame],
+    kind: str,
     earlier: DataFrame,
     out: str,
     state_partitions: int | None,
+    files_per_batch: int,
     trigger: dict,
 ) -> StreamingQuery:
+    """The earlier run is read once, before the start, and reduced to its time-of-day slots."""
     stream, finish = metric
+    slots = written(comparison.earlier_slots(earlier, kind), "slots")
     return runner.start(
         stream,
         f"{out}/checkpoints/comparison",
         {f"{out}/comparison": runner.parquet},
-        lambda closed: compared(finish(closed), earlier),
+        lambda closed: comparison.with_slots(finish(closed), slots, kind),
         state_partitions,
-        RESULT_FILES,
+        files_per_batch,
         **trigger,
     )
 
@@ -271,14 +363,17 @@ def compare_totals(
     batch_results: str,
     out: str,
     window: str = "15 seconds",
+    time: str = "event",
+    delay: str = metrics.DELAY,
     max_files: int | None = None,
     state_partitions: int | None = None,
+    files_per_batch: int = 8,
     **trigger,
 ) -> StreamingQuery:
-    metric = metrics.reposts_per_window(_facts(spark, inbox, max_files), window)
+    metric = metrics.reposts_per_window(_facts(spark, inbox, max_files, time, delay), window)
     earlier = dumps.read_results(spark, "total", batch_results)
     return _start_comparison(
-        metric, comparison.compare_totals, earlier, out, state_partitions, trigger
+        metric, "total", earlier, out, state_partitions, files_per_batch, trigger
     )
 
 
@@ -288,15 +383,22 @@ def compare_percentages(
     batch_results: str,
     out: str,
     window: str = "15 seconds",
-    lang_of: str = "author",
+    lang_of: str = "retweeter",
+    keep_no_lang: bool = False,
+    places: int = 2,
+    time: str = "event",
+    delay: str = metrics.DELAY,
     max_files: int | None = None,
     state_partitions: int | None = None,
+    files_per_batch: int = 8,
     **trigger,
 ) -> StreamingQuery:
-    metric = metrics.percentage_per_language(_facts(spark, inbox, max_files), window, lang_of)
+    """By the reposter's language, as the replayed batch results are."""
+    facts = _facts(spark, inbox, max_files, time, delay)
+    metric = metrics.percentage_per_language(facts, window, lang_of, places, keep_no_lang)
     earlier = dumps.read_results(spark, "percentage", batch_results)
     return _start_comparison(
-        metric, comparison.compare_percentages, earlier, out, state_partitions, trigger
+        metric, "percentage", earlier, out, state_partitions, files_per_batch, trigger
     )
 
 
@@ -307,14 +409,19 @@ def compare_shares(
     out: str,
     window: str = "15 minutes",
     lang_of: str = "retweeter",
+    keep_no_lang: bool = False,
+    time: str = "event",
+    delay: str = metrics.DELAY,
     max_files: int | None = None,
     state_partitions: int | None = None,
+    files_per_batch: int = 8,
     **trigger,
 ) -> StreamingQuery:
-    metric = metrics.share_per_language(_facts(spark, inbox, max_files), window, lang_of)
+    facts = _facts(spark, inbox, max_files, time, delay)
+    metric = metrics.share_per_language(facts, window, lang_of, keep_no_lang)
     earlier = dumps.read_results(spark, "share", batch_results)
     return _start_comparison(
-        metric, comparison.compare_shares, earlier, out, state_partitions, trigger
+        metric, "share", earlier, out, state_partitions, files_per_batch, trigger
     )
 
 

@@ -40,6 +40,18 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create an empty folder in whatever file system the path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a result folder that is about to be written anew."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(frame: DataFrame, label: str) -> DataFrame:
     """Compute a frame once into the scratch folder and go on from the files.
 

@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, StructType
 
-from quillcast.functions.scalars import quoted_text
+from quillcast.functions.scalars import one_line, quoted_text
 from quillcast.operators import series
 from quillcast.operators.counts import NO_LANG
-from quillcast.sources.dumps import NO_NAME, NO_REPOST, RESULTS, flatten_documents
+from quillcast.sources.dumps import AS_IS, NO_NAME, NO_REPOST, RESULTS, flatten_documents
 
 
 def dump_rows(facts: DataFrame, kind: str) -> DataFrame:
@@ -21,29 +21,43 @@ def dump_rows(facts: DataFrame, kind: str) -> DataFrame:
     if kind == "total":
         return facts.select("id", created_ms, rt_id)
     if kind == "lang":
-        lang = F.coalesce("lang", F.lit(NO_LANG)).alias("lang")
+        lang = _unbroken(F.coalesce("lang", F.lit(NO_LANG))).alias("lang")
         return facts.select("id", lang, created_ms, rt_id)
     return facts.select(
         "id",
         created_ms,
         rt_id,
         F.coalesce(F.unix_millis("rt_ts"), F.lit(0)).alias("rt_created_ms"),
-        quoted_text(F.coalesce("rt_screen_name", F.lit(NO_NAME))).alias("rt_screen_name"),
+        _unbroken(quoted_text(F.coalesce("rt_screen_name", F.lit(NO_NAME)))).alias("rt_screen_name"),
     )
 
 
+def _unbroken(text: Column) -> Column:
+    """Line breaks as backslash and letter: a dump has one line per post."""
+    return F.replace(F.replace(text, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
 def write_dump(facts: DataFrame, kind: str, path: str, mode: str = "overwrite") -> None:
     """Write a raw dump: headerless lines, fields as they are, no further quoting."""
     _lines(dump_rows(facts, kind)).write.mode(mode).text(path)
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    fields = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("null")) for c in rows.columns]
-    return rows.select(F.concat_ws(",", *fields))
+    return rows.select(F.concat_ws(",", *[_printed(F.col(f"`{f.name}`"), f.dataType) for f in rows.schema]))
+
+
+def _printed(value: Column, kind: DataType) -> Column:
+    """A value as text. The elements of a list are fields of their own, none if it is empty."""
+    if isinstance(kind, ArrayType):
+        texts = F.transform(value, lambda item: F.coalesce(item.cast("string"), F.lit("null")))
+        # concat_ws skips NULL, so an empty list leaves no comma behind.
+        joined = F.when(F.size(texts) > 0, F.array_join(texts, ","))
+        return F.when(value.isNull(), "null").otherwise(joined)
+    return F.coalesce(value.cast("string"), F.lit("null"))
 
 
 def write_flattened(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write documents as lines: nested objects spread one level, no header, no quoting."""
+    """Write documents as lines: nested objects and lists spread one level, no header, no quoting."""
     _lines(flatten_documents(docs)).write.mode(mode).text(path)
 
 
@@ -59,8 +73,11 @@ def result_rows(result: DataFrame, kind: str) -> DataFrame:
 
 
 def write_results(result: DataFrame, kind: str, path: str, mode: str = "overwrite") -> None:
-    """Write a result file: CSV without header."""
-    result_rows(result, kind).write.mode(mode).option("escape", '"').csv(path)
+    """Write a result file: CSV without header, one line per row whatever the texts hold."""
+    rows = result_rows(result, kind)
+    texts = [f.name for f in rows.schema if f.dataType.typeName() == "string"]
+    lines = rows.withColumns({name: one_line(F.col(name)) for name in texts})
+    lines.write.mode(mode).options(escape='"', **AS_IS).csv(path)
 
 
 def _text(value: Column) -> Column:
@@ -163,6 +180,12 @@ def prediction_writer(prediction_type: str) -> Write:
     )
 
 
+def show(frame: DataFrame, path: str) -> None:
+    """Print a micro-batch's rows."""
+    print(path)
+    frame.show(truncate=False)
+
+
 def document_writer(kind: str) -> Write:
     """For a folder of its own per micro-batch, so that a repeated batch replaces itself."""
     return lambda result, path: write_documents(result, kind, path, replace=True)

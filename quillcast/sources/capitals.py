@@ -1,71 +1,10 @@
-"""Capital coordinates by country code."""
+"""Capital coordinates by country code: ``code, lat, lon``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Country code, latitude and longitude of the capital, for the codes
-# that the profile languages point to. Other codes come from a file.
-PROFILE_CAPITALS = """
-ar,-34.583333333333336,-58.666667
-bg,42.68333333333333,23.316667
-bn,4.883333333333333,114.933333
-br,-15.783333333333333,-47.916667
-ca,45.416666666666664,-75.700000
-cn,39.916666666666664,116.383333
-de,52.516666666666666,13.400000
-dk,55.666666666666664,12.583333
-es,40.4,-3.683333
-et,9.033333333333333,38.700000
-fi,60.166666666666664,24.933333
-fr,48.86666666666667,2.333333
-ga,0.38333333333333336,9.450000
-gb,51.5,-0.083333
-gl,64.18333333333334,-51.750000
-gr,37.983333333333334,23.733333
-gu,13.466666666666667,144.733333
-hk,0,0.000000
-hr,45.8,16.000000
-hu,47.5,19.083333
-id,-6.166666666666667,106.816667
-in,28.6,77.200000
-ir,35.7,51.416667
-it,41.9,12.483333
-jp,35.68333333333333,139.750000
-kn,17.3,-62.716667
-ko,42.666666666666664,21.166667
-lt,54.68333333333333,25.316667
-lv,56.95,24.100000
-mr,18.066666666666666,-15.966667
-ms,16.7,-62.216667
-mx,19.433333333333334,-99.133333
-nl,52.35,4.916667
-no,59.916666666666664,10.750000
-pl,52.25,21.000000
-pt,38.71666666666667,-9.133333
-ro,44.43333333333333,26.100000
-ru,55.75,37.600000
-sk,48.15,17.116667
-sl,8.483333333333333,-13.233333
-sr,5.833333333333333,-55.166667
-sv,13.7,-89.200000
-th,13.75,100.516667
-tr,39.93333333333333,32.866667
-tw,25.033333333333335,121.516667
-ua,50.43333333333333,30.516667
-us,38.883333,-77.000000
-vi,18.35,-64.933333
-"""
-
-
-def profile_capitals(spark: SparkSession) -> DataFrame:
-    """The built-in coordinates as ``code, lat, lon``."""
-    rows = ", ".join(
-        "('{}', {}D, {}D)".format(*line.split(",")) for line in PROFILE_CAPITALS.split()
-    )
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS capitals(code, lat, lon)")
-
 
 def read_capitals(spark: SparkSession, path: str) -> DataFrame:
     """Coordinates from ``CountryName,CapitalName,Latitude,Longitude,CountryCode,Continent`` lines.

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quillcast.functions.scalars import from_one_line
 from quillcast.operators.counts import NO_LANG
 
 # Column order of the headerless dumps and result files, and the
@@ -26,26 +29,51 @@ RESULTS = {
     "prediction": "window_start bigint, cnt bigint, prediction double, deviation double",
 }
 
+# Result files: blanks at the ends of texts belong to them.
+AS_IS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
-def read_dump(spark: SparkSession, kind: str, path: str) -> DataFrame:
-    """A raw dump; short, long and ill-typed lines (a truncated tail) are dropped.
 
-    The parser converts only the columns a query reads, so a broken number in
-    another column would go unnoticed. Asking for every number settles which lines
-    count, whatever is read later; it also drops lines with an empty number.
-    """
+def _dump_fields(kind: str) -> list[Column]:
+    """The fields of a line; a text takes all that the numbers around it leave, commas included."""
+    line = F.col("value")
+    if kind == "lang":
+        head, tail = F.substring_index(line, ",", 1), F.substring_index(line, ",", -2)
+        between = F.length(line) - F.length(head) - F.length(tail) - 2
+        lang = F.when(between >= 0, F.substring(line, F.length(head) + 2, between))
+        return [head, lang, F.substring_index(tail, ",", 1), F.substring_index(tail, ",", -1)]
+    fields = F.split(line, ",", {"total": -1, "top": 5}[kind])
+    names = StructType.fromDDL(DUMPS[kind]).fieldNames()
+    return [F.when(F.size(fields) == len(names), F.get(fields, at)) for at in range(len(names))]
+
+
+def _parsed_dump(spark: SparkSession, kind: str, path: str) -> DataFrame:
+    """Lines of a dump with their typed fields; a broken line lacks some."""
     schema = StructType.fromDDL(DUMPS[kind])
-    texts = [f.name for f in schema if f.dataType.typeName() == "string"]
-    numbers = [f.name for f in schema if f.name not in texts]
-    return (
-        spark.read.schema(schema)
-        .options(mode="DROPMALFORMED", quote="", columnPruning="false")
-        .csv(path)
-        .dropna(subset=numbers)
-        .withColumns({name: F.coalesce(name, F.lit("")) for name in texts})
+    fields = zip(schema, _dump_fields(kind), strict=True)
+    return spark.read.text(path).select(
+        *[value.try_cast(field.dataType).alias(field.name) for field, value in fields]
     )
 
 
+def _whole(kind: str) -> Column:
+    fields = StructType.fromDDL(DUMPS[kind]).fieldNames()
+    return reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in fields])
+
+
+def read_dump(spark: SparkSession, kind: str, path: str) -> DataFrame:
+    """A raw dump; short, long and ill-typed lines (a truncated tail) are left out.
+
+    Texts may hold commas and quotes: each dump has one at most, told from the numbers
+    around it. :func:`broken_lines` counts what is left out.
+    """
+    return _parsed_dump(spark, kind, path).filter(_whole(kind))
+
+
+def broken_lines(spark: SparkSession, kind: str, path: str) -> int:
+    """How many lines of a dump :func:`read_dump` leaves out."""
+    return _parsed_dump(spark, kind, path).filter(~_whole(kind)).count()
+
+
 def dump_facts(dump: DataFrame, kind: str) -> DataFrame:
     """Post facts of a raw dump, sentinels turned back into NULL."""
     facts = dump.withColumn("ts", F.timestamp_millis("created_ms")).withColumn(
@@ -61,11 +89,13 @@ def dump_facts(dump: DataFrame, kind: str) -> DataFrame:
 
 
 def read_results(spark: SparkSession, kind: str, path: str) -> DataFrame:
-    """An earlier batch result, for the comparisons."""
+    """An earlier batch result, for the comparisons; texts as they were before writing."""
+    texts = [f.name for f in StructType.fromDDL(RESULTS[kind]) if f.dataType.typeName() == "string"]
     return (
         spark.read.schema(RESULTS[kind])
-        .options(escape='"', multiLine=kind == "top")
+        .options(escape='"', **AS_IS)
         .csv(path)
+        .withColumns({name: from_one_line(F.col(name)) for name in texts})
         .withColumn("window_start", F.timestamp_millis("window_start"))
     )
 

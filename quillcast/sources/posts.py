@@ -173,9 +173,25 @@ def stream_posts(spark: SparkSession, path: str, max_files_per_trigger: int | No
     return _as_posts(_json_files(_stream_reader(spark, max_files_per_trigger), RAW_POST, path))
 
 
+#: Name of the metrics that :func:`stream_facts` reports in a query's progress.
+PARSED = "parsed"
+
+
 def stream_facts(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Post facts from a folder that keeps receiving files of JSON lines."""
-    return _as_facts(_json_files(_stream_reader(spark, max_files_per_trigger), RAW_LEAN_POST, path))
+    """Post facts from a folder that keeps receiving files of JSON lines.
+
+    The same pass counts ``lines``, ``notices`` and ``malformed`` lines per micro-batch as
+    observed metrics.
+    """
+    raw = _json_files(_stream_reader(spark, max_files_per_trigger), RAW_LEAN_POST, path)
+    return _as_facts(
+        raw.observe(
+            PARSED,
+            F.count("*").alias("lines"),
+            F.count_if(F.expr("`delete` is not null")).alias("notices"),
+            F.count_if(_is_malformed()).alias("malformed"),
+        )
+    )
 
 
 def _stream_reader(spark: SparkSession, max_files_per_trigger: int | None):

@@ -14,6 +14,7 @@ from quillcast.operators.counts import labelled
 from quillcast.streaming.runner import Finish
 
 DELAY = "5 seconds"
+TIMES = ("event", "arrival")
 
 
 def with_event_time(facts: DataFrame, delay: str = DELAY) -> DataFrame:
@@ -26,6 +27,13 @@ def with_arrival_time(facts: DataFrame, delay: str = DELAY) -> DataFrame:
     return facts.withColumn("ts", F.current_timestamp()).withWatermark("ts", delay)
 
 
+def with_time(facts: DataFrame, time: str = "event", delay: str = DELAY) -> DataFrame:
+    """Windows by ``event`` or by ``arrival`` time; by arrival no post comes late."""
+    if time not in TIMES:
+        raise ValueError(f"time is one of {', '.join(TIMES)}")
+    return {"event": with_event_time, "arrival": with_arrival_time}[time](facts, delay)
+
+
 def reposts_per_window(facts: DataFrame, window: str = "15 minutes"):
     return counts.reposts_per_window(facts, window), labelled
 
@@ -35,11 +43,12 @@ def reposts_two_stage(facts: DataFrame, window: str = "15 minutes", outer: str =
     return counts.totals_of_windows(counts.reposts_per_post(facts, window), outer), labelled
 
 
-def top_posts(facts: DataFrame, window: str = "1 minute", x: int = 5):
-    def finish(closed: DataFrame) -> DataFrame:
-        return labelled(ranking.with_author(ranking.top_x(closed, x)).drop("rank"))
+def ranked(closed: DataFrame, x: int = 5) -> DataFrame:
+    return labelled(ranking.with_author(ranking.top_x(closed, x)).drop("rank"))
 
-    return counts.reposts_per_post_with_payload(facts, window), finish
+
+def top_posts(facts: DataFrame, window: str = "1 minute", x: int = 5):
+    return counts.reposts_per_post_with_payload(facts, window), lambda closed: ranked(closed, x)
 
 
 def located(capitals: DataFrame) -> Finish:
@@ -61,13 +70,22 @@ def reposts_per_country(
 
 
 def percentage_per_language(
-    facts: DataFrame, window: str = "15 minutes", lang_of: str = "author", places: int = 2
+    facts: DataFrame,
+    window: str = "15 minutes",
+    lang_of: str = "author",
+    places: int = 2,
+    keep_no_lang: bool = False,
 ):
-    return counts.reposts_per_language(facts, window, lang_of), percentages(places)
+    return counts.reposts_per_language(facts, window, lang_of, keep_no_lang), percentages(places)
 
 
-def share_per_language(facts: DataFrame, window: str = "15 minutes", lang_of: str = "retweeter"):
-    return shares.share_of_posts(facts, window, lang_of), labelled
+def share_per_language(
+    facts: DataFrame,
+    window: str = "15 minutes",
+    lang_of: str = "retweeter",
+    keep_no_lang: bool = False,
+):
+    return shares.share_of_posts(facts, window, lang_of, keep_no_lang), labelled
 
 
 def share_by_window_join(facts: DataFrame, window: str = "15 minutes", lang_of: str = "author"):

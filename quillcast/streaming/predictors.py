@@ -21,13 +21,14 @@ _OUTPUT = (
 _STATE = "n bigint, recent array<bigint>, xy double, xx double, v double"
 
 
-def stream_series(spark: SparkSession, path: str) -> DataFrame:
+def stream_series(spark: SparkSession, path: str, series_key: str | None = None) -> DataFrame:
     """The closed windows another stream writes to ``path``.
 
     Spark refuses custom state behind a streaming aggregation in append mode, hence
     the stop at a folder: counts go there through the file sink and come back here.
     """
-    return spark.readStream.schema(SERIES).parquet(path)
+    schema = f"{SERIES}, {series_key} string" if series_key else SERIES
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def predict_stream(

@@ -8,6 +8,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from quillcast.sources.posts import PARSED
+
 Finish = Callable[[DataFrame], DataFrame]
 Write = Callable[[DataFrame, str], None]
 
@@ -94,8 +96,38 @@ def _shuffle_partitions(spark: SparkSession, count: int | None):
         spark.conf.set(name, before)
 
 
-def finish_query(query: StreamingQuery, timeout: float = 1800) -> None:
-    """Wait for an ``availableNow`` query; raise if it fails or does not end in time."""
-    if not query.awaitTermination(timeout):
+def finish_query(query: StreamingQuery, timeout: float | None = None) -> None:
+    """Wait for an ``availableNow`` query; raise if it fails or does not end within a given time."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream {query.id} did not end within {timeout} s")
+
+
+def observed(query: StreamingQuery, name: str) -> dict[str, int]:
+    """Sums of observed counts over the micro-batches Spark still remembers."""
+    total: dict[str, int] = {}
+    for progress in query.recentProgress:
+        if name in progress.observedMetrics:
+            for key, value in progress.observedMetrics[name].asDict().items():
+                total[key] = total.get(key, 0) + value
+    return total
+
+
+def malformed_lines(parsing: StreamingQuery) -> int:
+    """Lines that a query which parses posts could not read."""
+    return observed(parsing, PARSED).get("malformed", 0)
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that the micro-batches Spark still remembers left out for being late.
+
+    Aggregated posts of one window count as one row per task. How many batches are
+    remembered is ``spark.sql.streaming.numRecentProgressUpdates``.
+    """
+    return sum(
+        operator.numRowsDroppedByWatermark
+        for progress in query.recentProgress
+        for operator in progress.stateOperators
+    )

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import glob
 import json
+import os
+import shutil
 import tempfile
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +17,7 @@ from quillcast.plans import jobs
 from quillcast.sinks import files
 from quillcast.sources import dumps
 from quillcast.streaming.predictors import TYPES
-from quillcast.streaming.runner import finish_query
+from quillcast.streaming.runner import finish_query, malformed_lines
 
 
 @pytest.fixture(scope="module")
@@ -74,15 +78,16 @@ def test_top_posts(spark, inbox):
 
 def test_countries(spark, inbox):
     out = folder()
-    run(jobs.stream_countries(spark, inbox, out, lang_of="retweeter", state_partitions=2))
-    jobs.batch_countries(spark, f"{out}/dump/batch_id=*", f"{out}/geo", f"{out}/pct", keep_no_lang=False)
+    capitals = spark.createDataFrame([("us", 38.5, -77.0), ("de", 52.5, 13.4)], "code string, lat double, lon double")
+    run(jobs.stream_countries(spark, inbox, out, capitals, lang_of="retweeter", state_partitions=2))
+    jobs.batch_countries(spark, f"{out}/dump/batch_id=*", f"{out}/geo", f"{out}/pct", capitals)
     for kind, path in (("geo", "geo"), ("percentage", "pct")):
         batch = dumps.read_results(spark, kind, f"{out}/{path}")
         assert rows(streamed(spark, kind, out, f"-{kind}")) == rows(batch, last_window(batch))
     live = folder()
     finish_query(
         jobs.compare_percentages(
-            spark, inbox, f"{out}/pct", live, "15 minutes", "retweeter", state_partitions=2
+            spark, inbox, f"{out}/pct", live, "15 minutes", state_partitions=2
         ),
         300,
     )
@@ -93,7 +98,7 @@ def test_countries(spark, inbox):
 def test_shares(spark, inbox):
     out = folder()
     run(jobs.stream_shares(spark, inbox, out, "15 minutes", state_partitions=2))
-    jobs.batch_shares(spark, f"{out}/dump/batch_id=*", f"{out}/batch", keep_no_lang=False)
+    jobs.batch_shares(spark, f"{out}/dump/batch_id=*", f"{out}/batch")
     batch = dumps.read_results(spark, "share", f"{out}/batch")
     assert rows(streamed(spark, "share", out)) == rows(batch, last_window(batch))
     live = folder()
@@ -112,6 +117,60 @@ def test_predictions(spark, inbox):
     assert documents.count() == 3 * windows
 
 
+def test_predictions_by_language(spark, inbox):
+    out = folder()
+    finish_query(jobs.stream_series(spark, inbox, out, series_key="lang", state_partitions=2), 300)
+    finish_query(jobs.stream_predictions(spark, out, series_key="lang", state_partitions=2), 300)
+    closed = spark.read.parquet(f"{out}/series")
+    assert closed.select("lang").distinct().count() > 1
+    documents = spark.read.json(f"{out}/documents/batch_id=*")
+    assert documents.count() == 3 * closed.count()
+
+
+def test_outputs_documents_and_replacement(spark, inbox, capsys):
+    out = folder()
+    first = jobs.stream_totals(spark, inbox, out, "1 hour", time="arrival", outputs="documents,console", state_partitions=2)
+    run(first)
+    assert malformed_lines(first[0]) == 0 and len(first) == 2
+    assert not os.path.exists(f"{out}/dump") and not os.path.exists(f"{out}/results")
+    with pytest.raises(ValueError, match="unknown outputs: paper"):
+        jobs.stream_totals(spark, inbox, folder(), outputs="paper")
+    run(jobs.stream_totals(spark, inbox, out, "1 hour", state_partitions=2))
+    run(jobs.stream_totals(spark, inbox, out, "1 hour", replace=True, state_partitions=2))
+    documents = spark.read.json(f"{out}/documents")
+    assert documents.count() == streamed(spark, "total", out).count() > 10
+    for replace in (False, False, True):
+        jobs.batch_totals(spark, f"{out}/dump/batch_id=*", f"{out}/batch", "1 hour", f"{out}/batch-documents", replace)
+        found = spark.read.json(f"{out}/batch-documents").count()
+    assert found == dumps.read_results(spark, "total", f"{out}/batch").count()
+
+
+def test_a_comparison_needs_the_earlier_run_at_its_start_only(spark, inbox):
+    out, live, arriving = folder(), folder(), folder()
+    run(jobs.stream_totals(spark, inbox, out, outputs="dump", state_partitions=2))
+    jobs.batch_totals(spark, f"{out}/dump/batch_id=*", f"{out}/batch")
+    query = jobs.compare_totals(spark, arriving, f"{out}/batch", live, "15 minutes", state_partitions=2, processingTime="1 second")
+    shutil.rmtree(f"{out}/batch")
+    with open(f"{arriving}/.posts.json", "w") as lines:
+        lines.write("\n".join(day_of_lines()))
+    os.rename(f"{arriving}/.posts.json", f"{arriving}/posts.json")
+    deadline = time.monotonic() + 120
+    while time.monotonic() < deadline and not glob.glob(f"{live}/comparison/batch_id=*/part-*"):
+        time.sleep(0.5)
+    query.processAllAvailable()
+    query.stop()
+    compared = spark.read.parquet(f"{live}/comparison")
+    assert compared.count() > 50 and compared.filter("cnt <> batch_cnt").count() <= 1
+
+
+def test_the_input_is_parsed_once(spark, inbox):
+    out = folder()
+    started = jobs.stream_totals(spark, inbox, out, state_partitions=2)
+    run(started)
+    sources = [source.description for query in started for source in query.lastProgress.sources]
+    assert sum(inbox in source for source in sources) == 1 and len(sources) == 3
+
+
 def test_flatten(spark):
     path, out = folder(), folder() + "/flat"
     with open(f"{path}/dump.json", "w") as dump:

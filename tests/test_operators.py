@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillcast.operators import comparison, counts, geo, ranking, series, shares
+from quillcast.functions.time import minute_bucket, minute_of_day
 from quillcast.operators.counts import labelled
-from quillcast.sources.capitals import profile_capitals
 
 FACTS = (
     "id bigint, ts timestamp, lang string, rt_id bigint, rt_ts timestamp, rt_lang string, "
@@ -72,20 +72,17 @@ def test_sums_agree_between_metrics(skewed):
     assert all(abs(r.pct - 100) <= 0.005 * r.n + 1e-9 for r in percent.collect())
 
 
-@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
-def test_top_x_by_brute_force(skewed, broadcast_rows):
+def test_top_x_by_brute_force(skewed):
     rows, frame = skewed
     counted = Counter((window_of(at, 3600), rt) for at, _, rt, _ in rows if rt is not None)
     expected = set()
     for window in {w for w, _ in counted}:
         ranked = sorted(((-n, rt) for (w, rt), n in counted.items() if w == window))[:5]
         expected |= {(window, rt, -n) for n, rt in ranked}
-    got = labelled(
-        ranking.top_posts(frame, "1 hour", require_author=False, broadcast_rows=broadcast_rows)
-    ).collect()
+    got = labelled(ranking.top_posts(frame, "1 hour", require_author=False)).collect()
     assert {(r.window_start, r.rt_id, r.cnt) for r in got} == expected
     assert all(r.text == f"t{r.rt_id}" for r in got)
-    shown = labelled(ranking.top_posts(frame, "1 hour", broadcast_rows=broadcast_rows)).collect()
+    shown = labelled(ranking.top_posts(frame, "1 hour")).collect()
     assert {(r.window_start, r.rt_id, r.cnt) for r in shown} == {
         row for row in expected if row[1] == 1 or row[1] % 4
     }
@@ -154,12 +151,28 @@ def test_max_share_takes_the_earliest_of_equals(spark):
 def test_geo(spark):
     rows = [(1, "x", 1, lang) for lang in ("en", "de", "xx")]
     counted = counts.reposts_per_language(facts(spark, rows))
-    got = {r.lang: (r.lat, r.lon) for r in geo.with_capital(counted, profile_capitals(spark)).collect()}
-    assert got == {"en": (38.883333, -77.0), "de": (52.516666666666666, 13.4), "xx": (0.0, 0.0)}
-    unknown = geo.unknown_languages(counted, profile_capitals(spark)).collect()
+    capitals = spark.createDataFrame([("us", 38.5, -77.0), ("de", 52.5, 13.4)], "code string, lat double, lon double")
+    got = {r.lang: (r.lat, r.lon) for r in geo.with_capital(counted, capitals).collect()}
+    assert got == {"en": (38.5, -77.0), "de": (52.5, 13.4), "xx": (0.0, 0.0)}
+    unknown = geo.unknown_languages(counted, capitals).collect()
     assert [tuple(r) for r in unknown] == [("xx", "xx", 1)]
 
 
+def test_slots_and_buckets_do_not_follow_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        # Across the clock change of 28 October 2018, and before the epoch.
+        rows = [(n, ms) for n, ms in enumerate((1_540_685_999_000, 1_540_686_000_000, 1_540_690_500_000, -61_000))]
+        frame = spark.createDataFrame(rows, "n int, ms long").withColumn("ts", F.timestamp_millis("ms"))
+        got = frame.orderBy("n").select(
+            minute_of_day(F.col("ts")).alias("slot"), F.unix_millis(minute_bucket(F.col("ts"), 25)).alias("bucket")
+        ).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r.slot for r in got] == [ms // 60_000 % 1440 // 15 * 15 for _, ms in rows]
+    assert [r.bucket for r in got] == [ms // 3_600_000 * 3_600_000 + ms % 3_600_000 // 1_500_000 * 1_500_000 for _, ms in rows]
+
+
 def test_comparison_uses_24_hours_and_the_latest_day(spark):
     def result(rows):
         return spark.createDataFrame(rows, "window_start timestamp, cnt bigint")

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from quillcast.operators import counts, series, shares
+from quillcast.operators import counts, ranking, series, shares
 from quillcast.operators.counts import labelled
 from quillcast.plans import catalog
 
@@ -38,6 +38,13 @@ def test_a_count_is_one_scan_and_one_shuffle(spark, sf_dir, count):
     assert "partial_" in plan and "SortAggregate" not in plan
 
 
+def test_top_posts_sort_no_reposts(spark, sf_dir):
+    """Payloads are aggregated behind the join with the winners only."""
+    plan = plan_of(ranking.top_posts(catalog.facts(spark, sf_dir), "1 day"))
+    below = plan.split("SortAggregate")[-1] if "SortAggregate" in plan else plan
+    assert "Join" in below and plan.count("FileScan") == 2
+
+
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     plan = plan_of(counts.reposts_per_window(catalog.facts(spark, sf_dir)))
     assert "Not(EqualTo(event_type,error))" in plan

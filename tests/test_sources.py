@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quillcast.operators.counts import reposts_per_language
 from quillcast.sinks import files
 from quillcast.sources import dumps, posts
-from quillcast.sources.capitals import profile_capitals, read_capitals, read_capitals_json
+from quillcast.sources.capitals import read_capitals, read_capitals_json
 
 AT = "Mon Oct 29 14:45:07 +0000 2018"
 FULL = {
@@ -147,6 +147,38 @@ def test_top_dump_keeps_quotes(spark):
     assert rows[0].rt_ts == datetime(2018, 10, 29, 8) and rows[1].rt_ts is None
 
 
+def test_dumps_keep_commas_quotes_and_breaks(spark):
+    lines = [
+        (1, datetime(2018, 10, 29), 'a,b "c"', 5, datetime(2018, 10, 28), 'x,"y"\nz'),
+        (2, datetime(2018, 10, 29), ",", 5, datetime(2018, 10, 28), ","),
+        (3, datetime(2018, 10, 29), None, None, None, None),
+    ]
+    facts = spark.createDataFrame(lines, "id long, ts timestamp, lang string, rt_id long, rt_ts timestamp, rt_screen_name string")
+    found = {}
+    for kind in ("total", "lang", "top"):
+        path = tempfile.mkdtemp(prefix="run-") + f"/{kind}"
+        files.write_dump(facts, kind, path)
+        found[kind] = dumps.dump_facts(dumps.read_dump(spark, kind, path), kind).orderBy("id").collect()
+        assert dumps.broken_lines(spark, kind, path) == 0
+    assert [r.rt_id for r in found["total"]] == [5, 5, None]
+    assert [r.lang for r in found["lang"]] == ['a,b "c"', ",", None]
+    assert [r.rt_id for r in found["top"]] == [5, 5, None]
+    assert found["top"][1].rt_screen_name == "'\\\",\\\"'" and "\\n" in found["top"][0].rt_screen_name
+
+
+def test_broken_lines_are_counted(spark):
+    path = lines_dir(["1,en,1540824307000,-1", "3,de,15408", "x,de,1,1", "", "4,a,b,2,3"])
+    assert dumps.broken_lines(spark, "lang", path) == 3
+    assert [r.lang for r in dumps.read_dump(spark, "lang", path).orderBy("id").collect()] == ["en", "a,b"]
+
+
+def test_flattened_lists(spark):
+    path, out = lines_dir([json.dumps([{"_source": {"a": 1, "tags": ["x", None], "n": None, "e": []}}])]), tempfile.mkdtemp(prefix="run-") + "/flat"
+    docs = dumps.read_index_dump(spark, path, "a bigint, tags array<string>, n array<string>, e array<bigint>")
+    files.write_flattened(docs, out)
+    assert [r.value for r in spark.read.text(out).collect()] == ["1,x,null,null"]
+
+
 def test_capitals_from_lines(spark):
     path = lines_dir([
         "CountryName,CapitalName,CapitalLatitude,CapitalLongitude,CountryCode,ContinentName",
@@ -169,11 +201,6 @@ def test_capitals_from_json(spark):
     assert [tuple(r) for r in read_capitals_json(spark, path).collect()] == [("us", 38.883333, -77.0)]
 
 
-def test_profile_capitals(spark):
-    rows = {r.code: (r.lat, r.lon) for r in profile_capitals(spark).collect()}
-    assert rows["us"] == (38.883333, -77.0) and rows["de"] == (52.516666666666666, 13.4)
-
-
 def test_index_dump_is_flattened_in_document_order(spark):
     hits = [{"_source": {"b": "x", "loc": {"lat": 1.5, "lon": 2.5}, "a": 3}}]
     path = lines_dir([json.dumps(hits, indent=2)])
@@ -200,7 +227,10 @@ def test_documents_are_added_or_replaced(spark):
 
 def test_result_files_keep_awkward_texts(spark):
     path = tempfile.mkdtemp(prefix="run-") + "/top"
-    rows = [(datetime(2018, 10, 29), i, "n", text, 3) for i, text in enumerate(['a "b", c', "two\nlines", "back\\slash\\"])]
+    texts = [
+        'a "b", c', "two\nlines", "back\\slash\\", "  lead and trail  ", "x\r\ny", "", None, "\\n \\\\n \\e", "\t", '"', "\n", "a\rb",
+    ]
+    rows = [(datetime(2018, 10, 29), i, text, text, 3) for i, text in enumerate(texts)]
     result = spark.createDataFrame(
         rows, "window_start timestamp, rt_id bigint, screen_name string, text string, cnt bigint"
     )

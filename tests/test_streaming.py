@@ -16,7 +16,6 @@ from quillcast.operators.counts import labelled
 from quillcast.session import scratch_dir
 from quillcast.sinks import files
 from quillcast.sources import dumps, posts
-from quillcast.sources.capitals import profile_capitals
 from quillcast.streaming import metrics, predictors, runner
 
 NOON = datetime(2018, 10, 29, 12)
@@ -126,10 +125,11 @@ def test_stream_equals_batch_up_to_the_last_window(spark, name):
 
 
 def test_geo_stream(spark):
-    inbox = Inbox(spark, lambda f: metrics.reposts_per_country(f, profile_capitals(spark)))
+    capitals = spark.createDataFrame([("us", 38.5, -77.0), ("de", 52.5, 13.4)], "code string, lat double, lon double")
+    inbox = Inbox(spark, lambda f: metrics.reposts_per_country(f, capitals))
     inbox.receive([line(1, 0, "en", 5, "de"), line(2, 1, "en", 5, "xx"), line(3, 2000, "en", 5, "de")])
     got = {r.lang: (r.lat, r.lon, r.cnt) for r in inbox.run().collect()}
-    assert got == {"de": (52.516666666666666, 13.4, 1), "xx": (0.0, 0.0, 1)}
+    assert got == {"de": (52.5, 13.4, 1), "xx": (0.0, 0.0, 1)}
 
 
 def test_late_posts_are_dropped(spark):
@@ -141,6 +141,28 @@ def test_late_posts_are_dropped(spark):
     assert {(r.window_start, r.cnt) for r in got} == {(NOON, 1), (NOON + timedelta(minutes=15), 1)}
 
 
+def test_dropped_and_malformed_lines_are_reported(spark):
+    path, work = tempfile.mkdtemp(prefix="run-"), scratch_dir(spark, "reported")
+
+    def receive(name, lines):
+        with open(f"{path}/{name}.json", "w") as out:
+            out.write("\n".join(lines))
+        facts = metrics.with_time(posts.stream_facts(spark, path), "event", "1 minute")
+        query = runner.start(
+            metrics.reposts_per_window(facts)[0], f"{work}/checkpoint", {f"{work}/out": runner.parquet}, state_partitions=2
+        )
+        runner.finish_query(query, 120)
+        return runner.dropped_rows(query), runner.observed(query, posts.PARSED)
+
+    assert receive("a", [line(1, 0, "en", 5), line(2, 3000, "en", 5), "{bad", '{"delete": null}']) == (
+        0, {"lines": 4, "notices": 1, "malformed": 1},
+    )
+    dropped, seen = receive("b", [line(3, 10, "en", 5), line(4, 5000, "en", 5)])
+    assert dropped == 1 and seen == {"lines": 2, "notices": 0, "malformed": 0}
+    with pytest.raises(ValueError, match="event, arrival"):
+        metrics.with_time(posts.stream_facts(spark, path), "processing")
+
+
 def test_restart_goes_on_from_the_checkpoint(spark):
     inbox = Inbox(spark, metrics.reposts_per_window)
     inbox.receive([line(1, 0, "en", 5), line(2, 10, "en", 5)])
