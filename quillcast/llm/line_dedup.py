@@ -1,10 +1,11 @@
 """Fuzzy line deduplication: MinHash of character shingles, banding, exact check, union-find.
 
-Lines are brought together by bands of their signature, linked in a star per band bucket,
-and every link is checked by the exact Jaccard similarity of the shingle sets. Members of
-a bucket in which a star link failed and which are still apart are compared one by one
-afterwards, so a star never hides a link. One line per connected component stays: its
-first by document id and line number.
+Lines are brought together by bands of their signature. In a band's bucket each line is
+linked to the bucket's leader and to the line whose signature is nearest to its own, two
+candidates per line however large the bucket, and every bucket has a leader of its own. All
+candidates that can still join two components are checked by the exact Jaccard similarity of
+their shingle sets. One line per connected component stays: its first by document id and
+line number.
 """
 
 from __future__ import annotations
@@ -12,16 +13,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillcast.llm.common import narrowed
-from quillcast.llm.components import components
+from quillcast.llm.components import components, forest
 from quillcast.session import written
 
 #: 14 bands of 4 rows bring a pair at similarity 0.8 together with a chance of 99.9 %.
 BANDS, ROWS = 14, 4
+#: Lines of one bucket compared with each other when looking for the nearest.
+BLOCK = 512
 #: Characters signed at a time; the working arrays stay in the processor's cache.
 STEP_CHARS = 100_000
 
@@ -37,7 +41,7 @@ def jaccard(a: set, b: set) -> float:
 
 
 def band_hashes(lines: list[str], size: int, bands: int = BANDS, rows: int = ROWS, seed: int = 7) -> np.ndarray:
-    """One row of band hashes per line."""
+    """One row per line: its band hashes, and last a sketch of one bit per minimum."""
     rng = np.random.default_rng(seed)
     flips = rng.integers(0, 2**32, bands * rows, dtype=np.uint32)
     factors = rng.integers(0, 2**31, bands * rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -63,13 +67,15 @@ def band_hashes(lines: list[str], size: int, bands: int = BANDS, rows: int = ROW
         for row in range(bands * rows):
             minima[row, at:end] = np.minimum.reduceat((short ^ flips[row]) * factors[row], cuts)[::2]
         at = end
-    found = np.empty((len(lines), bands), dtype=np.uint64)
+    found = np.zeros((len(lines), bands + 1), dtype=np.uint64)
     for band in range(bands):
         value = np.full(len(lines), band + 1, dtype=np.uint64)
         for row in range(rows):
             value = (value ^ minima[band * rows + row]) * np.uint64(0x9E3779B97F4A7C15)
             value ^= value >> np.uint64(32)
         found[:, band] = value
+    for row in range(bands * rows):
+        found[:, bands] |= ((minima[row] * np.uint32(2654435761)) >> np.uint32(31)).astype(np.uint64) << np.uint64(row)
     return found
 
 
@@ -88,50 +94,82 @@ def _bucketed(size: int):
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             once = dict(zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True))
-            buckets = band_hashes(list(once.values()), size).view(np.int64)
+            hashes = band_hashes(list(once.values()), size).view(np.int64)
+            buckets = hashes[:, :BANDS].ravel()
             keys = np.repeat(np.fromiter(once, dtype=np.int64, count=len(once)), BANDS)
             # The bucket makes another order of each: every bucket gets a leader of its own.
-            yield pa.RecordBatch.from_arrays([pa.array(buckets.ravel()), pa.array(keys ^ buckets.ravel())], names=["bucket", "turn"])
+            columns = (buckets, keys ^ buckets, np.repeat(hashes[:, BANDS], BANDS))
+            yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names=["bucket", "turn", "sketch"])
 
     return signed
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Link each member to its bucket's first. Rows come sorted by bucket and turn."""
-    last_bucket = last_turn = leader = None
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Two links per member of a bucket. Rows come sorted by bucket and turn.
+
+    A bucket is held until it has ended or grown beyond a block, not longer.
+    """
+    held = tuple(np.empty(0, dtype=np.int64) for _ in range(3))
+    leading: tuple[int, int] | None = None
+
+    def linked(buckets: np.ndarray, turns: np.ndarray, sketches: np.ndarray) -> pa.RecordBatch:
+        nonlocal leading
+        once = np.concatenate(([True], (buckets[1:] != buckets[:-1]) | (turns[1:] != turns[:-1])))
+        buckets, turns, sketches = buckets[once], turns[once], sketches[once]
+        heads = np.flatnonzero(np.concatenate(([True], buckets[1:] != buckets[:-1])))
+        sizes = np.diff(np.append(heads, len(buckets)))
+        leaders = np.repeat(turns[heads], sizes)
+        if leading is not None and leading[0] == buckets[0]:
+            leaders[: sizes[0]] = leading[1]
+        leading = (buckets[-1], leaders[-1])
+        nearest = turns.copy()
+        for head, size in zip(heads[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+            for begin in range(head, head + size, BLOCK):
+                end = min(begin + BLOCK, head + size)
+                apart = np.bitwise_count(sketches[begin:end, None] ^ sketches[None, begin:end])
+                np.fill_diagonal(apart, 64)
+                nearest[begin:end] = turns[begin + apart.argmin(axis=1)]
+        a, b = np.concatenate((leaders, nearest)), np.concatenate((turns, turns))
+        buckets = np.concatenate((buckets, buckets))
+        wanted = a != b
+        a, b = a[wanted] ^ buckets[wanted], b[wanted] ^ buckets[wanted]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
     for batch in batches:
-        buckets, turns = (batch.column(name).to_numpy() for name in ("bucket", "turn"))
-        if not len(buckets):
+        if not batch.num_rows:
             continue
-        new = np.concatenate(([buckets[0] != last_bucket], buckets[1:] != buckets[:-1]))
-        again = ~new & np.concatenate(([turns[0] == last_turn], turns[1:] == turns[:-1]))
-        heads = np.where(new, np.arange(len(buckets)), -1)
-        heads = np.maximum.accumulate(heads)
-        leaders = np.where(heads >= 0, turns[heads], leader if leader is not None else 0)
-        member = ~new & ~again
-        last_bucket, last_turn, leader = buckets[-1], turns[-1], leaders[-1]
-        kept = buckets[member]
-        yield pa.RecordBatch.from_arrays([pa.array(kept), pa.array(leaders[member] ^ kept), pa.array(turns[member] ^ kept)], names=["bucket", "leader", "key"])
+        held = tuple(np.concatenate((old, batch.column(at).to_numpy())) for at, old in enumerate(held))
+        cut = int(np.searchsorted(held[0], held[0][-1]))
+        if len(held[0]) - cut > BLOCK:
+            cut = len(held[0])
+        if cut:
+            yield linked(*(column[:cut] for column in held))
+            held = tuple(column[cut:] for column in held)
+    if len(held[0]):
+        yield linked(*held)
+
+
+def _spanning(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        yield pd.DataFrame(list(forest(zip(frame["lo"], frame["hi"], strict=True))), columns=["lo", "hi"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
-    """(a, b, lo, hi, near) for pairs of keys, lo and hi being the lines' digests."""
+    """Of the pairs of digests (lo, hi) those whose lines are similar enough."""
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            last, left = None, set()
-            near = []
-            for a, b in zip(batch.column("a_text").to_pylist(), batch.column("b_text").to_pylist(), strict=True):
+            last, left, near = None, set(), []
+            for a, b in zip(batch.column("lo_text").to_pylist(), batch.column("hi_text").to_pylist(), strict=True):
                 if a != last:
                     last, left = a, shingles(a, size)
                 near.append(jaccard(left, shingles(b, size)) >= similarity)
-            yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in ("a", "b", "lo", "hi")), pa.array(near)], names=["a", "b", "lo", "hi", "near"])
-
-    def side(name: str, digest: str) -> DataFrame:
-        return texts.select(F.col("key").alias(name), F.col("digest").alias(digest), F.col("text").alias(f"{name}_text"))
+            yield pa.RecordBatch.from_arrays([batch.column("lo"), batch.column("hi")], names=["lo", "hi"]).filter(pa.array(near, pa.bool_()))
 
-    both = pairs.join(side("a", "lo"), "a").join(side("b", "hi"), "b").where("lo <> hi")
-    return both.mapInArrow(checked, "a long, b long, lo binary, hi binary, near boolean")
+    lo = texts.select(F.col("digest").alias("lo"), F.col("text").alias("lo_text"))
+    hi = texts.select(F.col("digest").alias("hi"), F.col("text").alias("hi_text"))
+    both = pairs.join(hi, "hi").join(lo, "lo").select("lo", "hi", "lo_text", "hi_text")
+    return both.mapInArrow(checked, "lo binary, hi binary")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 8, similarity: float = 0.8) -> DataFrame:
@@ -145,40 +183,26 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     kept or dropped together. Empty tables give no rows; other columns are ignored.
     """
     lines = _keyed(lines_of(docs, id_col, text_col))
-    bucketed = lines.select("key", "text").mapInArrow(_bucketed(size), "bucket long, turn long")
+    bucketed = lines.select("key", "text").mapInArrow(_bucketed(size), "bucket long, turn long, sketch long")
     sorted_ = bucketed.repartition("bucket").sortWithinPartitions("bucket", "turn")
-    stars = written(sorted_.mapInArrow(_stars, "bucket long, leader long, key long"), "stars")
-    pairs = written(stars.select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct(), "pairs")
+    pairs = written(sorted_.mapInArrow(_candidates, "a long, b long").distinct(), "pairs")
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "colliding")
     texts = written(lines.join(wanted, "key", "left_semi").select("key", "digest", "text").dropDuplicates(["digest"]), "texts")
+    first, second = (texts.select(F.col("key").alias(key), F.col("digest").alias(digest)) for key, digest in (("a", "lo"), ("b", "hi")))
     # Different lines under one key are candidates too.
-    twins = texts.groupBy("key").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi")
-    tested = written(_verified(pairs.union(twins.select("key", "key")), texts, size, similarity), "tested")
-    links = tested.where("near").select("lo", "hi")
-    roots = written(components(links), "roots")
-
-    failed = tested.where(~F.col("near")).select("a", "b")
-    open_ = written(stars.join(failed, (stars["leader"] == failed["a"]) & (stars["key"] == failed["b"])).select("bucket").distinct(), "open")
-    if not open_.isEmpty():
-        inside = stars.join(open_, "bucket", "left_semi")
-        members = inside.select("bucket", "key").union(inside.select("bucket", F.col("leader").alias("key"))).distinct()
-        placed = written(
-            members.join(texts.select("key", "digest"), "key")
-            .join(roots, F.col("digest") == F.col("node"), "left")
-            .select("bucket", "key", F.coalesce("root", "digest").alias("root")),
-            "apart",
-        )
-        other = placed.select(F.col("bucket").alias("other_bucket"), F.col("key").alias("b"), F.col("root").alias("other_root"))
-        # Only members that are still in different components, from buckets of three or more.
-        apart = (
-            placed.join(other, (placed["bucket"] == other["other_bucket"]) & (placed["root"] < other["other_root"]))
-            .select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b"))
-            .distinct()
-        )
-        known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        more = written(_verified(apart.join(known, ["a", "b"], "left_anti"), texts, size, similarity).where("near").select("lo", "hi"), "late-links")
-        if not more.isEmpty():
-            roots = written(components(links.union(more)), "roots")
+    twins = texts.groupBy("key").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("lo", "hi")
+    candidates = written(pairs.join(first, "a").join(second, "b").select("lo", "hi").where("lo <> hi").union(twins), "candidates")
+    # A spanning forest first; then only what would still join two components needs a look.
+    found = written(_verified(candidates.mapInPandas(_spanning, "lo binary, hi binary"), texts, size, similarity), "similar")
+    roots = written(components(found), "roots")
+    lo_root = roots.select(F.col("node").alias("lo"), F.col("root").alias("lo_root"))
+    hi_root = roots.select(F.col("node").alias("hi"), F.col("root").alias("hi_root"))
+    apart = (
+        candidates.join(lo_root, "lo", "left").join(hi_root, "hi", "left").where(F.coalesce("lo_root", "lo") != F.coalesce("hi_root", "hi")).select("lo", "hi")
+    )
+    late = written(_verified(apart, texts, size, similarity), "late")
+    if not late.isEmpty():
+        roots = written(components(found.union(late)), "roots")
 
     where = written(lines.select("doc", "line", "digest"), "places")
     firsts = written(where.groupBy("digest").agg(F.min(F.struct("doc", "line")).alias("first")), "firsts")
