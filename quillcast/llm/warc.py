@@ -32,6 +32,8 @@ from quillcast.session import scratch_dir, written
 
 #: Captures per block.
 BLOCK = 1000
+#: Records that one task of a lookup reads.
+READS = 5000
 #: Archive files that a lookup keeps open.
 OPEN_FILES = 64
 RECORD_ID = "urn:quillcast:page:"
@@ -222,7 +224,9 @@ def lookup(wanted: DataFrame, shards: DataFrame, base: str) -> DataFrame:
     The shards' first keys, one row per task of the index, go to every task. Keys are
     dealt out by ranges of their own, so tasks read neighbouring blocks once.
     """
-    tops = sorted(((_key(row["url_key"], row["page"]), row["file"], row["directory"]) for row in shards.collect()), key=lambda top: top[0])
+    index = shards.collect()
+    tops = sorted(((_key(row["url_key"], row["page"]), row["file"], row["directory"]) for row in index), key=lambda top: top[0])
+    tasks = -(-sum(row["rows"] for row in index) // READS) or 1
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, folder = file_system(base)
@@ -253,7 +257,7 @@ def lookup(wanted: DataFrame, shards: DataFrame, base: str) -> DataFrame:
         for file in files.values():
             file.close()
 
-    ranged = wanted.repartitionByRange("url_key", "page").sortWithinPartitions("url_key", "page")
+    ranged = wanted.repartitionByRange(tasks, "url_key", "page").sortWithinPartitions("url_key", "page")
     return ranged.mapInArrow(found, LOOKUP)
 
 
