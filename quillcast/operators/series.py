@@ -10,6 +10,7 @@ sums. Only the summaries, a thousandth of the windows, are ordered as a whole.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from quillcast.functions.time import scale_window
 AVERAGE = "AVG"
 REGRESSION = "SIMPLEREGRESSION"
 TRACKING = "REINFORCEMENT"
+TYPES = (AVERAGE, REGRESSION, TRACKING)
 
 
 def block_length(step: float) -> int:
@@ -38,108 +40,187 @@ def predict(
     history: int = 5,
     step: float = 0.1,
     series_key: str | None = None,
+    types: Iterable[str] = TYPES,
 ) -> DataFrame:
     """Predictions for ``window_start, cnt``: one row per window and predictor.
 
     ``AVG`` is the mean of the last ``history`` counts, ``SIMPLEREGRESSION`` the
     least-squares line through the origin over epoch milliseconds (0 until two
     windows are known), ``REINFORCEMENT`` moves by ``step`` towards each count.
-    ``window`` is the length of one window of the series.
+    ``window`` is the length of one window of the series. Only what the asked-for
+    ``types`` need is computed.
     """
-    if not 0 < step < 1:
-        raise ValueError("step lies between 0 and 1")
-    keys = [series_key] if series_key else []
-    keep = 1.0 - step
-    length = block_length(step)
-    block = F.window("window_start", scale_window(window, length))["start"]
-
-    in_block = Window.partitionBy(*keys, "block").orderBy("window_start")
-    earlier = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    weight = F.when(F.col("i") < length, F.pow(F.lit(keep), -F.col("i"))).otherwise(
-        F.raise_error(F.lit(f"the series has more than one row per {window} and key"))
-    )
-    grown = F.sum(F.col("cnt") * weight).over(earlier)
-    rows = (
-        series.withColumns(
-            {
-                # Never NULL: the join below would otherwise filter one side's scan for
-                # it, and the two sides would no longer share their common stages.
-                "block": F.coalesce(F.unix_millis(block), F.lit(0)),
-                "x": F.unix_millis("window_start").cast("double"),
-            }
+    return _Blocks(series, window, history, step, series_key).predictions(tuple(types))
+
+
+def advance(
+    series: DataFrame,
+    before: DataFrame | None,
+    window: str = "1 minute",
+    history: int = 5,
+    step: float = 0.1,
+    series_key: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Predictions for the next windows of a series, and what to carry on from there.
+
+    ``before`` is what the previous call carried: one row per key (``n, xy, xx, v,
+    recent``); None at the beginning.
+    """
+    blocks = _Blocks(series, window, history, step, series_key, before)
+    return blocks.predictions(TYPES), blocks.state()
+
+
+class _Blocks:
+    """A series cut into blocks, with the running sums of its predictors."""
+
+    def __init__(
+        self,
+        series: DataFrame,
+        window: str,
+        history: int,
+        step: float,
+        series_key: str | None,
+        before: DataFrame | None = None,
+    ):
+        if not 0 < step < 1:
+            raise ValueError("step lies between 0 and 1")
+        self.keys = [series_key] if series_key else []
+        self.history, self.step, self.keep, self.before = history, step, 1.0 - step, before
+        length = block_length(step)
+        block = F.window("window_start", scale_window(window, length))["start"]
+        in_block = Window.partitionBy(*self.keys, "block").orderBy("window_start")
+        earlier = in_block.rowsBetween(Window.unboundedPreceding, -1)
+        weight = F.when(F.col("i") < length, F.pow(F.lit(self.keep), -F.col("i"))).otherwise(
+            F.raise_error(F.lit(f"the series has more than one row per {window} and key"))
+        )
+        grown = F.sum(F.col("cnt") * weight).over(earlier)
+        self.rows = (
+            series.withColumns(
+                {
+                    # Never NULL: the join below would otherwise filter one side's scan for
+                    # it, and the two sides would no longer share their common stages.
+                    "block": F.coalesce(F.unix_millis(block), F.lit(0)),
+                    "x": F.unix_millis("window_start").cast("double"),
+                }
+            )
+            .withColumn("i", F.row_number().over(in_block) - 1)
+            .withColumns(
+                {
+                    "xy": _or_zero(F.sum(F.col("x") * F.col("cnt")).over(earlier)),
+                    "xx": _or_zero(F.sum(F.col("x") * F.col("x")).over(earlier)),
+                    "v": step * F.pow(F.lit(self.keep), F.col("i") - 1) * _or_zero(grown),
+                    "recent": F.collect_list("cnt").over(in_block.rowsBetween(-history, -1)),
+                }
+            )
         )
-        .withColumn("i", F.row_number().over(in_block) - 1)
-        .withColumns(
+
+    def _parts(self, types: tuple[str, ...]) -> dict[str, Column]:
+        """A block's summary behind its last window, as far as the predictors need it."""
+        parts = {"n": F.col("i") + 1}
+        if REGRESSION in types:
+            parts["xy"] = F.col("xy") + F.col("x") * F.col("cnt")
+            parts["xx"] = F.col("xx") + F.col("x") * F.col("x")
+        if TRACKING in types:
+            parts["v"] = self.keep * F.col("v") + self.step * F.col("cnt")
+        if AVERAGE in types:
+            parts["recent"] = _last(F.concat("recent", F.array("cnt")), self.history)
+        return parts
+
+    def _carried(self, types: tuple[str, ...]) -> DataFrame:
+        """Per block its summary ``b`` and the state of all that lies before it."""
+        parts = [value.alias(name) for name, value in self._parts(types).items()]
+        blocks = self.rows.groupBy(*self.keys, "block").agg(
+            F.max_by(F.struct(*parts), "window_start").alias("b")
+        )
+        in_order = Window.partitionBy(*self.keys).orderBy("block")
+        before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+        sums = {"n0": F.coalesce(F.sum("b.n").over(before), F.lit(0))}
+        if REGRESSION in types:
+            sums |= {f"{name}0": _or_zero(F.sum(f"b.{name}").over(before)) for name in ("xy", "xx")}
+        if TRACKING in types:
+            # Every block holds at least one window, so this many blocks reach back far enough.
+            fading = in_order.rowsBetween(-memory_length(self.step), -1)
+            sums["v0"] = F.aggregate(
+                F.collect_list(F.struct("b.n", "b.v")).over(fading),
+                F.lit(0.0),
+                lambda v, b: F.pow(F.lit(self.keep), b["n"]) * v + b["v"],
+            )
+        if AVERAGE in types:
+            recent = F.collect_list("b.recent").over(in_order.rowsBetween(-self.history, -1))
+            sums["recent0"] = _last(F.flatten(recent), self.history)
+        carried = blocks.select(*self.keys, "block", "b", *[value.alias(name) for name, value in sums.items()])
+        if self.before is None:
+            return carried
+        old = F.struct(*[F.col(name) for name in ("n", "xy", "xx", "v", "recent")]).alias("old")
+        if self.keys:
+            joined = carried.join(self.before.select(*self.keys, old), self.keys, "left")
+        else:
+            # One row of a few numbers; as values they need no join.
+            row = self.before.first()
+            values = [F.lit(row[name]).alias(name) for name in ("n", "xy", "xx", "v")] if row else []
+            known = F.struct(*values, F.array(*map(F.lit, row["recent"])).cast("array<bigint>").alias("recent")) if row else None
+            kind = "struct<n:bigint,xy:double,xx:double,v:double,recent:array<bigint>>"
+            joined = carried.withColumn("old", known if row else F.lit(None).cast(kind))
+        empty = F.array().cast("array<bigint>")
+        return joined.withColumns(
             {
-                "xy": _or_zero(F.sum(F.col("x") * F.col("cnt")).over(earlier)),
-                "xx": _or_zero(F.sum(F.col("x") * F.col("x")).over(earlier)),
-                "v": step * F.pow(F.lit(keep), F.col("i") - 1) * _or_zero(grown),
-                "recent": F.collect_list("cnt").over(in_block.rowsBetween(-history, -1)),
+                "v0": F.pow(F.lit(self.keep), F.col("n0")) * _or_zero(F.col("old.v")) + F.col("v0"),
+                "n0": F.coalesce("old.n", F.lit(0)) + F.col("n0"),
+                "xy0": _or_zero(F.col("old.xy")) + F.col("xy0"),
+                "xx0": _or_zero(F.col("old.xx")) + F.col("xx0"),
+                "recent0": _last(F.concat(F.coalesce("old.recent", empty), "recent0"), self.history),
             }
+        ).drop("old")
+
+    def predictions(self, types: tuple[str, ...]) -> DataFrame:
+        values = {}
+        if AVERAGE in types:
+            recent = _last(F.concat("recent0", "recent"), self.history)
+            total = F.aggregate(recent, F.lit(0).cast("bigint"), lambda s, c: s + c)
+            values[AVERAGE] = F.when(F.size(recent) > 0, total / F.size(recent)).otherwise(0.0)
+        if REGRESSION in types:
+            xx = F.col("xx0") + F.col("xx")
+            values[REGRESSION] = F.when(
+                (F.col("n0") + F.col("i") >= 2) & (xx > 0),
+                F.col("x") * (F.col("xy0") + F.col("xy")) / xx,
+            ).otherwise(0.0)
+        if TRACKING in types:
+            values[TRACKING] = F.pow(F.lit(self.keep), F.col("i")) * F.col("v0") + F.col("v")
+        listed = F.array(
+            *[
+                F.struct(F.lit(name).alias("prediction_type"), value.alias("prediction"))
+                for name, value in values.items()
+            ]
         )
-    )
-
-    blocks = rows.groupBy(*keys, "block").agg(
-        F.max_by(
-            F.struct(
-                (F.col("i") + 1).alias("n"),
-                (F.col("xy") + F.col("x") * F.col("cnt")).alias("xy"),
-                (F.col("xx") + F.col("x") * F.col("x")).alias("xx"),
-                (keep * F.col("v") + step * F.col("cnt")).alias("v"),
-                _last(F.concat("recent", F.array("cnt")), history).alias("recent"),
-            ),
-            "window_start",
-        ).alias("b")
-    )
-    in_order = Window.partitionBy(*keys).orderBy("block")
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    # Every block holds at least one window, so this many blocks reach back far enough.
-    fading = in_order.rowsBetween(-memory_length(step), -1)
-    recent_blocks = in_order.rowsBetween(-history, -1)
-    carried = blocks.select(
-        *keys,
-        "block",
-        F.coalesce(F.sum("b.n").over(before), F.lit(0)).alias("n0"),
-        _or_zero(F.sum("b.xy").over(before)).alias("xy0"),
-        _or_zero(F.sum("b.xx").over(before)).alias("xx0"),
-        F.aggregate(
-            F.collect_list(F.struct("b.n", "b.v")).over(fading),
-            F.lit(0.0),
-            lambda v, b: F.pow(F.lit(keep), b["n"]) * v + b["v"],
-        ).alias("v0"),
-        _last(F.flatten(F.collect_list("b.recent").over(recent_blocks)), history).alias("recent0"),
-    )
-
-    recent = _last(F.concat("recent0", "recent"), history)
-    total = F.aggregate(recent, F.lit(0).cast("bigint"), lambda s, c: s + c)
-    average = F.when(F.size(recent) > 0, total / F.size(recent)).otherwise(0.0)
-    xx = F.col("xx0") + F.col("xx")
-    regression = F.when(
-        (F.col("n0") + F.col("i") >= 2) & (xx > 0), F.col("x") * (F.col("xy0") + F.col("xy")) / xx
-    ).otherwise(0.0)
-    tracking = F.pow(F.lit(keep), F.col("i")) * F.col("v0") + F.col("v")
-    return (
-        rows.join(carried, [*keys, "block"])
-        .select(
-            *keys,
-            "window_start",
-            "cnt",
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(F.lit(name).alias("prediction_type"), value.alias("prediction"))
-                        for name, value in (
-                            (AVERAGE, average),
-                            (REGRESSION, regression),
-                            (TRACKING, tracking),
-                        )
-                    ]
-                )
-            ),
+        return (
+            self.rows.join(self._carried(types).drop("b"), [*self.keys, "block"])
+            .select(*self.keys, "window_start", "cnt", F.inline(listed))
+            .withColumn("deviation", F.col("cnt") - F.col("prediction"))
+            .select(*self.keys, "prediction_type", "window_start", "cnt", "prediction", "deviation")
+        )
+
+    def state(self) -> DataFrame:
+        """One row per key: the state behind the last window, of keys without new ones as it was."""
+        names = ("n", "xy", "xx", "v", "recent")
+        values = {
+            "n": F.col("n0") + F.col("b.n"),
+            "xy": F.col("xy0") + F.col("b.xy"),
+            "xx": F.col("xx0") + F.col("b.xx"),
+            "v": F.pow(F.lit(self.keep), F.col("b.n")) * F.col("v0") + F.col("b.v"),
+            "recent": _last(F.concat("recent0", "b.recent"), self.history),
+        }
+        last = self._carried(TYPES).select(
+            *self.keys, "block", F.struct(*[value.alias(name) for name, value in values.items()]).alias("s")
         )
-        .withColumn("deviation", F.col("cnt") - F.col("prediction"))
-        .select(*keys, "prediction_type", "window_start", "cnt", "prediction", "deviation")
-    )
+        new = last.groupBy(*self.keys).agg(F.max_by("s", "block").alias("s")).where("s is not null")
+        new = new.select(*self.keys, *[F.col(f"s.{name}") for name in names])
+        if self.before is None:
+            return new
+        if self.keys:
+            return new.union(self.before.join(new, self.keys, "left_anti").select(*new.columns))
+        # Without a key both sides are one row at most; the one that has seen more windows counts.
+        both = new.union(self.before.select(*new.columns))
+        return both.agg(F.max_by(F.struct(*names), "n").alias("s")).where("s is not null").select("s.*")
 
 
 def only(predictions: DataFrame, prediction_type: str) -> DataFrame:

@@ -396,15 +396,15 @@ def _rounded(predictions: DataFrame) -> DataFrame:
     )
 
 
-def _predictions(spark, sf_dir, window="1 minute"):
+def _predictions(spark, sf_dir, window="1 minute", types=series.TYPES):
     counted = labelled(counts.reposts_per_window(facts(spark, sf_dir), window))
-    return series.predict(counted, window)
+    return series.predict(counted, window, types=types)
 
 
 def _prediction_query(name: str, kind: str) -> None:
     @query(name, _sql(_series_sql("1 minute") + _prediction_sql(kind)))
     def run(spark, sf_dir):
-        return _rounded(_predictions(spark, sf_dir).filter(F.col("prediction_type") == kind))
+        return _rounded(_predictions(spark, sf_dir, types=[kind]))
 
 
 _prediction_query("predict_avg", series.AVERAGE)
@@ -684,7 +684,7 @@ for _kind in _RESULTS:
 )
 def result_file_prediction(spark, sf_dir):
     path = scratch_dir(spark, "result-prediction")
-    average = series.only(_predictions(spark, sf_dir, HOUR), series.AVERAGE)
+    average = series.only(_predictions(spark, sf_dir, HOUR, [series.AVERAGE]), series.AVERAGE)
     files.write_results(_rounded(average), "prediction", path)
     return dumps.read_results(spark, "prediction", path)
 
@@ -761,7 +761,9 @@ def _stream(spark, sf_dir):
     return metrics.with_event_time(event_facts(stream_events(spark, sf_dir)))
 
 
-def run_stream(spark: SparkSession, name: str, stream: DataFrame, finish=None) -> DataFrame:
+def run_stream(
+    spark: SparkSession, name: str, stream: DataFrame, finish=None, finish_batch=None
+) -> DataFrame:
     """Run a stream over all present input and read back what it wrote."""
     path = scratch_dir(spark, name)
     started = runner.start(
@@ -770,6 +772,7 @@ def run_stream(spark: SparkSession, name: str, stream: DataFrame, finish=None) -
         {f"{path}/out": runner.parquet},
         finish,
         spark.sparkContext.defaultParallelism,
+        finish_batch=finish_batch,
     )
     runner.finish_query(started)
     return spark.read.parquet(f"{path}/out").drop("batch_id")
@@ -859,18 +862,66 @@ def stream_max_share(spark, sf_dir):
     _closed(_sql(_series_sql("1 minute") + _ALL_PREDICTIONS_SQL), "1 minute", _REPOST),
 )
 def stream_predictions(spark, sf_dir):
-    path = scratch_dir(spark, "stream-series")
     counted, label = metrics.reposts_per_window(_stream(spark, sf_dir), "1 minute")
-    written = runner.start_file_sink(
-        label(counted),
-        f"{path}/series",
-        f"{path}/checkpoint",
-        spark.sparkContext.defaultParallelism,
+    return _rounded(_streamed_predictions(spark, label(counted), "1 minute"))
+
+
+def _streamed_predictions(spark, closed: DataFrame, window: str, key: str | None = None) -> DataFrame:
+    path = scratch_dir(spark, "stream-series")
+    started = runner.start_file_sink(
+        closed, f"{path}/series", f"{path}/checkpoint", spark.sparkContext.defaultParallelism
+    )
+    runner.finish_query(started)
+    return run_stream(
+        spark,
+        "stream-predictions",
+        predictors.stream_series(spark, f"{path}/series", key),
+        finish_batch=predictors.carrying(f"{path}/state", window, series_key=key),
+    )
+
+
+def _by_lang_sql() -> str:
+    """One language after the other: the SQL of a series, each over its own counts."""
+    parts = []
+    for lang in ("en", "ja", "es", "pt", "en-gb", "ko", "de"):
+        one = _sql(_series_sql(HOUR) + _prediction_sql("AVG")).replace(
+            "rt_id IS NOT NULL", f"rt_lang = '{lang}'"
+        )
+        parts.append(f"SELECT '{lang}' AS lang, * FROM ({one})")
+    return " UNION ALL ".join(parts)
+
+
+@query("predict_avg_by_lang", _by_lang_sql())
+def predict_avg_by_lang(spark, sf_dir):
+    counted = labelled(counts.reposts_per_language(facts(spark, sf_dir), HOUR))
+    return _rounded(series.predict(counted, HOUR, series_key="lang", types=[series.AVERAGE]))
+
+
+@query("stream_predictions_by_lang", _closed(_by_lang_sql(), HOUR, _HAS_AUTHOR))
+def stream_predictions_by_lang(spark, sf_dir):
+    counted = labelled(counts.reposts_per_language(_stream(spark, sf_dir), HOUR))
+    found = _streamed_predictions(spark, counted, HOUR, "lang")
+    return _rounded(found.filter(F.col("prediction_type") == series.AVERAGE))
+
+
+@query(
+    "stream_malformed",
+    "SELECT count(*) AS lines, count(*) FILTER (event_type = 'error') AS notices, "
+    "count(*) FILTER (event_id % 7 = 0 AND event_type <> 'error') AS malformed FROM events",
+)
+def stream_malformed(spark, sf_dir):
+    """Every seventh post is cut short; the parsing stream counts what it cannot read."""
+    path = scratch_dir(spark, "cut-posts")
+    events = read_events(spark, sf_dir)
+    whole = event_json(events.filter("event_id % 7 <> 0 OR event_type = 'error'"))
+    cut = event_json(events.filter("event_id % 7 = 0 AND event_type <> 'error'"))
+    whole.union(cut.select(F.expr("left(value, length(value) - 2)").alias("value"))).write.text(path)
+    query = runner.start_file_sink(
+        post_source.stream_facts(spark, path), f"{path}-facts", f"{path}-checkpoint"
     )
-    runner.finish_query(written)
-    predictions = predictors.predict_stream(predictors.stream_series(spark, f"{path}/series"))
-    result = run_stream(spark, "stream-predictions", predictions)
-    return _rounded(result.drop("series_key"))
+    runner.finish_query(query)
+    seen = runner.observed(query, post_source.PARSED)
+    return spark.createDataFrame([seen], "lines bigint, notices bigint, malformed bigint")
 
 
 def _live_and_batch(spark, sf_dir):

@@ -310,26 +310,23 @@ def stream_series(
 def stream_predictions(
     spark: SparkSession,
     out: str,
+    window: str = "1 minute",
     history: int = 5,
     step: float = 0.1,
     series_key: str | None = None,
-    state_partitions: int | None = None,
     files_per_batch: int = 8,
     **trigger,
 ) -> StreamingQuery:
     """Second half: predictions for the windows in ``series``, one result folder per predictor."""
-    predictions = predictors.predict_stream(
-        predictors.stream_series(spark, f"{out}/series", series_key), history, step, series_key
-    )
     outputs = {f"{out}/documents": files.document_writer("prediction")}
     for name in predictors.TYPES:
         outputs[f"{out}/results-{name}"] = files.prediction_writer(name)
     return runner.start(
-        predictions,
+        predictors.stream_series(spark, f"{out}/series", series_key),
         f"{out}/checkpoints/predictions",
         outputs,
-        state_partitions=state_partitions,
         files_per_batch=files_per_batch,
+        finish_batch=predictors.carrying(f"{out}/state", window, history, step, series_key),
         **trigger,
     )
 

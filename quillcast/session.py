@@ -52,6 +52,15 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(folder)]
+
+
 def written(frame: DataFrame, label: str) -> DataFrame:
     """Compute a frame once into the scratch folder and go on from the files.
 

@@ -1,95 +1,57 @@
-"""Predictors over a stream of closed windows, state kept per series."""
+"""Predictors over a stream of closed windows, state carried from batch to batch."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from quillcast.operators.series import AVERAGE, REGRESSION, TRACKING
+from quillcast.operators import series
+from quillcast.operators.series import TYPES
+from quillcast.session import file_names, remove_folder, written
+from quillcast.streaming.runner import FinishBatch
+
+__all__ = ["SERIES", "TYPES", "carrying", "stream_series"]
 
-TYPES = (AVERAGE, REGRESSION, TRACKING)
 SERIES = "window_start timestamp, cnt bigint"
-_OUTPUT = (
-    "series_key string, prediction_type string, window_start timestamp, cnt bigint, "
-    "prediction double, deviation double"
-)
-_STATE = "n bigint, recent array<bigint>, xy double, xx double, v double"
+_KEPT = 2  # states behind the current one: a batch may be repeated, none before it
 
 
 def stream_series(spark: SparkSession, path: str, series_key: str | None = None) -> DataFrame:
     """The closed windows another stream writes to ``path``.
 
-    Spark refuses custom state behind a streaming aggregation in append mode, hence
-    the stop at a folder: counts go there through the file sink and come back here.
+    Counts go there through the file sink and come back here, so that predictions are
+    batch queries over what has closed since.
     """
     schema = f"{SERIES}, {series_key} string" if series_key else SERIES
     return spark.readStream.schema(schema).parquet(path)
 
 
-def predict_stream(
-    series: DataFrame, history: int = 5, step: float = 0.1, series_key: str | None = None
-) -> DataFrame:
-    """Predictions per window of the stream; see :func:`quillcast.operators.series.predict`."""
-    key = F.col(series_key).cast("string") if series_key else F.lit("all")
-
-    def advance(
-        group: tuple[str], chunks: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        n, recent, xy, xx, v = state.get if state.exists else (0, [], 0.0, 0.0, 0.0)
-        # The windows closed since the last batch: released in order batch by batch, but
-        # in any order within a batch.
-        batch = pd.concat(list(chunks)).sort_values("window_start")
-        x, cnt = batch["x"].to_numpy(), batch["cnt"].to_numpy()
-
-        known = np.concatenate([np.array(recent, dtype=np.int64), cnt])
-        sums = _before(known, 0)
-        at = len(recent) + np.arange(len(cnt))
-        since = np.maximum(at - history, 0)
-        average = (sums[at] - sums[since]) / np.maximum(at - since, 1)
-
-        xys, xxs = _before(x * cnt, xy), _before(x * x, xx)
-        seen = (n + np.arange(len(cnt)) >= 2) & (xxs[:-1] > 0)
-        regression = np.where(seen, x * xys[:-1] / np.where(seen, xxs[:-1], 1.0), 0.0)
-
-        tracked = pd.Series([v, *cnt]).ewm(alpha=step, adjust=False).mean().to_numpy()
-
-        state.update(
-            (
-                int(n + len(cnt)),
-                [int(c) for c in known[-history:]],
-                float(xys[-1]),
-                float(xxs[-1]),
-                float(tracked[-1]),
-            )
-        )
-        for name, prediction in zip(TYPES, (average, regression, tracked[:-1]), strict=True):
-            yield pd.DataFrame(
-                {
-                    "series_key": group[0],
-                    "prediction_type": name,
-                    "window_start": batch["window_start"].to_numpy(),
-                    "cnt": cnt,
-                    "prediction": prediction,
-                    "deviation": cnt - prediction,
-                }
-            )
-
-    keyed = series.select(
-        key.alias("series_key"),
-        "window_start",
-        F.unix_millis("window_start").cast("double").alias("x"),
-        "cnt",
-    )
-    return keyed.groupBy("series_key").applyInPandasWithState(
-        advance, _OUTPUT, _STATE, "append", GroupStateTimeout.NoTimeout
-    )
+def carrying(
+    state: str,
+    window: str = "1 minute",
+    history: int = 5,
+    step: float = 0.1,
+    series_key: str | None = None,
+) -> FinishBatch:
+    """Predictions for the windows of a micro-batch; see :func:`quillcast.operators.series.predict`.
 
+    The batch runs through the same blocks as a whole table would, so a backlog of any
+    length is spread over the cluster. A row per key is carried on, written under
+    ``<state>/batch_id=<n>``: a repeated batch starts from the same one again. Windows have to
+    be released in order from batch to batch, in any order within one.
+    """
 
-def _before(values: np.ndarray, carried: float) -> np.ndarray:
-    """Running sums ahead of each value, and the one behind the last, from ``carried`` on."""
-    return carried + np.concatenate([[0], np.cumsum(values)])
+    def finish(batch: DataFrame, batch_id: int) -> DataFrame:
+        spark = batch.sparkSession
+        closed = written(batch, "closed-windows")
+        before = None
+        saved = sorted(int(name.partition("=")[2]) for name in file_names(spark, state))
+        earlier = [number for number in saved if number < batch_id]
+        if earlier:
+            before = spark.read.parquet(f"{state}/batch_id={earlier[-1]}")
+        predictions, after = series.advance(closed, before, window, history, step, series_key)
+        after.coalesce(1).write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+        for number in earlier[:-_KEPT]:
+            remove_folder(spark, f"{state}/batch_id={number}")
+        return predictions
+
+    return finish

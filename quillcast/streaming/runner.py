@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quillcast.sources.posts import PARSED
 
 Finish = Callable[[DataFrame], DataFrame]
+FinishBatch = Callable[[DataFrame, int], DataFrame]
 Write = Callable[[DataFrame, str], None]
 
 
@@ -30,6 +31,7 @@ def start(
     finish: Finish | None = None,
     state_partitions: int | None = None,
     files_per_batch: int | None = None,
+    finish_batch: FinishBatch | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Hand every micro-batch to the writers, each under ``<path>/batch_id=<n>``.
@@ -37,7 +39,8 @@ def start(
     A batch that is run again after a failure overwrites its own folders and nothing
     else. ``finish`` is the part of a metric that needs whole windows (ranking,
     percentages): append mode hands over all rows of a closed window in the same
-    micro-batch, so the batch operator applies as it is. ``state_partitions`` is
+    micro-batch, so the batch operator applies as it is; ``finish_batch`` is told the
+    batch's number, too. ``state_partitions`` is
     fixed for the life of the checkpoint; choose it for the cluster, not the input.
     Results are far fewer than posts: ``files_per_batch`` gathers them into that many
     files instead of one per state partition.
@@ -45,6 +48,8 @@ def start(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         frame = finish(batch) if finish else batch
+        if finish_batch:
+            frame = finish_batch(frame, batch_id)
         if files_per_batch is not None:
             frame = frame.repartition(files_per_batch)
         if len(outputs) > 1:

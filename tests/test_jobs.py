@@ -109,7 +109,7 @@ def test_shares(spark, inbox):
 def test_predictions(spark, inbox):
     out = folder()
     finish_query(jobs.stream_series(spark, inbox, out, state_partitions=2), 300)
-    finish_query(jobs.stream_predictions(spark, out, state_partitions=2), 300)
+    finish_query(jobs.stream_predictions(spark, out), 300)
     windows = spark.read.parquet(f"{out}/series").count()
     for name in TYPES:
         assert dumps.read_results(spark, "prediction", f"{out}/results-{name}/batch_id=*").count() == windows
@@ -120,7 +120,7 @@ def test_predictions(spark, inbox):
 def test_predictions_by_language(spark, inbox):
     out = folder()
     finish_query(jobs.stream_series(spark, inbox, out, series_key="lang", state_partitions=2), 300)
-    finish_query(jobs.stream_predictions(spark, out, series_key="lang", state_partitions=2), 300)
+    finish_query(jobs.stream_predictions(spark, out, series_key="lang"), 300)
     closed = spark.read.parquet(f"{out}/series")
     assert closed.select("lang").distinct().count() > 1
     documents = spark.read.json(f"{out}/documents/batch_id=*")

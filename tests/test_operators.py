@@ -212,6 +212,30 @@ def predicted(frame, *args, **kwargs):
     return rows
 
 
+@pytest.mark.parametrize("key", [None, "key"])
+def test_carried_state_goes_on(spark, key):
+    """Cut anywhere, also inside a block and with a key that has no new windows."""
+    counted = [int(n) for n in np.random.default_rng(4).integers(0, 50, 2500)]
+    whole = series_of(spark, counted).withColumn("key", F.when(F.col("cnt") % 2 == 0, "a").otherwise("b"))
+    whole = whole if key else whole.drop("key")
+    started, before, got = NOON, None, []
+    for size in (3, 700, 1, 1796):
+        ended = started + timedelta(minutes=size)
+        part = whole.filter((F.col("window_start") >= started) & (F.col("window_start") < ended))
+        predictions, after = series.advance(part, before, series_key=key)
+        got += [tuple(r) for r in predictions.collect()]
+        before, started = spark.createDataFrame(after.collect(), after.schema), ended
+    want = sorted(tuple(r) for r in series.predict(whole, series_key=key).collect())
+    assert len(got) == len(want)
+    for a, b in zip(sorted(got), want, strict=True):
+        assert a[:-2] == b[:-2] and a[-2:] == pytest.approx(b[-2:], rel=1e-9, abs=1e-9)
+
+
+def test_one_predictor_computes_no_other(spark):
+    plan = series.predict(series_of(spark, [1, 2, 3]), types=[series.TRACKING])._jdf.queryExecution().optimizedPlan().toString()
+    assert "recent" not in plan and "xx" not in plan
+
+
 def test_golden_predictions(spark):
     rows = predicted(series_of(spark, [10, 20, 5, 7]))
     by_type = {

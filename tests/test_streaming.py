@@ -225,16 +225,16 @@ def test_predictions_keep_state_across_batches(spark):
     def run(part, name):
         frame = pd.DataFrame(list(reversed(part)), columns=["window_start", "cnt"])
         spark.createDataFrame(frame, predictors.SERIES).coalesce(1).write.mode("append").parquet(path)
-        stream = predictors.predict_stream(predictors.stream_series(spark, path))
         outputs = {f"{work}/out": runner.parquet}
+        carried = predictors.carrying(f"{work}/state")
         runner.finish_query(
-            runner.start(stream, f"{work}/checkpoint", outputs, state_partitions=2), 300
+            runner.start(predictors.stream_series(spark, path), f"{work}/checkpoint", outputs, finish_batch=carried), 300
         )
 
     run(all_rows[:4], "a")
     run(all_rows[4:5], "b")
     run(all_rows[5:], "c")
-    got = spark.read.parquet(f"{work}/out").drop("batch_id", "series_key")
+    got = spark.read.parquet(f"{work}/out").drop("batch_id")
     expected = series.predict(spark.createDataFrame(all_rows, predictors.SERIES))
     key = ["prediction_type", "window_start"]
     got, expected = (f.toPandas().sort_values(key).reset_index(drop=True) for f in (got, expected))
