@@ -22,6 +22,20 @@ def narrowed(frame: DataFrame, **columns: str) -> DataFrame:
     return frame.select(*(frame[name].alias(own) for own, name in columns.items()))
 
 
+#: Keys of a few bytes that are sent to every task: at most some 60 MB.
+BROADCAST_KEYS = 1_000_000
+
+
+def matching(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows whose key is among ``keys``, a written table of distinct fixed-size keys.
+
+    Up to ``BROADCAST_KEYS`` of them go to the rows, so wide rows are not shuffled to be
+    thrown away; beyond that both sides are shuffled. The result is the same.
+    """
+    few = keys.count() <= BROADCAST_KEYS
+    return rows.join(F.broadcast(keys) if few else keys, on, "left_semi")
+
+
 def split_words(text: Column, separators: str) -> Column:
     """Words between runs of separators, without empty ones; null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), separators), "")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import narrowed
+from quillcast.llm.common import matching, narrowed
 from quillcast.llm.components import components, forest
 from quillcast.session import written
 
@@ -155,7 +155,7 @@ def _spanning(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
-    """Of the pairs of digests (lo, hi) those whose lines are similar enough."""
+    """(lo, hi, near) for pairs of digests: whether the lines are similar enough."""
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,12 +164,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float)
                 if a != last:
                     last, left = a, shingles(a, size)
                 near.append(jaccard(left, shingles(b, size)) >= similarity)
-            yield pa.RecordBatch.from_arrays([batch.column("lo"), batch.column("hi")], names=["lo", "hi"]).filter(pa.array(near, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column("lo"), batch.column("hi"), pa.array(near, pa.bool_())], names=["lo", "hi", "near"])
 
     lo = texts.select(F.col("digest").alias("lo"), F.col("text").alias("lo_text"))
     hi = texts.select(F.col("digest").alias("hi"), F.col("text").alias("hi_text"))
     both = pairs.join(hi, "hi").join(lo, "lo").select("lo", "hi", "lo_text", "hi_text")
-    return both.mapInArrow(checked, "lo binary, hi binary")
+    return both.mapInArrow(checked, "lo binary, hi binary, near boolean")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 8, similarity: float = 0.8) -> DataFrame:
@@ -187,20 +187,21 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     sorted_ = bucketed.repartition("bucket").sortWithinPartitions("bucket", "turn")
     pairs = written(sorted_.mapInArrow(_candidates, "a long, b long").distinct(), "pairs")
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "colliding")
-    texts = written(lines.join(wanted, "key", "left_semi").select("key", "digest", "text").dropDuplicates(["digest"]), "texts")
+    texts = written(matching(lines, wanted, "key").select("key", "digest", "text").dropDuplicates(["digest"]), "texts")
     first, second = (texts.select(F.col("key").alias(key), F.col("digest").alias(digest)) for key, digest in (("a", "lo"), ("b", "hi")))
     # Different lines under one key are candidates too.
     twins = texts.groupBy("key").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("lo", "hi")
     candidates = written(pairs.join(first, "a").join(second, "b").select("lo", "hi").where("lo <> hi").union(twins), "candidates")
     # A spanning forest first; then only what would still join two components needs a look.
-    found = written(_verified(candidates.mapInPandas(_spanning, "lo binary, hi binary"), texts, size, similarity), "similar")
+    tested = written(_verified(candidates.mapInPandas(_spanning, "lo binary, hi binary"), texts, size, similarity), "tested")
+    found = tested.where("near").select("lo", "hi")
     roots = written(components(found), "roots")
     lo_root = roots.select(F.col("node").alias("lo"), F.col("root").alias("lo_root"))
     hi_root = roots.select(F.col("node").alias("hi"), F.col("root").alias("hi_root"))
     apart = (
         candidates.join(lo_root, "lo", "left").join(hi_root, "hi", "left").where(F.coalesce("lo_root", "lo") != F.coalesce("hi_root", "hi")).select("lo", "hi")
     )
-    late = written(_verified(apart, texts, size, similarity), "late")
+    late = written(_verified(apart.join(tested, ["lo", "hi"], "left_anti"), texts, size, similarity).where("near").select("lo", "hi"), "late")
     if not late.isEmpty():
         roots = written(components(found.union(late)), "roots")
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import narrowed
+from quillcast.llm.common import matching, narrowed
 from quillcast.llm.components import components, forest
 from quillcast.session import written
 
@@ -287,7 +287,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         across.union(within).where("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct(), "candidates"
     )
     wanted = written(pairs.select(F.explode(F.array("lo", "hi")).alias("digest")).distinct(), "wanted")
-    texts = written(rows.select("digest", "text").join(wanted, "digest", "left_semi").dropDuplicates(["digest"]), "texts")
+    texts = written(matching(rows.select("digest", "text"), wanted, "digest").dropDuplicates(["digest"]), "texts")
     # A spanning forest first; then only what would still join two groups needs a look.
     found = written(_similar(pairs.mapInPandas(_spanning, "lo binary, hi binary"), texts, shingle, similarity), "similar")
     roots = written(components(found), "roots")
