@@ -20,6 +20,7 @@ SLOTS = 1024  # remembered contexts per order and block
 CONTEXTS = 32  # pairs of confidences, and whether both orders agree
 LIMIT = 500  # of a frequency table's total; four of them and a digit fit into the coder's 40 bits
 TRUST, GAIN = 20, 12  # added to what occurred
+ROW = np.dtype((np.void, 32))  # a digit's 16 cumulated frequencies, moved as one item
 TOP, WINDOW = np.uint64(40), np.uint64(56)  # the interval stays over 2 ** TOP and at most 2 ** WINDOW
 _ONE, _16 = np.uint64(1), np.uint64(16)
 #: What a digit adds to a row of cumulated frequencies.
@@ -28,39 +29,50 @@ _EVEN = np.arange(1, 17, dtype=np.uint16)
 
 
 class _Models:
+    """The predictors of all blocks. Tables are flat: numpy moves single items fastest."""
+
     def __init__(self, blocks: int):
         self.lane = np.arange(blocks, dtype=np.int64)
         self.order1 = np.zeros(blocks * SLOTS, dtype=np.uint32)
         self.order2 = np.zeros(blocks * SLOTS, dtype=np.uint32)
-        self.trust = np.tile(np.array([1, 2, 12], dtype=np.uint16), (blocks * CONTEXTS, 1))  # cumulated
-        self.digits = [np.tile(_EVEN, (blocks * size, 1)) for size in (1, 16, 256)]
+        # Cumulated from 0: the shares of order 2, order 1 and order 0, four numbers in one item.
+        self.trust = np.tile(np.array([0, 1, 2, 12], dtype=np.uint16), blocks * CONTEXTS).view(np.uint64)
+        self.digits = [np.tile(_EVEN, blocks * size).view(ROW) for size in (1, 16, 256)]
         self.last = np.zeros(blocks, dtype=np.uint32)
         self.before = np.zeros(blocks, dtype=np.uint32)
 
     def predict(self) -> None:
         last, before = self.last, self.before
-        self.at1 = self.lane * SLOTS + ((last * np.uint32(2654435761)) >> np.uint32(22))
-        self.at2 = self.lane * SLOTS + (((last * np.uint32(2654435761)) ^ (before * np.uint32(2246822519) + before)) * np.uint32(3266489917) >> np.uint32(22))
-        self.e1, self.e2 = self.order1[self.at1], self.order2[self.at2]
+        mixed = last * np.uint32(2654435761)
+        self.at1 = self.lane * SLOTS + (mixed >> np.uint32(22))
+        self.at2 = self.lane * SLOTS + ((mixed ^ (before * np.uint32(2246822520))) * np.uint32(3266489917) >> np.uint32(22))
+        self.e1, self.e2 = self.order1.take(self.at1), self.order2.take(self.at2)
         self.id1, self.id2 = self.e1 >> 2, self.e2 >> 2
         context = ((self.e2 & 3) << 3) | ((self.e1 & 3) << 1) | (self.id1 == self.id2)
         self.at = self.lane * CONTEXTS + context
-        self.shares = self.trust[self.at]
+        self.shares = self.trust.take(self.at).view(np.uint16)
+        self.whole = self.shares[3::4].astype(np.uint64)
+
+    def share(self, way: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and end of the share that a way has."""
+        at = self.lane * 4 + way
+        return self.shares.take(at).astype(np.uint64), self.shares.take(at + 1).astype(np.uint64)
 
     def learn(self, ids: np.ndarray, way: np.ndarray) -> None:
         """``way`` is 0 for order 2, 1 for order 1, 2 for order 0."""
-        shares = self.shares + _TRUSTED[way]
-        over = np.flatnonzero(shares[:, 2] > LIMIT)
+        shares = self.shares + _TRUSTED.take(way).view(np.uint16)
+        over = np.flatnonzero(shares[3::4] > LIMIT)
         if len(over):
-            shares[over] = _halved(shares[over])
-        self.trust[self.at] = shares
+            rows = shares.reshape(-1, 4)
+            rows[over, 1:] = _halved(rows[over, 1:])
+        self.trust[self.at] = shares.view(np.uint64)
         for table, at, entry, guess in ((self.order1, self.at1, self.e1, self.id1), (self.order2, self.at2, self.e2, self.id2)):
             sure = entry & 3
             table[at] = np.where(guess == ids, entry + (sure < 3), np.where(sure > 1, entry - 1, (ids << 2) | 1))
         self.before, self.last = self.last, ids
 
 
-_TRUSTED = np.array([[TRUST, TRUST, TRUST], [0, TRUST, TRUST], [0, 0, TRUST]], dtype=np.uint16)
+_TRUSTED = np.array([[0, TRUST, TRUST, TRUST], [0, 0, TRUST, TRUST], [0, 0, 0, TRUST]], dtype=np.uint16).view(np.uint64).ravel()
 
 
 def _halved(rows: np.ndarray) -> np.ndarray:
@@ -69,12 +81,19 @@ def _halved(rows: np.ndarray) -> np.ndarray:
     return np.cumsum(counts - counts // 2, axis=1).astype(np.uint16)
 
 
+def _bounds(rows: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of a digit in its row of cumulated frequencies; rows lie flat."""
+    at = np.arange(0, len(rows), 16) + digit
+    return (rows.take(np.maximum(at - 1, 0)) * (digit > 0)).astype(np.uint64), rows.take(at).astype(np.uint64)
+
+
 def _store(table: np.ndarray, at: np.ndarray, rows: np.ndarray, digit: np.ndarray) -> None:
-    rows = rows + _STEPS[digit]
-    over = np.flatnonzero(rows[:, 15] > LIMIT)
+    rows = rows + _STEPS.take(digit, axis=0).ravel()
+    over = np.flatnonzero(rows[15::16] > LIMIT)
     if len(over):
-        rows[over] = _halved(rows[over])
-    table[at] = rows
+        square = rows.reshape(-1, 16)
+        square[over] = _halved(square[over])
+    table[at] = rows.view(ROW)
 
 
 def encode(ids: np.ndarray) -> list[bytes]:
@@ -85,27 +104,24 @@ def encode(ids: np.ndarray) -> list[bytes]:
     width = np.full(blocks, _ONE << WINDOW, dtype=np.uint64)
     out = np.zeros((blocks, 3 * places + 16), dtype=np.uint16)  # words of 16 bits, at most 40 bits an id
     filled = np.zeros(blocks, dtype=np.int64)
-    mask = (_ONE << TOP) - _ONE
+    edge, mask = _ONE << TOP, (_ONE << TOP) - _ONE
     for place in range(places):
         symbol = ids[place].astype(np.uint32)
         models.predict()
-        way = np.where(models.id2 == symbol, 0, np.where(models.id1 == symbol, 1, 2))
-        shares = models.shares.astype(np.uint64)
-        unit = width // shares[:, 2]
-        begin = np.where(way == 0, 0, shares[models.lane, np.maximum(way - 1, 0)])
+        way = np.where(models.id2 == symbol, 0, 2 - (models.id1 == symbol))
+        begin, end = models.share(way)
+        unit = width // models.whole
         low += unit * begin
-        width = unit * (shares[models.lane, way] - begin)
+        width = unit * (end - begin)
         miss = np.flatnonzero(way == 2)
         if len(miss):
-            value, some_low, some_width = symbol[miss].astype(np.int64), low[miss], width[miss]
-            place_in = np.arange(len(miss))
+            value, some_low, some_width = symbol.take(miss).astype(np.int64), low.take(miss), width.take(miss)
             for table, size, shift in zip(models.digits, (1, 16, 256), (12, 8, 4), strict=True):
                 at = miss * size + (value >> (shift + 4))
                 digit = (value >> shift) & 15
-                rows = table[at]
-                end = rows[place_in, digit].astype(np.uint64)
-                begin = np.where(digit == 0, 0, rows[place_in, digit - 1]).astype(np.uint64)
-                unit = some_width // rows[:, 15]
+                rows = table.take(at).view(np.uint16)
+                begin, end = _bounds(rows, digit)
+                unit = some_width // rows[15::16]
                 some_low += unit * begin
                 some_width = unit * (end - begin)
                 _store(table, at, rows, digit)
@@ -121,12 +137,12 @@ def encode(ids: np.ndarray) -> list[bytes]:
                 out[carry, back] += np.uint16(1)
                 on = out[carry, back] == 0
                 carry, back = carry[on], back[on] - 1
-        while len(small := np.flatnonzero(width <= mask + _ONE)):
-            value = low[small]
-            out[small, filled[small]] = (value >> TOP).astype(np.uint16)
-            filled[small] += 1
+        while len(small := np.flatnonzero(width <= edge)):
+            value, to = low.take(small), filled.take(small)
+            out[small, to] = (value >> TOP).astype(np.uint16)
+            filled[small] = to + 1
             low[small] = (value & mask) << _16
-            width[small] <<= _16
+            width[small] = width.take(small) << _16
     # The interval's low end, all of it.
     for shift in (40, 24, 8):
         out[models.lane, filled] = (low >> np.uint64(shift)).astype(np.uint16)
@@ -147,33 +163,35 @@ def decode(codes: list[bytes], places: int) -> np.ndarray:
     lane = models.lane
     # 56 bits are three and a half words: the rest of the fourth stays behind for later.
     ahead = (words[:, 0] << np.uint64(40)) | (words[:, 1] << np.uint64(24)) | (words[:, 2] << np.uint64(8)) | (words[:, 3] >> np.uint64(8))
-    taken = np.full(blocks, 3, dtype=np.int64)
+    # From here on a word is the half left over with the half that follows.
+    words = (((words[:, :-1] & np.uint64(0xFF)) << np.uint64(8)) | (words[:, 1:] >> np.uint64(8))).astype(np.uint16)
+    taken = np.full(blocks, 3, dtype=np.int64) + lane * words.shape[1]
+    words = words.ravel()
     width = np.full(blocks, _ONE << WINDOW, dtype=np.uint64)
     edge = _ONE << TOP
     ids = np.empty((places, blocks), dtype=np.uint16)
     for place in range(places):
         models.predict()
-        shares = models.shares.astype(np.uint64)
-        unit = width // shares[:, 2]
-        value = np.minimum(ahead // unit, shares[:, 2] - _ONE)
-        way = (value >= shares[:, 0]).astype(np.int64) + (value >= shares[:, 1])
-        begin = np.where(way == 0, 0, shares[lane, np.maximum(way - 1, 0)])
-        ahead -= unit * begin
-        width = unit * (shares[lane, way] - begin)
+        unit = width // models.whole
+        value = ahead // unit
+        way = (value >= models.shares[1::4]).astype(np.int64) + (value >= models.shares[2::4])
+        begin, end = models.share(way)
+        ahead = ahead - unit * begin
+        width = unit * (end - begin)
         symbol = np.where(way == 0, models.id2, models.id1)
         miss = np.flatnonzero(way == 2)
         if len(miss):
             prefix = np.zeros(len(miss), dtype=np.int64)
-            some_ahead, some_width = ahead[miss], width[miss]
-            place_in = np.arange(len(miss))
+            some_ahead, some_width = ahead.take(miss), width.take(miss)
             for table, size in zip(models.digits, (1, 16, 256), strict=True):
                 at = miss * size + prefix
-                rows = table[at]
-                unit = some_width // rows[:, 15]
-                value = np.minimum(some_ahead // unit, rows[:, 15] - 1).astype(np.uint16)
-                digit = (rows <= value[:, None]).sum(axis=1)
-                end = rows[place_in, digit].astype(np.uint64)
-                begin = np.where(digit == 0, 0, rows[place_in, digit - 1]).astype(np.uint64)
+                rows = table.take(at).view(np.uint16)
+                whole = rows[15::16]
+                unit = some_width // whole
+                value = np.minimum(some_ahead // unit, whole - 1).astype(np.uint16)
+                below = np.bitwise_count((rows.reshape(-1, 16) <= value[:, None]).view(np.uint64).ravel())
+                digit = (below[::2] + below[1::2]).astype(np.int64)
+                begin, end = _bounds(rows, digit)
                 some_ahead -= unit * begin
                 some_width = unit * (end - begin)
                 _store(table, at, rows, digit)
@@ -186,9 +204,8 @@ def decode(codes: list[bytes], places: int) -> np.ndarray:
         ids[place] = symbol
         models.learn(symbol, way)
         while len(small := np.flatnonzero(width <= edge)):
-            at = taken[small]
-            word = ((words[small, at] & np.uint64(0xFF)) << np.uint64(8)) | (words[small, np.minimum(at + 1, longest - 1)] >> np.uint64(8))
-            ahead[small] = (ahead[small] << _16) | word
-            width[small] <<= _16
+            at = taken.take(small)
+            ahead[small] = (ahead.take(small) << _16) | words.take(at)
+            width[small] = width.take(small) << _16
             taken[small] = at + 1
     return ids
