@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +44,13 @@ def split_words(text: Column, separators: str) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), separators), "")
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches of wide rows in small parts, so that only a few become Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     """Arrow's file system for a folder (local, HDFS, S3, GCS) and the folder's path in it."""
     return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))

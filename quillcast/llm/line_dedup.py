@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import matching, narrowed
+from quillcast.llm.common import matching, narrowed, slices
 from quillcast.llm.components import components, forest
 from quillcast.session import written
 
@@ -158,8 +158,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float)
     """(lo, hi, near) for pairs of digests: whether the lines are similar enough."""
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            last, left, near = None, set(), []
+        last, left = None, set()
+        for batch in slices(batches, 2000):
+            near = []
             for a, b in zip(batch.column("lo_text").to_pylist(), batch.column("hi_text").to_pylist(), strict=True):
                 if a != last:
                     last, left = a, shingles(a, size)

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import narrowed
+from quillcast.llm.common import narrowed, slices
 from quillcast.llm.tokens import Encoder
 from quillcast.session import written
 
@@ -135,9 +135,9 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     ending = np.array([end_id], dtype="<u4").tobytes()
 
     def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.shared(tokenizer, glued)
+        encoder = Encoder(tokenizer, glued)
         task, seen = TaskContext.get().partitionId(), Counter()
-        for batch in batches:
+        for batch in slices(batches):
             owners, rows = [], []
             for owner, ids in enumerate(encoder.encode(batch.column("text").to_pylist())):
                 ids += ending

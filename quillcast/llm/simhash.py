@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import matching, narrowed
+from quillcast.llm.common import matching, narrowed, slices
 from quillcast.llm.components import components, forest
 from quillcast.session import written
 
@@ -102,24 +102,28 @@ def _collisions(radius: int, stars: int):
         fps, lefts = group["fp"].to_numpy().view(np.uint64), group["left"].to_numpy()
         low = np.uint64((1 << free) - 1)
         base = (fps & low) | np.uint64((prefix << free) & (2**BITS - 1))
-        parts = []
-        for left in np.unique(lefts):
-            owners = np.flatnonzero(lefts == left)
-            parts.append((owners, base[owners, None] ^ _flips(free, int(left))[None, :]))
-        variants = np.sort(np.concatenate([values.ravel() for _, values in parts]))
+        reach = {int(left): _flips(free, int(left)) for left in np.unique(lefts)}
+        owners = {left: np.flatnonzero(lefts == left) for left in reach}
+        variants = np.empty(sum(len(owners[left]) * len(flips) for left, flips in reach.items()), dtype=np.uint64)
+        end = 0
+        for left, flips in reach.items():
+            begin, end = end, end + len(owners[left]) * len(flips)
+            np.bitwise_xor(base[owners[left], None], flips[None, :], out=variants[begin:end].reshape(-1, len(flips)))
+        variants.sort()
         shared = np.unique(variants[1:][variants[1:] == variants[:-1]])
         del variants
         if not len(shared):
             return none
         at, who = [], []
-        for owners, values in parts:
-            step = max(1, 1_000_000 // values.shape[1])
-            for begin in range(0, len(owners), step):
-                some = values[begin : begin + step]
-                place = np.minimum(np.searchsorted(shared, some), len(shared) - 1)
-                row, column = np.nonzero(shared[place] == some)
+        for left, flips in reach.items():
+            step = max(1, 250_000 // len(flips))
+            for begin in range(0, len(owners[left]), step):
+                some = owners[left][begin : begin + step]
+                values = base[some, None] ^ flips[None, :]
+                place = np.minimum(np.searchsorted(shared, values), len(shared) - 1)
+                row, column = np.nonzero(shared[place] == values)
                 at.append(place[row, column])
-                who.append(owners[begin + row])
+                who.append(some[row])
         at, who = np.concatenate(at), np.concatenate(who)
         # Members of a variant are within the radius of each other: linking all to one of them loses nothing.
         turn = (who.astype(np.uint64) + np.uint64(1)) * TURNS[at % max(1, stars)] if stars else who
@@ -238,7 +242,7 @@ def _similar(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -
     """The pairs (lo, hi) of digests whose shingle sets are similar enough."""
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             near, last, left = [], None, set()
             for a, b in zip(batch.column("lo_text").to_pylist(), batch.column("hi_text").to_pylist(), strict=True):
                 if a != last:

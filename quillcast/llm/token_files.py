@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillcast.llm import range_coder
-from quillcast.llm.common import file_system, narrowed
+from quillcast.llm.common import file_system, narrowed, slices
 from quillcast.llm.tokens import Encoder
 from quillcast.session import scratch_dir, written
 
@@ -126,12 +126,12 @@ def write(docs: DataFrame, base: str, tokenizer: str, id_col: str = "doc_id", te
     """
 
     def filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.shared(tokenizer, glued)
+        encoder = Encoder(tokenizer, glued)
         system, folder = file_system(base)
         system.create_dir(folder, recursive=True)
         name, writer = f"{uuid.uuid4().hex}.ids", None
         ending = np.array([end_id], dtype="<u4")
-        for batch in batches:
+        for batch in slices(batches):
             writer = writer or Writer(system.open_output_stream(f"{folder}/{name}", compression=None))
             for document, ids in zip(batch.column("id").to_pylist(), encoder.encode(batch.column("text").to_pylist()), strict=True):
                 writer.add([document], np.concatenate((np.frombuffer(ids, dtype="<u4"), ending)))

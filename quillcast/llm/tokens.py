@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-#: Chunks remembered per worker, some 200 bytes each; at the limit memory starts afresh.
+#: Chunks remembered, some 200 bytes each; at the limit memory starts afresh.
 REMEMBERED = 1_000_000
 #: Characters encoded per step.
 STEP_CHARS = 2_000_000
@@ -37,11 +37,10 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers.
 
     ``glued``: the blank before a word belongs to it (byte-level splitting); otherwise
-    the tokenizer drops white space. Strings of special tokens are ordinary text.
+    the tokenizer drops white space. Strings of special tokens are ordinary text. One per
+    task: what it has learnt takes up to 200 MB, which idle workers had better not keep.
     """
 
-    _shared: dict[tuple[str, bool], Encoder] = {}
-
     def __init__(self, path: str, glued: bool):
         from tokenizers import Tokenizer
 
@@ -50,13 +49,6 @@ class Encoder:
         self.glued = glued
         self.known: dict[str, bytes | None] = {}
 
-    @classmethod
-    def shared(cls, path: str, glued: bool) -> Encoder:
-        """One per worker process, so that later tasks find what earlier ones learnt."""
-        if (path, glued) not in cls._shared:
-            cls._shared[path, glued] = cls(path, glued)
-        return cls._shared[path, glued]
-
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         for some in steps([text or "" for text in texts]):
             yield from self._encode(some)

@@ -27,7 +27,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import file_system, narrowed
+from quillcast.llm.common import file_system, narrowed, slices
 from quillcast.session import scratch_dir, written
 
 #: Captures per block.
@@ -129,7 +129,7 @@ def write_archives(pages: DataFrame, base: str, id_col: str = "page_id", url_col
         system.create_dir(f"{folder}/archive", recursive=True)
         name, at, out = f"archive/{uuid.uuid4().hex}.warc.gz", 0, None
         try:
-            for batch in batches:
+            for batch in slices(batches):
                 captures = []
                 for page, url, html, latest in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                     if out is None:
