@@ -34,9 +34,7 @@ def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark window."""
-    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    hit = written(found.where("contaminated").select(F.col("id").alias("hit_id")).distinct(), "contaminated")
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

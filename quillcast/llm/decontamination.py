@@ -110,6 +110,18 @@ def occurrences(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, i
     return written(hits, "hits"), pairs
 
 
+def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, shingle: int = 3) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no window of an item occurs.
+
+    Rows that share an id, a null one included, are told apart by their texts.
+    """
+    items = items.where(items[item_col].isNotNull())
+    hits, _ = occurrences(docs, items, id_col, text_col, item_col, item_text_col, window, shingle)
+    hit = written(hits.select(F.col("doc").alias("hit_doc"), F.col("digest").alias("hit_digest")).distinct(), "hit-documents")
+    same = docs[id_col].eqNullSafe(hit["hit_doc"]) & (F.xxhash64(docs[text_col]) == hit["hit_digest"])
+    return docs.join(hit, same, "left_anti")
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, shingle: int = 3) -> DataFrame:
     """(id, n_words, n_hit, n_items, items_sha256, contaminated) per row of ``docs``.
 

@@ -163,6 +163,12 @@ def test_decontamination_of_messy_rows(spark, messy, no_docs):
     found = decontamination.decontaminate(messy, benchmark).collect()
     assert Counter((str(r.id), r.n_words, r.n_hit, r.n_items, r.items_sha256) for r in found) == want
     assert all(r.contaminated == (r.n_hit > 0) for r in found)
+    kept = decontamination.clean(messy, benchmark)
+    assert kept.columns == messy.columns
+    assert Counter((str(r.doc_id), r.text) for r in kept.collect()) == Counter(
+        (str(r.doc_id), r.text) for r in messy.collect() if not plain_hits(r.text, items)[1]
+    )
     assert decontamination.decontaminate(no_docs, benchmark).collect() == []
+    assert decontamination.clean(no_docs, benchmark).collect() == []
     clean = decontamination.decontaminate(messy, benchmark.where(F.lit(False)))
     assert clean.count() == messy.count() and not clean.where("contaminated").head(1)
