@@ -141,3 +141,41 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return token_files.round_trip(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+_DIGIT = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (('0x' || substr(hex, 5 * g + 1, 5))::INT // {} % 32), 1)"
+_BASE32 = "array_to_string(list_transform(range(8), lambda g: " + " || ".join(_DIGIT.format(32**k) for k in (3, 2, 1, 0)) + "), '')"
+
+ORACLES["op1_warc_index"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS n, {_BASE32} AS digest, max(page_id) OVER (PARTITION BY hex) AS latest FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = latest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> latest THEN latest END AS refers_to
+FROM d
+"""
+
+ORACLES["op3_tool_call_linking"] = """
+WITH asked AS (
+    SELECT conv_id, turn, turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run
+    FROM conversations WHERE role = 'user'
+), deep AS (
+    SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) - 1 AS depth FROM asked
+), calls AS (
+    SELECT c.conv_id, c.turn, c.conv_id || '-' || c.turn AS call_id, c.text, coalesce(depth, 0) AS depth,
+           CASE role WHEN 'user' THEN 'ask' ELSE 'configure' END AS name,
+           CASE role WHEN 'user' THEN 'prompt' ELSE 'instructions' END AS field
+    FROM conversations c LEFT JOIN deep d ON c.conv_id = d.conv_id AND c.turn = d.turn WHERE role <> 'assistant'
+), results AS (
+    SELECT conv_id || '-' || (turn - 1) AS result_id, turn AS result_turn, text AS content FROM conversations WHERE role = 'assistant'
+)
+SELECT conv_id, coalesce(call_id, result_id) AS call_id, depth, coalesce(turn, result_turn) AS turn, name,
+       CASE WHEN call_id IS NULL THEN 'orphan' WHEN result_id IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
+       CASE WHEN call_id IS NOT NULL THEN coalesce(text, '') <> '' END AS valid,
+       CASE WHEN call_id IS NULL THEN NULL WHEN text IS NULL THEN '$.' || field || ': not of type string'
+            WHEN text = '' THEN '$.' || field || ': length out of range' ELSE '' END AS problems,
+       ((call_id IS NOT NULL)::BIGINT + (result_id IS NOT NULL)::BIGINT) AS copies,
+       json_object('arguments', CASE WHEN call_id IS NOT NULL THEN json_object(field, text, 'turn', turn) END,
+                   'id', coalesce(call_id, result_id), 'name', name, 'result', content)::VARCHAR AS record
+FROM calls FULL JOIN results ON call_id = result_id
+"""

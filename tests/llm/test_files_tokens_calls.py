@@ -13,6 +13,7 @@ import pyarrow.fs as pafs
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from oracle import connect, difference
 from tokenizers import Tokenizer
 
 from quillcast.llm import packing, queries, range_coder, token_files, tokens, tool_calls, warc
@@ -282,3 +283,9 @@ def test_turns_with_nulls(spark):
     calls, results = tool_calls.conversation_calls(turns)
     found = {r.call_id: (r.status, r.valid, r.copies) for r in tool_calls.link(calls, results, tool_calls.CHAT_SCHEMAS).collect()}
     assert found == {"1-0": ("linked", False, 2), "1-2": ("unanswered", False, 2)}
+
+
+@pytest.mark.parametrize("name", ["op1_warc_index", "op3_tool_call_linking"])
+def test_queries_equal_their_sql(spark, sf_dir, name):
+    found = queries.QUERIES[name](spark, sf_dir).toPandas()
+    assert len(found) and difference(found, connect(sf_dir).sql(queries.ORACLES[name]).df()) is None
