@@ -39,16 +39,18 @@ def _least(pairs: DataFrame, of: str, value: str) -> DataFrame:
     return written(pairs.groupBy(F.col(of).alias("node")).agg(F.min(value).alias("least")), "least")
 
 
-def _checksum(edges: DataFrame) -> tuple:
-    digest = F.xxhash64("lo", "hi").cast("decimal(38,0)")
-    return tuple(edges.agg(F.count("*"), F.sum(digest)).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether all edges are stars around their least node: every other node has one edge."""
+    ends = F.array(F.struct(F.col("lo").alias("node"), F.lit(0).alias("up")), F.struct(F.col("hi").alias("node"), F.lit(1).alias("up")))
+    nodes = edges.select(F.explode(ends).alias("end")).groupBy("end.node").agg(F.sum("end.up").alias("ups"), F.count("*").alias("n"))
+    return nodes.where((F.col("ups") >= 1) & (F.col("n") > 1)).isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges(lo, hi)``; root is the component's least node.
 
     Distributed union-find: batches are first thinned to forests, then large-star and
-    small-star steps alternate until nothing changes, a number of rounds that grows with
+    small-star steps alternate until only stars are left, a number of rounds that grows with
     the logarithm of the longest path. A node keeps one edge per round towards its least
     neighbour, so hubs are never gathered; joins on hubs are plain equi-joins over files,
     which adaptive execution splits. Each round is written to the shared folder.
@@ -58,8 +60,7 @@ def components(edges: DataFrame) -> DataFrame:
     schema = f"lo {kind}, hi {kind}"
     edges = edges.select(F.least("lo", "hi").alias("lo"), F.greatest("lo", "hi").alias("hi")).where("lo < hi")
     edges = written(edges.mapInPandas(_thinned, schema).distinct(), "edges")
-    seen = _checksum(edges)
-    while seen[0]:
+    while not _settled(edges):
         both = edges.select(F.col("lo").alias("node"), F.col("hi").alias("other")).union(
             edges.select(F.col("hi").alias("node"), F.col("lo").alias("other"))
         )
@@ -78,9 +79,5 @@ def components(edges: DataFrame) -> DataFrame:
             ).alias("edge")
         )
         edges = written(small.select("edge.*").where("lo < hi").distinct(), "small-star")
-        now = _checksum(edges)
-        if now == seen:
-            break
-        seen = now
     found = edges.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
     return found.union(edges.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())

@@ -3,8 +3,7 @@
 Lines are brought together by bands of their signature. In a band's bucket each line is
 linked to the bucket's leader and to the line whose signature is nearest to its own, two
 candidates per line however large the bucket, and every bucket has a leader of its own. All
-candidates that can still join two components are checked by the exact Jaccard similarity of
-their shingle sets. One line per connected component stays: its first by document id and
+candidates are checked by the exact Jaccard similarity of their shingle sets. One line per connected component stays: its first by document id and
 line number.
 """
 
@@ -13,13 +12,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillcast.llm.common import matching, narrowed, slices
-from quillcast.llm.components import components, forest
+from quillcast.llm.components import components
 from quillcast.session import written
 
 #: 14 bands of 4 rows bring a pair at similarity 0.8 together with a chance of 99.9 %.
@@ -149,13 +147,8 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield linked(*held)
 
 
-def _spanning(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        yield pd.DataFrame(list(forest(zip(frame["lo"], frame["hi"], strict=True))), columns=["lo", "hi"])
-
-
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
-    """(lo, hi, near) for pairs of digests: whether the lines are similar enough."""
+    """Of the pairs of digests (lo, hi) those whose lines are similar enough."""
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, left = None, set()
@@ -165,12 +158,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float)
                 if a != last:
                     last, left = a, shingles(a, size)
                 near.append(jaccard(left, shingles(b, size)) >= similarity)
-            yield pa.RecordBatch.from_arrays([batch.column("lo"), batch.column("hi"), pa.array(near, pa.bool_())], names=["lo", "hi", "near"])
+            yield pa.RecordBatch.from_arrays([batch.column("lo"), batch.column("hi")], names=["lo", "hi"]).filter(pa.array(near, pa.bool_()))
 
     lo = texts.select(F.col("digest").alias("lo"), F.col("text").alias("lo_text"))
     hi = texts.select(F.col("digest").alias("hi"), F.col("text").alias("hi_text"))
     both = pairs.join(hi, "hi").join(lo, "lo").select("lo", "hi", "lo_text", "hi_text")
-    return both.mapInArrow(checked, "lo binary, hi binary, near boolean")
+    return both.mapInArrow(checked, "lo binary, hi binary")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 8, similarity: float = 0.8) -> DataFrame:
@@ -193,18 +186,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     # Different lines under one key are candidates too.
     twins = texts.groupBy("key").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("lo", "hi")
     candidates = written(pairs.join(first, "a").join(second, "b").select("lo", "hi").where("lo <> hi").union(twins), "candidates")
-    # A spanning forest first; then only what would still join two components needs a look.
-    tested = written(_verified(candidates.mapInPandas(_spanning, "lo binary, hi binary"), texts, size, similarity), "tested")
-    found = tested.where("near").select("lo", "hi")
+    found = written(_verified(candidates, texts, size, similarity), "similar")
     roots = written(components(found), "roots")
-    lo_root = roots.select(F.col("node").alias("lo"), F.col("root").alias("lo_root"))
-    hi_root = roots.select(F.col("node").alias("hi"), F.col("root").alias("hi_root"))
-    apart = (
-        candidates.join(lo_root, "lo", "left").join(hi_root, "hi", "left").where(F.coalesce("lo_root", "lo") != F.coalesce("hi_root", "hi")).select("lo", "hi")
-    )
-    late = written(_verified(apart.join(tested, ["lo", "hi"], "left_anti"), texts, size, similarity).where("near").select("lo", "hi"), "late")
-    if not late.isEmpty():
-        roots = written(components(found.union(late)), "roots")
 
     where = written(lines.select("doc", "line", "digest"), "places")
     firsts = written(where.groupBy("digest").agg(F.min(F.struct("doc", "line")).alias("first")), "firsts")
