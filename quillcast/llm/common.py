@@ -29,14 +29,18 @@ def narrowed(frame: DataFrame, **columns: str) -> DataFrame:
 BROADCAST_KEYS = 1_000_000
 
 
-def matching(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """Rows whose key is among ``keys``, a written table of distinct fixed-size keys.
+def sent_if_few(keys: DataFrame) -> DataFrame:
+    """A written table of distinct short keys, marked for broadcast up to ``BROADCAST_KEYS`` rows.
 
-    Up to ``BROADCAST_KEYS`` of them go to the rows, so wide rows are not shuffled to be
-    thrown away; beyond that both sides are shuffled. The result is the same.
+    So wide rows are not shuffled to be kept or thrown away by a few keys; beyond the bound
+    both sides of the join are shuffled. The result is the same.
     """
-    few = keys.count() <= BROADCAST_KEYS
-    return rows.join(F.broadcast(keys) if few else keys, on, "left_semi")
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
+def matching(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows whose key is among ``keys``; see :func:`sent_if_few`."""
+    return rows.join(sent_if_few(keys), on, "left_semi")
 
 
 def split_words(text: Column, separators: str) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import narrowed, split_words
+from quillcast.llm.common import narrowed, sent_if_few, split_words
 from quillcast.session import written
 
 #: ASCII other than digits and lower-case letters; everything beyond ASCII belongs to words.
@@ -119,7 +119,7 @@ def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     hits, _ = occurrences(docs, items, id_col, text_col, item_col, item_text_col, window, shingle)
     hit = written(hits.select(F.col("doc").alias("hit_doc"), F.col("digest").alias("hit_digest")).distinct(), "hit-documents")
     same = docs[id_col].eqNullSafe(hit["hit_doc"]) & (F.xxhash64(docs[text_col]) == hit["hit_digest"])
-    return docs.join(hit, same, "left_anti")
+    return docs.join(sent_if_few(hit), same, "left_anti")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, shingle: int = 3) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -71,7 +72,7 @@ def _flips(bits: int, most: int) -> np.ndarray:
 
 
 def _variant_count(free: int, left: int) -> int:
-    return len(_flips(free, left)) if left < 3 else sum(int(np.prod(range(free - k + 1, free + 1)) // max(1, np.prod(range(1, k + 1)))) for k in range(left + 1))
+    return sum(comb(free, flips) for flips in range(left + 1))
 
 
 def _deal(rows: DataFrame, depth: int, more: int, half: int) -> DataFrame:
