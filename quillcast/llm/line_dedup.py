@@ -3,8 +3,10 @@
 Lines are brought together by bands of their signature. In a band's bucket each line is
 linked to the bucket's leader and to the line whose signature is nearest to its own, two
 candidates per line however large the bucket, and every bucket has a leader of its own. All
-candidates are checked by the exact Jaccard similarity of their shingle sets. One line per connected component stays: its first by document id and
-line number.
+candidates are checked by the exact Jaccard similarity of their shingle sets. Where one fails,
+the lines around it that are still in different components are searched for similar pairs by
+their rare shingles (``overlaps``), so no bucket hides a link. One line per connected component
+stays: its first by document id and line number.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 
 from quillcast.llm.common import matching, narrowed, slices
 from quillcast.llm.components import components
+from quillcast.llm.overlaps import close, contested
 from quillcast.session import written
 
 #: 14 bands of 4 rows bring a pair at similarity 0.8 together with a chance of 99.9 %.
@@ -188,6 +191,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     candidates = written(pairs.join(first, "a").join(second, "b").select("lo", "hi").where("lo <> hi").union(twins), "candidates")
     found = written(_verified(candidates, texts, size, similarity), "similar")
     roots = written(components(found), "roots")
+    # Members of a bucket that were tested against its leader only, not against each other.
+    rest = written(contested(candidates, roots).join(texts.select(F.col("digest").alias("node"), "text"), "node"), "rest")
+    if not rest.isEmpty():
+        untested = close(rest, lambda line: shingles(line, size), similarity).join(candidates, ["lo", "hi"], "left_anti")
+        late = written(_verified(untested, texts, size, similarity), "late")
+        if not late.isEmpty():
+            roots = written(components(found.union(late)), "roots")
 
     where = written(lines.select("doc", "line", "digest"), "places")
     firsts = written(where.groupBy("digest").agg(F.min(F.struct("doc", "line")).alias("first")), "firsts")

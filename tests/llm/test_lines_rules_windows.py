@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -172,3 +173,16 @@ def test_decontamination_of_messy_rows(spark, messy, no_docs):
     assert decontamination.clean(no_docs, benchmark).collect() == []
     clean = decontamination.decontaminate(messy, benchmark.where(F.lit(False)))
     assert clean.count() == messy.count() and not clean.where("contaminated").head(1)
+
+
+def test_a_crowd_hides_no_line(spark, groups):
+    """Hundreds of lines on one template, just under the similarity, with some pairs just over it."""
+    rng = random.Random(11)
+    said = lambda size: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(size))
+    template = said(300)
+    tails = [said(52) for _ in range(500)]
+    texts = [template + tail for tail in tails] + [template + tail[:26] + said(26) for tail in tails[:100]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    want = line_classes(list(enumerate(texts)), groups)
+    assert sum(key != first for key, first in want.items()) >= 95
+    assert {(r.doc, r.line): (r.class_doc, r.class_line) for r in line_dedup.classes(docs).collect()} == want
