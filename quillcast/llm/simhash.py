@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from quillcast.llm.common import matching, narrowed, slices
 from quillcast.llm.components import components, forest
+from quillcast.llm.overlaps import close, contested
 from quillcast.session import written
 
 BITS = 64
@@ -126,7 +127,8 @@ def _collisions(radius: int, stars: int):
                 at.append(place[row, column])
                 who.append(some[row])
         at, who = np.concatenate(at), np.concatenate(who)
-        # Members of a variant are within the radius of each other: linking all to one of them loses nothing.
+        # Members of a variant are within the radius of each other: linking all to one of them
+        # keeps them connected. What is asked of pairs beyond that is the caller's to follow up.
         turn = (who.astype(np.uint64) + np.uint64(1)) * TURNS[at % max(1, stars)] if stars else who
         order = np.lexsort((turn, at))
         at, who = at[order], who[order]
@@ -263,7 +265,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Texts are linked if their sets of ``shingle``-word shingles have a Jaccard similarity
     of ``similarity`` or more; candidates come from colliding variants of several
-    fingerprints. Of a group, the row with the least id stays (any one of rows that repeat
+    fingerprints, and where one fails, from the rare shingles of the texts around it
+    (``overlaps``). Of a group, the row with the least id stays (any one of rows that repeat
     it). Null, empty and blank texts are one group; null ids lose to others. Empty tables
     stay empty.
     """
@@ -301,7 +304,15 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     apart = pairs.join(lo_root, "lo", "left").join(hi_root, "hi", "left").where(F.coalesce("lo_root", "lo") != F.coalesce("hi_root", "hi"))
     late = written(_similar(apart.select("lo", "hi").join(found, ["lo", "hi"], "left_anti"), texts, shingle, similarity), "late")
     if not late.isEmpty():
-        roots = written(components(found.union(late)), "roots")
+        found = found.union(late)
+        roots = written(components(found), "roots")
+    # Members of a variant or a fingerprint that were tested against its head only.
+    rest = written(contested(pairs, roots).join(texts.select(F.col("digest").alias("node"), "text"), "node"), "rest")
+    if not rest.isEmpty():
+        untested = close(rest, lambda text: word_shingles(text, shingle), similarity).join(pairs, ["lo", "hi"], "left_anti")
+        beside = written(_similar(untested, texts, shingle, similarity), "beside")
+        if not beside.isEmpty():
+            roots = written(components(found.union(beside)), "roots")
 
     grouped = rows.select("id", "digest").groupBy("digest", "id").agg(F.count("*").alias("copies"))
     grouped = written(grouped.join(roots, grouped["digest"] == roots["node"], "left").select("id", "digest", "copies", F.coalesce("root", "digest").alias("root")), "grouped")

@@ -107,3 +107,25 @@ def test_one_of_each_keeps_least_id_of_similar_texts(spark, documents, messy, gr
         found = simhash.one_of_each(docs)
         assert found.columns == docs.columns
         assert sorted((r.doc_id is None, r.doc_id or 0) for r in found.collect()) == sorted(least.values())
+
+
+def test_a_crowd_hides_no_text(spark, groups, monkeypatch):
+    """Texts on one template, just under the similarity, with some pairs just over it.
+
+    All fingerprints are the same, as in a crowd so dense that every text has the same head.
+    """
+    monkeypatch.setattr(simhash, "_tables", lambda text, size, seed: [1])
+    rng = random.Random(5)
+    said = lambda size: [f"w{rng.randrange(10**6)}" for _ in range(size)]
+    template = said(120)
+    tails = [said(18) for _ in range(60)]
+    texts = [" ".join(template + tail) for tail in tails] + [" ".join(template + tail[:9] + said(9)) for tail in tails[:20]]
+    sets = [simhash.word_shingles(text, 5) for text in texts]
+    for a, left in enumerate(sets):
+        for b, right in enumerate(sets[:a]):
+            if len(left & right) >= 0.8 * len(left | right):
+                groups.join(a, b)
+    want = sorted({groups.root(at) for at in range(len(texts))})
+    assert len(want) == 60
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == want
