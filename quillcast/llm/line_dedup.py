@@ -81,9 +81,12 @@ def band_hashes(lines: list[str], size: int, bands: int = BANDS, rows: int = ROW
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, line, text): lines that hold a word, numbered from 0; blank ones are left alone."""
+    """(doc, row, line, text): lines that hold a word, numbered from 0; blank ones are left alone.
+
+    ``row`` is a digest of the whole text: rows that share an id are told apart by it.
+    """
     rows = narrowed(docs, doc=id_col, text=text_col).where(F.col("text").isNotNull())
-    return rows.select("doc", F.posexplode(F.split("text", "\n")).alias("line", "text")).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return rows.select("doc", F.xxhash64("text").alias("row"), F.posexplode(F.split("text", "\n")).alias("line", "text")).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def _keyed(lines: DataFrame) -> DataFrame:
@@ -176,9 +179,15 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     ``similarity`` or more are linked; a class is a connected component, named by its first
     line in order of document id and line number, the one kept. Equal lines are always of one
     class. Null texts have no lines; blank lines are not listed. Rows with a null id come
-    first in that order. Rows that repeat an id count as one document: equal places are
-    kept or dropped together. Empty tables give no rows; other columns are ignored.
+    first in that order. Rows that share an id are told apart by their texts, in the order of
+    a digest where line numbers are equal; rows that repeat id and text count as one, kept or
+    dropped together. Empty tables give no rows; other columns are ignored.
     """
+    return _classes(docs, id_col, text_col, size, similarity).drop("row")
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, similarity: float) -> DataFrame:
+    """``classes`` with ``row``, the digest of the row's text."""
     lines = _keyed(lines_of(docs, id_col, text_col))
     bucketed = lines.select("key", "text").mapInArrow(_bucketed(size), "bucket long, turn long, sketch long")
     sorted_ = bucketed.repartition("bucket").sortWithinPartitions("bucket", "turn")
@@ -199,19 +208,21 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
         if not late.isEmpty():
             roots = written(components(found.union(late)), "roots")
 
-    where = written(lines.select("doc", "line", "digest"), "places")
-    firsts = written(where.groupBy("digest").agg(F.min(F.struct("doc", "line")).alias("first")), "firsts")
+    where = written(lines.select("doc", "row", "line", "digest"), "places")
+    firsts = written(where.groupBy("digest").agg(F.min(F.struct("doc", "line", "row")).alias("first")), "firsts")
     classed = written(
         firsts.join(roots, firsts["digest"] == roots["node"], "left").select("digest", "first", F.coalesce("root", "digest").alias("root")), "classed"
     )
     least = written(classed.groupBy("root").agg(F.min("first").alias("class")), "least")
     named = written(classed.join(least, "root").select("digest", "class"), "named")
+    own = F.struct("doc", "line", "row")
     return where.join(named, "digest").select(
         "doc",
+        "row",
         "line",
         F.col("class.doc").alias("class_doc"),
         F.col("class.line").alias("class_line"),
-        (F.col("doc").eqNullSafe(F.col("class.doc")) & (F.col("line") == F.col("class.line"))).alias("kept"),
+        own.eqNullSafe(F.col("class")).alias("kept"),
     )
 
 
@@ -219,11 +230,13 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``docs`` with all columns, their texts without the lines that ``classes`` does not keep.
 
     Other lines, blank ones included, stay in place; a text may become empty. Rows
-    whose text loses nothing are unchanged.
+    whose text loses nothing are unchanged. Rows that share an id, a null one included, are
+    told apart by their texts.
     """
-    lost = classes(docs, id_col, text_col, size, similarity).where(~F.col("kept"))
-    lost = written(lost.groupBy("doc").agg(F.collect_set("line").alias("lost_lines")).select(F.col("doc").alias("lost_doc"), "lost_lines"), "lost")
-    joined = docs.join(lost, docs[id_col].eqNullSafe(lost["lost_doc"]), "left")
+    lost = _classes(docs, id_col, text_col, size, similarity).where(~F.col("kept"))
+    lost = lost.groupBy("doc", "row").agg(F.collect_set("line").alias("lost_lines"))
+    lost = written(lost.select(F.col("doc").alias("lost_doc"), F.col("row").alias("lost_row"), "lost_lines"), "lost")
+    joined = docs.join(lost, docs[id_col].eqNullSafe(lost["lost_doc"]) & (F.xxhash64(docs[text_col]) == lost["lost_row"]), "left")
     rest = F.filter(F.split(docs[text_col], "\n"), lambda line, at: ~F.array_contains("lost_lines", at))
     text = F.when(F.col("lost_lines").isNull(), docs[text_col]).otherwise(F.array_join(rest, "\n"))
     return joined.select(*(text.alias(name) if name == text_col else docs[name] for name in docs.columns))

@@ -186,3 +186,12 @@ def test_a_crowd_hides_no_line(spark, groups):
     want = line_classes(list(enumerate(texts)), groups)
     assert sum(key != first for key, first in want.items()) >= 95
     assert {(r.doc, r.line): (r.class_doc, r.class_line) for r in line_dedup.classes(docs).collect()} == want
+
+
+def test_rows_that_share_an_id_lose_only_their_own_lines(spark):
+    """Each distinct line of rows under one id, a null one too, stays exactly once."""
+    for shared in (None, 7):
+        texts = ["p\nq", "r\np", "s\nt", "p\nu", "s\nv", "same line\nw", "same line\nx"]
+        docs = spark.createDataFrame([(shared, text) for text in texts] + [(9, "q\ny")], "doc_id long, text string")
+        kept = [line for r in line_dedup.deduplicated(docs).collect() for line in r.text.split("\n") if line]
+        assert sorted(kept) == sorted({line for text in [*texts, "y"] for line in text.split("\n")})
