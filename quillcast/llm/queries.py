@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillcast.llm import (
     decontamination,
+    filter_audit,
     line_dedup,
     packing,
     quality_classifier,
@@ -179,3 +180,49 @@ SELECT conv_id, coalesce(call_id, result_id) AS call_id, depth, coalesce(turn, r
                    'id', coalesce(call_id, result_id), 'name', name, 'result', content)::VARCHAR AS record
 FROM calls FULL JOIN results ON call_id = result_id
 """
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Survivors, removals and label losses of five filters over all documents, in all orders."""
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filter_audit"] = r"""
+WITH l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+d AS (
+    SELECT coalesce(lang, '') AS part, doc_id, coalesce(text, '') AS t, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+    FROM documents LEFT JOIN l USING (doc_id)
+), m AS (
+    SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS first_id FROM d
+), c AS (
+    SELECT part, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic,
+           CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+           || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+           || CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) THEN 'C' ELSE '' END
+           || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+           || CASE WHEN doc_id > first_id THEN 'E' ELSE '' END AS fails
+    FROM m GROUP BY ALL
+), f(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+    WHERE a.x <> b.x AND a.x <> c.x AND a.x <> d.x AND a.x <> e.x AND b.x <> c.x AND b.x <> d.x AND b.x <> e.x
+      AND c.x <> d.x AND c.x <> e.x AND d.x <> e.x
+), s AS (
+    SELECT filter_order, step::INT AS step, filter_order[step] AS filter, left(filter_order, step - 1) AS before
+    FROM o, (SELECT unnest(range(1, 6)) AS step)
+), r AS (
+    SELECT part, filter_order, step, filter,
+           sum(n) FILTER (NOT gone AND NOT here) AS kept, sum(n) FILTER (NOT gone AND here) AS removed,
+           sum(n) FILTER (gone AND here) AS redundant, sum(n) FILTER (fails = filter) AS unique_fails,
+           sum(n_good) FILTER (NOT gone AND here) AS good_lost, sum(n_toxic) FILTER (NOT gone AND here) AS toxic_lost
+    FROM (SELECT c.*, s.*, contains(fails, filter) AS here,
+                 before <> '' AND regexp_matches(fails, '[' || before || '_]') AS gone FROM c, s)
+    GROUP BY ALL
+)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, filter), 0)::BIGINT AS shapley
+FROM r
+"""
