@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillcast.llm import (
+    conversation_repair,
     decontamination,
     filter_audit,
     line_dedup,
@@ -226,3 +227,95 @@ SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(rem
        coalesce(sum(removed) OVER (PARTITION BY part, filter), 0)::BIGINT AS shapley
 FROM r
 """
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by rule, with their faults and the cheapest repair."""
+    rows = table(spark, sf_dir, "conversations")
+    found, turns = conversation_repair.repair(conversation_repair.damaged(rows))
+    known = found.join(conversation_repair.digests(turns), "conv", "left")
+    conv = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit(""))
+    named = rows.select("conv_id").distinct().withColumn("conv", conv).join(known, "conv", "left")
+    zeros = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return named.select(
+        "conv_id",
+        *(F.coalesce(name, F.lit(0)).cast("long").alias(name) for name in zeros),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def _move(before: str, cost: object, letter: str, line: str = "", when: str = "") -> str:
+    """The cheapest edits up to state ``before`` and one more, as SQL; null unless ``when``."""
+    said = f" || chr(10) || {line}" if line else ""
+    moved = f"{{'c': {before}.c + {cost}, 'a': {before}.a || '{letter}', 't': {before}.t{said}}}"
+    return f"CASE WHEN {when} THEN {moved} END" if when else moved
+
+
+def _least(*moves: str) -> str:
+    return f"list_min([{', '.join(moves)}])"
+
+
+_TO_USER = [
+    move
+    for before in ("p0", "ps", "a2")
+    for move in (
+        _move(before, "extra", "K", "line", "NOT gone AND initial = 'u'"),
+        _move(before, "3 + extra", "R", "'user:' || text", "NOT gone"),
+    )
+]
+_RELAXED = f"""
+SELECT *, {_least("pa", _move("u2", 3, "I", "'assistant:'"))} AS a2
+FROM (SELECT *, {_least("pu", *(_move(before, 3, "I", "'user:'") for before in ("p0", "ps", "pa")))} AS u2 FROM walk)"""
+_NOWHERE = "{'c': 1000000000::BIGINT, 'a': '~', 't': ''}"
+
+# The cheapest edits row by row with the least audit of each state; the SQL needs no chunks.
+ORACLES["op12_conversation_repair"] = rf"""
+WITH RECURSIVE given AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations
+), drawn AS (
+    SELECT *, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(range(1, length(key) + 1), lambda i: ord(key[i])::BIGINT)),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+            lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))) % 20 AS draw
+    FROM given
+), hurt AS (
+    SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+           CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN draw = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM drawn WHERE draw <> 0
+), placed AS (
+    SELECT *, left(role, 1) AS initial, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+           NOT regexp_matches(text, '[^ 	-]') AS empty,
+           NOT regexp_matches(text, '[.!?][ 	-]*\z') AS cut
+    FROM hurt
+), r AS (
+    SELECT *, empty OR again AS gone, CASE WHEN cut THEN 3 ELSE 0 END AS extra, role || ':' || text AS line,
+           lag(initial) OVER (PARTITION BY conv_id ORDER BY n) || initial AS pair
+    FROM placed
+), walk AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS p0, {_NOWHERE} AS ps, {_NOWHERE} AS pu, {_NOWHERE} AS pa
+    FROM conversations
+    UNION ALL
+    SELECT w.conv_id, n, {_move("p0", 4, "D")},
+           {_least(_move("ps", 4, "D"), _move("p0", "extra", "K", "line", "NOT gone AND initial = 's'"))},
+           {_least(_move("u2", 4, "D"), *_TO_USER)},
+           {_least(_move("a2", 4, "D"), _move("u2", "extra", "K", "line", "NOT gone AND initial = 'a'"), _move("u2", "3 + extra", "R", "'assistant:' || text", "NOT gone"))}
+    FROM ({_RELAXED}) w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.n = w.i + 1
+), ended AS (
+    SELECT conv_id, i, {_least("p0", "a2")} AS best FROM ({_RELAXED})
+    QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+), told AS (
+    SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (empty) AS blank,
+           count(*) FILTER (again AND NOT empty) AS duplicate, count(*) FILTER (cut AND NOT gone) AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM r GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, best.c::BIGINT AS cost, best.a AS audit,
+       sha256(substr(best.t, 2)) AS repaired_sha256
+FROM ended e LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
