@@ -11,6 +11,7 @@ from quillcast.llm import (
     conversation_repair,
     decontamination,
     filter_audit,
+    language_id,
     line_dedup,
     packing,
     quality_classifier,
@@ -229,6 +230,12 @@ FROM r
 """
 
 
+@query
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents by a network over the bytes of whole texts."""
+    return language_id.identify(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, damaged by rule, with their faults and the cheapest repair."""
@@ -289,8 +296,10 @@ WITH RECURSIVE given AS (
 ), placed AS (
     SELECT *, left(role, 1) AS initial, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
            row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
-           NOT regexp_matches(text, '[^ 	-]') AS empty,
-           NOT regexp_matches(text, '[.!?][ 	-]*\z') AS cut
+           NOT regexp_matches(text, '[^ 	-
+]') AS empty,
+           NOT regexp_matches(text, '[.!?][ 	-
+]*\z') AS cut
     FROM hurt
 ), r AS (
     SELECT *, empty OR again AS gone, CASE WHEN cut THEN 3 ELSE 0 END AS extra, role || ':' || text AS line,
