@@ -35,13 +35,20 @@ def top_posts(
     broadcasts or sort-merges accordingly. Raw JSON is better written as facts first, as
     the posts are read twice.
     """
-    counted = windowed(reposts(facts), window, "rt_id").agg(
-        F.count("*").alias("cnt"), F.min("ts").alias("ts")
-    )
-    winners = written(top_x(counted, x).drop("rank"), "winners")
+    winners = written(top_x(numbered(facts, window), x).drop("rank"), "winners")
+    ranked = with_payload(winners, facts)
+    return with_author(ranked) if require_author else ranked
+
+
+def numbered(facts: DataFrame, window: str) -> DataFrame:
+    """Reposts per window and original post, and the time of the first: ``win, rt_id, cnt, ts``."""
+    return windowed(reposts(facts), window, "rt_id").agg(F.count("*").alias("cnt"), F.min("ts").alias("ts"))
+
+
+def with_payload(winners: DataFrame, facts: DataFrame) -> DataFrame:
+    """Winners with author and text of their first repost among ``facts``."""
     # The time of the first repost implies the window.
     first = reposts(facts).join(winners, ["rt_id", "ts"])
-    ranked = first_shown(first.groupBy("win", "rt_id", "cnt")).select(
+    return first_shown(first.groupBy("win", "rt_id", "cnt")).select(
         "win", "rt_id", "payload.screen_name", "payload.text", "cnt"
     )
-    return with_author(ranked) if require_author else ranked

@@ -5,13 +5,18 @@ return their started queries; the default trigger works off what is there and en
 ``processingTime='1 minute'`` keeps them running.
 
 A stream job parses its input once, into ``facts`` under ``out``, and goes on from there:
-``dump`` (all posts), ``results`` and ``documents``; the parsing query reports malformed lines
-(``runner.malformed_lines``). ``outputs`` chooses among dump, results, documents and console.
+``dump`` (all posts), ``results`` and ``documents``; ``archive.totals(spark, f"{out}/facts")`` counts
+lines, notices, malformed lines and late posts. ``outputs`` chooses among dump, results, documents and console.
 With the default trigger the parsing has ended before the rest starts.
 
 Common settings: ``time`` (event or arrival) and ``delay`` of the windows, ``max_files`` per
-micro-batch, ``state_partitions``, ``files_per_batch`` of results, and ``replace``, which
+micro-batch, ``state_partitions``, ``files_per_batch`` of results, ``merge`` (so many micro-batches' folders are
+put together, none if 0; read them by ``batches.current`` then), and ``replace``, which
 removes earlier results and documents first; without it documents are added.
+
+``idle`` closes the windows of a silent stream: after so many seconds without posts its time goes on
+with the clock, ``pace`` seconds per second. With the default trigger the present
+input counts as complete, and all its windows are closed at once.
 """
 
 from __future__ import annotations
@@ -21,10 +26,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quillcast.operators import comparison, counts, geo, ranking, shares
 from quillcast.operators.counts import labelled
-from quillcast.session import make_folder, remove_folder, written
+from quillcast.session import remove_folder, written
 from quillcast.sinks import files
 from quillcast.sources import dumps, posts
-from quillcast.streaming import metrics, predictors, runner
+from quillcast.streaming import archive, metrics, predictors, runner
 
 ALL_OUTPUTS = "dump,results,documents"
 
@@ -117,16 +122,29 @@ def batch_shares(
 # Streams ----------------------------------------------------------------------
 
 
-def _parse(
-    spark: SparkSession, inbox: str, out: str, max_files: int | None, trigger: dict
-) -> tuple[StreamingQuery, DataFrame]:
-    """Start the only parse of the input; the stream of its facts comes back from files."""
-    facts = posts.stream_facts(spark, inbox, max_files)
-    make_folder(spark, f"{out}/facts")
-    query = runner.start_file_sink(facts, f"{out}/facts", f"{out}/checkpoints/facts", **trigger)
+def _file(
+    spark: SparkSession,
+    inbox: str,
+    out: str,
+    window: str,
+    time: str,
+    delay: str,
+    max_files: int | None,
+    idle: float | None,
+    pace: float,
+    trigger: dict,
+) -> StreamingQuery:
+    """Start the only parse of the input, and the clock that goes on when it is silent."""
+    facts, reach = f"{out}/facts", f"{window} {delay}"
+    query = archive.start_filing(spark, inbox, facts, f"{out}/checkpoints/facts", window, delay, time, max_files=max_files, **trigger)
     if not trigger or "availableNow" in trigger or "once" in trigger:
         runner.finish_query(query)
-    return query, spark.readStream.schema(facts.schema).parquet(f"{out}/facts")
+        latest = archive.totals(spark, facts).get("latest")
+        if idle is not None and latest is not None:
+            archive.tick(spark, facts, latest + archive.length_of(spark, reach))
+    elif idle is not None:
+        archive.IdleClock(spark, facts, query, reach, idle, pace).start()
+    return query
 
 
 def _targets(kind: str, out: str, chosen: list[str], suffix: str = "") -> dict[str, runner.Write]:
@@ -152,6 +170,10 @@ def _start_job(
     state_partitions: int | None,
     files_per_batch: int,
     replace: bool,
+    merge: int,
+    idle: float | None,
+    pace: float,
+    window: str,
     trigger: dict,
 ) -> list[StreamingQuery]:
     """``counted`` turns facts into the stateful stream, ``finishes`` its closed windows into results by kind."""
@@ -171,16 +193,19 @@ def _start_job(
     if replace:
         for path in (*targets, f"{out}/checkpoints/results"):
             remove_folder(spark, path)
-    parsing, facts = _parse(spark, inbox, out, max_files, trigger)
-    started = [parsing]
+    if time not in metrics.TIMES:
+        raise ValueError(f"time is one of {', '.join(metrics.TIMES)}")
+    started = [_file(spark, inbox, out, window, time, delay, max_files, idle, pace, trigger)]
+    facts = f"{out}/facts"
     if "dump" in chosen:
         outputs_ = {f"{out}/dump": files.dump_writer(dump)}
-        started.append(runner.start(facts, f"{out}/checkpoints/dump", outputs_, **trigger))
+        posted = archive.stream_archive(spark, facts).filter("id is not null")
+        started.append(runner.start(posted, f"{out}/checkpoints/dump", outputs_, merge=merge, **trigger))
     if targets:
-        stream = counted(metrics.with_time(facts, time, delay))
+        stream = counted(archive.in_time(archive.stream_archive(spark, facts, time), window, delay, time))
         started.append(
             runner.start(
-                stream, f"{out}/checkpoints/results", targets, common, state_partitions, gathered, **trigger
+                stream, f"{out}/checkpoints/results", targets, common, state_partitions, gathered, merge=merge, **trigger
             )
         )
     return started
@@ -198,11 +223,14 @@ def stream_totals(
     state_partitions: int | None = None,
     files_per_batch: int = 8,
     replace: bool = False,
+    merge: int = 0,
+    idle: float | None = None,
+    pace: float = 1.0,
     **trigger,
 ) -> list[StreamingQuery]:
     return _start_job(
         spark, inbox, out, "total", lambda facts: counts.reposts_per_window(facts, window), {"total": labelled},
-        time, delay, outputs, max_files, state_partitions, files_per_batch, replace, trigger,
+        time, delay, outputs, max_files, state_partitions, files_per_batch, replace, merge, idle, pace, window, trigger,
     )
 
 
@@ -219,15 +247,20 @@ def stream_top_posts(
     state_partitions: int | None = None,
     files_per_batch: int = 8,
     replace: bool = False,
+    merge: int = 0,
+    idle: float | None = None,
+    pace: float = 1.0,
     **trigger,
 ) -> list[StreamingQuery]:
-    def counted(facts: DataFrame) -> DataFrame:
-        return metrics.top_posts(facts, window, x)[0]
+    """The state holds numbers only; names and texts come from the slices of ``facts`` where winners were posted."""
+
+    def look_up(winners: DataFrame) -> DataFrame:
+        return archive.posts_at(winners.sparkSession, f"{out}/facts", winners, time)
 
-    finishes = {"top": lambda closed: metrics.ranked(closed, x)}
     return _start_job(
-        spark, inbox, out, "top", counted, finishes,
-        time, delay, outputs, max_files, state_partitions, files_per_batch, replace, trigger,
+        spark, inbox, out, "top",
+        lambda facts: ranking.numbered(facts, window), {"top": lambda closed: metrics.ranked_again(closed, x, look_up)},
+        time, delay, outputs, max_files, state_partitions, files_per_batch, replace, merge, idle, pace, window, trigger,
     )
 
 
@@ -247,6 +280,9 @@ def stream_countries(
     state_partitions: int | None = None,
     files_per_batch: int = 8,
     replace: bool = False,
+    merge: int = 0,
+    idle: float | None = None,
+    pace: float = 1.0,
     **trigger,
 ) -> list[StreamingQuery]:
     """Both country metrics from one count; their folders end in ``-geo`` and ``-percentage``."""
@@ -254,7 +290,7 @@ def stream_countries(
     return _start_job(
         spark, inbox, out, "lang",
         lambda facts: counts.reposts_per_language(facts, window, lang_of, keep_no_lang), finishes,
-        time, delay, outputs, max_files, state_partitions, files_per_batch, replace, trigger,
+        time, delay, outputs, max_files, state_partitions, files_per_batch, replace, merge, idle, pace, window, trigger,
     )
 
 
@@ -272,12 +308,15 @@ def stream_shares(
     state_partitions: int | None = None,
     files_per_batch: int = 8,
     replace: bool = False,
+    merge: int = 0,
+    idle: float | None = None,
+    pace: float = 1.0,
     **trigger,
 ) -> list[StreamingQuery]:
     return _start_job(
         spark, inbox, out, "lang",
         lambda facts: shares.share_of_posts(facts, window, lang_of, keep_no_lang), {"share": labelled},
-        time, delay, outputs, max_files, state_partitions, files_per_batch, replace, trigger,
+        time, delay, outputs, max_files, state_partitions, files_per_batch, replace, merge, idle, pace, window, trigger,
     )
 
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +43,47 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Give a file or folder another name in the same file system; the target must not exist yet."""
+    source, system = _file_system(spark, path)
+    goal, _ = _file_system(spark, target)
+    system.mkdirs(goal.getParent())
+    if not system.rename(source, goal):
+        raise OSError(f"cannot move {path} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file."""
+    target, system = _file_system(spark, path)
+    out = system.create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Read a small file."""
+    source, system = _file_system(spark, path)
+    stream = system.open(source)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def set_modified(spark: SparkSession, path: str, millis: int) -> None:
+    """Give all files of a folder a time of modification."""
+    folder, system = _file_system(spark, path)
+    for status in system.listStatus(folder):
+        system.setTimes(status.getPath(), millis, -1)
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     """Create an empty folder in whatever file system the path names."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -52,6 +96,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a folder."""
+    folder, system = _file_system(spark, path)
+    return system.getContentSummary(folder).getLength()
+
+
 def file_names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; none if it does not exist."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -61,6 +111,25 @@ def file_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in system.listStatus(folder)]
 
 
+_taken = threading.local()
+
+
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what :func:`written` has written meanwhile in this thread.
+
+    For work whose results are written elsewhere before it ends, a micro-batch say.
+    """
+    before = getattr(_taken, "folders", [])
+    _taken.folders = []
+    try:
+        yield
+    finally:
+        for path in _taken.folders:
+            remove_folder(spark, path)
+        _taken.folders = before
+
+
 def written(frame: DataFrame, label: str) -> DataFrame:
     """Compute a frame once into the scratch folder and go on from the files.
 
@@ -68,5 +137,6 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     the planner the true size.
     """
     path = scratch_dir(frame.sparkSession, label)
+    _taken.folders = [*getattr(_taken, "folders", []), path]
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -124,7 +124,7 @@ def _as_posts(raw: DataFrame) -> DataFrame:
     )
 
 
-def _as_facts(raw: DataFrame) -> DataFrame:
+def _fact_fields() -> list[Column]:
     original = F.col("retweeted_status")
 
     def of_original(value: Column) -> Column:
@@ -135,7 +135,7 @@ def _as_facts(raw: DataFrame) -> DataFrame:
         return F.when(author.isNotNull(), F.coalesce(author[name], F.lit("")))
 
     user = F.col("user")
-    return _kept(raw).select(
+    return [
         F.coalesce("id", F.lit(0)).cast("bigint").alias("id"),
         created_at_ts(F.coalesce("created_at", F.lit(""))).alias("ts"),
         F.when(user.isNotNull(), F.coalesce(user["lang"], F.lit(""))).alias("lang"),
@@ -144,7 +144,11 @@ def _as_facts(raw: DataFrame) -> DataFrame:
         of_author("lang").alias("rt_lang"),
         of_author("screen_name").alias("rt_screen_name"),
         of_original(F.coalesce(original["text"], F.lit(""))).alias("rt_text"),
-    )
+    ]
+
+
+def _as_facts(raw: DataFrame) -> DataFrame:
+    return _kept(raw).select(*_fact_fields())
 
 
 def _json_files(reader, schema: str, path: str) -> DataFrame:
@@ -183,17 +187,29 @@ def stream_facts(spark: SparkSession, path: str, max_files_per_trigger: int | No
     The same pass counts ``lines``, ``notices`` and ``malformed`` lines per micro-batch as
     observed metrics.
     """
-    raw = _json_files(_stream_reader(spark, max_files_per_trigger), RAW_LEAN_POST, path)
-    return _as_facts(
-        raw.observe(
-            PARSED,
-            F.count("*").alias("lines"),
-            F.count_if(F.expr("`delete` is not null")).alias("notices"),
-            F.count_if(_is_malformed()).alias("malformed"),
-        )
+    return _as_facts(_observed(_json_files(_stream_reader(spark, max_files_per_trigger), RAW_LEAN_POST, path)))
+
+
+def _observed(raw: DataFrame) -> DataFrame:
+    return raw.observe(
+        PARSED,
+        F.count("*").alias("lines"),
+        F.count_if(F.expr("`delete` is not null")).alias("notices"),
+        F.count_if(_is_malformed()).alias("malformed"),
     )
 
 
+# What a line turned out to be.
+POST, NOTICE, MALFORMED = "post", "notice", "malformed"
+
+
+def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Every line of a folder that keeps receiving files: its ``kind``, post facts, and when its file ``arrived``."""
+    raw = _observed(_json_files(_stream_reader(spark, max_files_per_trigger), RAW_LEAN_POST, path))
+    kind = F.when(_is_malformed(), MALFORMED).when(F.expr("`delete` is not null"), NOTICE).otherwise(POST)
+    return raw.select(*_fact_fields(), F.col("_metadata.file_modification_time").alias("arrived"), kind.alias("kind"))
+
+
 def _stream_reader(spark: SparkSession, max_files_per_trigger: int | None):
     reader = spark.readStream
     if max_files_per_trigger is not None:

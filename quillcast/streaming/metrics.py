@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quillcast.operators import counts, geo, ranking, shares
 from quillcast.operators.counts import labelled
+from quillcast.session import written
 from quillcast.streaming.runner import Finish
 
 DELAY = "5 seconds"
@@ -47,8 +48,20 @@ def ranked(closed: DataFrame, x: int = 5) -> DataFrame:
     return labelled(ranking.with_author(ranking.top_x(closed, x)).drop("rank"))
 
 
-def top_posts(facts: DataFrame, window: str = "1 minute", x: int = 5):
-    return counts.reposts_per_post_with_payload(facts, window), lambda closed: ranked(closed, x)
+def ranked_again(closed: DataFrame, x: int, look_up: Finish) -> DataFrame:
+    """The top X of closed windows, names and texts fetched for the winners only."""
+    winners = written(ranking.top_x(closed, x).drop("rank"), "winners")
+    return labelled(ranking.with_author(ranking.with_payload(winners, look_up(winners))))
+
+
+def top_posts(facts: DataFrame, window: str = "1 minute", x: int = 5, look_up: Finish | None = None):
+    """The top X of each window. ``look_up`` finds the posts at the ``ts`` of a frame again
+    (:func:`quillcast.streaming.archive.posts_at`); then the state holds numbers only.
+    Without it name and text of all posts are carried along.
+    """
+    if look_up is None:
+        return counts.reposts_per_post_with_payload(facts, window), lambda closed: ranked(closed, x)
+    return ranking.numbered(facts, window), lambda closed: ranked_again(closed, x, look_up)
 
 
 def located(capitals: DataFrame) -> Finish:

@@ -8,7 +8,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from quillcast.session import cleared
 from quillcast.sources.posts import PARSED
+from quillcast.streaming import batches
 
 Finish = Callable[[DataFrame], DataFrame]
 FinishBatch = Callable[[DataFrame, int], DataFrame]
@@ -32,12 +34,15 @@ def start(
     state_partitions: int | None = None,
     files_per_batch: int | None = None,
     finish_batch: FinishBatch | None = None,
+    merge: int = 0,
     **trigger,
 ) -> StreamingQuery:
     """Hand every micro-batch to the writers, each under ``<path>/batch_id=<n>``.
 
-    A batch that is run again after a failure overwrites its own folders and nothing
-    else. ``finish`` is the part of a metric that needs whole windows (ranking,
+    A folder appears when it is whole. A batch that is run again after a failure replaces its
+    own folders and nothing else. With ``merge`` so many neighbouring folders are put together
+    again and again; read the output by :func:`quillcast.streaming.batches.current` then. What
+    a batch leaves in the scratch folder is removed with it. ``finish`` is the part of a metric that needs whole windows (ranking,
     percentages): append mode hands over all rows of a closed window in the same
     micro-batch, so the batch operator applies as it is; ``finish_batch`` is told the
     batch's number, too. ``state_partitions`` is
@@ -47,18 +52,23 @@ def start(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        frame = finish(batch) if finish else batch
-        if finish_batch:
-            frame = finish_batch(frame, batch_id)
-        if files_per_batch is not None:
-            frame = frame.repartition(files_per_batch)
-        if len(outputs) > 1:
-            frame = frame.persist()
-        try:
+        spark = batch.sparkSession
+        with cleared(spark):
+            frame = finish(batch) if finish else batch
+            if finish_batch:
+                frame = finish_batch(frame, batch_id)
+            if files_per_batch is not None:
+                frame = frame.repartition(files_per_batch)
+            if len(outputs) > 1:
+                frame = frame.persist()
+            try:
+                for path, write in outputs.items():
+                    batches.commit(spark, path, batch_id, lambda target, write=write: write(frame, target))
+            finally:
+                frame.unpersist()
+        if merge:
             for path, write in outputs.items():
-                write(frame, f"{path}/batch_id={batch_id}")
-        finally:
-            frame.unpersist()
+                batches.merge(spark, path, batches.merge_parquet if write is parquet else batches.merge_lines, merge)
 
     return _launch(
         stream.writeStream.foreachBatch(store), stream, checkpoint, state_partitions, trigger

@@ -22,7 +22,7 @@ JOBS = {
     for name, job in inspect.getmembers(jobs, inspect.isfunction)
     if job.__module__ == jobs.__name__ and not name.startswith("_")
 }
-TYPES = {"int": int, "int | None": int, "float": float, "bool": lambda text: text == "true"}
+TYPES = {"int": int, "int | None": int, "float": float, "float | None": float, "bool": lambda text: text == "true"}
 
 
 def settings(spark: SparkSession, job, arguments: list[str]) -> dict[str, object]:
