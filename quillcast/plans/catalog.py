@@ -12,17 +12,19 @@ from quillcast.functions.time import minute_bucket
 from quillcast.operators import comparison, counts, geo, ranking, series, shares
 from quillcast.operators.counts import labelled
 from quillcast.plans.events import POSTS_SQL, event_facts, event_json, read_events, stream_events
-from quillcast.session import scratch_dir, written
+from quillcast.session import scratch_dir, set_modified, written
 from quillcast.sinks import files
 from quillcast.sources import dumps
 from quillcast.sources import posts as post_source
 from quillcast.sources.capitals import read_capitals
-from quillcast.streaming import metrics, predictors, runner
+from quillcast.streaming import archive, batches, metrics, predictors, runner
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 HOUR = "1 hour"
 DAY = "1 day"
+# Slices of the archive in the queries below: the tables hold a month.
+_WEEK = "7 days"
 # The comparisons take what lies before as the earlier batch run and the rest as live.
 SPLIT = "2024-01-16"
 
@@ -810,9 +812,14 @@ def stream_retweets_two_stage(spark, sf_dir):
     return run_stream(spark, "stream-two-stage", stream, finish)
 
 
-@query("stream_top_x", _closed(ORACLES["top_x_retweets"], DAY, _REPOST))
+@query("stream_top_x", _closed(ORACLES["top_x_retweets"], DAY, "true"))
 def stream_top_x(spark, sf_dir):
-    stream, finish = metrics.top_posts(_stream(spark, sf_dir), DAY)
+    """From JSON posts; the state holds numbers, names and texts are looked up in the archive."""
+    path = scratch_dir(spark, "stream-top")
+    filing = archive.start_filing(spark, json_posts_dir(spark, sf_dir), f"{path}/facts", f"{path}/filed", DAY, metrics.DELAY, slice_length=_WEEK)
+    runner.finish_query(filing)
+    rows = archive.in_time(archive.stream_archive(spark, f"{path}/facts"), DAY, metrics.DELAY)
+    stream, finish = metrics.top_posts(rows, DAY, look_up=lambda winners: archive.posts_at(spark, f"{path}/facts", winners, slice_length=_WEEK))
     return run_stream(spark, "stream-top", stream, finish)
 
 
@@ -986,3 +993,161 @@ def stream_json_dump(spark, sf_dir):
     outputs = {f"{path}/{kind}": files.dump_writer(kind) for kind in ("lang", "top")}
     runner.finish_query(runner.start(stream, f"{path}/checkpoint", outputs))
     return dumps.read_dump(spark, "lang", f"{path}/lang/batch_id=*")
+
+
+# Streams that fall silent, arrive late, or go on for long ----------------------------
+
+# Posts in the order they arrive in: one file per quarter of the table's time, every
+# tenth post one file later than it was written.
+_ARRIVALS = 4
+_ARRIVAL_SQL = f"""
+span AS (SELECT min(ts) AS first_ts, max(ts) AS last_ts FROM events),
+arrivals AS (
+  SELECT event_id AS id, least({_ARRIVALS - 1}, epoch_us(ts - first_ts) * {_ARRIVALS} // (epoch_us(last_ts - first_ts) + 1)
+                               + CASE WHEN event_id % 10 = 3 THEN 1 ELSE 0 END) AS part
+  FROM events, span),
+seen AS (SELECT part, max(max(ts)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+         FROM posts JOIN arrivals USING (id) GROUP BY part),
+arrived AS (SELECT posts.*, time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= seen - INTERVAL '5 seconds' AS late
+            FROM posts JOIN arrivals USING (id) JOIN seen USING (part))"""
+
+
+def _arrivals(spark, sf_dir) -> list[DataFrame]:
+    """The events by the file they arrive in."""
+    events = read_events(spark, sf_dir)
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(micros), F.max(micros)).first()
+    part = F.floor((micros - first) * _ARRIVALS / (last - first + 1)) + F.when(F.col("event_id") % 10 == 3, 1).otherwise(0)
+    told = events.withColumn("part", F.least(part, F.lit(_ARRIVALS - 1)))
+    return [told.filter(F.col("part") == number).drop("part") for number in range(_ARRIVALS)]
+
+
+def _file_arrivals(spark, sf_dir, path: str, window: str) -> None:
+    """File one arrival after the other; the filing query ends and starts anew each time."""
+    for events in _arrivals(spark, sf_dir):
+        event_json(events).write.mode("append").text(f"{path}/inbox")
+        runner.finish_query(
+            archive.start_filing(spark, f"{path}/inbox", f"{path}/facts", f"{path}/filed", window, metrics.DELAY, slice_length=_WEEK)
+        )
+
+
+@query(
+    "stream_late_posts",
+    f"WITH {POSTS_SQL.strip()}, {_ARRIVAL_SQL.strip()} "
+    "SELECT (SELECT count(*) FROM events) AS lines, (SELECT count(*) FROM events WHERE event_type = 'error') AS notices, "
+    "0::BIGINT AS malformed, count(*) AS posts, count(*) FILTER (late) AS late FROM arrived",
+)
+def stream_late_posts(spark, sf_dir):
+    """What the archive's totals count over four runs of the filing query."""
+    path = scratch_dir(spark, "late-posts")
+    _file_arrivals(spark, sf_dir, path, HOUR)
+    found = archive.totals(spark, f"{path}/facts")
+    return spark.createDataFrame([[found[name] for name in archive.COUNTS]], ", ".join(f"{name} bigint" for name in archive.COUNTS))
+
+
+@query(
+    "stream_without_late_posts",
+    f"WITH {POSTS_SQL.strip()}, {_ARRIVAL_SQL.strip()} "
+    f"SELECT {_win(HOUR)}, rt_lang AS lang, count(*) AS cnt FROM arrived WHERE rt_lang IS NOT NULL AND NOT coalesce(late, false) GROUP BY 1, 2",
+)
+def stream_without_late_posts(spark, sf_dir):
+    """Counts leave out exactly the posts that the totals count as late; the last window is closed by a tick."""
+    path = scratch_dir(spark, "no-late-posts")
+    _file_arrivals(spark, sf_dir, path, HOUR)
+    latest = archive.totals(spark, f"{path}/facts")["latest"]
+    archive.tick(spark, f"{path}/facts", latest + archive.length_of(spark, f"{HOUR} {metrics.DELAY}"))
+    rows = archive.in_time(archive.stream_archive(spark, f"{path}/facts"), HOUR, metrics.DELAY)
+    return run_stream(spark, "no-late-posts", counts.reposts_per_language(rows, HOUR), labelled)
+
+
+def _until_silent(spark, sf_dir, name: str, window: str, metric) -> str:
+    """Run filing and metric side by side until the idle clock has closed all windows; the folder of results.
+
+    An hour of the stream passes per second of silence.
+    """
+    path = scratch_dir(spark, name)
+    inbox, facts = json_posts_dir(spark, sf_dir), f"{path}/facts"
+    trigger = {"processingTime": "200 milliseconds"}
+    filing = archive.start_filing(spark, inbox, facts, f"{path}/filed", window, metrics.DELAY, slice_length=_WEEK, **trigger)
+    filing.processAllAvailable()
+    stream, finish = metric(archive.in_time(archive.stream_archive(spark, facts), window, metrics.DELAY))
+    results = runner.start(
+        stream, f"{path}/checkpoint", {f"{path}/out": runner.parquet}, finish, spark.sparkContext.defaultParallelism, **trigger
+    )
+    silent = archive.IdleClock(spark, facts, filing, f"{window} {metrics.DELAY}", idle=1.0, pace=3600.0)
+    silent.start()
+    try:
+        while not silent.closed.wait(1):
+            for running in (filing, results):
+                if running.exception():
+                    raise running.exception()
+        results.processAllAvailable()
+    finally:
+        silent.stop()
+        filing.stop()
+        results.stop()
+    return f"{path}/out"
+
+
+@query("stream_last_window", ORACLES["retweets_per_lang"])
+def stream_last_window(spark, sf_dir):
+    """A stream whose inbox falls silent shows its last window, too: all that a batch would."""
+    out = _until_silent(spark, sf_dir, "last-window", HOUR, lambda rows: (counts.reposts_per_language(rows, HOUR), labelled))
+    return spark.read.parquet(out).drop("batch_id")
+
+
+@query("stream_last_share", ORACLES["retweet_share_per_lang"])
+def stream_last_share(spark, sf_dir):
+    """As above for shares, whose last window holds posts of both kinds."""
+    out = _until_silent(spark, sf_dir, "last-share", HOUR, lambda rows: (shares.share_of_posts(rows, HOUR), labelled))
+    return spark.read.parquet(out).drop("batch_id")
+
+
+_ARRIVED = "TIMESTAMP '2024-02-01' + to_minutes(7 * (event_id % 5))"
+
+
+@query(
+    "stream_by_arrival",
+    f"WITH {POSTS_SQL.strip()} SELECT time_bucket(INTERVAL '15 minutes', {_ARRIVED.replace('event_id', 'id')}) AS window_start, "
+    "count(*) AS cnt FROM posts WHERE rt_id IS NOT NULL GROUP BY 1",
+)
+def stream_by_arrival(spark, sf_dir):
+    """Windows by the time at which a post's file arrived, stored with the facts: the same whenever it runs."""
+    path = scratch_dir(spark, "by-arrival")
+    events = read_events(spark, sf_dir)
+    for part in range(5):
+        folder = f"{path}/inbox/part={part}"
+        event_json(events.filter(F.col("event_id") % 5 == part)).write.text(folder)
+        set_modified(spark, folder, 1_706_745_600_000 + 7 * 60_000 * part)
+    facts = f"{path}/facts"
+    filing = archive.start_filing(spark, f"{path}/inbox/part=*", facts, f"{path}/filed", "15 minutes", metrics.DELAY, "arrival")
+    runner.finish_query(filing)
+    archive.tick(spark, facts, archive.totals(spark, facts)["latest"] + archive.length_of(spark, f"15 minutes {metrics.DELAY}"))
+    rows = archive.in_time(archive.stream_archive(spark, facts, "arrival"), "15 minutes", metrics.DELAY, "arrival")
+    return run_stream(spark, "by-arrival", counts.reposts_per_window(rows), labelled)
+
+
+@query("stream_merged_results", _closed(ORACLES["retweet_pct_per_lang"], HOUR, _HAS_AUTHOR))
+def stream_merged_results(spark, sf_dir):
+    """Result files of many micro-batches, merged by threes as they come, read back."""
+    path = scratch_dir(spark, "merged")
+    for number, events in enumerate(_days(spark, sf_dir, 10)):
+        events.write.parquet(f"{path}/events/part={number:02d}")
+    schema = read_events(spark, sf_dir).schema
+    arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/events/part=*")
+    stream, finish = metrics.percentage_per_language(metrics.with_event_time(event_facts(arriving)), HOUR)
+    started = runner.start(
+        stream, f"{path}/checkpoint", {f"{path}/out": files.result_writer("percentage")}, finish,
+        spark.sparkContext.defaultParallelism, files_per_batch=1, merge=3,
+    )
+    runner.finish_query(started)
+    return dumps.read_results(spark, "percentage", batches.current(spark, f"{path}/out"))
+
+
+def _days(spark, sf_dir, parts: int) -> list[DataFrame]:
+    """The events in order of time, in files of equally long periods; one file each."""
+    events = read_events(spark, sf_dir)
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(micros), F.max(micros)).first()
+    part = F.floor((micros - first) * parts / (last - first + 1))
+    return [events.filter(part == number).coalesce(1) for number in range(parts)]
