@@ -45,3 +45,13 @@ def scale_window(window: str, factor: int) -> str:
     """``scale_window('15 minutes', 4)`` is ``'60 minutes'``."""
     count, unit = window.split(maxsplit=1)
     return f"{int(count) * factor} {unit}"
+
+
+# Seconds of the units that windows come in.
+_UNITS = {"microsecond": 1e-6, "millisecond": 1e-3, "second": 1, "minute": 60, "hour": 3600, "day": 86_400, "week": 604_800}
+
+
+def window_seconds(window: str) -> float:
+    """``window_seconds('15 minutes')`` is 900."""
+    count, unit = window.split(maxsplit=1)
+    return int(count) * _UNITS[unit.strip().lower().removesuffix("s")]

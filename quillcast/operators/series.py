@@ -2,9 +2,11 @@
 
 A series is one row per window. Run naively, ``over (order by window)`` would
 move the whole series into one task. Here it is cut into blocks of consecutive
-windows: running sums inside the blocks are parallel, one summary row per block
-carries the state of all earlier blocks forward, and joining it back completes the
-sums. Only the summaries, a thousandth of the windows, are ordered as a whole.
+windows: running sums inside the blocks are parallel. A block's summary is a map from the
+state before it to the state behind it. Such maps compose, so the summaries of a
+thousand neighbouring blocks are put together to one, those again, and so on; each level hands
+the state before a group down to its members, and joining it back to the windows completes the
+sums. No task orders more than a thousand summaries a century at the top and a thousand anywhere else.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillcast.functions.time import scale_window
+from quillcast.functions.time import scale_window, window_seconds
 
 # Names of the predictors in results.
 AVERAGE = "AVG"
@@ -29,9 +31,15 @@ def block_length(step: float) -> int:
     return min(1024, math.floor(500 / -math.log1p(-step)))
 
 
-def memory_length(step: float) -> int:
-    """Number of steps after which a value has decayed below double precision."""
-    return math.ceil(math.log(1e-17) / math.log1p(-step))
+#: Blocks of a group, groups of a group of groups and so on.
+FAN = 1024
+_CENTURY = 100 * 365 * 86_400
+
+
+def levels_above(window: str, length: int, fan: int = FAN) -> int:
+    """How often blocks are grouped until a century's are at most ``fan``."""
+    blocks = _CENTURY / (window_seconds(window) * length)
+    return max(0, math.ceil(math.log(max(blocks, 1), fan)) - 1)
 
 
 def predict(
@@ -88,6 +96,8 @@ class _Blocks:
         self.history, self.step, self.keep, self.before = history, step, 1.0 - step, before
         length = block_length(step)
         block = F.window("window_start", scale_window(window, length))["start"]
+        self.levels = levels_above(window, length, FAN)
+        self.block_ms = int(window_seconds(window) * length * 1000)
         in_block = Window.partitionBy(*self.keys, "block").orderBy("window_start")
         earlier = in_block.rowsBetween(Window.unboundedPreceding, -1)
         weight = F.when(F.col("i") < length, F.pow(F.lit(self.keep), -F.col("i"))).otherwise(
@@ -115,40 +125,57 @@ class _Blocks:
         )
 
     def _parts(self, types: tuple[str, ...]) -> dict[str, Column]:
-        """A block's summary behind its last window, as far as the predictors need it."""
-        parts = {"n": F.col("i") + 1}
+        """A block's summary behind its last window, as far as the predictors need it.
+
+        As a map: ``v`` before becomes ``keep``^n times that plus the block's own ``v``.
+        """
+        parts = {"n": (F.col("i") + 1).cast("bigint")}
         if REGRESSION in types:
             parts["xy"] = F.col("xy") + F.col("x") * F.col("cnt")
             parts["xx"] = F.col("xx") + F.col("x") * F.col("x")
         if TRACKING in types:
             parts["v"] = self.keep * F.col("v") + self.step * F.col("cnt")
         if AVERAGE in types:
-            parts["recent"] = _last(F.concat("recent", F.array("cnt")), self.history)
+            parts["recent"] = _last(F.concat("recent", F.array("cnt")), self.history).cast("array<bigint>")
         return parts
 
+    def _composed(self, listed: Column, names: list[str]) -> Column:
+        """The summary of neighbouring summaries, in their order."""
+        nothing = {"n": F.lit(0).cast("bigint"), "xy": F.lit(0.0), "xx": F.lit(0.0), "v": F.lit(0.0), "recent": F.array().cast("array<bigint>")}
+        then = {
+            "n": lambda s, b: s["n"] + b["n"],
+            "xy": lambda s, b: s["xy"] + b["xy"],
+            "xx": lambda s, b: s["xx"] + b["xx"],
+            "v": lambda s, b: F.pow(F.lit(self.keep), b["n"]) * s["v"] + b["v"],
+            "recent": lambda s, b: _last(F.concat(s["recent"], b["recent"]), self.history),
+        }
+        zero = F.struct(*[nothing[name].alias(name) for name in names])
+        return F.aggregate(listed, zero, lambda s, b: F.struct(*[then[name](s, b).alias(name) for name in names]))
+
+    def _before(self, cells: DataFrame, names: list[str], levels: int) -> DataFrame:
+        """``cells`` (keys, ``at``, summary ``b``) with the summary ``p`` of all that lies before each."""
+        group = _floor(F.col("at"), FAN) if levels else F.lit(0)
+        cells = cells.withColumn("group", group)
+        earlier = Window.partitionBy(*self.keys, "group").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+        inside = cells.withColumn("p", self._composed(F.collect_list("b").over(earlier), names))
+        if not levels:
+            return inside.drop("group")
+        listed = F.transform(F.sort_array(F.collect_list(F.struct("at", "b"))), lambda cell: cell["b"])
+        groups = cells.groupBy(*self.keys, F.col("group").alias("at")).agg(self._composed(listed, names).alias("b"))
+        above = self._before(groups, names, levels - 1).select(*self.keys, F.col("at").alias("group"), F.col("p").alias("above"))
+        joined = inside.join(above, [*self.keys, "group"])
+        return joined.withColumn("p", self._composed(F.array("above", "p"), names)).drop("above", "group")
+
     def _carried(self, types: tuple[str, ...]) -> DataFrame:
         """Per block its summary ``b`` and the state of all that lies before it."""
         parts = [value.alias(name) for name, value in self._parts(types).items()]
+        names = list(self._parts(types))
         blocks = self.rows.groupBy(*self.keys, "block").agg(
             F.max_by(F.struct(*parts), "window_start").alias("b")
         )
-        in_order = Window.partitionBy(*self.keys).orderBy("block")
-        before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-        sums = {"n0": F.coalesce(F.sum("b.n").over(before), F.lit(0))}
-        if REGRESSION in types:
-            sums |= {f"{name}0": _or_zero(F.sum(f"b.{name}").over(before)) for name in ("xy", "xx")}
-        if TRACKING in types:
-            # Every block holds at least one window, so this many blocks reach back far enough.
-            fading = in_order.rowsBetween(-memory_length(self.step), -1)
-            sums["v0"] = F.aggregate(
-                F.collect_list(F.struct("b.n", "b.v")).over(fading),
-                F.lit(0.0),
-                lambda v, b: F.pow(F.lit(self.keep), b["n"]) * v + b["v"],
-            )
-        if AVERAGE in types:
-            recent = F.collect_list("b.recent").over(in_order.rowsBetween(-self.history, -1))
-            sums["recent0"] = _last(F.flatten(recent), self.history)
-        carried = blocks.select(*self.keys, "block", "b", *[value.alias(name) for name, value in sums.items()])
+        cells = blocks.withColumn("at", _floor(F.col("block"), self.block_ms))
+        found = self._before(cells, names, self.levels)
+        carried = found.select(*self.keys, "block", "b", *[F.col(f"p.{name}").alias(f"{name}0") for name in names])
         if self.before is None:
             return carried
         old = F.struct(*[F.col(name) for name in ("n", "xy", "xx", "v", "recent")]).alias("old")
@@ -228,6 +255,11 @@ def only(predictions: DataFrame, prediction_type: str) -> DataFrame:
     return predictions.filter(F.col("prediction_type") == prediction_type).drop("prediction_type")
 
 
+def _floor(at: Column, size: int) -> Column:
+    # Never NULL, for the same reason as a block.
+    return F.coalesce(F.floor(at / size).cast("bigint"), F.lit(0))
+
+
 def _or_zero(value: Column) -> Column:
     return F.coalesce(value, F.lit(0.0))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillcast.functions.scalars import country_code, quoted_text, round_half_even
@@ -814,9 +814,10 @@ def stream_retweets_two_stage(spark, sf_dir):
 
 @query("stream_top_x", _closed(ORACLES["top_x_retweets"], DAY, "true"))
 def stream_top_x(spark, sf_dir):
-    """From JSON posts; the state holds numbers, names and texts are looked up in the archive."""
+    """The state holds numbers only; names and texts are looked up in the archive of facts."""
     path = scratch_dir(spark, "stream-top")
-    filing = archive.start_filing(spark, json_posts_dir(spark, sf_dir), f"{path}/facts", f"{path}/filed", DAY, metrics.DELAY, slice_length=_WEEK)
+    lines = event_facts(stream_events(spark, sf_dir)).withColumns({"arrived": F.lit(None).cast("timestamp"), "kind": F.lit("post")})
+    filing = archive.start_filing_lines(lines, f"{path}/facts", f"{path}/filed", DAY, metrics.DELAY, slice_length=_WEEK)
     runner.finish_query(filing)
     rows = archive.in_time(archive.stream_archive(spark, f"{path}/facts"), DAY, metrics.DELAY)
     stream, finish = metrics.top_posts(rows, DAY, look_up=lambda winners: archive.posts_at(spark, f"{path}/facts", winners, slice_length=_WEEK))
@@ -1151,3 +1152,75 @@ def _days(spark, sf_dir, parts: int) -> list[DataFrame]:
     first, last = events.agg(F.min(micros), F.max(micros)).first()
     part = F.floor((micros - first) * parts / (last - first + 1))
     return [events.filter(part == number).coalesce(1) for number in range(parts)]
+
+
+# Index dumps with documents of several kinds -----------------------------------------
+
+# Keys come in another order or not at all by the event's number; texts hold what JSON is made of.
+_ODD_TEXT_SQL = """'{"' || event_type || '}\\' || event_id || '[,'"""
+_RAGGED_SQL = f"""
+SELECT CASE event_id % 4
+  WHEN 0 THEN event_type || ',' || event_id || ',null,' || {_ODD_TEXT_SQL}
+  WHEN 1 THEN {_ODD_TEXT_SQL} || ',' || user_id || ',' || event_type || ',' || event_id
+  WHEN 2 THEN event_id || ',true,' || event_type || ',x' || event_id
+  ELSE event_id::VARCHAR END AS line
+FROM events"""
+
+
+def _ragged_documents() -> Column:
+    number, kind = F.col("event_id"), F.col("event_type")
+    odd = F.concat(F.lit('{"'), kind, F.lit("}\\"), number, F.lit("[,"))
+    absent = F.lit(None).cast("string")
+    shapes = [
+        F.to_json(F.struct(kind.alias("z"), number.alias("a"), absent.alias("gone"), odd.alias("text")), {"ignoreNullFields": "false"}),
+        F.to_json(F.struct(odd.alias("text"), F.struct(F.col("user_id").alias("y"), kind.alias("b")).alias("who"), number.alias("a"))),
+        F.to_json(F.struct(number.alias("a"), F.lit(True).alias("seen"), F.array(kind, F.concat(F.lit("x"), number)).alias("tags"))),
+        F.to_json(F.struct(F.struct(absent.alias("none")).alias("empty"), number.alias("a"))),
+    ]
+    picked = F.when(number % 4 == 0, shapes[0]).when(number % 4 == 1, shapes[1]).when(number % 4 == 2, shapes[2]).otherwise(shapes[3])
+    return F.concat(F.lit('{"_source":'), picked, F.lit("}"))
+
+
+def _ragged_dump(spark, sf_dir) -> str:
+    """Index dumps of a few hundred documents a line, several lines a file."""
+    path = scratch_dir(spark, "ragged-dump")
+    documents = read_events(spark, sf_dir).select(F.floor(F.col("event_id") / 500).alias("block"), _ragged_documents().alias("document"))
+    arrays = documents.groupBy("block").agg(F.array_join(F.collect_list("document"), ", ").alias("documents"))
+    arrays.select(F.concat(F.lit("["), F.col("documents"), F.lit("]"))).write.text(path)
+    return path
+
+
+@query("flatten_ragged_dump", _RAGGED_SQL)
+def flatten_ragged_dump(spark, sf_dir):
+    """Documents with other keys and orders of keys in one dump, each flattened as it is."""
+    return dumps.flattened_lines(dumps.array_elements(spark, _ragged_dump(spark, sf_dir)))
+
+
+@query(
+    "split_index_dump",
+    f"SELECT event_id AS a, CASE WHEN event_id % 4 < 2 THEN {_ODD_TEXT_SQL} END AS text, "
+    "CASE WHEN event_id % 4 = 1 THEN user_id END AS y FROM events",
+)
+def split_index_dump(spark, sf_dir):
+    """The same dump as typed rows, its files read in splits of some kilobytes."""
+    path, setting = _ragged_dump(spark, sf_dir), "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "16k")
+    try:
+        documents = written(dumps.read_index_dump(spark, path, "a bigint, text string, who struct<y:bigint>"), "documents")
+    finally:
+        spark.conf.set(setting, before)
+    return documents.select("a", "text", F.col("who.y").alias("y"))
+
+
+# A sparse series: most seconds hold no repost, and the predictor forgets slowly.
+@query(
+    "predict_slow_tracking",
+    _sql(
+        _series_sql("1 second")
+        + _prediction_sql("REINFORCEMENT").replace("0.1 *", "0.001 *").replace("600 PRECEDING", "UNBOUNDED PRECEDING")
+    ),
+)
+def predict_slow_tracking(spark, sf_dir):
+    counted = labelled(counts.reposts_per_window(facts(spark, sf_dir), "1 second"))
+    return _rounded(series.predict(counted, "1 second", step=0.001, types=[series.TRACKING]))

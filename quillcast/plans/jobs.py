@@ -462,5 +462,12 @@ def compare_shares(
 
 
 def flatten_index_dump(spark: SparkSession, dump: str, out: str, schema: str | None = None) -> None:
-    """Index dumps (JSON arrays of hits) to plain comma-separated lines."""
-    files.write_flattened(dumps.read_index_dump(spark, dump, schema), out)
+    """Index dumps (JSON arrays of hits) to plain comma-separated lines.
+
+    Each document by its own keys in its own order, or all by the fields of a given schema.
+    """
+    if schema is None:
+        lines = dumps.flattened_lines(dumps.array_elements(spark, dump))
+        lines.write.mode("overwrite").text(out)
+    else:
+        files.write_flattened(dumps.read_index_dump(spark, dump, schema), out)

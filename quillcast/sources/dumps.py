@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quillcast.functions.scalars import from_one_line
 from quillcast.operators.counts import NO_LANG
+from quillcast.session import scratch_dir
 
 # Column order of the headerless dumps and result files, and the
 # values that stand for "not a repost" and, next to NO_LANG, for "no user".
@@ -100,15 +101,120 @@ def read_results(spark: SparkSession, kind: str, path: str) -> DataFrame:
     )
 
 
+def _count(text: Column, letters: str) -> Column:
+    return F.length(text) - F.length(F.translate(text, letters, ""))
+
+
+def array_elements(spark: SparkSession, path: str) -> DataFrame:
+    """The objects in files of JSON arrays, one ``value`` each, however few and long the files and lines are.
+
+    A file is cut at closing braces, and Spark deals it out in splits. Whether a brace ends an element of the
+    array depends on all the text before it: whether it lies in a string, and how deeply. A piece of text
+    turns "in a string" over or not, and adds to the depth, differently from inside and
+    outside a string. So every split sums up its pieces for both beginnings, the sums
+    of the splits of a file are chained, and each split then knows how it begins. Only
+    elements that reach over a split's end are gathered anew.
+    """
+    pieces = (
+        spark.read.option("lineSep", "}")
+        .text(path)
+        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"))
+    )
+    # Escaped characters change nothing; what remains of quotes opens or ends a string.
+    parts = F.split(F.regexp_replace("value", r"\\.", ""), '"')
+    depth = F.transform(parts, lambda part: (_count(part, "[{") - _count(part, "]}")).cast("bigint"))
+
+    def total(odd: int) -> Column:
+        return F.aggregate(F.filter(depth, lambda _, i: i % 2 == odd), F.lit(0).cast("bigint"), lambda a, b: a + b)
+
+    turned = (F.size(parts) - 1) % 2
+    # The brace that was cut off counts where it lies outside strings.
+    told = pieces.select(
+        "*", turned.alias("turned"),
+        (total(0) - F.when(turned == 0, 1).otherwise(0)).alias("outside"),
+        (total(1) - F.when(turned == 1, 1).otherwise(0)).alias("inside"),
+    )
+    until = Window.partitionBy("file", "split").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    # Running sums from the split's beginning, had it begun outside (a) or inside (b) a string.
+    flipped = told.withColumn("flips", F.sum("turned").over(until) % 2)
+    was = (F.col("flips") + F.col("turned")) % 2  # before the piece
+    summed = flipped.withColumns(
+        {"a": F.sum(F.when(was == 0, F.col("outside")).otherwise(F.col("inside"))).over(until),
+         "b": F.sum(F.when(was == 0, F.col("inside")).otherwise(F.col("outside"))).over(until)}
+    ).drop("turned", "outside", "inside")
+    ends = summed.groupBy("file", "split").agg(F.max_by(F.struct("flips", "a", "b"), "at").alias("sums"))
+    in_file = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    begins = ends.withColumn("string", F.coalesce(F.sum("sums.flips").over(in_file), F.lit(0)) % 2)
+    begins = begins.withColumn("added", F.when(F.col("string") == 0, F.col("sums.a")).otherwise(F.col("sums.b")))
+    begins = begins.select("file", "split", "string", F.coalesce(F.sum("added").over(in_file), F.lit(0)).alias("depth"))
+    known = summed.join(begins, ["file", "split"])
+    now = F.col("depth") + F.when(F.col("string") == 0, F.col("a")).otherwise(F.col("b"))
+    closes = ((F.col("string") + F.col("flips")) % 2 == 0) & (now == 1)
+    before = until.rowsBetween(Window.unboundedPreceding, -1)
+    numbered = known.select("file", "split", "at", "value", closes.cast("int").alias("closes")).withColumn(
+        "number", F.coalesce(F.sum("closes").over(before), F.lit(0))
+    )
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "value"))), lambda piece: piece["value"]), "}")
+    found = numbered.groupBy("file", "split", "number").agg(text.alias("value"), F.max("closes").alias("whole"))
+    # The first element of a split may have begun before it, the last one goes on behind it.
+    inner = found.filter((F.col("number") > 0) & (F.col("whole") == 1))
+    closed = found.groupBy("file", "split").agg(F.sum("whole").alias("closed"))
+    passed = closed.select("file", "split", F.coalesce(F.sum("closed").over(in_file), F.lit(0)).alias("passed"))
+    edges = found.filter((F.col("number") == 0) | (F.col("whole") == 0)).join(passed, ["file", "split"])
+    across = edges.groupBy("file", (F.col("passed") + F.col("number")).alias("element")).agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("split", "number", "value"))), lambda piece: piece["value"]), "}").alias("value"),
+        F.max("whole").alias("whole"),
+    )
+    all_ = inner.select("value").union(across.filter("whole = 1").select("value"))
+    # Between elements there are commas and brackets; line breaks can only be blanks.
+    bare = F.regexp_replace(F.translate("value", "\r\n", "  "), r"^[\s,\[\]]+", "")
+    return all_.select(F.concat(bare, F.lit("}")).alias("value"))
+
+
 def read_index_dump(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """The documents of index dumps: files holding one JSON array of ``{_source: …}``.
+    """The documents of index dumps: files holding JSON arrays of ``{_source: …}``.
 
-    Give the document schema to spare the inference pass over the data.
+    Give the document schema to spare writing the documents out and an inference pass over them.
     """
-    reader = spark.read.option("multiLine", True)
+    elements = array_elements(spark, path)
     if schema is not None:
-        reader = reader.schema(f"_source struct<{schema}>")
-    return reader.json(path).select("_source.*")
+        return elements.select(F.from_json("value", f"_source struct<{schema}>")["_source"].alias("d")).select("d.*")
+    lines = scratch_dir(spark, "documents")
+    elements.write.text(lines)
+    return spark.read.json(lines).select("_source.*")
+
+
+def flattened_lines(elements: DataFrame) -> DataFrame:
+    """Documents as comma-separated lines, each by its own keys in its own order: ``line``.
+
+    Nested objects and lists are spread one level. An absent key leaves no field, a null one prints
+    ``null``; numbers print without a fraction of zeros, what is nested deeper as JSON.
+    """
+    texts, kinds = (F.from_json("value", f"_source map<string,{kind}>")["_source"] for kind in ("string", "variant"))
+    read = elements.select(F.map_entries(texts).alias("fields"), F.transform_values(kinds, lambda _, v: F.to_json(v)).alias("json"))
+    # A list of one array is a fence: the maps above would otherwise be parsed once per use.
+    read = read.select(F.inline(F.array(F.struct("fields", "json"))))
+
+    def printed(text: Column, json: Column) -> Column:
+        number = F.regexp_replace(json, r"^(-?\d+)\.0+$", "$1")
+        return F.when(json.rlike("^-?[0-9]"), number).otherwise(F.coalesce(text, F.lit("null")))
+
+    def nested(text: Column) -> Column:
+        members = F.from_json(text, "map<string,string>")
+        own = F.transform_values(F.from_json(text, "map<string,variant>"), lambda _, v: F.to_json(v))
+        return F.transform(F.map_entries(members), lambda e: printed(e["value"], own[e["key"]]))
+
+    def listed(text: Column) -> Column:
+        own = F.transform(F.from_json(text, "array<variant>"), lambda v: F.to_json(v))
+        return F.zip_with(F.from_json(text, "array<string>"), own, printed)
+
+    def fields(entry: Column) -> Column:
+        text, json = entry["value"], F.col("json")[entry["key"]]
+        return (
+            F.when(json.startswith("{"), nested(text)).when(json.startswith("["), listed(text)).otherwise(F.array(printed(text, json)))
+        )
+
+    return read.select(F.array_join(F.flatten(F.transform("fields", fields)), ",").alias("line"))
 
 
 def flatten_documents(documents: DataFrame) -> DataFrame:

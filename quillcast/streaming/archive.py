@@ -95,12 +95,26 @@ def start_filing(
     max_files: int | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """File the facts of all posts that arrive in ``inbox``.
+    """File the facts of all posts that arrive in ``inbox``; see :func:`start_filing_lines`."""
+    return start_filing_lines(posts.stream_lines(spark, inbox, max_files), path, checkpoint, window, delay, time, slice_length, **trigger)
+
+
+def start_filing_lines(
+    lines: DataFrame,
+    path: str,
+    checkpoint: str,
+    window: str,
+    delay: str,
+    time: str = "event",
+    slice_length: str = SLICE,
+    **trigger,
+) -> StreamingQuery:
+    """File the facts of a stream of lines (:func:`quillcast.sources.posts.stream_lines`).
 
     ``late`` in the totals counts posts that came after their ``window`` was closed. By arrival no
     post is late: a file that is older than one filed before counts as arrived with that.
     """
-    lines = posts.stream_lines(spark, inbox, max_files)
+    spark = lines.sparkSession
     make_folder(spark, path)
 
     def file(batch: DataFrame, batch_id: int) -> None:
