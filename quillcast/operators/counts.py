@@ -12,9 +12,14 @@ language holding a third of all rows leaves every map task as a single row.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
+from quillcast.functions.time import window_seconds
+
 # Fixed value: language of posts without user, where those are kept.
 NO_LANG = "no-lang"
 
@@ -92,3 +97,39 @@ def totals_of_windows(counts: DataFrame, window: str) -> DataFrame:
     return counts.groupBy(F.window(F.window_time("win"), window).alias("win")).agg(
         F.sum("cnt").alias("cnt")
     )
+
+
+def panes(frame: DataFrame, pane: str, *keys: str) -> DataFrame:
+    """Counts per short window (pane) and keys: ``win, …, cnt``.
+
+    Panes are partial results: every window size that is a multiple of theirs comes from them by
+    :func:`rolled_up`, without the posts.
+    """
+    return windowed(frame, pane, *keys).agg(F.count("*").alias("cnt"))
+
+
+def rolled_up(counted: DataFrame, sizes: Sequence[str], *keys: str) -> DataFrame:
+    """Counts of several window sizes from those of panes: ``size, window_start, …, cnt``.
+
+    One pass over the panes: each goes to its window of every size, in the task that holds it, and
+    the sums start before the shuffle.
+    """
+    at = F.unix_micros("win.start")
+
+    def window_of(size: str) -> Column:
+        length = F.lit(int(window_seconds(size) * 1_000_000))
+        return F.struct(F.lit(size).alias("size"), F.timestamp_micros(at - F.pmod(at, length)).alias("window_start"))
+
+    placed = counted.select(*keys, "cnt", F.inline(F.array(*map(window_of, sizes))))
+    return placed.groupBy("size", "window_start", *keys).agg(F.sum("cnt").alias("cnt"))
+
+
+def common_pane(sizes: Sequence[str]) -> str:
+    """The longest pane that all sizes are multiples of."""
+    micros = math.gcd(*(round(window_seconds(size) * 1_000_000) for size in sizes))
+    return f"{micros} microseconds"
+
+
+def reposts_per_windows(facts: DataFrame, sizes: Sequence[str]) -> DataFrame:
+    """Reposts in total for several window sizes from one scan and one shuffle of posts."""
+    return rolled_up(panes(reposts(facts), common_pane(sizes)), sizes)

@@ -986,14 +986,38 @@ def stream_compare_share(spark, sf_dir):
     )
 
 
-@query("stream_json_dump", ORACLES["raw_dump_lang"])
+@query(
+    "stream_json_dump",
+    _sql(
+        f" SELECT l.*, t.* EXCLUDE (id, created_ms, rt_id), t.rt_id AS top_rt_id FROM (SELECT {_DUMP_SQL['lang']} FROM posts) l "
+        f"JOIN (SELECT {_DUMP_SQL['top']} FROM posts) t USING (id)"
+    ),
+)
 def stream_json_dump(spark, sf_dir):
-    """JSON lines in, two raw dumps out of one parse; the language dump is read back."""
+    """JSON lines in, two raw dumps out of one parse; both are read back."""
     path = scratch_dir(spark, "stream-dump")
     stream = post_source.stream_facts(spark, json_posts_dir(spark, sf_dir))
     outputs = {f"{path}/{kind}": files.dump_writer(kind) for kind in ("lang", "top")}
     runner.finish_query(runner.start(stream, f"{path}/checkpoint", outputs))
-    return dumps.read_dump(spark, "lang", f"{path}/lang/batch_id=*")
+    lang, top = (dumps.read_dump(spark, kind, f"{path}/{kind}/batch_id=*") for kind in ("lang", "top"))
+    return lang.join(top.withColumnRenamed("rt_id", "top_rt_id").drop("created_ms"), "id")
+
+
+@query(
+    "raw_dump_broken_lines",
+    _sql(
+        " SELECT count(*) FILTER (id % 11 <> 0) AS whole, count(*) FILTER (id % 11 = 0) AS broken, "
+        "sum(id) FILTER (id % 11 <> 0)::BIGINT AS ids FROM posts"
+    ),
+)
+def raw_dump_broken_lines(spark, sf_dir):
+    """A dump in which every eleventh line ends too early: whole lines are read, the others counted."""
+    path = scratch_dir(spark, "broken-dump")
+    rows = files.dump_rows(facts(spark, sf_dir), "total").select("id", F.concat_ws(",", "id", "created_ms", "rt_id").alias("line"))
+    cut = F.when(F.col("id") % 11 == 0, F.substring_index("line", ",", 2)).otherwise(F.col("line"))
+    rows.select(cut.alias("value")).write.text(path)
+    read = dumps.read_dump(spark, "total", path).agg(F.count("*").alias("whole"), F.sum("id").alias("ids"))
+    return read.withColumn("broken", F.lit(dumps.broken_lines(spark, "total", path)).cast("bigint"))
 
 
 # Streams that fall silent, arrive late, or go on for long ----------------------------
@@ -1224,3 +1248,45 @@ def split_index_dump(spark, sf_dir):
 def predict_slow_tracking(spark, sf_dir):
     counted = labelled(counts.reposts_per_window(facts(spark, sf_dir), "1 second"))
     return _rounded(series.predict(counted, "1 second", step=0.001, types=[series.TRACKING]))
+
+
+# Several window sizes from one pass ---------------------------------------------------
+
+_SIZES = ("1 minute", "15 minutes", HOUR)
+_SIZES_SQL = _sql(
+    " " + " UNION ALL ".join(
+        f"SELECT '{size}' AS size, {_win(size)}, count(*) AS cnt FROM posts WHERE rt_id IS NOT NULL GROUP BY 1, 2" for size in _SIZES
+    )
+)
+
+
+@query("retweets_window_sizes", _SIZES_SQL)
+def retweets_window_sizes(spark, sf_dir):
+    return counts.reposts_per_windows(facts(spark, sf_dir), _SIZES)
+
+
+@query(
+    "retweets_window_sizes_per_lang",
+    _sql(
+        " " + " UNION ALL ".join(
+            f"SELECT '{size}' AS size, {_win(size)}, rt_lang AS lang, count(*) AS cnt FROM posts WHERE rt_lang IS NOT NULL GROUP BY 1, 2, 3"
+            for size in ("20 minutes", HOUR, DAY)
+        )
+    ),
+)
+def retweets_window_sizes_per_lang(spark, sf_dir):
+    panes = counts.reposts_per_language(facts(spark, sf_dir), "20 minutes")
+    return counts.rolled_up(panes, ("20 minutes", HOUR, DAY), "lang")
+
+
+@query("stream_window_sizes", _SIZES_SQL)
+def stream_window_sizes(spark, sf_dir):
+    """Panes from a stream, all closed by a tick; every size from the stored panes."""
+    path = scratch_dir(spark, "window-sizes")
+    lines = event_facts(stream_events(spark, sf_dir)).withColumns({"arrived": F.lit(None).cast("timestamp"), "kind": F.lit("post")})
+    facts_ = f"{path}/facts"
+    runner.finish_query(archive.start_filing_lines(lines, facts_, f"{path}/filed", _SIZES[0], metrics.DELAY, slice_length=_WEEK))
+    archive.tick(spark, facts_, archive.totals(spark, facts_)["latest"] + archive.length_of(spark, f"{_SIZES[0]} {metrics.DELAY}"))
+    rows = archive.in_time(archive.stream_archive(spark, facts_), _SIZES[0], metrics.DELAY)
+    panes = run_stream(spark, "panes", counts.panes(counts.reposts(rows), _SIZES[0]))
+    return counts.rolled_up(panes, _SIZES)

@@ -29,7 +29,7 @@ from quillcast.operators.counts import labelled
 from quillcast.session import remove_folder, written
 from quillcast.sinks import files
 from quillcast.sources import dumps, posts
-from quillcast.streaming import archive, metrics, predictors, runner
+from quillcast.streaming import archive, batches, metrics, predictors, runner
 
 ALL_OUTPUTS = "dump,results,documents"
 
@@ -147,6 +147,13 @@ def _file(
     return query
 
 
+def _chosen(outputs: str, known: str) -> list[str]:
+    chosen = [name.strip() for name in outputs.split(",")]
+    if unknown := set(chosen) - {*known.split(","), "console"}:
+        raise ValueError(f"unknown outputs: {', '.join(sorted(unknown))}")
+    return chosen
+
+
 def _targets(kind: str, out: str, chosen: list[str], suffix: str = "") -> dict[str, runner.Write]:
     writers = {
         "results": files.result_writer(kind),
@@ -177,9 +184,7 @@ def _start_job(
     trigger: dict,
 ) -> list[StreamingQuery]:
     """``counted`` turns facts into the stateful stream, ``finishes`` its closed windows into results by kind."""
-    chosen = [name.strip() for name in outputs.split(",")]
-    if unknown := set(chosen) - {*ALL_OUTPUTS.split(","), "console"}:
-        raise ValueError(f"unknown outputs: {', '.join(sorted(unknown))}")
+    chosen = _chosen(outputs, ALL_OUTPUTS)
     targets: dict[str, runner.Write] = {}
     common, gathered = None, None
     if len(finishes) == 1:
@@ -193,6 +198,9 @@ def _start_job(
     if replace:
         for path in (*targets, f"{out}/checkpoints/results"):
             remove_folder(spark, path)
+    if "documents" in chosen:
+        for kind in finishes:
+            files.prepare_target(spark, kind, f"{out}/documents" + (f"-{kind}" if len(finishes) > 1 else ""))
     if time not in metrics.TIMES:
         raise ValueError(f"time is one of {', '.join(metrics.TIMES)}")
     started = [_file(spark, inbox, out, window, time, delay, max_files, idle, pace, trigger)]
@@ -320,6 +328,44 @@ def stream_shares(
     )
 
 
+def stream_panes(
+    spark: SparkSession,
+    inbox: str,
+    out: str,
+    pane: str = "1 minute",
+    series_key: str | None = None,
+    time: str = "event",
+    delay: str = metrics.DELAY,
+    max_files: int | None = None,
+    state_partitions: int | None = None,
+    files_per_batch: int = 8,
+    merge: int = 10,
+    idle: float | None = None,
+    pace: float = 1.0,
+    **trigger,
+) -> list[StreamingQuery]:
+    """Reposts per short window into ``panes``, per language if ``series_key`` is ``lang``.
+
+    :func:`roll_up` makes windows of any sizes of them, as often as asked for.
+    """
+    filing = _file(spark, inbox, out, pane, time, delay, max_files, idle, pace, trigger)
+    facts = archive.in_time(archive.stream_archive(spark, f"{out}/facts", time), pane, delay, time)
+    counted = counts.reposts_per_language(facts, pane) if series_key == "lang" else counts.panes(counts.reposts(facts), pane)
+    outputs = {f"{out}/panes": runner.parquet}
+    panes = runner.start(counted, f"{out}/checkpoints/panes", outputs, None, state_partitions, files_per_batch, merge=merge, **trigger)
+    return [filing, panes]
+
+
+def roll_up(
+    spark: SparkSession, out: str, results: str, sizes: str = "1 minute,15 minutes,1 hour", series_key: str | None = None
+) -> None:
+    """Totals of several window sizes from the panes under ``out``: parquet, a folder ``size=…`` each."""
+    panes = spark.read.parquet(*batches.current(spark, f"{out}/panes"))
+    wanted = [size.strip() for size in sizes.split(",")]
+    rolled = counts.rolled_up(panes, wanted, *([series_key] if series_key else []))
+    rolled.write.mode("overwrite").partitionBy("size").parquet(results)
+
+
 def _facts(
     spark: SparkSession, inbox: str, max_files: int | None, time: str, delay: str
 ) -> DataFrame:
@@ -353,19 +399,36 @@ def stream_predictions(
     history: int = 5,
     step: float = 0.1,
     series_key: str | None = None,
+    outputs: str = "results,documents",
     files_per_batch: int = 8,
+    replace: bool = False,
+    merge: int = 0,
     **trigger,
 ) -> StreamingQuery:
-    """Second half: predictions for the windows in ``series``, one result folder per predictor."""
-    outputs = {f"{out}/documents": files.document_writer("prediction")}
-    for name in predictors.TYPES:
-        outputs[f"{out}/results-{name}"] = files.prediction_writer(name)
+    """Second half: predictions for the windows in ``series``, one result folder per predictor.
+
+    With ``replace`` earlier predictions and the state go, and the series is predicted from its beginning.
+    """
+    chosen = _chosen(outputs, "results,documents")
+    targets: dict[str, runner.Write] = {}
+    if "documents" in chosen:
+        targets[f"{out}/documents"] = files.document_writer("prediction")
+    if "results" in chosen:
+        targets |= {f"{out}/results-{name}": files.prediction_writer(name) for name in predictors.TYPES}
+    if "console" in chosen:
+        targets[f"{out}/console"] = files.show
+    if replace:
+        for path in (*targets, f"{out}/state", f"{out}/checkpoints/predictions"):
+            remove_folder(spark, path)
+    if "documents" in chosen:
+        files.prepare_target(spark, "prediction", f"{out}/documents")
     return runner.start(
         predictors.stream_series(spark, f"{out}/series", series_key),
         f"{out}/checkpoints/predictions",
-        outputs,
+        targets,
         files_per_batch=files_per_batch,
         finish_batch=predictors.carrying(f"{out}/state", window, history, step, series_key),
+        merge=merge,
         **trigger,
     )
 
@@ -377,18 +440,27 @@ def _start_comparison(
     out: str,
     state_partitions: int | None,
     files_per_batch: int,
+    outputs: str,
+    replace: bool,
+    merge: int,
     trigger: dict,
 ) -> StreamingQuery:
     """The earlier run is read once, before the start, and reduced to its time-of-day slots."""
+    chosen = _chosen(outputs, "comparison")
+    targets = {f"{out}/{name}": {"comparison": runner.parquet, "console": files.show}[name] for name in chosen}
+    if replace:
+        for path in (*targets, f"{out}/checkpoints/comparison"):
+            remove_folder(earlier.sparkSession, path)
     stream, finish = metric
     slots = written(comparison.earlier_slots(earlier, kind), "slots")
     return runner.start(
         stream,
         f"{out}/checkpoints/comparison",
-        {f"{out}/comparison": runner.parquet},
+        targets,
         lambda closed: comparison.with_slots(finish(closed), slots, kind),
         state_partitions,
         files_per_batch,
+        merge=merge,
         **trigger,
     )
 
@@ -404,12 +476,15 @@ def compare_totals(
     max_files: int | None = None,
     state_partitions: int | None = None,
     files_per_batch: int = 8,
+    outputs: str = "comparison",
+    replace: bool = False,
+    merge: int = 0,
     **trigger,
 ) -> StreamingQuery:
     metric = metrics.reposts_per_window(_facts(spark, inbox, max_files, time, delay), window)
     earlier = dumps.read_results(spark, "total", batch_results)
     return _start_comparison(
-        metric, "total", earlier, out, state_partitions, files_per_batch, trigger
+        metric, "total", earlier, out, state_partitions, files_per_batch, outputs, replace, merge, trigger
     )
 
 
@@ -427,6 +502,9 @@ def compare_percentages(
     max_files: int | None = None,
     state_partitions: int | None = None,
     files_per_batch: int = 8,
+    outputs: str = "comparison",
+    replace: bool = False,
+    merge: int = 0,
     **trigger,
 ) -> StreamingQuery:
     """By the reposter's language, as the replayed batch results are."""
@@ -434,7 +512,7 @@ def compare_percentages(
     metric = metrics.percentage_per_language(facts, window, lang_of, places, keep_no_lang)
     earlier = dumps.read_results(spark, "percentage", batch_results)
     return _start_comparison(
-        metric, "percentage", earlier, out, state_partitions, files_per_batch, trigger
+        metric, "percentage", earlier, out, state_partitions, files_per_batch, outputs, replace, merge, trigger
     )
 
 
@@ -451,13 +529,16 @@ def compare_shares(
     max_files: int | None = None,
     state_partitions: int | None = None,
     files_per_batch: int = 8,
+    outputs: str = "comparison",
+    replace: bool = False,
+    merge: int = 0,
     **trigger,
 ) -> StreamingQuery:
     facts = _facts(spark, inbox, max_files, time, delay)
     metric = metrics.share_per_language(facts, window, lang_of, keep_no_lang)
     earlier = dumps.read_results(spark, "share", batch_results)
     return _start_comparison(
-        metric, "share", earlier, out, state_partitions, files_per_batch, trigger
+        metric, "share", earlier, out, state_partitions, files_per_batch, outputs, replace, merge, trigger
     )
 
 

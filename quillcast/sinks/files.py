@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
 from quillcast.functions.scalars import one_line, quoted_text
 from quillcast.operators import series
 from quillcast.operators.counts import NO_LANG
+from quillcast.session import file_names, read_text, remove_folder, write_text, written
 from quillcast.sources.dumps import AS_IS, NO_NAME, NO_REPOST, RESULTS, flatten_documents
 
 
@@ -137,13 +139,38 @@ DOCUMENTS = {
 }
 
 
+_MAPPING = "_mapping.json"
+
+
+def prepare_target(spark: SparkSession, kind: str, path: str, replace: bool = False) -> None:
+    """Make a folder ready for documents of a kind; ``replace`` removes what it holds.
+
+    The types of the fields are stored with the folder. Documents of other fields or types are
+    refused before any is written.
+    """
+    if replace:
+        remove_folder(spark, path)
+    mapping = StructType.fromDDL(DOCUMENTS[kind]).json()
+    if _MAPPING in file_names(spark, path):
+        stored = StructType.fromJson(json.loads(read_text(spark, f"{path}/{_MAPPING}")))
+        if stored.json() != mapping:
+            raise ValueError(f"{path} holds documents of {stored.simpleString()}, not of kind {kind}")
+    else:
+        write_text(spark, f"{path}/{_MAPPING}", mapping)
+
+
 def write_documents(result: DataFrame, kind: str, path: str, replace: bool = False) -> None:
     """Write result documents as JSON lines.
 
     The folder is created when absent; ``replace`` empties it first, otherwise the
-    documents are added.
+    documents are added, if they are of the kind that is there already.
     """
-    documents(result, kind).write.mode("overwrite" if replace else "append").json(path)
+    found = documents(result, kind)
+    if replace:
+        # The result may be read from the documents that are replaced.
+        found = written(found, "documents")
+    prepare_target(result.sparkSession, kind, path, replace)
+    found.write.mode("append").json(path)
 
 
 def write_index_dump(docs: DataFrame, path: str, per_file: str) -> None:
@@ -187,5 +214,8 @@ def show(frame: DataFrame, path: str) -> None:
 
 
 def document_writer(kind: str) -> Write:
-    """For a folder of its own per micro-batch, so that a repeated batch replaces itself."""
-    return lambda result, path: write_documents(result, kind, path, replace=True)
+    """For a folder of its own per micro-batch, so that a repeated batch replaces itself.
+
+    :func:`prepare_target` belongs before the stream, for the folder of all batches.
+    """
+    return lambda result, path: documents(result, kind).write.mode("overwrite").json(path)

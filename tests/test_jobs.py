@@ -192,7 +192,7 @@ def test_jobs_from_the_command_line(spark, inbox):
     command.main(["stream_countries", f"inbox={inbox}", f"out={out}/c", "state_partitions=2", f"capitals={out}/capitals.csv"])
     located = {(r.lang, r.lat) for r in streamed(spark, "geo", f"{out}/c", "-geo").collect()}
     assert ("de", 52.5) in located and ("ja", 0.0) in located
-    assert len(command.JOBS) == 14
+    assert len(command.JOBS) == 16
     with pytest.raises(SystemExit):
         command.main(["no_such_job"])
 
