@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillcast.llm.common import narrowed, slices
-from quillcast.llm.tokens import Encoder
+from quillcast.llm import tokens
 from quillcast.session import written
 
 PIECE_TYPES = {"piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "task": pa.int32(), "nth": pa.int64()}
@@ -135,7 +135,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     ending = np.array([end_id], dtype="<u4").tobytes()
 
     def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, glued)
+        encoder = tokens.encoder(tokenizer, glued)
         task, seen = TaskContext.get().partitionId(), Counter()
         for batch in slices(batches):
             owners, rows = [], []
@@ -182,7 +182,8 @@ def pack(cut_pieces: DataFrame, capacity: int = 2048) -> DataFrame:
             )
 
     kept = [name for name in cut_pieces.columns if name not in ("task", "nth")]
-    ranked = cut_pieces.join(offsets.select("length", "task", "before"), ["length", "task"])
+    # A row per task and length grows with the input: shuffled, not broadcast, whatever its files' size.
+    ranked = cut_pieces.join(offsets.select("length", "task", "before").hint("shuffle_hash"), ["length", "task"])
     schema = ", ".join(f"`{name}` {cut_pieces.schema[name].dataType.simpleString()}" for name in kept)
     return ranked.mapInArrow(placed, f"{schema}, sequence_id long, offset long")
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from quillcast.llm import range_coder
 from quillcast.llm.common import file_system, narrowed, slices
-from quillcast.llm.tokens import Encoder
+from quillcast.llm import tokens
 from quillcast.session import scratch_dir, written
 
 MAGIC = b"QTC1"
@@ -126,7 +126,7 @@ def write(docs: DataFrame, base: str, tokenizer: str, id_col: str = "doc_id", te
     """
 
     def filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, glued)
+        encoder = tokens.encoder(tokenizer, glued)
         system, folder = file_system(base)
         system.create_dir(folder, recursive=True)
         name, writer = f"{uuid.uuid4().hex}.ids", None

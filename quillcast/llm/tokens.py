@@ -9,13 +9,15 @@ a blank touches other white space, the library encodes the text in one piece.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
-#: Chunks remembered, some 200 bytes each; at the limit memory starts afresh.
-REMEMBERED = 1_000_000
+#: Chunks remembered, some 200 bytes each: at most 40 MB. At the limit the older half is forgotten.
+REMEMBERED = 200_000
 #: Characters encoded per step.
-STEP_CHARS = 2_000_000
+STEP_CHARS = 200_000
 #: A run of these at a chunk's end is a part of its own after letters.
 ENDINGS = ".,;:!?#$%&*|"
 
@@ -37,8 +39,9 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers.
 
     ``glued``: the blank before a word belongs to it (byte-level splitting); otherwise
-    the tokenizer drops white space. Strings of special tokens are ordinary text. One per
-    task: what it has learnt takes up to 200 MB, which idle workers had better not keep.
+    the tokenizer drops white space. Strings of special tokens are ordinary text. Tasks share
+    the one of their worker process (:func:`encoder`): loading it and learning the commonest
+    chunks anew cost more than most tasks.
     """
 
     def __init__(self, path: str, glued: bool):
@@ -59,7 +62,8 @@ class Encoder:
 
     def _encode(self, texts: list[str]) -> Iterator[bytes]:
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            # Dictionaries keep the order of insertion, so the latter half is the younger.
+            self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
         if self.glued:
             lists = [None if "\0" in text else text.replace(" ", "\0 ").split("\0") for text in texts]
         else:
@@ -90,3 +94,9 @@ class Encoder:
         known.update(zip(new, self._library(new), strict=True))
         for chunk, stem, ending in parted:
             known[chunk] = known[stem] + known[ending]
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str, glued: bool) -> Encoder:
+    """The worker process's encoder for a tokenizer file; another file replaces it."""
+    return Encoder(path, glued)
