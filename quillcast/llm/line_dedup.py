@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from quillcast.llm.common import matching, narrowed, slices
 from quillcast.llm.components import components
-from quillcast.llm.overlaps import close, contested
+from quillcast.llm.overlaps import beside, close
 from quillcast.session import written
 
 #: 14 bands of 4 rows bring a pair at similarity 0.8 together with a chance of 99.9 %.
@@ -201,7 +201,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, similarity:
     found = written(_verified(candidates, texts, size, similarity), "similar")
     roots = written(components(found), "roots")
     # Members of a bucket that were tested against its leader only, not against each other.
-    rest = written(contested(candidates, roots).join(texts.select(F.col("digest").alias("node"), "text"), "node"), "rest")
+    rest = written(beside(candidates, roots).join(texts.select(F.col("digest").alias("node"), "text"), "node"), "rest")
     if not rest.isEmpty():
         untested = close(rest, lambda line: shingles(line, size), similarity).join(candidates, ["lo", "hi"], "left_anti")
         late = written(_verified(untested, texts, size, similarity), "late")

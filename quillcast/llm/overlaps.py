@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from quillcast.llm.common import slices
 from quillcast.session import written
 
-#: Texts whose shingles are counted for the order. It bears on the speed, not on the result.
-SAMPLE = 2_000
+#: Buckets that shingles are counted in, for the order: 8 MB for every task.
+BUCKETS = 1 << 21
 #: Rows of one shingle that a task joins; beyond that the shingle is dealt out.
 SALT_ROWS = 5_000
 #: Longs of a sketch: differing parities are never more than differing shingles.
@@ -55,36 +55,65 @@ def _hashed(shingles: set) -> np.ndarray:
     return np.unique(np.fromiter(map(digest, shingles), dtype=np.uint64, count=len(shingles)).view(np.int64))
 
 
-def _common(items: DataFrame, shingled: Callable[[str], set]) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several of the sampled texts have, in order, and how many have them."""
+def beside(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, root) of the members of all buckets in which a candidate failed.
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 100):
-            found = [_hashed(shingled(text)) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found or [np.empty(0, dtype=np.int64)]))], names=["shingle"])
-
-    every = max(1, items.count() // SAMPLE)
-    some = items.where(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).select("text")
-    counted = some.mapInArrow(each, "shingle long").groupBy("shingle").count().where("count > 1").toArrow()
-    shingles, counts = (counted.column(name).to_numpy() for name in ("shingle", "count"))
-    order = np.argsort(shingles)
-    return shingles[order], counts[order]
-
-
-def _prefixes(shingled: Callable[[str], set], similarity: float, common: np.ndarray, counts: np.ndarray):
+    For candidates that hold every member of a bucket against its leader: of two members that were not
+    compared and are still apart, at least one differs from the leader, and both are its neighbours. Two texts that
+    have only each other are done.
+    """
+    ends = pairs.select(F.explode(F.array("lo", "hi")).alias("node"))
+    single = ends.groupBy("node").agg(F.count("*").alias("n")).where("n = 1").select("node")
+    root = F.coalesce("root", "node")
+    named = pairs
+    for end in ("lo", "hi"):
+        known = roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
+        alone = single.select(F.col("node").alias(end), F.lit(True).alias(f"{end}_alone"))
+        named = named.join(known, end, "left").join(alone, end, "left")
+    apart = named.where((F.coalesce("lo_root", "lo") != F.coalesce("hi_root", "hi")) & ~(F.coalesce("lo_alone", F.lit(False)) & F.coalesce("hi_alone", F.lit(False))))
+    failed = written(apart.select(F.explode(F.array("lo", "hi")).alias("node")).distinct(), "failed")
+    either = pairs.select("lo", "hi").union(pairs.select("hi", "lo"))
+    around = either.join(failed, either["lo"] == failed["node"], "left_semi").select(F.col("hi").alias("node"))
+    members = around.union(failed).distinct()
+    return members.join(roots, "node", "left").select("node", root.alias("root"))
+
+
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes.view(np.uint64) >> np.uint64(40)).astype(np.int64) & (BUCKETS - 1)
+
+
+def _weights(items: DataFrame, shingled: Callable[[str], set]) -> np.ndarray:
+    """How many texts have a shingle of each bucket, counted over all of them."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 2000):
+            found = [_bucket(_hashed(shingled(text))) for text in batch.column("text").to_pylist()]
+            buckets, counts = np.unique(np.concatenate(found or [np.empty(0, dtype=np.int64)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(counts, pa.int64())], names=["bucket", "n"])
+
+    # At most a row per bucket reaches the driver.
+    found = items.select("text").mapInArrow(counted, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    weights = np.zeros(BUCKETS, dtype=np.int32)
+    weights[found.column("bucket").to_numpy()] = np.minimum(found.column("n").to_numpy(), 2**31 - 1)
+    return weights
+
+
+def _prefixes(shingled: Callable[[str], set], similarity: float, weights: np.ndarray):
     def prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 100):
             sizes, keys, sketches = [], [], []
             for text in batch.column("text").to_pylist():
                 hashes = _hashed(shingled(text))
-                place = np.minimum(np.searchsorted(common, hashes), max(0, len(common) - 1))
-                weight = np.where(common[place] == hashes, counts[place], 0) if len(common) else np.zeros(len(hashes))
+                weight = weights[_bucket(hashes)]
                 first = len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1
+                order = np.lexsort((hashes, weight))[:first]
                 sizes.append(len(hashes))
-                keys.append(hashes[np.lexsort((hashes, weight))[:first]])
+                # What no other text's shingle shares a bucket with, no other text has.
+                keys.append([{"at": at, "key": int(hashes[place])} for at, place in enumerate(order) if weight[place] > 1])
                 odd = np.bincount(hashes & (64 * SKETCH - 1), minlength=64 * SKETCH) & 1
                 sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
-            columns = [batch.column("node"), batch.column("root"), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))]
+            kind = pa.list_(pa.struct([("at", pa.int32()), ("key", pa.int64())]))
+            columns = [batch.column("node"), batch.column("root"), pa.array(sizes, pa.int32()), pa.array(keys, kind)]
             columns += [pa.array([sketch[at] for sketch in sketches], pa.int64()) for at in range(SKETCH)]
             yield pa.RecordBatch.from_arrays(columns, names=["node", "root", "n", "keys", *(f"s{at}" for at in range(SKETCH))])
 
@@ -96,13 +125,14 @@ def close(items: DataFrame, shingled: Callable[[str], set], similarity: float) -
 
     ``items(node, root, text)`` has a row per node, nodes and roots being digests. Rows of the
     root that has most rows of a shingle are not held against each other, and a shingle's rows
-    are dealt over several tasks if they are many.
+    are dealt over several tasks if they are many. The order goes by exact counts of buckets of shingles
+    over all items: rare ones first, and what several share by chance only costs a comparison.
     """
-    common, counts = _common(items, shingled)
-    schema = "node binary, root binary, n int, keys array<long>, " + ", ".join(f"s{at} long" for at in range(SKETCH))
-    prefixes = written(items.select("node", "root", "text").mapInArrow(_prefixes(shingled, similarity, common, counts), schema), "prefixes")
+    weights = _weights(items, shingled)
+    schema = "node binary, root binary, n int, keys array<struct<at:int,key:bigint>>, " + ", ".join(f"s{at} long" for at in range(SKETCH))
+    prefixes = written(items.select("node", "root", "text").mapInArrow(_prefixes(shingled, similarity, weights), schema), "prefixes")
     sketch = [f"s{at}" for at in range(SKETCH)]
-    rows = prefixes.select("node", "root", "n", *sketch, F.posexplode("keys").alias("at", "key"))
+    rows = prefixes.select("node", "root", "n", *sketch, F.inline("keys"))
     owned = rows.groupBy("key", "root").agg(F.count("*").alias("n"))
     shared = owned.groupBy("key").agg(F.count("*").alias("roots"), F.sum("n").alias("rows"), F.max(F.struct("n", "root")).alias("most"))
     parts = F.ceil(F.col("rows") / SALT_ROWS).cast("int")

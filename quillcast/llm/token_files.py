@@ -25,9 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillcast.llm import range_coder
+from quillcast.llm import range_coder, tokens
 from quillcast.llm.common import file_system, narrowed, slices
-from quillcast.llm import tokens
 from quillcast.session import scratch_dir, written
 
 MAGIC = b"QTC1"
