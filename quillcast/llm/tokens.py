@@ -14,8 +14,8 @@ from itertools import islice
 
 import numpy as np
 
-#: Chunks remembered, some 200 bytes each: at most 40 MB. At the limit the older half is forgotten.
-REMEMBERED = 200_000
+#: Chunks remembered, some 200 bytes each: at most 120 MB. At the limit the older half is forgotten.
+REMEMBERED = 600_000
 #: Characters encoded per step.
 STEP_CHARS = 200_000
 #: A run of these at a chunk's end is a part of its own after letters.
