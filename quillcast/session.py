@@ -114,20 +114,30 @@ def file_names(spark: SparkSession, path: str) -> list[str]:
 _taken = threading.local()
 
 
+@contextmanager
+def taken_since() -> Iterator[list[str]]:
+    """The folders that :func:`written` takes meanwhile in this thread, complete at the end."""
+    before, found = getattr(_taken, "folders", []), []
+    _taken.folders = []
+    try:
+        yield found
+    finally:
+        found += _taken.folders
+        _taken.folders = [*before, *found]
+
+
 @contextmanager
 def cleared(spark: SparkSession) -> Iterator[None]:
     """Remove at the end what :func:`written` has written meanwhile in this thread.
 
     For work whose results are written elsewhere before it ends, a micro-batch say.
     """
-    before = getattr(_taken, "folders", [])
-    _taken.folders = []
-    try:
-        yield
-    finally:
-        for path in _taken.folders:
-            remove_folder(spark, path)
-        _taken.folders = before
+    with taken_since() as folders:
+        try:
+            yield
+        finally:
+            for path in _taken.folders:
+                remove_folder(spark, path)
 
 
 def written(frame: DataFrame, label: str) -> DataFrame:
