@@ -11,9 +11,8 @@ jumping, and the audit is traced chunk by chunk.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import hashlib
+from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -190,6 +189,11 @@ def in_order(rows: DataFrame) -> DataFrame:
     return written(ordered.withColumn("at", F.monotonically_increasing_id()), "turns")
 
 
+def _grown(frame: DataFrame) -> DataFrame:
+    """For joins with what grows with the input: its files may be small enough to be broadcast, its rows are not."""
+    return frame.hint("merge")
+
+
 def _place() -> tuple[Column, Column]:
     """Partition and chunk of a row; chunks of a partition are numbered on end."""
     return F.shiftright("at", 33), F.shiftright("at", CHUNK_BITS)
@@ -203,7 +207,7 @@ def with_faults(turns: DataFrame) -> DataFrame:
     )
     # One row per text of a conversation says where it comes first; the join back is by place, which no two rows share.
     first = narrow.groupBy("conv", "same").agg(F.min("at").alias("at")).select("at", F.lit(True).alias("first"))
-    told = narrow.join(first, "at", "left")
+    told = narrow.join(_grown(first), "at", "left")
     fault = F.when(F.col("blank"), "blank").when(F.col("first").isNull(), "duplicate").when(~F.col("ended"), "truncated")
     own = F.when(F.col("initial").isin("s", "u", "a"), F.col("initial")).otherwise("o")
     symbol = F.when(F.col("fault").isin("blank", "duplicate"), MUST_GO).when(F.col("fault") == "truncated", F.upper(own)).otherwise(own)
@@ -233,10 +237,10 @@ def chunked(rows: DataFrame) -> DataFrame:
     spans = chunks.groupBy("conv", "part").agg(F.max("block").alias("block"), F.min("key").alias("key"), F.count("*").alias("n"))
     after = Window.partitionBy("conv").orderBy("part")
     jumps = spans.withColumn("jump", F.lead("key").over(after)).where("jump is not null").select("conv", "part", "block", "jump")
-    linked = chunks.join(jumps, ["conv", "part", "block"], "left")
+    linked = chunks.join(_grown(jumps), ["conv", "part", "block"], "left")
     # Inside a partition the next chunk starts where its block does.
     within = spans.where("n > 1").select("conv", "part", F.col("block").alias("last"))
-    linked = linked.join(within, ["conv", "part"], "left")
+    linked = linked.join(_grown(within), ["conv", "part"], "left")
     in_place = F.when(F.col("block") < F.col("last"), F.shiftleft(F.col("block") + 1, CHUNK_BITS))
     return written(linked.withColumn("next", F.coalesce(in_place, "jump")).drop("last", "jump", "part"), "linked-chunks")
 
@@ -276,13 +280,13 @@ def backward_costs(chunks: DataFrame) -> DataFrame:
     vectors = written(ran, "vectors")
     while True:
         true_one = vectors.select(F.col("key").alias("next"), F.col("front").alias("wanted"))
-        asked = vectors.where("next is not null").join(true_one, "next").where("wanted <> behind")
+        asked = vectors.where("next is not null").join(_grown(true_one), "next").where("wanted <> behind")
         asked = written(asked, "fix-up")
         if asked.isEmpty():
             return vectors.drop("symbols", "next")
         mended = asked.withColumn("ran", _fix_udf()("symbols", "behind", "front", "gain", "wanted"))
         mended = mended.select("key", "next", "symbols", F.col("wanted").alias("behind"), "ran.*")
-        vectors = written(vectors.join(asked, "key", "left_anti").unionByName(mended), "vectors")
+        vectors = written(vectors.join(_grown(asked), "key", "left_anti").unionByName(mended), "vectors")
 
 
 def _exits_udf():
@@ -297,14 +301,14 @@ def entry_states(chunks: DataFrame) -> DataFrame:
     """``key, state``: the state in which each chunk is entered, by composing the maps of all chunks before it."""
     follows = chunks.where("next is not null")
     maps = follows.select(F.col("next").alias("key"), F.col("key").alias("before"), _exits_udf()("symbols", "behind").alias("map"))
-    firsts = chunks.select("key").join(maps, "key", "left_anti").select("key", F.lit(None).cast("long").alias("before"), F.array(*[F.lit(START)] * 4).alias("map"))
+    firsts = chunks.select("key").join(_grown(maps), "key", "left_anti").select("key", F.lit(None).cast("long").alias("before"), F.array(*[F.lit(START)] * 4).alias("map"))
     jumps = written(maps.unionByName(firsts), "maps")
     while not jumps.where("before is not null").isEmpty():
         reach = jumps.select(F.col("key").alias("before"), F.col("before").alias("far"), F.col("map").alias("first"))
         both = F.transform("first", lambda state: F.get("map", state))
         # "first" leads to the state before chunk "before", and "map" from there to this one.
         jumps = written(
-            jumps.join(reach, "before", "left").select(
+            jumps.join(_grown(reach), "before", "left").select(
                 "key", F.col("far").alias("before"), F.when(F.col("before").isNull(), F.col("map")).otherwise(both).alias("map")
             ),
             "maps",
@@ -322,7 +326,7 @@ def _audit_udf():
 
 def traced(chunks: DataFrame) -> DataFrame:
     """``key, conv, block, state, audit`` per chunk, written."""
-    known = chunks.join(entry_states(chunks), "key")
+    known = chunks.join(_grown(entry_states(chunks)), "key")
     return written(known.withColumn("audit", _audit_udf()("symbols", "behind", "state", F.col("next").isNull())).select("key", "conv", "block", "state", "audit"), "audits")
 
 
@@ -353,7 +357,7 @@ def _edit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repaired(turns: DataFrame, audits: DataFrame) -> DataFrame:
     """``conv, key, place, role, text``: the turns after the edits, in order by key and place within a conversation."""
     _, block = _place()
-    rows = turns.select("conv", block.alias("block"), "at", "role", "text").join(audits, ["conv", "block"])
+    rows = turns.select("conv", block.alias("block"), "at", "role", "text").join(_grown(audits), ["conv", "block"])
     return rows.repartition("conv", "block").sortWithinPartitions("conv", "block", "at").drop("block").mapInArrow(_edit, "conv string, key long, place int, role string, text string")
 
 
@@ -394,14 +398,14 @@ def figures(rows: DataFrame, chunks: DataFrame, audits: DataFrame) -> DataFrame:
     heads = chunks.select(F.col("key").alias("next"), F.col("initials")[0].alias("head"))
     joint = F.concat(F.element_at("initials", -1), F.col("head"))
     legal = ["su", "ua", "au"]
-    ends = chunks.join(heads, "next", "left").withColumn("illegal", F.size(F.filter(pairs, lambda p: ~p.isin(legal))) + F.coalesce((~joint.isin(legal)).cast("int"), F.lit(0)))
+    ends = chunks.join(_grown(heads), "next", "left").withColumn("illegal", F.size(F.filter(pairs, lambda p: ~p.isin(legal))) + F.coalesce((~joint.isin(legal)).cast("int"), F.lit(0)))
     counted = ends.groupBy("conv").agg(
         *(F.sum(name).cast("long").alias(name) for name in ("blank", "duplicate", "truncated", "illegal")),
         # The first chunk's front is that of an empty beginning; the constants of all chunks add up.
         (F.sum("gain") + F.min_by(F.col("front")[START], "key")).cast("long").alias("cost"),
     )
     told = audits.groupBy("conv").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("key", "audit"))), lambda a: a["audit"]), "").alias("audit"))
-    return counted.join(gaps, "conv", "left").join(told, "conv").withColumn("gaps", F.coalesce("gaps", F.lit(0)))
+    return counted.join(_grown(gaps), "conv", "left").join(_grown(told), "conv").withColumn("gaps", F.coalesce("gaps", F.lit(0)))
 
 
 def repair(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -420,6 +424,6 @@ def repair(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", r
     turns = in_order(narrowed(rows, conv_id=conv_col, turn=turn_col, role=role_col, text=text_col))
     faults = written(with_faults(turns), "faults")
     chunks = chunked(faults)
-    solved = written(chunks.join(backward_costs(chunks), "key"), "solved")
+    solved = written(chunks.join(_grown(backward_costs(chunks)), "key"), "solved")
     audits = traced(solved)
     return figures(faults, solved, audits), repaired(turns, audits)

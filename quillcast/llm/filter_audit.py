@@ -44,7 +44,7 @@ def document_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         F.col("text").rlike(SIGNS).alias("D"),
     )
     alike = measured.groupBy(*measured.columns).agg(F.count("*").alias("rows"))
-    told = alike.join(lost, "id", "left").withColumns({name: F.coalesce(name, F.lit(False)) for name in ("good", "toxic")})
+    told = alike.join(lost.hint("merge"), "id", "left").withColumns({name: F.coalesce(name, F.lit(False)) for name in ("good", "toxic")})
     # The number is given while the table is written and is fixed from then on.
     return written(told.withColumn("row", F.monotonically_increasing_id()), "audited")
 
@@ -56,7 +56,7 @@ def failing_ids(rows: DataFrame) -> dict[str, DataFrame]:
     """
     found = {name: rows.where(name).select("row") for name in "ABCD"}
     first = rows.groupBy("digest").agg(F.min("id").alias("id"))
-    found["E"] = rows.where("id is not null").join(first, ["digest", "id"], "left_anti").select("row")
+    found["E"] = rows.where("id is not null").join(first.hint("merge"), ["digest", "id"], "left_anti").select("row")
     return {name: written(ids, f"fails-{name}") for name, ids in found.items()}
 
 
@@ -68,6 +68,8 @@ def classes(rows: DataFrame, failing: Mapping[str, DataFrame]) -> DataFrame:
     """
     split = rows.select("row", "part", "rows", "good", "toxic", F.lit("").alias("fails"))
     for name, ids in failing.items():
+        # Files of ascending numbers are far smaller than the numbers: not to be broadcast for their size.
+        ids = ids.hint("merge")
         inside = split.join(ids, "row", "left_semi").withColumn("fails", F.concat("fails", F.lit(name)))
         split = written(inside.unionByName(split.join(ids, "row", "left_anti")), f"split-{name}")
     count = {name: F.sum(F.when(F.col(name), F.col("rows")).otherwise(0)).alias(name) for name in ("good", "toxic")}

@@ -199,7 +199,9 @@ def test_held_out_rows_teach_nothing(spark, documents):
     held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     wrong = documents.withColumn("lang", F.when(held, "zz").otherwise(F.col("lang")))
     first, second = ({r.id: (r.lang_pred, r.score) for r in language_id.identify(docs).collect()} for docs in (documents, wrong.repartition(3)))
-    assert first == second
+    assert {key: lang for key, (lang, _) in first.items()} == {key: lang for key, (lang, _) in second.items()}
+    # Single precision sums differ in their last digits by what is worked on together.
+    assert all(score == pytest.approx(second[key][1], abs=1e-4) for key, (_, score) in first.items())
 
 
 def test_gradients_equal_differences():
