@@ -1102,10 +1102,12 @@ def _until_silent(spark, sf_dir, name: str, window: str, metric) -> str:
     silent = archive.IdleClock(spark, facts, filing, f"{window} {metrics.DELAY}", idle=1.0, pace=3600.0)
     silent.start()
     try:
-        while not silent.closed.wait(1):
+        while not silent.closed.wait(1) and archive.totals(spark, facts).get("latest") is not None:
             for running in (filing, results):
                 if running.exception():
                     raise running.exception()
+            if not silent.is_alive():
+                raise RuntimeError("the idle clock has stopped")
         results.processAllAvailable()
     finally:
         silent.stop()

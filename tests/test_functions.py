@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillcast.functions.scalars import country_code, quoted_text, round_half_even
-from quillcast.functions.time import created_at_ts, minute_bucket, minute_of_day, scale_window
+from quillcast.functions.time import created_at_ts, minute_bucket, minute_of_day, scale_window, window_seconds
 
 
 def evaluate(spark, values, schema, expression):
@@ -81,3 +81,9 @@ def test_minute_of_day_is_24_hours(spark):
 
 def test_scale_window():
     assert scale_window("15 minutes", 4) == "60 minutes"
+
+
+def test_window_seconds():
+    assert [window_seconds(w) for w in ("1 second", "15 minutes", "1 hour", "2 days", "300 microseconds")] == [1, 900, 3600, 172_800, 0.0003]
+    with pytest.raises(KeyError):
+        window_seconds("1 month")
