@@ -127,3 +127,19 @@ def test_pipeline_of_no_documents(spark, sf_dir):
     empty = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf_dir).collect() == []
+
+
+def test_stages_clear_up_after_their_predecessors(spark, documents, sf_dir):
+    """Scratch folders go when the next stage starts from written documents, and stay while they are still read."""
+    from quillcast.session import file_names, written
+
+    corpus_pipeline._left.clear()
+    lines = corpus_pipeline.line_deduplication(spark, documents, sf_dir)
+    left = list(corpus_pipeline._left)
+    assert left and all(file_names(spark, path) for path in left)
+    unwritten = corpus_pipeline.decontaminated(spark, lines, sf_dir)
+    assert all(file_names(spark, path) for path in left) and unwritten.count() > 0
+    kept = written(lines, "kept")
+    corpus_pipeline.decontaminated(spark, kept, sf_dir)
+    assert not any(file_names(spark, path) for path in left)
+    assert kept.count() == documents.count()
