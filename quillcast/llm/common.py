@@ -43,6 +43,18 @@ def matching(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     return rows.join(sent_if_few(keys), on, "left_semi")
 
 
+def counted(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """(key, n): how often each of a written table of distinct keys occurs in ``rows``; absent ones are left out.
+
+    A few keys are sent to the rows before these are counted. Otherwise the rows are counted
+    first, so a key that a third of them have is one row per task before it is shuffled.
+    """
+    sent = sent_if_few(keys)
+    if sent is not keys:
+        return rows.join(sent, on).groupBy(on).agg(F.count("*").alias("n"))
+    return rows.groupBy(on).agg(F.count("*").alias("n")).join(keys, on)
+
+
 def split_words(text: Column, separators: str) -> Column:
     """Words between runs of separators, without empty ones; null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), separators), "")

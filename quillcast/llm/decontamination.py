@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import narrowed, sent_if_few, split_words
+from quillcast.llm.common import counted, narrowed, sent_if_few, split_words
 from quillcast.session import written
 
 #: ASCII other than digits and lower-case letters; everything beyond ASCII belongs to words.
@@ -82,9 +82,7 @@ def occurrences(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, i
             pairs.select(F.lit(None).cast(docs.schema[id_col].dataType).alias("doc"), F.lit(0).cast("long").alias("digest"),
                          F.lit(0).alias("start"), F.lit(0).alias("length"), "window").where("false"), "no-hits"), pairs
     known = written(inside.select("shingle").distinct(), "shingles")
-    rarity = (
-        _occurrences(texts, sizes).select("shingle").join(known, "shingle", "left_semi").groupBy("shingle").agg(F.count("*").alias("n"))
-    )
+    rarity = counted(_occurrences(texts, sizes).select("shingle"), known, "shingle")
     ranked = inside.join(rarity, "shingle", "left").groupBy("window").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "shingle", "offset")).alias("rarest"), F.first("words").alias("window_words")
     )
@@ -92,11 +90,21 @@ def occurrences(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, i
     prefixes = written(
         ranked.where("rarest.n > 0").select("window", "window_words", "rarest.shingle", "rarest.offset"), "prefixes"
     )
-    # The documents meet hashes only, which stay small; the words around a match go on.
+    # The documents meet hashes only. An inner join with distinct keys, as Spark would move a
+    # semi-join below the hashing, where a row still holds all words of its document.
+    wanted = sent_if_few(written(prefixes.select("shingle").distinct(), "prefix-shingles"))
+    places = written(_occurrences(texts, sizes).select("doc", "digest", "at", "shingle").join(wanted, "shingle"), "places")
+    # A document's places, once each: no more than its words. Its text is fetched once, for all of them.
+    per_doc = places.groupBy("doc", "digest").agg(F.collect_set(F.struct("at", "shingle")).alias("places"))
+    placed = written(per_doc.select(F.col("doc").alias("hit_doc"), F.col("digest").alias("hit_digest"), "places"), "placed")
+    rows = narrowed(docs, doc=id_col, text=text_col).withColumn("digest", F.xxhash64("text"))
+    same = rows["doc"].eqNullSafe(placed["hit_doc"]) & (rows["digest"] == placed["hit_digest"])
+    rows = rows.join(sent_if_few(placed.select("hit_doc", "hit_digest")), same, "left_semi")
     first = F.greatest(F.lit(1), F.col("at") - (window - 1))
     candidates = (
-        _occurrences(texts, sizes)
-        .join(written(prefixes.select("shingle").distinct(), "prefix-shingles"), "shingle", "left_semi")
+        rows.join(placed, same)
+        .select("doc", "digest", words_of(F.col("text")).alias("words"), "places")
+        .select("doc", "digest", "words", F.inline("places"))
         .select("doc", "digest", "shingle", "at", first.alias("first"), F.slice("words", first, F.col("at") + window - first).alias("around"))
     )
     start = F.col("at") - F.col("offset")

@@ -9,7 +9,7 @@ import pytest
 from oracle import connect, difference
 from pyspark.sql import functions as F
 
-from quillcast.llm import decontamination, line_dedup, quality_rules, queries
+from quillcast.llm import common, decontamination, line_dedup, quality_rules, queries
 
 
 def line_classes(pairs, groups):
@@ -139,6 +139,30 @@ def test_decontamination_equals_sql(spark):
     assert difference(found, connect(sf_dir).sql(queries.ORACLES[name]).df()) is None
 
 
+def test_decontamination_shuffles_no_documents_per_word(spark, sf_dir, monkeypatch):
+    """Without broadcasts too, rows per word carry hashes only, and the rows are the same."""
+    name, plans = "op9_benchmark_decontamination", {}
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    write = decontamination.written
+
+    def spied(frame, label):
+        plans[label] = frame._jdf.queryExecution().explainString(mode)
+        return write(frame, label)
+
+    want = Counter(queries.QUERIES[name](spark, sf_dir).collect())
+    monkeypatch.setattr(decontamination, "written", spied)
+    monkeypatch.setattr(common, "BROADCAST_KEYS", -1)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert Counter(queries.QUERIES[name](spark, sf_dir).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    for label in ("places", "placed", "hits"):
+        moved = re.findall(r"\) (?:Exchange|Sort)\nInput \[\d+\]: \[(.*)\]", plans[label])
+        assert moved and not any(re.search(r"(?<!window_)words#", columns) for columns in moved)
+
+
 def plain_hits(text, items, size=10):
     def split(value):
         return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in value or ""))
