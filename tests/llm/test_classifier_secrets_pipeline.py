@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
+import random
 import re
 import zlib
 
@@ -84,6 +87,73 @@ def test_guess_costs():
     assert secrets.guess_power("a" * 5000 + "Q7z") < 30
 
 
+def split_power(value, words):
+    """The least cost over every split, one by one."""
+    price, low = secrets.character_cost(value), value.lower() if value.isascii() else value
+
+    def whole_run(begin, end, joined):
+        return end - begin >= 3 and all(map(joined, range(begin + 1, end))) and not (begin and joined(begin))
+
+    def part_cost(begin, end):
+        part, size = value[begin:end], end - begin
+        costs = [secrets.PART_COST + price * size]
+        if size == 1 and part in secrets.SEPARATORS:
+            costs.append(secrets.SEPARATOR_COST)
+        if whole_run(begin, end, lambda at: (low[at - 1], low[at]) in secrets.NEXT):
+            costs.append(secrets.PART_COST + 2 + math.log10(size))
+        if whole_run(begin, end, lambda at: value[at - 1] == value[at]):
+            costs.append(secrets.PART_COST + price + math.log10(size))
+        if low[begin:end] in words:
+            costs.append(secrets.PART_COST + words[low[begin:end]] + (0 if low[begin:end] == part else secrets.CASE_COST))
+        if (found := secrets.DATE.match(value, begin)) and found.end() == end:
+            costs.append(secrets.PART_COST + math.log10(365 * 120))
+        for unit in range(2, 9):
+            same = lambda at: at >= unit and value[at] == value[at - unit]  # noqa: E731, B023
+            held = sum(1 for _ in itertools.takewhile(same, range(end - 1, -1, -1))) // unit
+            if held and size == held * unit:
+                costs.append(math.log10(held + 1))
+        return min(costs)
+
+    inner = range(1, len(value))
+    splits = (s for n in range(len(value)) for s in itertools.combinations(inner, n))
+    return min(sum(itertools.starmap(part_cost, itertools.pairwise((0, *s, len(value))))) for s in splits)
+
+
+def test_guess_costs_equal_every_split():
+    rng = random.Random(5)
+    words = secrets.RANK | {"lan": 2.5, "ana": 1.1, "nal": 4.0, "alan": 3.1}
+    pieces = ["pass", "alan", "Lan", "1234", "qwe", "aaa", "2024", "0517", "x", "Z", "#", "_", "-", "key", "ana", "9", "poi", "é", "abab", "xyxyxy"]
+    for _ in range(300):
+        value = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 5)))[:11]
+        assert secrets.guess_power(value, words) == pytest.approx(split_power(value, words)), value
+
+
+def test_guess_costs_of_random_values():
+    rng = random.Random(7)
+    letters, signs = "abcdefghijklmnopqrstuvwxyz", "#$%&*+,;@^~"
+    for alphabet, size, share in ((letters, 10, 0.9), (letters + letters.upper() + "0123456789", 8, 0.9), (letters + letters.upper() + "0123456789" + signs, 8, 0.9), (letters + letters.upper() + "0123456789" + signs, 10, 0.98)):
+        drawn = ["".join(rng.choice(alphabet) for _ in range(size)) for _ in range(300)]
+        assert sum(secrets.guess_power(value) >= secrets.SECRET_POWER for value in drawn) >= share * len(drawn)
+
+
+def test_words_of_the_corpus_are_no_secrets(spark):
+    """A word that texts use is guessed; a value that only stands in a credential's place is not, however often."""
+    prose = [(at, "the mountain harbour stays quiet and correct horses gather battery staples " * 20, "x") for at in range(20)]
+    texts = ["password: mountainharbour", "the password is quietmountain", "pwd=wqxkvzjtpq", "token: \"Tz4%wqLm8\"", None, ""]
+    copies = [(100 + at % 6, texts[at % 6], "y") for at in range(60)]
+    docs = spark.createDataFrame(prose + copies, "doc_id long, text string, value string").repartition(4)
+    found = secrets.scan(docs).collect()
+    assert len(found) == 80
+    judged = {r.id - 100: [(s.start, s.end) for s in r.spans if s.kind == "guess"] for r in found if r.id >= 100}
+    assert judged == {0: [], 1: [], 2: [(4, 14)], 3: [(8, 17)], 4: [], 5: []}
+    assert secrets.spans("password: mountainharbour")[-1][2] == "guess"  # without a corpus
+
+
+def test_long_values(spark):
+    docs = spark.createDataFrame([(1, "token: " + "ab" * 30_000), (1, "token: " + "xq7" + "z" * 40_000 + "QK#9"), (None, "secret is " + "the " * 50_000)], "doc_id long, text string")
+    assert sorted(len([s for s in r.spans if s.kind == "guess"]) for r in secrets.scan(docs).collect()) == [0, 0, 1]
+
+
 def test_masking():
     text = 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" end'
     assert secrets.masked(text, secrets.spans(text)) == '<assign>" end'
