@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillcast.llm.common import matching, narrowed, slices
@@ -237,6 +237,11 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lost = lost.groupBy("doc", "row").agg(F.collect_set("line").alias("lost_lines"))
     lost = written(lost.select(F.col("doc").alias("lost_doc"), F.col("row").alias("lost_row"), "lost_lines"), "lost")
     joined = docs.join(lost, docs[id_col].eqNullSafe(lost["lost_doc"]) & (F.xxhash64(docs[text_col]) == lost["lost_row"]), "left")
-    rest = F.filter(F.split(docs[text_col], "\n"), lambda line, at: ~F.array_contains("lost_lines", at))
-    text = F.when(F.col("lost_lines").isNull(), docs[text_col]).otherwise(F.array_join(rest, "\n"))
+    # Set difference of line numbers, so a text of many lines with many lost ones takes linear time.
+    def rest(lines: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(lines) - 1).cast(lost.schema["lost_lines"].dataType)
+        return F.array_join(F.transform(F.array_except(places, F.col("lost_lines")), lambda at: F.get(lines, at.cast("int"))), "\n")
+
+    split_once = F.transform(F.array(F.split(docs[text_col], "\n")), rest)[0]
+    text = F.when(F.col("lost_lines").isNull(), docs[text_col]).otherwise(split_once)
     return joined.select(*(text.alias(name) if name == text_col else docs[name] for name in docs.columns))

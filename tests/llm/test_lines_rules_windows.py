@@ -219,3 +219,9 @@ def test_rows_that_share_an_id_lose_only_their_own_lines(spark):
         docs = spark.createDataFrame([(shared, text) for text in texts] + [(9, "q\ny")], "doc_id long, text string")
         kept = [line for r in line_dedup.deduplicated(docs).collect() for line in r.text.split("\n") if line]
         assert sorted(kept) == sorted({line for text in [*texts, "y"] for line in text.split("\n")})
+
+
+def test_a_text_of_many_lines_loses_many(spark):
+    docs = spark.createDataFrame([(1, "the same line here\n\n" * 30_000 + "and the last one"), (2, "a line of its own\n"), (3, None)], "doc_id long, text string")
+    found = {r.doc_id: r.text for r in line_dedup.deduplicated(docs).collect()}
+    assert found == {1: "the same line here\n" + "\n" * 30_000 + "and the last one", 2: "a line of its own\n", 3: None}
