@@ -25,28 +25,46 @@ from quillcast.session import written
 BUCKETS = 1 << 21
 #: Rows of one shingle that a task joins; beyond that the shingle is dealt out.
 SALT_ROWS = 5_000
+#: Candidates on the longest way from one member of a bucket to another, by way of heads.
+HOPS = 4
 #: Longs of a sketch: differing parities are never more than differing shingles.
 SKETCH = 4
 
 
-def contested(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+def contested(failed: DataFrame, roots: DataFrame) -> DataFrame:
     """(node, root) of all texts that may be similar to one of another component, untested.
 
-    ``pairs(lo, hi)`` are the candidates tested, ``roots(node, root)`` the components found.
-    Whatever belongs to one bucket is connected by candidates, so a component with untested
-    company has a candidate that failed. Two single texts that have only each other are done.
+    A bucket holds fingerprints, each with its texts. All its fingerprints are held against one of
+    them, first text against first text, and all texts of a fingerprint against its first.
+    ``failed(lo, hi, far, crowded, within)`` are the candidates that were not similar enough, ``roots(node, root)``
+    the components found. ``within``: both have one fingerprint. ``crowded``: a third fingerprint is in the
+    bucket. ``far``: less similar than 1 - HOPS * (1 - s). Candidates lead from any member to any
+    other in HOPS steps, and 1 - Jaccard is a metric, so for two members that are similar but
+    apart, either
+
+    * one candidate on the way failed: it is not far, and it lies between their components;
+    * several failed, all of different fingerprints: two at the head, which lead to their components;
+    * or one failed within a fingerprint: their components are next to one that this splits.
     """
-    lo = roots.select(F.col("node").alias("lo"), F.col("root").alias("lo_root"))
-    hi = roots.select(F.col("node").alias("hi"), F.col("root").alias("hi_root"))
-    named = pairs.join(lo, "lo", "left").join(hi, "hi", "left")
-    named = named.select(F.coalesce("lo_root", "lo").alias("a"), F.coalesce("hi_root", "hi").alias("b"))
-    apart = written(named.where("a <> b"), "failed")
-    degrees = apart.select(F.explode(F.array("a", "b")).alias("root")).groupBy("root").count()
-    linked = roots.select("root").distinct().withColumn("linked", F.lit(True))
-    busy = written(degrees.join(linked, "root", "left").select("root", (F.col("linked").isNotNull() | (F.col("count") > 1)).alias("busy")), "busy")
-    a, b = (busy.where("busy").select(F.col("root").alias(end), F.lit(True).alias(f"{end}_busy")) for end in "ab")
-    left = apart.join(a, "a", "left").join(b, "b", "left").where("a_busy or b_busy")
-    left = written(left.select(F.explode(F.array("a", "b")).alias("root")).distinct(), "contested")
+    lo = roots.select(F.col("node").alias("lo"), F.col("root").alias("a"), F.lit(True).alias("a_linked"))
+    hi = roots.select(F.col("node").alias("hi"), F.col("root").alias("b"), F.lit(True).alias("b_linked"))
+    named = failed.join(lo, "lo", "left").join(hi, "hi", "left").withColumn("a", F.coalesce("a", "lo")).withColumn("b", F.coalesce("b", "hi"))
+    # A component of one text has nothing else to be compared.
+    named = named.withColumn("single", F.col("a_linked").isNull() & F.col("b_linked").isNull())
+    apart = written(named.where("a <> b").select("lo", "hi", "a", "b", "far", "crowded", "within", "single"), "failed")
+    both = F.explode(F.array("a", "b")).alias("root")
+    between = apart.where("not far and not single").select(both)
+
+    sides = F.array(F.struct(F.col("lo").alias("head"), F.col("b").alias("root")), F.struct(F.col("hi").alias("head"), F.col("a").alias("root")))
+    around = apart.where("crowded").select(F.inline(sides))
+    heads = written(around.groupBy("head").agg((F.min("root") != F.max("root")).alias("several")).where("several").select("head"), "heads")
+    around = around.join(heads, "head", "left_semi").select("root")
+
+    split = written(apart.where("within").select(both).distinct(), "split")
+    a, b = (split.select(F.col("root").alias(end), F.lit(True).alias(f"{end}_split")) for end in "ab")
+    beside_split = apart.join(a, "a", "left").join(b, "b", "left").where("a_split or b_split").select(both)
+
+    left = written(between.union(around).union(beside_split).distinct(), "contested")
     return left.select(F.col("root").alias("node"), "root").union(roots.join(left, "root", "left_semi").where("node <> root").select("node", "root"))
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from quillcast.llm.common import matching, narrowed, slices
 from quillcast.llm.components import components, forest
-from quillcast.llm.overlaps import close, contested
+from quillcast.llm.overlaps import HOPS, close, contested
 from quillcast.session import written
 
 BITS = 64
@@ -97,6 +97,8 @@ def _deal(rows: DataFrame, depth: int, more: int, half: int) -> DataFrame:
 def _collisions(radius: int, stars: int):
     def linked(group: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"lo": np.array([], dtype=np.int64), "hi": np.array([], dtype=np.int64)})
+        if stars:
+            none["crowded"] = np.array([], dtype=bool)
         if len(group) < 2:
             return none
         depth, prefix = int(group["depth"].iloc[0]), int(group["prefix"].iloc[0]) & (2**BITS - 1)
@@ -133,12 +135,19 @@ def _collisions(radius: int, stars: int):
         order = np.lexsort((turn, at))
         at, who = at[order], who[order]
         head = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        first = np.repeat(who[head], np.diff(np.concatenate((head, [len(at)]))))
-        pairs = np.unique(np.minimum(first, who).astype(np.int64) * len(fps) + np.maximum(first, who))
+        sizes = np.diff(np.concatenate((head, [len(at)])))
+        first = np.repeat(who[head], sizes)
+        pairs = np.minimum(first, who).astype(np.int64) * len(fps) + np.maximum(first, who)
+        # Of a pair that has company in one of its variants, the entry that says so is the last.
+        pairs = np.unique(2 * pairs + np.repeat(sizes > 2, sizes))
+        pairs = pairs[np.concatenate((pairs[1:] >> 1 != pairs[:-1] >> 1, [True]))]
+        pairs, crowded = pairs >> 1, (pairs & 1).astype(bool)
         a, b = fps[pairs // len(fps)], fps[pairs % len(fps)]
         near = (a != b) & (np.bitwise_count(a ^ b) <= radius)
         found = zip(a[near].view(np.int64).tolist(), b[near].view(np.int64).tolist(), strict=True)
-        kept = list(found if stars else forest(found))
+        if stars:
+            return pd.DataFrame([(*pair, company) for pair, company in zip(found, crowded[near].tolist(), strict=True)], columns=["lo", "hi", "crowded"]) if near.any() else none
+        kept = list(forest(found))
         return pd.DataFrame(kept, columns=["lo", "hi"]) if kept else none
 
     return linked
@@ -151,8 +160,9 @@ def links(fps: DataFrame, radius: int = 4, bits: int = BITS, stars: int = 0) ->
     can number several independent fingerprints. Not every pair is listed, but every pair
     within the radius is connected. With ``stars`` 0 a group gives a spanning forest of its
     links; otherwise the members of a variant are linked to one of them, chosen in so many
-    ways by turns, and all these links are listed. Groups of variants are split until each is
-    small, however many fingerprints crowd around one value.
+    ways by turns, and all these links are listed, with ``crowded``: whether a third fingerprint
+    has the variant. Groups of variants are split until each is small, however many
+    fingerprints crowd around one value.
     """
     if radius % 2:
         raise ValueError("radius must be even: half of it is the reach of the variants")
@@ -179,7 +189,8 @@ def links(fps: DataFrame, radius: int = 4, bits: int = BITS, stars: int = 0) ->
         more = min(SPLIT_BITS, free)
         rows = written(_deal(rows.join(heavy, "prefix", "left_semi"), depth, more, half), "dealt")
         depth += more
-    found = [part.groupBy("depth", "prefix").applyInPandas(_collisions(radius, stars), "lo long, hi long") for part in settled]
+    schema = "lo long, hi long, crowded boolean" if stars else "lo long, hi long"
+    found = [part.groupBy("depth", "prefix").applyInPandas(_collisions(radius, stars), schema) for part in settled]
     edges = found[0]
     for part in found[1:]:
         edges = edges.union(part)
@@ -241,23 +252,26 @@ def _tables(text: str | None, size: int, seed: int) -> list[int]:
     return [(table << TABLE_BITS) | int(value) for table, value in enumerate(values)]
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The pairs (lo, hi) of digests whose shingle sets are similar enough."""
+def _compared(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """(lo, hi, near, far) per pair (lo, hi) of digests: whether the shingle sets are similar enough, and see ``contested``."""
+    least = max(0.0, 1 - HOPS * (1 - similarity)) - 1e-9
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            near, last, left = [], None, set()
+            near, far, last, left = [], [], None, set()
             for a, b in zip(batch.column("lo_text").to_pylist(), batch.column("hi_text").to_pylist(), strict=True):
                 if a != last:
                     last, left = a, word_shingles(a, size)
                 right = word_shingles(b, size)
                 common = len(left & right)
                 near.append(common >= similarity * (len(left) + len(right) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("lo"), batch.column("hi")], names=["lo", "hi"]).filter(pa.array(near, pa.bool_()))
+                far.append(common < least * (len(left) + len(right) - common))
+            arrays = [batch.column("lo"), batch.column("hi"), pa.array(near, pa.bool_()), pa.array(far, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["lo", "hi", "near", "far"])
 
     lo = texts.select(F.col("digest").alias("lo"), F.col("text").alias("lo_text"))
     hi = texts.select(F.col("digest").alias("hi"), F.col("text").alias("hi_text"))
-    return pairs.join(hi, "hi").join(lo, "lo").select("lo", "hi", "lo_text", "hi_text").mapInArrow(checked, "lo binary, hi binary")
+    return pairs.join(hi, "hi").join(lo, "lo").select("lo", "hi", "lo_text", "hi_text").mapInArrow(checked, "lo binary, hi binary, near boolean, far boolean")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 4, seed: int = 42) -> DataFrame:
@@ -282,35 +296,37 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Equal texts have equal fingerprints: partial aggregation leaves one row of each per task.
     nodes = written(marked.select("digest", F.explode("fps").alias("fp")).distinct(), "nodes")
     distinct = written(nodes.groupBy("fp").agg(F.min("digest").alias("first")), "fingerprints")
-    near = written(links(distinct.select("fp"), radius, TABLE_BITS, len(TURNS)).distinct(), "near")
+    near = written(links(distinct.select("fp"), radius, TABLE_BITS, len(TURNS)).groupBy("lo", "hi").agg(F.max("crowded").alias("crowded")), "near")
     first = distinct.select(F.col("fp").alias("other"), F.col("first").alias("other_first"))
     across = (
         near.join(distinct, near["lo"] == distinct["fp"])
-        .select(F.col("first").alias("a"), "hi")
+        .select(F.col("first").alias("a"), "hi", "crowded")
         .join(first, F.col("hi") == first["other"])
-        .select("a", F.col("other_first").alias("b"))
-    )
-    within = nodes.join(distinct, "fp").select(F.col("first").alias("a"), F.col("digest").alias("b"))
-    pairs = written(
-        across.union(within).where("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct(), "candidates"
+        .select("a", F.col("other_first").alias("b"), "crowded", F.lit(False).alias("within"))
     )
+    within = nodes.join(distinct, "fp").select(F.col("first").alias("a"), F.col("digest").alias("b"), F.lit(False).alias("crowded"), F.lit(True).alias("within"))
+    pairs = across.union(within).where("a <> b").groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+    pairs = written(pairs.agg(F.max("crowded").alias("crowded"), F.max("within").alias("within")), "candidates")
     wanted = written(pairs.select(F.explode(F.array("lo", "hi")).alias("digest")).distinct(), "wanted")
     texts = written(matching(rows.select("digest", "text"), wanted, "digest").dropDuplicates(["digest"]), "texts")
     # A spanning forest first; then only what would still join two groups needs a look.
-    found = written(_similar(pairs.mapInPandas(_spanning, "lo binary, hi binary"), texts, shingle, similarity), "similar")
+    tested = written(_compared(pairs.select("lo", "hi").mapInPandas(_spanning, "lo binary, hi binary"), texts, shingle, similarity), "tested")
+    found = tested.where("near").select("lo", "hi")
     roots = written(components(found), "roots")
     lo_root = roots.select(F.col("node").alias("lo"), F.col("root").alias("lo_root"))
     hi_root = roots.select(F.col("node").alias("hi"), F.col("root").alias("hi_root"))
     apart = pairs.join(lo_root, "lo", "left").join(hi_root, "hi", "left").where(F.coalesce("lo_root", "lo") != F.coalesce("hi_root", "hi"))
-    late = written(_similar(apart.select("lo", "hi").join(found, ["lo", "hi"], "left_anti"), texts, shingle, similarity), "late")
-    if not late.isEmpty():
-        found = found.union(late)
+    late = written(_compared(apart.select("lo", "hi").join(tested, ["lo", "hi"], "left_anti"), texts, shingle, similarity), "late")
+    tested = tested.union(late)
+    if not late.where("near").isEmpty():
+        found = tested.where("near").select("lo", "hi")
         roots = written(components(found), "roots")
     # Members of a variant or a fingerprint that were tested against its head only.
-    rest = written(contested(pairs, roots).join(texts.select(F.col("digest").alias("node"), "text"), "node"), "rest")
+    failed = tested.where("not near").select("lo", "hi", "far").join(pairs, ["lo", "hi"])
+    rest = written(contested(failed, roots).join(texts.select(F.col("digest").alias("node"), "text"), "node"), "rest")
     if not rest.isEmpty():
         untested = close(rest, lambda text: word_shingles(text, shingle), similarity).join(pairs, ["lo", "hi"], "left_anti")
-        beside = written(_similar(untested, texts, shingle, similarity), "beside")
+        beside = written(_compared(untested, texts, shingle, similarity).where("near").select("lo", "hi"), "beside")
         if not beside.isEmpty():
             roots = written(components(found.union(beside)), "roots")
 

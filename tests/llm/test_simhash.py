@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import pytest
 import xxhash
 
-from quillcast.llm import queries, simhash
+from quillcast.llm import overlaps, queries, simhash
 from quillcast.llm.components import components
 
 
@@ -129,3 +130,37 @@ def test_a_crowd_hides_no_text(spark, groups, monkeypatch):
     assert len(want) == 60
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == want
+
+
+def test_a_chance_collision_contests_no_group(spark):
+    """An unlike text that only shares a head's variant leaves the head's group alone."""
+    roots = spark.createDataFrame([(b"a", b"a"), (b"b", b"a"), (b"c", b"a")], "node binary, root binary")
+    schema = "lo binary, hi binary, far boolean, crowded boolean, within boolean"
+    nodes = lambda *failed: {bytes(r.node) for r in overlaps.contested(spark.createDataFrame(list(failed), schema), roots).collect()}
+    assert nodes((b"b", b"x", True, False, False)) == set()
+    assert nodes((b"b", b"x", True, False, False), (b"b", b"y", True, True, False)) == set()
+    assert nodes((b"b", b"x", False, False, False)) == {b"a", b"b", b"c", b"x"}
+    assert nodes((b"b", b"x", True, True, False), (b"b", b"y", True, True, False)) == {b"x", b"y"}
+    assert nodes((b"b", b"x", True, False, True), (b"a", b"y", True, False, False)) == {b"a", b"b", b"c", b"x", b"y"}
+    assert nodes((b"x", b"y", False, False, False)) == set()
+
+
+@pytest.mark.parametrize("bits", [1, 3, 8])
+def test_no_bucket_hides_a_text(spark, groups, monkeypatch, bits):
+    """Few fingerprints, all next to zero, for many unlike, distantly alike and similar texts."""
+    monkeypatch.setattr(simhash, "_tables", lambda text, size, seed: [1 << zlib.crc32(text.encode()) % bits])
+    rng = random.Random(bits)
+    said = lambda size: [f"w{rng.randrange(10**6)}" for _ in range(size)]
+    texts = []
+    for _ in range(40):
+        base = said(100)
+        texts += [" ".join(base[: 100 - less] + said(less) + [str(rng.randrange(99))]) for less in rng.sample([1, 3, 6, 9, 12, 30, 50], 3)]
+    sets = [simhash.word_shingles(text, 5) for text in texts]
+    for a, left in enumerate(sets):
+        for b, right in enumerate(sets[:a]):
+            if len(left & right) >= 0.8 * len(left | right):
+                groups.join(a, b)
+    want = sorted({groups.root(at) for at in range(len(texts))})
+    assert 40 < len(want) < 115
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == want
