@@ -2,15 +2,19 @@
 
 Both kinds of tokenizer used here split a text before anything else and encode the parts
 on their own, and a blank between two other characters is always such a split. Texts are
-cut there; the library encodes each distinct chunk once and its ids are remembered. Where
-a blank touches other white space, the library encodes the text in one piece.
+cut there, byte-level ones at single line breaks as well; the library encodes each distinct
+chunk once and its ids are remembered. New chunks go to it many at a time, as one text with
+separators that always are a token of their own: a call per chunk takes twice as long. Where
+a blank touches other white space, or normalising changes a chunk's length, the library
+encodes the text in one piece.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import batched, islice
+from unicodedata import normalize
 
 import numpy as np
 
@@ -20,6 +24,10 @@ REMEMBERED = 600_000
 STEP_CHARS = 200_000
 #: A run of these at a chunk's end is a part of its own after letters.
 ENDINGS = ".,;:!?#$%&*|"
+#: New chunks that the library gets as one text.
+JOINED = 128
+#: Where one of these occurs a line break may not be a part of its own.
+BREAKS = ("\n\n", "\n ", " \n", "\n\t", "\t\n", "\r")
 
 
 def steps(texts: list[str]) -> Iterator[list[str]]:
@@ -50,6 +58,11 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.glued = glued
+        # Between chunks a line break stands alone; where white space is dropped, a sign between blanks does.
+        self.sign = "\n" if glued else "\x01"
+        self.separator = self.sign if glued else f" {self.sign} "
+        alone = self.library.encode(self.separator, add_special_tokens=False).ids
+        self.separating = alone[0] if len(alone) == 1 else None
         self.known: dict[str, bytes | None] = {}
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
@@ -60,14 +73,32 @@ class Encoder:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
 
+    def _chunks(self, chunks: list[str]) -> Iterator[bytes]:
+        """Ids per chunk. Chunks have no separator's sign and, but for a leading blank, no white space at their ends."""
+        for some in batched(chunks, JOINED):
+            if self.separating is not None:
+                ids = np.frombuffer(self._library([self.separator.join(some)])[0], dtype="<u4")
+                cuts = 4 * np.flatnonzero(ids == self.separating)
+                if len(cuts) == len(some) - 1:
+                    octets = ids.tobytes()
+                    yield from (octets[begin:end] for begin, end in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(octets)], strict=True))
+                    continue
+            yield from self._library(list(some))
+
+    def _cut(self, text: str) -> list[str] | None:
+        if not self.glued:
+            return text.replace("\n", " ").split(" ")
+        if "\0" in text:
+            return None
+        if not any(pair in text for pair in BREAKS) and text.strip("\n") == text:
+            text = text.replace("\n", "\0\n\0")
+        return text.replace(" ", "\0 ").split("\0")
+
     def _encode(self, texts: list[str]) -> Iterator[bytes]:
         if len(self.known) > REMEMBERED:
             # Dictionaries keep the order of insertion, so the latter half is the younger.
             self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
-        if self.glued:
-            lists = [None if "\0" in text else text.replace(" ", "\0 ").split("\0") for text in texts]
-        else:
-            lists = [text.split(" ") for text in texts]
+        lists = [self._cut(text) for text in texts]
         self._learn(set().union(*(chunks for chunks in lists if chunks)).difference(self.known))
         of = self.known.__getitem__
         for text, chunks in zip(texts, lists, strict=True):
@@ -77,10 +108,13 @@ class Encoder:
                 yield self._library([text])[0]
 
     def _learn(self, chunks: set[str]) -> None:
-        known, whole, parted = self.known, {""}, []
+        known, whole, parted = self.known, {"", "\n"}, []
         for chunk in chunks:
             inner = chunk[1:] if self.glued and chunk[:1] == " " else chunk
-            if self.glued and chunk and (not inner or inner[0].isspace() or inner[-1].isspace()):
+            if self.glued and chunk and chunk != "\n" and (not inner or inner[0].isspace() or inner[-1].isspace()):
+                known[chunk] = None
+                continue
+            if not (self.glued or chunk.isascii()) and len(normalize("NFC", chunk).lower()) != len(chunk):
                 known[chunk] = None
                 continue
             stem = chunk.rstrip(ENDINGS)
@@ -91,7 +125,10 @@ class Encoder:
             else:
                 whole.add(chunk)
         new = [chunk for chunk in whole if chunk not in known]
-        known.update(zip(new, self._library(new), strict=True))
+        single = [chunk for chunk in new if not chunk or self.sign in chunk]
+        known.update(zip(single, self._library(single), strict=True))
+        joined = [chunk for chunk in new if chunk and self.sign not in chunk]
+        known.update(zip(joined, self._chunks(joined), strict=True))
         for chunk, stem, ending in parted:
             known[chunk] = known[stem] + known[ending]
 

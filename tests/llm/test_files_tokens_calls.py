@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -109,6 +110,25 @@ def test_encoder_equals_library(path, glued):
         assert np.frombuffer(next(encoder.encode([text])), dtype="<u4").tolist() == ids(text)
 
 
+@pytest.mark.parametrize(("path", "glued"), [(BYTES, True), (WORDS, False)])
+def test_chunks_that_are_encoded_together(path, glued):
+    """Separators within texts, line breaks next to white space, and letters that normalising takes apart."""
+    rng = random.Random(8)
+    parts = ["a", "B.", "x\ny", "don't", "\u0130stanbul", "\u0915\u093c", "\u0958", "99", "$%.", "\x01", "\u0120", "\u010a", "a\tb", "\n", "", "\r\n"]
+    texts = [" ".join(rng.choices(parts, k=rng.randint(1, 9))) for _ in range(3000)] + ["\r\x85 \n\u0130\u0130,$. \u0130\u0130%\u0301 ", "\n", "a\n", "\na b"]
+    ids = library(path)
+    found = [np.frombuffer(one, dtype="<u4").tolist() for one in tokens.Encoder(path, glued).encode(texts)]
+    assert found == [ids(text) for text in texts]
+
+
+def test_new_chunks_go_to_the_library_together(monkeypatch):
+    encoder, calls = tokens.Encoder(BYTES, True), []
+    plain = encoder._library
+    monkeypatch.setattr(encoder, "_library", lambda texts: calls.append(len(texts)) or plain(texts))
+    list(encoder.encode([" ".join(f"word{chr(97 + at % 26)}{chr(97 + at // 26)}" for at in range(600)) + "\nEnd"]))
+    assert sum(calls) < 20
+
+
 def check_packing(found, pairs):
     ids = library(BYTES)
     whole = Counter()
