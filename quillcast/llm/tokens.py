@@ -3,14 +3,15 @@
 Both kinds of tokenizer used here split a text before anything else and encode the parts
 on their own, and a blank between two other characters is always such a split. Texts are
 cut there, byte-level ones at single line breaks as well; the library encodes each distinct
-chunk once and its ids are remembered. New chunks go to it many at a time, as one text with
-separators that always are a token of their own: a call per chunk takes twice as long. Where
-a blank touches other white space, or normalising changes a chunk's length, the library
-encodes the text in one piece.
+chunk once and its ids are remembered. New chunks go to it many at a time, as one text: a call
+per chunk takes twice as long. Its ids are cut where tokens begin with a blank or end a word, and for
+other chunks at separators that always are a token of their own. Where a blank touches other
+white space, or normalising changes a chunk's length, the library encodes the text in one piece.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import batched, islice
@@ -53,6 +54,8 @@ class Encoder:
     """
 
     def __init__(self, path: str, glued: bool):
+        # A task has one core: the library's own threads only cost time.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -63,7 +66,12 @@ class Encoder:
         self.separator = self.sign if glued else f" {self.sign} "
         alone = self.library.encode(self.separator, add_special_tokens=False).ids
         self.separating = alone[0] if len(alone) == 1 else None
-        self.known: dict[str, bytes | None] = {}
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        # Tokens that hold a blank, or end a word: one of each chunk that goes to the library without a separator.
+        self.marked = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.marked[[at for token, at in vocabulary.items() if (token.startswith("\u0120") if glued else token.endswith("</w>"))]] = True
+        # False: a text with this chunk goes to the library whole.
+        self.known: dict[str, bytes | bool] = {}
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         for some in steps([text or "" for text in texts]):
@@ -81,10 +89,22 @@ class Encoder:
                 cuts = 4 * np.flatnonzero(ids == self.separating)
                 if len(cuts) == len(some) - 1:
                     octets = ids.tobytes()
-                    yield from (octets[begin:end] for begin, end in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(octets)], strict=True))
+                    yield from map(octets.__getitem__, map(slice, [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(octets)]))
                     continue
             yield from self._library(list(some))
 
+    def _words(self, chunks: list[str]) -> Iterator[bytes]:
+        """Ids per chunk of which one token is marked: the first with a leading blank, the last of nothing but letters."""
+        for some in batched(chunks, JOINED):
+            octets = self._library([("" if self.glued else " ").join(some)])[0]
+            marks = np.flatnonzero(self.marked[np.frombuffer(octets, dtype="<u4")])
+            if len(marks) == len(some):
+                cuts = (4 * marks).tolist() + [len(octets)] if self.glued else [0] + (4 * marks + 4).tolist()
+                if cuts[0] == 0 and cuts[-1] == len(octets):
+                    yield from map(octets.__getitem__, map(slice, cuts, cuts[1:]))
+                    continue
+            yield from self._chunks(list(some))
+
     def _cut(self, text: str) -> list[str] | None:
         if not self.glued:
             return text.replace("\n", " ").split(" ")
@@ -99,31 +119,49 @@ class Encoder:
             # Dictionaries keep the order of insertion, so the latter half is the younger.
             self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
         lists = [self._cut(text) for text in texts]
-        self._learn(set().union(*(chunks for chunks in lists if chunks)).difference(self.known))
+        get = self.known.get
+        found = [list(map(get, chunks or ())) for chunks in lists]
+        new = [[at for at, ids in enumerate(some) if ids is None] for some in found]
+        self._learn({chunks[at] for chunks, places in zip(lists, new, strict=True) for at in places})
         of = self.known.__getitem__
-        for text, chunks in zip(texts, lists, strict=True):
-            try:
-                yield b"".join(map(of, chunks))
-            except TypeError:  # cannot be cut
+        for text, chunks, some, places in zip(texts, lists, found, new, strict=True):
+            for at in places:
+                some[at] = of(chunks[at])
+            if chunks is None or False in some:
                 yield self._library([text])[0]
+            else:
+                yield b"".join(some)
 
     def _learn(self, chunks: set[str]) -> None:
-        known, whole, parted = self.known, {"", "\n"}, []
+        known, glued, words, parted = self.known, self.glued, [], []
+        stems, whole = set(), {"", "\n"}
         for chunk in chunks:
-            inner = chunk[1:] if self.glued and chunk[:1] == " " else chunk
-            if self.glued and chunk and chunk != "\n" and (not inner or inner[0].isspace() or inner[-1].isspace()):
-                known[chunk] = None
+            blank = glued and chunk[:1] == " "
+            inner = chunk[1:] if blank else chunk
+            letters = inner.isalpha()
+            if not letters and glued and chunk and chunk != "\n" and (not inner or inner[0].isspace() or inner[-1].isspace()):
+                known[chunk] = False
+                continue
+            if not (glued or chunk.isascii()) and len(normalize("NFC", chunk).lower()) != len(chunk):
+                known[chunk] = False
                 continue
-            if not (self.glued or chunk.isascii()) and len(normalize("NFC", chunk).lower()) != len(chunk):
-                known[chunk] = None
+            if letters:
+                if blank or not glued:
+                    words.append(chunk)
+                else:
+                    whole.add(chunk)
                 continue
             stem = chunk.rstrip(ENDINGS)
-            if len(stem) < len(chunk) and (stem[1:] if inner is not chunk else stem).isalpha():
+            if len(stem) < len(chunk) and (stem[1:] if blank else stem).isalpha():
                 parted.append((chunk, stem, chunk[len(stem) :]))
-                whole.add(stem)
+                (stems if blank or not glued else whole).add(stem)
                 whole.add(chunk[len(stem) :])
+            elif blank and "\n" not in chunk:
+                words.append(chunk)
             else:
                 whole.add(chunk)
+        words += [stem for stem in stems if stem not in known and stem not in chunks]
+        known.update(zip(words, self._words(words), strict=True))
         new = [chunk for chunk in whole if chunk not in known]
         single = [chunk for chunk in new if not chunk or self.sign in chunk]
         known.update(zip(single, self._library(single), strict=True))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import os
 import random
 import re
 import zlib
@@ -129,6 +130,31 @@ def test_new_chunks_go_to_the_library_together(monkeypatch):
     assert sum(calls) < 20
 
 
+@pytest.mark.parametrize(("path", "glued"), [(BYTES, True), (WORDS, False)])
+def test_words_go_to_the_library_without_separators(path, glued, monkeypatch):
+    """A task's core does all of it: no threads of the library's own."""
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    ids = library(path)
+    encoder, sent = tokens.Encoder(path, glued), []
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    plain = encoder._library
+    monkeypatch.setattr(encoder, "_library", lambda texts: sent.extend(texts) or plain(texts))
+    text = " ".join(f"word{chr(97 + at % 26)}{chr(97 + at // 26)}{'é' * (at % 2)}" for at in range(300)) + "."
+    assert np.frombuffer(next(encoder.encode([text])), dtype="<u4").tolist() == ids(text)
+    assert sum(map(len, sent)) <= len(text) + 5
+
+
+@pytest.mark.parametrize(("path", "glued"), [(BYTES, True), (WORDS, False)])
+def test_chunks_without_separators(path, glued):
+    """Signs, contractions, other white space and letters that lower-casing or composing changes, one next to the other."""
+    rng = random.Random(9)
+    parts = ["a", "Ab", "'s", "it's", "<|endoftext|>", "</w>", "\u01c5x", "\u03a3\u03a3", "e\u0301", "\u2126", "\u0374", "\uac00", "\u00aa", "x\ty", "\xa0z", "\x1cq", "\u0120b", "_c-d", "7", "\u0660", "z.", "\U0001f600", "\u200b"]
+    texts = [" ".join(rng.choices(parts, k=rng.randint(1, 30))) for _ in range(2000)]
+    ids = library(path)
+    found = [np.frombuffer(one, dtype="<u4").tolist() for one in tokens.Encoder(path, glued).encode(texts)]
+    assert found == [ids(text) for text in texts]
+
+
 def check_packing(found, pairs):
     ids = library(BYTES)
     whole = Counter()
