@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,52 @@ def jaccard(a: set, b: set) -> float:
     return common / (len(a) + len(b) - common)
 
 
+def packed(line: str, size: int) -> np.ndarray | None:
+    """The different shingles of a line in ascending order, a number for each, where they fit into one."""
+    if size != 8 or len(line) < size:
+        return None
+    try:
+        octets = line.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    # A character is a byte and a shingle all eight of a number, so no two shingles share one.
+    values = np.sort(np.ndarray(len(octets) - 7, dtype="<u8", buffer=octets, strides=1))
+    return values[np.concatenate(([True], values[1:] != values[:-1]))]
+
+
+def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether the Jaccard similarity of two sets from ``packed`` is at least ``similarity``."""
+    if min(len(a), len(b)) / max(len(a), len(b)) < similarity:
+        return False
+    both = np.concatenate((a, b))
+    both.sort()
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return common / (len(both) - common) >= similarity
+
+
+def hashed(line: str, size: int) -> np.ndarray:
+    """A hash of each shingle, the same in every line."""
+    found = packed(line, size)
+    if found is None:
+        plain, other = [], []
+        for one in shingles(line, size):
+            value = packed(one, size)
+            if value is None:
+                other.append(xxhash.xxh64_intdigest(one.encode("utf-8", "surrogatepass")))
+            else:
+                plain.append(value)
+        both = (_mixed(np.concatenate(plain or [np.empty(0, dtype=np.uint64)])), np.array(other, dtype=np.uint64))
+        return np.unique(np.concatenate(both)).view(np.int64)
+    return _mixed(found).view(np.int64)
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    """Each bit spread over the others; different numbers stay different."""
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return values ^ (values >> np.uint64(31))
+
+
 def band_hashes(lines: list[str], size: int, bands: int = BANDS, rows: int = ROWS, seed: int = 7) -> np.ndarray:
     """One row per line: its band hashes, and last a sketch of one bit per minimum."""
     rng = np.random.default_rng(seed)
@@ -157,13 +204,18 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float)
     """Of the pairs of digests (lo, hi) those whose lines are similar enough."""
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, left = None, set()
+        last, left, own = None, None, None
         for batch in slices(batches, 2000):
             near = []
             for a, b in zip(batch.column("lo_text").to_pylist(), batch.column("hi_text").to_pylist(), strict=True):
                 if a != last:
-                    last, left = a, shingles(a, size)
-                near.append(jaccard(left, shingles(b, size)) >= similarity)
+                    last, left, own = a, packed(a, size), None
+                right = None if left is None else packed(b, size)
+                if right is None:
+                    own = own or shingles(a, size)
+                    near.append(jaccard(own, shingles(b, size)) >= similarity)
+                else:
+                    near.append(similar(left, right, similarity))
             yield pa.RecordBatch.from_arrays([batch.column("lo"), batch.column("hi")], names=["lo", "hi"]).filter(pa.array(near, pa.bool_()))
 
     lo = texts.select(F.col("digest").alias("lo"), F.col("text").alias("lo_text"))
@@ -203,7 +255,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, similarity:
     # Members of a bucket that were tested against its leader only, not against each other.
     rest = written(beside(candidates, roots).join(texts.select(F.col("digest").alias("node"), "text"), "node"), "rest")
     if not rest.isEmpty():
-        untested = close(rest, lambda line: shingles(line, size), similarity).join(candidates, ["lo", "hi"], "left_anti")
+        untested = close(rest, lambda line: hashed(line, size), similarity).join(candidates, ["lo", "hi"], "left_anti")
         late = written(_verified(untested, texts, size, similarity), "late")
         if not late.isEmpty():
             roots = written(components(found.union(late)), "roots")

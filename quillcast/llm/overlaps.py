@@ -68,7 +68,9 @@ def contested(failed: DataFrame, roots: DataFrame) -> DataFrame:
     return left.select(F.col("root").alias("node"), "root").union(roots.join(left, "root", "left_semi").where("node <> root").select("node", "root"))
 
 
-def _hashed(shingles: set) -> np.ndarray:
+def _hashed(shingles: set | np.ndarray) -> np.ndarray:
+    if isinstance(shingles, np.ndarray):
+        return shingles
     digest = xxhash.xxh64_intdigest
     return np.unique(np.fromiter(map(digest, shingles), dtype=np.uint64, count=len(shingles)).view(np.int64))
 
@@ -100,7 +102,7 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes.view(np.uint64) >> np.uint64(40)).astype(np.int64) & (BUCKETS - 1)
 
 
-def _weights(items: DataFrame, shingled: Callable[[str], set]) -> np.ndarray:
+def _weights(items: DataFrame, shingled: Callable[[str], set | np.ndarray]) -> np.ndarray:
     """How many texts have a shingle of each bucket, counted over all of them."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +118,7 @@ def _weights(items: DataFrame, shingled: Callable[[str], set]) -> np.ndarray:
     return weights
 
 
-def _prefixes(shingled: Callable[[str], set], similarity: float, weights: np.ndarray):
+def _prefixes(shingled: Callable[[str], set | np.ndarray], similarity: float, weights: np.ndarray):
     def prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 100):
             sizes, keys, sketches = [], [], []
@@ -138,10 +140,11 @@ def _prefixes(shingled: Callable[[str], set], similarity: float, weights: np.nda
     return prefixed
 
 
-def close(items: DataFrame, shingled: Callable[[str], set], similarity: float) -> DataFrame:
+def close(items: DataFrame, shingled: Callable[[str], set | np.ndarray], similarity: float) -> DataFrame:
     """(lo, hi): all pairs of nodes of different roots that may be similar enough, and some others.
 
-    ``items(node, root, text)`` has a row per node, nodes and roots being digests. Rows of the
+    ``items(node, root, text)`` has a row per node, nodes and roots being digests. ``shingled`` gives
+    a text's set of shingles, or their hashes as longs, each once. Rows of the
     root that has most rows of a shingle are not held against each other, and a shingle's rows
     are dealt over several tasks if they are many. The order goes by exact counts of buckets of shingles
     over all items: rare ones first, and what several share by chance only costs a comparison.

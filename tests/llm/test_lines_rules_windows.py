@@ -48,6 +48,45 @@ def test_a_star_hides_no_link(spark, groups):
     assert {(r.doc, r.line): (r.class_doc, r.class_line) for r in found} == want
 
 
+def some_lines(n):
+    rng = random.Random(5)
+    for alphabet in ("ab", "ab \xff\0", "ab\u0101\U0001f600", "abcdefgh "):
+        for _ in range(n):
+            line = "".join(rng.choices(alphabet, k=rng.randint(1, 40)))
+            at = rng.randrange(len(line))
+            yield line, line[:at] + rng.choice(alphabet) + line[at + rng.randint(0, 1) :]
+
+
+def test_packed_shingles_are_the_sets_of_shingles():
+    kinds = set()
+    for a, b in some_lines(500):
+        left, right = line_dedup.packed(a, 8), line_dedup.packed(b, 8)
+        assert (left is None) == (len(a) < 8 or max(a) > "\xff")
+        if left is not None and right is not None:
+            assert len(left) == len(line_dedup.shingles(a, 8))
+            similarity = line_dedup.jaccard(line_dedup.shingles(a, 8), line_dedup.shingles(b, 8))
+            for bound in (0.5, 0.8, similarity):
+                assert line_dedup.similar(left, right, bound) == (similarity >= bound)
+            kinds.add(similarity >= 0.8)
+    assert kinds == {True, False}
+
+
+def test_shingle_hashes_are_the_same_in_every_line():
+    for a, b in some_lines(300):
+        for other in (b, b + "\u0101", a + "\U0001f600" + b):
+            found, more = (set(line_dedup.hashed(line, 8).tolist()) for line in (a, other))
+            sets = line_dedup.shingles(a, 8), line_dedup.shingles(other, 8)
+            assert (len(found), len(more), len(found & more)) == (len(sets[0]), len(sets[1]), len(sets[0] & sets[1]))
+
+
+def test_lines_beyond_one_byte_a_character(spark, groups):
+    words = [f"t\u00e9ken{n:03d}" for n in range(400)]
+    texts = [" ".join(words[shift : shift + 60]) + ("\u0142" * (shift // 2 % 3 == 0)) for shift in range(0, 60, 2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = line_dedup.classes(docs).collect()
+    assert {(r.doc, r.line): (r.class_doc, r.class_line) for r in found} == line_classes(list(enumerate(texts)), groups)
+
+
 def test_lines_of_messy_rows(spark, no_docs, groups):
     line = "a line that is said more than once in these documents"
     pairs = [(2, f"{line}\n\nother words here\n{line}!"), (1, f"{line}\nshort\nshort"), (None, "short"), (3, None), (4, ""), (4, " \n\t")]
