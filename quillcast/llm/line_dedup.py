@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import matching, narrowed, slices
+from quillcast.llm.common import by_parts, dealt, matching, narrowed, part_bits, sent_if_few, slices
 from quillcast.llm.components import components
 from quillcast.llm.overlaps import beside, close
 from quillcast.session import written
@@ -28,6 +28,8 @@ from quillcast.session import written
 BANDS, ROWS = 14, 4
 #: Lines of one bucket compared with each other when looking for the nearest.
 BLOCK = 512
+#: Numbers of a bucket's member: the bucket, its turn there, the line's sketch.
+MEMBER = 3
 #: Characters signed at a time; the working arrays stay in the processor's cache.
 STEP_CHARS = 100_000
 
@@ -112,8 +114,11 @@ def band_hashes(lines: list[str], size: int, bands: int = BANDS, rows: int = ROW
         begins = np.cumsum(lengths) - lengths
         # Shingles that cross into the next line lie between a line's end and the next begin.
         cuts = np.column_stack((begins, begins + lengths - size + 1)).ravel()[:-1]
+        mixed = np.empty_like(short)
         for row in range(bands * rows):
-            minima[row, at:end] = np.minimum.reduceat((short ^ flips[row]) * factors[row], cuts)[::2]
+            np.bitwise_xor(short, flips[row], out=mixed)
+            np.multiply(mixed, factors[row], out=mixed)
+            minima[row, at:end] = np.minimum.reduceat(mixed, cuts)[::2]
         at = end
     found = np.zeros((len(lines), bands + 1), dtype=np.uint64)
     for band in range(bands):
@@ -141,38 +146,51 @@ def _keyed(lines: DataFrame) -> DataFrame:
     return lines.withColumn("digest", F.unhex(F.md5("text"))).withColumn("key", F.xxhash64("text"))
 
 
-def _bucketed(size: int):
-    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bucketed(size: int, bits: int):
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in batches:
             once = dict(zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True))
             hashes = band_hashes(list(once.values()), size).view(np.int64)
             buckets = hashes[:, :BANDS].ravel()
             keys = np.repeat(np.fromiter(once, dtype=np.int64, count=len(once)), BANDS)
             # The bucket makes another order of each: every bucket gets a leader of its own.
-            columns = (buckets, keys ^ buckets, np.repeat(hashes[:, BANDS], BANDS))
-            yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names=["bucket", "turn", "sketch"])
+            yield np.column_stack((buckets, keys ^ buckets, np.repeat(hashes[:, BANDS], BANDS)))
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from dealt(members(batches), bits)
 
     return signed
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two links per member of a bucket. Rows come sorted by bucket and turn.
+    """Two links per member of a bucket. Rows come sorted by part.
 
-    A bucket is held until it has ended or grown beyond a block, not longer.
+    Of a part too large to hold, the buckets larger than a block are linked at once and only their leaders
+    held, so a large bucket is never held whole.
     """
-    held = tuple(np.empty(0, dtype=np.int64) for _ in range(3))
-    leading: tuple[int, int] | None = None
-
-    def linked(buckets: np.ndarray, turns: np.ndarray, sketches: np.ndarray) -> pa.RecordBatch:
-        nonlocal leading
-        once = np.concatenate(([True], (buckets[1:] != buckets[:-1]) | (turns[1:] != turns[:-1])))
-        buckets, turns, sketches = buckets[once], turns[once], sketches[once]
-        heads = np.flatnonzero(np.concatenate(([True], buckets[1:] != buckets[:-1])))
+    leading: dict[int, int] = {}
+
+    def once(members: np.ndarray) -> np.ndarray:
+        """By bucket and turn, each once."""
+        members = members[np.lexsort((members[:, 1], members[:, 0]))]
+        other = (members[1:, 0] != members[:-1, 0]) | (members[1:, 1] != members[:-1, 1])
+        return members[np.concatenate((np.ones(min(1, len(members)), dtype=bool), other))]
+
+    def alike(members: np.ndarray) -> np.ndarray:
+        """Those not alone in their bucket."""
+        order = np.argsort(members[:, 0])
+        buckets = members[order, 0]
+        same = np.concatenate(([False], buckets[1:] == buckets[:-1], [False]))
+        return once(members[order[same[1:] | same[:-1]]])
+
+    def linked(members: np.ndarray) -> pa.RecordBatch:
+        buckets, turns, sketches = np.ascontiguousarray(members.T)
+        heads = np.flatnonzero(np.concatenate((np.ones(min(1, len(buckets)), dtype=bool), buckets[1:] != buckets[:-1])))
         sizes = np.diff(np.append(heads, len(buckets)))
-        leaders = np.repeat(turns[heads], sizes)
-        if leading is not None and leading[0] == buckets[0]:
-            leaders[: sizes[0]] = leading[1]
-        leading = (buckets[-1], leaders[-1])
+        first = turns[heads]
+        for at in np.flatnonzero(np.isin(buckets[heads], list(leading))) if leading else ():
+            first[at] = leading[int(buckets[heads[at]])]
+        leaders = np.repeat(first, sizes)
         nearest = turns.copy()
         for head, size in zip(heads[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
             for begin in range(head, head + size, BLOCK):
@@ -186,18 +204,23 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = a[wanted] ^ buckets[wanted], b[wanted] ^ buckets[wanted]
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held = tuple(np.concatenate((old, batch.column(at).to_numpy())) for at, old in enumerate(held))
-        cut = int(np.searchsorted(held[0], held[0][-1]))
-        if len(held[0]) - cut > BLOCK:
-            cut = len(held[0])
-        if cut:
-            yield linked(*(column[:cut] for column in held))
-            held = tuple(column[cut:] for column in held)
-    if len(held[0]):
-        yield linked(*held)
+    def whole(members: np.ndarray) -> Iterator[pa.RecordBatch]:
+        yield linked(alike(members))
+        leading.clear()
+
+    def thinned(members: np.ndarray) -> tuple[np.ndarray, list[pa.RecordBatch]]:
+        members = once(members)
+        values, counts = np.unique(members[:, 0], return_counts=True)
+        large = np.isin(members[:, 0], values[counts > BLOCK])
+        some = members[large]
+        made = [linked(some)]
+        heads = some[np.flatnonzero(np.diff(some[:, 0], prepend=~some[:1, 0]))]
+        for bucket, turn in heads[:, :2].tolist():
+            leading.setdefault(bucket, turn)
+        # The leader stays, so that one more member is not alone.
+        return np.concatenate((members[~large], heads)), made
+
+    yield from by_parts(batches, MEMBER, whole, thinned)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -241,8 +264,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
 def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, similarity: float) -> DataFrame:
     """``classes`` with ``row``, the digest of the row's text."""
     lines = _keyed(lines_of(docs, id_col, text_col))
-    bucketed = lines.select("key", "text").mapInArrow(_bucketed(size), "bucket long, turn long, sketch long")
-    sorted_ = bucketed.repartition("bucket").sortWithinPartitions("bucket", "turn")
+    bucketed = lines.select("key", "text").mapInArrow(_bucketed(size, part_bits(docs.sparkSession)), "part int, members binary")
+    sorted_ = bucketed.repartition("part").sortWithinPartitions("part")
     pairs = written(sorted_.mapInArrow(_candidates, "a long, b long").distinct(), "pairs")
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "colliding")
     texts = written(matching(lines, wanted, "key").select("key", "digest", "text").dropDuplicates(["digest"]), "texts")
@@ -261,21 +284,17 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, similarity:
             roots = written(components(found.union(late)), "roots")
 
     where = written(lines.select("doc", "row", "line", "digest"), "places")
-    firsts = written(where.groupBy("digest").agg(F.min(F.struct("doc", "line", "row")).alias("first")), "firsts")
-    classed = written(
-        firsts.join(roots, firsts["digest"] == roots["node"], "left").select("digest", "first", F.coalesce("root", "digest").alias("root")), "classed"
-    )
-    least = written(classed.groupBy("root").agg(F.min("first").alias("class")), "least")
-    named = written(classed.join(least, "root").select("digest", "class"), "named")
+    repeated = where.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    # Most lines occur once and are like no other: those are classes of their own.
+    shared = written(repeated.union(roots.select(F.col("node").alias("digest"))).distinct(), "shared")
+    sent = sent_if_few(shared, 2)
+    members = where.join(sent, "digest", "left_semi").join(sent_if_few(roots, 3).withColumnRenamed("node", "digest"), "digest", "left")
+    members = written(members.select("doc", "row", "line", F.coalesce("root", "digest").alias("root")), "members")
     own = F.struct("doc", "line", "row")
-    return where.join(named, "digest").select(
-        "doc",
-        "row",
-        "line",
-        F.col("class.doc").alias("class_doc"),
-        F.col("class.line").alias("class_line"),
-        own.eqNullSafe(F.col("class")).alias("kept"),
-    )
+    least = written(members.groupBy("root").agg(F.min(own).alias("class")), "least")
+    told = (F.col("class.doc").alias("class_doc"), F.col("class.line").alias("class_line"), own.eqNullSafe(F.col("class")).alias("kept"))
+    alone = where.join(sent, "digest", "left_anti").select("doc", "row", "line", F.col("doc").alias("class_doc"), F.col("line").alias("class_line"), F.lit(True).alias("kept"))
+    return members.join(least, "root").select("doc", "row", "line", *told).union(alone)
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 8, similarity: float = 0.8) -> DataFrame:

@@ -18,17 +18,25 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import slices
+from quillcast.llm.common import by_parts, dealt, part_bits, slices
 from quillcast.session import written
 
 #: Buckets that shingles are counted in, for the order: 8 MB for every task.
 BUCKETS = 1 << 21
 #: Rows of one shingle that a task joins; beyond that the shingle is dealt out.
 SALT_ROWS = 5_000
+#: Rows of one shingle that are compared in one task.
+CROWD = 2_000
+#: Pairs compared at a time.
+PAIRS = 500_000
+#: Buckets whose counts travel together.
+COUNTS = 1 << 10
 #: Candidates on the longest way from one member of a bucket to another, by way of heads.
 HOPS = 4
 #: Longs of a sketch: differing parities are never more than differing shingles.
 SKETCH = 4
+#: Longs of a text's row: a shingle, node and root, size and place in the order, the sketch.
+KEY, NODE, ROOT, PLACE, ODD = 0, slice(1, 3), slice(3, 5), 5, slice(6, 6 + SKETCH)
 
 
 def contested(failed: DataFrame, roots: DataFrame) -> DataFrame:
@@ -106,54 +114,183 @@ def _weights(items: DataFrame, shingled: Callable[[str], set | np.ndarray]) -> n
     """How many texts have a shingle of each bucket, counted over all of them."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(BUCKETS, dtype=np.int32)
         for batch in slices(batches, 2000):
             found = [_bucket(_hashed(shingled(text))) for text in batch.column("text").to_pylist()]
-            buckets, counts = np.unique(np.concatenate(found or [np.empty(0, dtype=np.int64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(counts, pa.int64())], names=["bucket", "n"])
+            counts += np.bincount(np.concatenate(found or [np.empty(0, dtype=np.int64)]), minlength=BUCKETS).astype(np.int32)
+        some = [(part, own.tobytes()) for part, own in enumerate(counts.reshape(-1, COUNTS)) if own.any()]
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part for part, _ in some], pa.int32()), "counts": pa.array([own for _, own in some], pa.binary())})
 
-    # At most a row per bucket reaches the driver.
-    found = items.select("text").mapInArrow(counted, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    weights = np.zeros(BUCKETS, dtype=np.int32)
-    weights[found.column("bucket").to_numpy()] = np.minimum(found.column("n").to_numpy(), 2**31 - 1)
-    return weights
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in slices(batches):
+            for part, own in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                sums[part] = sums.get(part, 0) + np.frombuffer(own, dtype=np.int32).astype(np.int64)
+        counts = [np.minimum(own, 2**31 - 1).astype(np.int32).tobytes() for own in sums.values()]
+        yield pa.RecordBatch.from_pydict({"part": pa.array(list(sums), pa.int32()), "counts": pa.array(counts, pa.binary())})
 
+    schema = "part int, counts binary"
+    # At most a number per bucket reaches the driver.
+    found = items.select("text").mapInArrow(counted, schema).repartition("part").mapInArrow(summed, schema).toArrow()
+    weights = np.zeros((BUCKETS // COUNTS, COUNTS), dtype=np.int32)
+    for part, own in zip(found.column("part").to_pylist(), found.column("counts").to_pylist(), strict=True):
+        weights[part] = np.frombuffer(own, dtype=np.int32)
+    return weights.ravel()
 
-def _prefixes(shingled: Callable[[str], set | np.ndarray], similarity: float, weights: np.ndarray):
-    def prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _prefixes(shingled: Callable[[str], set | np.ndarray], similarity: float, weights: np.ndarray, bits: int):
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in slices(batches, 100):
-            sizes, keys, sketches = [], [], []
-            for text in batch.column("text").to_pylist():
+            names = (np.frombuffer(b"".join(batch.column(name).to_pylist()), dtype=np.int64).reshape(-1, 2) for name in ("node", "root"))
+            for text, *named in zip(batch.column("text").to_pylist(), *names, strict=True):
                 hashes = _hashed(shingled(text))
                 weight = weights[_bucket(hashes)]
                 first = len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1
                 order = np.lexsort((hashes, weight))[:first]
-                sizes.append(len(hashes))
                 # What no other text's shingle shares a bucket with, no other text has.
-                keys.append([{"at": at, "key": int(hashes[place])} for at, place in enumerate(order) if weight[place] > 1])
+                at = np.flatnonzero(weight[order] > 1)
                 odd = np.bincount(hashes & (64 * SKETCH - 1), minlength=64 * SKETCH) & 1
-                sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
-            kind = pa.list_(pa.struct([("at", pa.int32()), ("key", pa.int64())]))
-            columns = [batch.column("node"), batch.column("root"), pa.array(sizes, pa.int32()), pa.array(keys, kind)]
-            columns += [pa.array([sketch[at] for sketch in sketches], pa.int64()) for at in range(SKETCH)]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "root", "n", "keys", *(f"s{at}" for at in range(SKETCH))])
+                rows = np.empty((len(at), 6 + SKETCH), dtype=np.int64)
+                rows[:, KEY] = hashes[order[at]]
+                rows[:, NODE], rows[:, ROOT] = named
+                rows[:, PLACE] = (len(hashes) << 32) | at
+                rows[:, ODD] = np.packbits(odd.astype(np.uint8)).view(np.int64)
+                yield rows
+
+    def prefixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from dealt(members(batches), bits)
 
     return prefixed
 
 
+def _grouped(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of keys that several roots have, by key, the root that has most of them last; and which are not of that root."""
+    rows = rows[np.lexsort((rows[:, ROOT][:, 1], rows[:, ROOT][:, 0], rows[:, KEY]))]
+    other = (rows[1:, KEY] != rows[:-1, KEY]) | (rows[1:, ROOT] != rows[:-1, ROOT]).any(axis=1)
+    runs = np.flatnonzero(np.concatenate((np.ones(min(1, len(rows)), dtype=bool), other)))
+    sizes, keys = np.diff(np.append(runs, len(rows))), rows[runs, KEY]
+    order = np.lexsort((sizes, keys))
+    last = np.concatenate((keys[order][1:] != keys[order][:-1], np.ones(min(1, len(keys)), dtype=bool)))
+    most = np.zeros(len(runs), dtype=bool)
+    most[order[last]] = True
+    most = np.repeat(most, sizes)
+    order = np.lexsort((most, rows[:, KEY]))
+    rows, left = rows[order], ~most[order]
+    several = np.isin(rows[:, KEY], rows[left, KEY])
+    return rows[several], left[several]
+
+
+def _near(rows: np.ndarray, similarity: float) -> Iterator[pa.RecordBatch]:
+    """The pairs of nodes among rows from ``_prefixes`` that share a key and pass the bounds."""
+    rows, left = _grouped(rows)
+    if not len(rows):
+        return
+    ends = np.searchsorted(rows[:, KEY], rows[:, KEY], side="right")
+    lefts = np.flatnonzero(left)
+    pairs = ends[lefts] - lefts - 1
+    sizes, at = (rows[:, PLACE] >> 32).astype(np.int32), rows[:, PLACE].astype(np.int32)
+    reach = sizes - at
+    roots, nodes = np.ascontiguousarray(rows[:, ROOT]), np.ascontiguousarray(rows[:, NODE])
+    sketches = np.ascontiguousarray(rows[:, ODD]).view(np.uint64)  # of a negative number, the bits of its absolute value would count
+    # Blocks of a bounded number of pairs, or one row's.
+    blocks = (np.cumsum(pairs) - 1) // PAIRS
+    for some in np.split(np.arange(len(lefts)), np.flatnonzero(np.diff(blocks)) + 1):
+        many = pairs[some]
+        l = np.repeat(lefts[some], many)
+        r = l + 1 + np.arange(len(l)) - np.repeat(np.cumsum(many) - many, many)
+        both = sizes[l] + sizes[r]
+        near = np.minimum(reach[l], reach[r]) >= similarity / (1 + similarity) * both - 1e-6
+        near &= np.minimum(sizes[l], sizes[r]) >= similarity * np.maximum(sizes[l], sizes[r]) - 1e-6
+        l, r, both = l[near], r[near], both[near]
+        near = (roots[l] != roots[r]).any(axis=1)
+        near &= np.bitwise_count(sketches[l] ^ sketches[r]).sum(axis=1, dtype=np.int32) <= (1 - similarity) / (1 + similarity) * both + 1e-6
+        ends_ = np.column_stack((nodes[l[near]], nodes[r[near]]))
+        yield _pairs(_ordered(ends_))
+
+
+def _ordered(ends: np.ndarray) -> np.ndarray:
+    """Pairs of nodes with the lesser first, mostly once each."""
+    octets = ends.byteswap().view(np.uint64)
+    turned = (octets[:, 0] > octets[:, 2]) | ((octets[:, 0] == octets[:, 2]) & (octets[:, 1] > octets[:, 3]))
+    ends[turned] = ends[turned][:, [2, 3, 0, 1]]
+    # A digest's half is as good as a hash: equal pairs lie together, and seldom others between them.
+    ends = ends[np.argsort(ends[:, 0] ^ ends[:, 3], kind="stable")]
+    return ends[np.concatenate((np.ones(min(1, len(ends)), dtype=bool), (ends[1:] != ends[:-1]).any(axis=1)))]
+
+
+def _binary(halves: np.ndarray) -> pa.Array:
+    """Digests from their halves."""
+    offsets = np.arange(len(halves) + 1, dtype=np.int32) * 16
+    return pa.Array.from_buffers(pa.binary(), len(halves), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(halves))])
+
+
+FOUND = pa.schema(
+    [("lo", pa.binary()), ("hi", pa.binary()), ("key", pa.int64()), ("node", pa.binary()), ("root", pa.binary()), ("n", pa.int32()), ("at", pa.int32())]
+    + [(f"s{at}", pa.int64()) for at in range(SKETCH)]
+)
+
+
+def _pairs(ends: np.ndarray) -> pa.RecordBatch:
+    columns = [_binary(ends[:, :2]), _binary(ends[:, 2:])]
+    return pa.RecordBatch.from_arrays(columns + [pa.nulls(len(ends), field.type) for field in list(FOUND)[2:]], schema=FOUND)
+
+
+def _crowd(rows: np.ndarray) -> pa.RecordBatch:
+    """Rows that are left to a join."""
+    columns = [pa.nulls(len(rows), pa.binary()), pa.nulls(len(rows), pa.binary()), pa.array(rows[:, KEY])]
+    columns += [_binary(rows[:, NODE]), _binary(rows[:, ROOT]), pa.array((rows[:, PLACE] >> 32).astype(np.int32)), pa.array(rows[:, PLACE].astype(np.int32))]
+    return pa.RecordBatch.from_arrays(columns + [pa.array(column) for column in rows[:, ODD].T], schema=FOUND)
+
+
+def _searched(similarity: float):
+    """Pairs of the keys with few rows, and the rows of other keys, from rows sorted by part."""
+
+    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        crowded: set[int] = set()
+
+        def parted(rows: np.ndarray) -> tuple[np.ndarray, list[pa.RecordBatch]]:
+            keys, counts = np.unique(rows[:, KEY], return_counts=True)
+            crowded.update(keys[counts > CROWD].tolist())
+            many = np.isin(rows[:, KEY], np.array(list(crowded), dtype=np.int64))
+            return rows[~many], [_crowd(rows[many])] if many.any() else []
+
+        def whole(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+            rows, made = parted(rows)
+            yield from made
+            yield from _near(rows, similarity)
+            crowded.clear()
+
+        yield from by_parts(batches, 6 + SKETCH, whole, parted)
+
+    return searched
+
+
 def close(items: DataFrame, shingled: Callable[[str], set | np.ndarray], similarity: float) -> DataFrame:
     """(lo, hi): all pairs of nodes of different roots that may be similar enough, and some others.
 
-    ``items(node, root, text)`` has a row per node, nodes and roots being digests. ``shingled`` gives
+    ``items(node, root, text)`` has a row per node, nodes and roots being digests of 16 bytes. ``shingled`` gives
     a text's set of shingles, or their hashes as longs, each once. Rows of the
-    root that has most rows of a shingle are not held against each other, and a shingle's rows
-    are dealt over several tasks if they are many. The order goes by exact counts of buckets of shingles
-    over all items: rare ones first, and what several share by chance only costs a comparison.
+    root that has most rows of a shingle are not held against each other. A task compares the rows of
+    many shingles; those of a shingle with more than ``CROWD`` go to a join that deals them over several
+    tasks. The order goes by exact counts of buckets of shingles over all items: rare ones first, and
+    what several share by chance only costs a comparison.
     """
+    spark = items.sparkSession
     weights = _weights(items, shingled)
-    schema = "node binary, root binary, n int, keys array<struct<at:int,key:bigint>>, " + ", ".join(f"s{at} long" for at in range(SKETCH))
-    prefixes = written(items.select("node", "root", "text").mapInArrow(_prefixes(shingled, similarity, weights), schema), "prefixes")
+    prefixes = items.select("node", "root", "text").mapInArrow(_prefixes(shingled, similarity, weights, part_bits(spark)), "part int, members binary")
+    sorted_ = prefixes.repartition("part").sortWithinPartitions("part")
+    schema = "lo binary, hi binary, key long, node binary, root binary, n int, at int, " + ", ".join(f"s{at} long" for at in range(SKETCH))
+    searched = written(sorted_.mapInArrow(_searched(similarity), schema), "searched")
+    found = searched.where("key is null").select("lo", "hi")
+    rows = searched.where("key is not null").drop("lo", "hi")
+    if not rows.isEmpty():
+        found = found.union(_joined(rows, similarity))
+    return written(found.distinct(), "close")
+
+
+def _joined(rows: DataFrame, similarity: float) -> DataFrame:
+    """The pairs among rows of keys that many texts have, each key dealt over several tasks."""
     sketch = [f"s{at}" for at in range(SKETCH)]
-    rows = prefixes.select("node", "root", "n", *sketch, F.inline("keys"))
     owned = rows.groupBy("key", "root").agg(F.count("*").alias("n"))
     shared = owned.groupBy("key").agg(F.count("*").alias("roots"), F.sum("n").alias("rows"), F.max(F.struct("n", "root")).alias("most"))
     parts = F.ceil(F.col("rows") / SALT_ROWS).cast("int")
@@ -173,5 +310,4 @@ def close(items: DataFrame, shingled: Callable[[str], set | np.ndarray], similar
         & (reach >= similarity / (1 + similarity) * both - 1e-6)
         & (apart <= (1 - similarity) / (1 + similarity) * both + 1e-6)
     )
-    found = left.join(right, near).select(F.least("l.node", "r.node").alias("lo"), F.greatest("l.node", "r.node").alias("hi"))
-    return written(found.distinct(), "close")
+    return left.join(right, near).select(F.least("l.node", "r.node").alias("lo"), F.greatest("l.node", "r.node").alias("hi"))

@@ -5,11 +5,13 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from oracle import connect, difference
 from pyspark.sql import functions as F
 
-from quillcast.llm import common, decontamination, line_dedup, quality_rules, queries
+from quillcast.llm import common, decontamination, line_dedup, overlaps, quality_rules, queries
 
 
 def line_classes(pairs, groups):
@@ -264,3 +266,75 @@ def test_a_text_of_many_lines_loses_many(spark):
     docs = spark.createDataFrame([(1, "the same line here\n\n" * 30_000 + "and the last one"), (2, "a line of its own\n"), (3, None)], "doc_id long, text string")
     found = {r.doc_id: r.text for r in line_dedup.deduplicated(docs).collect()}
     assert found == {1: "the same line here\n" + "\n" * 30_000 + "and the last one", 2: "a line of its own\n", 3: None}
+
+
+# Members of buckets, many in one row
+
+
+def by_part(batches):
+    rows = sorted((row for batch in batches for row in batch.to_pylist()), key=lambda row: row["part"])
+    return [pa.RecordBatch.from_pylist(rows[at : at + 3], schema=pa.schema([("part", pa.int32()), ("members", pa.binary())])) for at in range(0, len(rows), 3)]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_every_member_of_a_bucket_is_linked(monkeypatch, groups, small):
+    if small:
+        monkeypatch.setattr(common, "GATHERED", 2_000)
+        monkeypatch.setattr(common, "HELD", 1_000)
+        monkeypatch.setattr(line_dedup, "BLOCK", 4)
+    chance = random.Random(5)
+    near = ["".join(chance.choices("abcdefgh ", k=300)) for _ in range(6)]
+    lines = near + [line[:at] + "#" + line[at + 1 :] for line in near for at in range(5, 295, 9)] + ["".join(chance.choices("xyz", k=60)) for _ in range(300)]
+    keys = [int.from_bytes(hashlib.md5(line.encode()).digest()[:8], "little", signed=True) for line in lines]
+    given = [pa.RecordBatch.from_pydict({"key": keys[at : at + 100], "text": lines[at : at + 100]}) for at in range(0, len(lines), 100)] * 2
+    rows = list(line_dedup._bucketed(8, 4)(iter(given)))
+    assert sum(batch.num_rows for batch in rows) <= (14 * 2 * len(lines) if small else 16)
+    for batch in line_dedup._candidates(iter(by_part(rows))):
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            assert a < b
+            groups.join(a, b)
+    hashes = line_dedup.band_hashes(lines, 8)
+    for band in range(line_dedup.BANDS):
+        for value in set(hashes[:, band].tolist()):
+            assert len({groups.root(keys[at]) for at in np.flatnonzero(hashes[:, band] == value)}) == 1
+    assert len({groups.root(key) for key in keys}) > 200
+
+
+@pytest.mark.parametrize("crowd", [2, 2_000])
+def test_search_by_parts_finds_all_similar(monkeypatch, crowd):
+    monkeypatch.setattr(overlaps, "CROWD", crowd)
+    monkeypatch.setattr(common, "GATHERED", 20_000)
+    monkeypatch.setattr(common, "HELD", 10_000)
+    chance = random.Random(6)
+    near = ["".join(chance.choices("abcdefgh ", k=chance.randrange(60, 200))) for _ in range(15)]
+    texts = near + [text[:at] + "#" + text[at + 1 :] for text in near for at in (0, 1, 20, 40, len(text) - 1)]
+    nodes = [hashlib.md5(text.encode()).digest() for text in texts]
+    roots = [chance.choice(nodes) if at % 3 else node for at, node in enumerate(nodes)]
+    given = pa.RecordBatch.from_pydict({"node": pa.array(nodes, pa.binary()), "root": pa.array(roots, pa.binary()), "text": texts})
+    weights = np.full(overlaps.BUCKETS, 2, dtype=np.int32)
+    rows = by_part(overlaps._prefixes(lambda text: line_dedup.hashed(text, 8), 0.8, weights, 4)(iter([given])))
+    found, crowds = set(), {}
+    for batch in overlaps._searched(0.8)(iter(rows)):
+        for row in batch.to_pylist():
+            if row["key"] is None:
+                assert row["lo"] < row["hi"]
+                found.add((row["lo"], row["hi"]))
+            else:
+                crowds.setdefault(row["key"], []).append(row)
+    # The join's share of the work.
+    assert bool(crowds) == (crowd == 2)
+    found |= {(a["node"], b["node"]) for some in crowds.values() for a in some for b in some if a["node"] < b["node"] and a["root"] != b["root"]}
+    root, sets = dict(zip(nodes, roots, strict=True)), {node: line_dedup.shingles(text, 8) for node, text in zip(nodes, texts, strict=True)}
+    similar = {(a, b) for a in nodes for b in nodes if a < b and root[a] != root[b] and line_dedup.jaccard(sets[a], sets[b]) >= 0.8}
+    assert len(similar) > 20 and similar <= found
+    assert all(root[a] != root[b] for a, b in found)
+
+
+def test_search_of_a_crowded_shingle(spark):
+    schema = "node binary, root binary, text string"
+    for many in (20, 2_100):
+        rows = [(hashlib.md5(str(at).encode()).digest(), hashlib.md5(str(max(0, at - many + 4)).encode()).digest(), "a b c d e") for at in range(many)]
+        found = overlaps.close(spark.createDataFrame(rows, schema), lambda text: set(text.split()), 0.8).collect()
+        # The last three are of other roots.
+        want = {tuple(sorted((a[0], b[0]))) for a in rows for b in rows[-3:] if a[1] != b[1]}
+        assert len(found) == len(want) and {(bytes(r.lo), bytes(r.hi)) for r in found} == want
