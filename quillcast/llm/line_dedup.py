@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import by_parts, dealt, matching, narrowed, part_bits, sent_if_few, slices
+from quillcast.llm.common import KEYS, TEXTS, by_parts, dealt, gathered, matching, narrowed, part_bits, sent_if_few, slices
 from quillcast.llm.components import components
 from quillcast.llm.overlaps import beside, close
 from quillcast.session import written
@@ -223,8 +223,8 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from by_parts(batches, MEMBER, whole, thinned)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
-    """Of the pairs of digests (lo, hi) those whose lines are similar enough."""
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float, most: int) -> DataFrame:
+    """Of the pairs of digests (lo, hi), at most ``most``, those whose lines are similar enough."""
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, left, own = None, None, None
@@ -244,7 +244,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float)
     lo = texts.select(F.col("digest").alias("lo"), F.col("text").alias("lo_text"))
     hi = texts.select(F.col("digest").alias("hi"), F.col("text").alias("hi_text"))
     both = pairs.join(hi, "hi").join(lo, "lo").select("lo", "hi", "lo_text", "hi_text")
-    return both.mapInArrow(checked, "lo binary, hi binary")
+    return gathered(both, most, TEXTS).mapInArrow(checked, "lo binary, hi binary")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 8, similarity: float = 0.8) -> DataFrame:
@@ -267,31 +267,40 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, size: int, similarity:
     bucketed = lines.select("key", "text").mapInArrow(_bucketed(size, part_bits(docs.sparkSession)), "part int, members binary")
     sorted_ = bucketed.repartition("part").sortWithinPartitions("part")
     pairs = written(sorted_.mapInArrow(_candidates, "a long, b long").distinct(), "pairs")
-    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "colliding")
-    texts = written(matching(lines, wanted, "key").select("key", "digest", "text").dropDuplicates(["digest"]), "texts")
+    paired = pairs.count()
+    wanted = written(gathered(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), 2 * paired, KEYS), "colliding")
+    texts = matching(lines, wanted, "key").select("key", "digest", "text").dropDuplicates(["digest"])
+    texts = written(gathered(texts, wanted.count(), TEXTS), "texts")
     first, second = (texts.select(F.col("key").alias(key), F.col("digest").alias(digest)) for key, digest in (("a", "lo"), ("b", "hi")))
     # Different lines under one key are candidates too.
     twins = texts.groupBy("key").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("lo", "hi")
-    candidates = written(pairs.join(first, "a").join(second, "b").select("lo", "hi").where("lo <> hi").union(twins), "candidates")
-    found = written(_verified(candidates, texts, size, similarity), "similar")
-    roots = written(components(found), "roots")
+    candidates = pairs.join(first, "a").join(second, "b").select("lo", "hi").where("lo <> hi").union(twins)
+    candidates = written(gathered(candidates, paired, KEYS), "candidates")
+    tested = candidates.count()
+    found = written(_verified(candidates, texts, size, similarity, tested), "similar")
+    roots = written(components(found, found.count()), "roots")
     # Members of a bucket that were tested against its leader only, not against each other.
-    rest = written(beside(candidates, roots).join(texts.select(F.col("digest").alias("node"), "text"), "node"), "rest")
+    rest = beside(candidates, roots, tested).join(texts.select(F.col("digest").alias("node"), "text"), "node")
+    rest = written(gathered(rest, texts.count(), TEXTS), "rest")
     if not rest.isEmpty():
-        untested = close(rest, lambda line: hashed(line, size), similarity).join(candidates, ["lo", "hi"], "left_anti")
-        late = written(_verified(untested, texts, size, similarity), "late")
+        near = close(rest, lambda line: hashed(line, size), similarity)
+        late = _verified(near.join(candidates, ["lo", "hi"], "left_anti"), texts, size, similarity, near.count())
+        late = written(late, "late")
         if not late.isEmpty():
-            roots = written(components(found.union(late)), "roots")
+            # The components found so far are stars: they link what their links did.
+            stars = roots.select(F.col("root").alias("lo"), F.col("node").alias("hi")).union(late)
+            roots = written(components(stars, stars.count()), "roots")
 
     where = written(lines.select("doc", "row", "line", "digest"), "places")
+    placed = where.count()
     repeated = where.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
     # Most lines occur once and are like no other: those are classes of their own.
-    shared = written(repeated.union(roots.select(F.col("node").alias("digest"))).distinct(), "shared")
+    shared = written(gathered(repeated.union(roots.select(F.col("node").alias("digest"))).distinct(), placed, KEYS), "shared")
     sent = sent_if_few(shared, 2)
     members = where.join(sent, "digest", "left_semi").join(sent_if_few(roots, 3).withColumnRenamed("node", "digest"), "digest", "left")
-    members = written(members.select("doc", "row", "line", F.coalesce("root", "digest").alias("root")), "members")
+    members = written(gathered(members.select("doc", "row", "line", F.coalesce("root", "digest").alias("root")), placed, KEYS), "members")
     own = F.struct("doc", "line", "row")
-    least = written(members.groupBy("root").agg(F.min(own).alias("class")), "least")
+    least = written(gathered(members.groupBy("root").agg(F.min(own).alias("class")), placed, KEYS), "least")
     told = (F.col("class.doc").alias("class_doc"), F.col("class.line").alias("class_line"), own.eqNullSafe(F.col("class")).alias("kept"))
     alone = where.join(sent, "digest", "left_anti").select("doc", "row", "line", F.col("doc").alias("class_doc"), F.col("line").alias("class_line"), F.lit(True).alias("kept"))
     return members.join(least, "root").select("doc", "row", "line", *told).union(alone)

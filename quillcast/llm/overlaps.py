@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillcast.llm.common import by_parts, dealt, part_bits, slices
+from quillcast.llm.common import KEYS, TEXTS, by_parts, dealt, gathered, part_bits, slices
 from quillcast.session import written
 
 #: Buckets that shingles are counted in, for the order: 8 MB for every task.
@@ -83,8 +83,8 @@ def _hashed(shingles: set | np.ndarray) -> np.ndarray:
     return np.unique(np.fromiter(map(digest, shingles), dtype=np.uint64, count=len(shingles)).view(np.int64))
 
 
-def beside(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """(node, root) of the members of all buckets in which a candidate failed.
+def beside(pairs: DataFrame, roots: DataFrame, most: int) -> DataFrame:
+    """(node, root) of the members of all buckets in which a candidate failed; ``pairs`` has at most ``most`` rows.
 
     For candidates that hold every member of a bucket against its leader: of two members that were not
     compared and are still apart, at least one differs from the leader, and both are its neighbours. Two texts that
@@ -99,7 +99,7 @@ def beside(pairs: DataFrame, roots: DataFrame) -> DataFrame:
         alone = single.select(F.col("node").alias(end), F.lit(True).alias(f"{end}_alone"))
         named = named.join(known, end, "left").join(alone, end, "left")
     apart = named.where((F.coalesce("lo_root", "lo") != F.coalesce("hi_root", "hi")) & ~(F.coalesce("lo_alone", F.lit(False)) & F.coalesce("hi_alone", F.lit(False))))
-    failed = written(apart.select(F.explode(F.array("lo", "hi")).alias("node")).distinct(), "failed")
+    failed = written(gathered(apart.select(F.explode(F.array("lo", "hi")).alias("node")).distinct(), 2 * most, KEYS), "failed")
     either = pairs.select("lo", "hi").union(pairs.select("hi", "lo"))
     around = either.join(failed, either["lo"] == failed["node"], "left_semi").select(F.col("hi").alias("node"))
     members = around.union(failed).distinct()
@@ -110,7 +110,7 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes.view(np.uint64) >> np.uint64(40)).astype(np.int64) & (BUCKETS - 1)
 
 
-def _weights(items: DataFrame, shingled: Callable[[str], set | np.ndarray]) -> np.ndarray:
+def _weights(items: DataFrame, shingled: Callable[[str], set | np.ndarray], most: int) -> np.ndarray:
     """How many texts have a shingle of each bucket, counted over all of them."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +131,8 @@ def _weights(items: DataFrame, shingled: Callable[[str], set | np.ndarray]) -> n
 
     schema = "part int, counts binary"
     # At most a number per bucket reaches the driver.
-    found = items.select("text").mapInArrow(counted, schema).repartition("part").mapInArrow(summed, schema).toArrow()
+    counts = items.select("text").mapInArrow(counted, schema).repartition("part")
+    found = gathered(counts, most, TEXTS).mapInArrow(summed, schema).toArrow()
     weights = np.zeros((BUCKETS // COUNTS, COUNTS), dtype=np.int32)
     for part, own in zip(found.column("part").to_pylist(), found.column("counts").to_pylist(), strict=True):
         weights[part] = np.frombuffer(own, dtype=np.int32)
@@ -275,17 +276,18 @@ def close(items: DataFrame, shingled: Callable[[str], set | np.ndarray], similar
     tasks. The order goes by exact counts of buckets of shingles over all items: rare ones first, and
     what several share by chance only costs a comparison.
     """
-    spark = items.sparkSession
-    weights = _weights(items, shingled)
+    spark, most = items.sparkSession, items.count()
+    weights = _weights(items, shingled, most)
     prefixes = items.select("node", "root", "text").mapInArrow(_prefixes(shingled, similarity, weights, part_bits(spark)), "part int, members binary")
     sorted_ = prefixes.repartition("part").sortWithinPartitions("part")
     schema = "lo binary, hi binary, key long, node binary, root binary, n int, at int, " + ", ".join(f"s{at} long" for at in range(SKETCH))
-    searched = written(sorted_.mapInArrow(_searched(similarity), schema), "searched")
+    # A part stays in one task, and its rows together.
+    searched = written(gathered(sorted_, most, TEXTS).mapInArrow(_searched(similarity), schema), "searched")
     found = searched.where("key is null").select("lo", "hi")
     rows = searched.where("key is not null").drop("lo", "hi")
-    if not rows.isEmpty():
-        found = found.union(_joined(rows, similarity))
-    return written(found.distinct(), "close")
+    if rows.isEmpty():
+        return written(gathered(found.distinct(), searched.count(), KEYS), "close")
+    return written(found.union(_joined(rows, similarity)).distinct(), "close")
 
 
 def _joined(rows: DataFrame, similarity: float) -> DataFrame:

@@ -253,6 +253,30 @@ def test_a_crowd_hides_no_line(spark, groups):
     assert {(r.doc, r.line): (r.class_doc, r.class_line) for r in line_dedup.classes(docs).collect()} == want
 
 
+def test_few_lines_take_few_tasks(spark, groups):
+    """A chain of lines, linked late: a table of some rows is not worked on by as many tasks as a shuffle has partitions."""
+    words = [f"token{n:03d}" for n in range(400)]
+    texts = [" ".join(words[shift : shift + 60]) for shift in range(0, 60, 2)]
+    want = line_classes(list(enumerate(texts)), groups)
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    conf = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        context.setJobGroup("few-tasks", "lines of a chain")
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        found = {(r.doc, r.line): (r.class_doc, r.class_line) for r in line_dedup.classes(docs).collect()}
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert found == want
+    stages = {stage for job in tracker.getJobIdsForGroup("few-tasks") for stage in tracker.getJobInfo(job).stageIds}
+    tasks = sum(info.numCompletedTasks for stage in stages if (info := tracker.getStageInfo(stage)))
+    assert 0 < tasks < 1000, tasks
+
+
 def test_rows_that_share_an_id_lose_only_their_own_lines(spark):
     """Each distinct line of rows under one id, a null one too, stays exactly once."""
     for shared in (None, 7):

@@ -90,6 +90,20 @@ def test_components_of_paths_stars_and_circles(spark, groups):
     assert components(spark.createDataFrame([], "lo long, hi long")).collect() == []
 
 
+@pytest.mark.parametrize("rows", [7, 1000])
+def test_components_of_a_known_number_of_edges(spark, groups, monkeypatch, rows):
+    """In one task or in many: long paths, stars, circles and repeated edges; binary nodes."""
+    monkeypatch.setattr("quillcast.llm.components.KEYS", rows)
+    edges = [(n * 37 % 211, (n + 1) * 37 % 211) for n in range(150)] + [(300, n) for n in range(301, 340)] + [(400, 401), (401, 402), (402, 400), (7, 7), (None, 3), (37, 0)]
+    edges = [tuple(None if end is None else end.to_bytes(2) for end in edge) for edge in edges]
+    table = spark.createDataFrame(edges, "lo binary, hi binary").repartition(5)
+    found = {bytes(r.node): bytes(r.root) for r in components(table, len(edges)).collect()}
+    for a, b in edges:
+        if a is not None and b is not None and a != b:
+            groups.join(a, b)
+    assert found == {node: groups.root(node) for node in groups.parent}
+
+
 def test_one_of_each_keeps_least_id_of_similar_texts(spark, documents, messy, groups):
     for docs in (documents, messy):
         pairs = [(row.doc_id, row.text) for row in docs.collect()]
