@@ -33,8 +33,9 @@ PAIRS = 500_000
 COUNTS = 1 << 10
 #: Candidates on the longest way from one member of a bucket to another, by way of heads.
 HOPS = 4
-#: Longs of a sketch: differing parities are never more than differing shingles.
-SKETCH = 4
+#: Longs of a sketch: differing parities are never more than differing shingles. Half of the bits differ in unlike texts,
+#: so 16 longs tell these apart up to some 2,000 shingles; 4 did up to 500, and longer ones grew with the square of the texts.
+SKETCH = 16
 #: Longs of a text's row: a shingle, node and root, size and place in the order, the sketch.
 KEY, NODE, ROOT, PLACE, ODD = 0, slice(1, 3), slice(3, 5), 5, slice(6, 6 + SKETCH)
 

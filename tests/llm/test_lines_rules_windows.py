@@ -362,3 +362,14 @@ def test_search_of_a_crowded_shingle(spark):
         # The last three are of other roots.
         want = {tuple(sorted((a[0], b[0]))) for a in rows for b in rows[-3:] if a[1] != b[1]}
         assert len(found) == len(want) and {(bytes(r.lo), bytes(r.hi)) for r in found} == want
+
+
+def test_search_passes_by_long_texts_that_are_not_alike(spark):
+    chance = random.Random(8)
+    words = [f"w{at}" for at in range(20_000)]
+    texts = [chance.sample(words, chance.randrange(900, 1_100)) for _ in range(60)]
+    # One word in ten is another: similar to 0.8 and more.
+    texts.append([f"x{at}" if at % 10 == 0 else word for at, word in enumerate(texts[0])])
+    rows = [(digest := hashlib.md5(str(at).encode()).digest(), digest, " ".join(text)) for at, text in enumerate(texts)]
+    found = overlaps.close(spark.createDataFrame(rows, "node binary, root binary, text string"), lambda text: set(text.split()), 0.8).collect()
+    assert {(bytes(r.lo), bytes(r.hi)) for r in found} == {tuple(sorted((rows[0][0], rows[-1][0])))}

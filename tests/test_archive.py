@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 from datetime import timedelta
 
 import pytest
@@ -13,7 +14,7 @@ from test_streaming import NOON, line, rows
 from quillcast.operators import counts, ranking
 from quillcast.operators.counts import labelled
 from quillcast.plans import jobs
-from quillcast.session import cleared, file_names, scratch_dir, written
+from quillcast.session import SHUFFLES_GO, cleared, file_names, scratch_dir, shuffles_removed, written
 from quillcast.sinks import files
 from quillcast.sources import dumps, posts
 from quillcast.streaming import archive, batches, metrics, runner
@@ -243,3 +244,32 @@ def test_a_batch_clears_its_scratch_folders(spark):
         path = frame.inputFiles()[0].rpartition("/")[0]
         assert frame.count() == 3 and file_names(spark, path)
     assert not file_names(spark, path)
+
+
+def test_written_frames_leave_no_shuffle_files(spark):
+    def left():
+        names = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+        return {name for name in names if "/shuffle_" in name}
+
+    earlier = left()
+    found = written(spark.range(1_000).repartition(5, "id"), "dealt")
+    until = time.time() + 3  # files are removed in the background
+    while left() - earlier and time.time() < until:
+        time.sleep(0.1)
+    assert not left() - earlier
+    assert found.count() == 1_000 and found.join(written(found, "again"), "id").count() == 1_000
+
+
+@pytest.mark.parametrize("before", [None, "false", "true"])
+def test_setting_is_restored_by_the_last(spark, before):
+    spark.conf.unset(SHUFFLES_GO) if before is None else spark.conf.set(SHUFFLES_GO, before)
+    first, second = shuffles_removed(spark), shuffles_removed(spark)
+    try:
+        first.__enter__()
+        second.__enter__()
+        first.__exit__(None, None, None)
+        assert spark.conf.get(SHUFFLES_GO) == "true"
+        second.__exit__(None, None, None)
+        assert spark.conf.get(SHUFFLES_GO, None) == before
+    finally:
+        spark.conf.unset(SHUFFLES_GO)
